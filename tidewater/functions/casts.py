@@ -30,14 +30,29 @@ def typed_null(data_type: str) -> Column:
     return F.lit(None).cast(data_type)
 
 
-def safe_value(available: dict[str, str], source: str | None, data_type: str) -> Column:
+_INTEGRAL = ("int", "bigint", "smallint", "tinyint")
+
+
+def safe_value(
+    available: dict[str, str],
+    source: str | None,
+    data_type: str,
+    source_types: dict[str, str] | None = None,
+) -> Column:
     """Source column cast to ``data_type``, or a typed NULL when it is absent.
 
     ``try_cast`` keeps ANSI mode from failing the job on a malformed value: it
     becomes NULL, and a NULL required column sends the row to quarantine.
+    Fractions are truncated toward zero for integer targets, from numbers
+    (1.9 → 1) and from numeric text ('1.9' → 1) alike; text goes through a
+    decimal for that, since a direct text-to-int cast rejects a fraction.
     A cast to the column's own type is removed by the optimizer, so filters on
     such columns still reach the Parquet reader.
     """
     if source is None or source.lower() not in available:
         return typed_null(data_type)
-    return F.col(f"`{available[source.lower()]}`").try_cast(data_type)
+    name = available[source.lower()]
+    column = F.col(f"`{name}`")
+    if data_type in _INTEGRAL and (source_types or {}).get(name) == "string":
+        column = F.trim(column).try_cast("decimal(38,9)")
+    return column.try_cast(data_type)

@@ -32,10 +32,11 @@ def normalize_trips(
     carried columns.
     """
     available = resolve_source_columns(frame.columns)
+    source_types = dict(frame.dtypes)
     batch = batch_id if isinstance(batch_id, Column) else F.lit(batch_id)
     stamp = ingested_at if ingested_at is not None else F.current_timestamp()
     trip_columns = [
-        safe_value(available, source, data_type).alias(name)
+        safe_value(available, source, data_type, source_types).alias(name)
         for name, data_type, source in TRIP_COLUMNS
     ]
     normalized = frame.select(

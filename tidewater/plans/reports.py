@@ -128,3 +128,11 @@ def hourly_profile(fact: DataFrame, year: int | None = None) -> DataFrame:
         .withColumn("avg_distance", guarded_ratio(F.col("sum_distance"), F.col("total_trips")))
         .orderBy("pickup_hour")
     )
+
+
+def load_gold(spark, paths) -> tuple[DataFrame, DataFrame]:
+    """(fact, dim) from a lakehouse's Gold tables; ``year``/``month`` of the
+    fact come from its partition directories, so year filters prune files."""
+    fact = spark.read.parquet(paths.fact)
+    dim = spark.read.parquet(paths.dim_zone)
+    return fact, dim
