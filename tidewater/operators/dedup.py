@@ -7,8 +7,13 @@ copy is routed to quarantine. NULL key values count as equal.
 A window ``row_number()`` over the key would send every copy of a hot key to
 one task. Instead the keeper of each key is found by ``min(row_id)`` in a
 grouped aggregate (partial aggregation collapses a hot key per map task), and
-rows are matched to keepers by the unique row identity, so the second shuffle
-is evenly spread whatever the key distribution.
+rows are matched to keepers by (scope, row identity), which is unique, so the
+second shuffle is evenly spread whatever the key distribution.
+
+The row identity is a ``bigint`` unique within the scope. For landing data
+it is the Parquet row index: a landing period has exactly one file (the file
+name carries the period), so (year, month, row index) names one row. Being
+fixed-width, ``min`` runs as a hash aggregate and the join key stays small.
 """
 
 from __future__ import annotations
@@ -25,15 +30,9 @@ DUPLICATE_FLAG = "_is_duplicate"
 
 
 def file_row_id() -> F.Column:
-    """Stable row identity of a Parquet scan: (file path, row index).
-
-    Stays the same when a lost task is recomputed, unlike
-    ``monotonically_increasing_id``.
-    """
-    return F.struct(
-        F.col("_metadata.file_path").alias("file"),
-        F.col("_metadata.row_index").alias("row"),
-    )
+    """Row index within its Parquet file: stable when a lost task is
+    recomputed, unlike ``monotonically_increasing_id``."""
+    return F.col("_metadata.row_index")
 
 
 def keepers(
@@ -42,8 +41,8 @@ def keepers(
     scope: list[str] | tuple[str, ...] = ("year", "month"),
     row_id: str = ROW_ID,
 ) -> DataFrame:
-    """One row id per distinct (scope, key): the smallest."""
-    return rows.groupBy(*scope, *key).agg(F.min(row_id).alias(row_id)).select(row_id)
+    """(scope, row id) of the smallest row id per distinct (scope, key)."""
+    return rows.groupBy(*scope, *key).agg(F.min(row_id).alias(row_id)).select(*scope, row_id)
 
 
 def mark_duplicates(
@@ -61,7 +60,7 @@ def mark_duplicates(
     kept = keepers(rows, key, scope, row_id).withColumn("_kept", F.lit(True))
     if materialize is not None:
         kept = materialize(kept)
-    marked = rows.join(kept, row_id, "left")
+    marked = rows.join(kept, [*scope, row_id], "left")
     return marked.withColumn(DUPLICATE_FLAG, F.col("_kept").isNull()).drop("_kept")
 
 

@@ -27,7 +27,6 @@ from pyspark.sql import functions as F
 
 from tidewater.operators.dedup import ROW_ID, duplicate_rows, mark_duplicates, unique_rows
 from tidewater.operators.normalize import normalize_trips
-from tidewater.operators.periods import pending_periods
 from tidewater.operators.split import (
     bronze_projection,
     quarantine_projection,
@@ -37,8 +36,7 @@ from tidewater.operators.split import (
 from tidewater.plans.common import (
     LakePaths,
     batch_timestamp,
-    collect_periods,
-    done_periods,
+    done_period_set,
     logger,
     new_batch_id,
     period_counts,
@@ -48,7 +46,6 @@ from tidewater.sinks.writers import append_run_log, write_partitioned
 from tidewater.sources.landing import (
     LandingFile,
     group_by_schema,
-    landing_periods,
     list_landing_files,
     read_group,
 )
@@ -95,9 +92,11 @@ def normalized_landing(
 def pending_files(
     spark: SparkSession, files: list[LandingFile], paths: LakePaths
 ) -> tuple[list[LandingFile], list[tuple[int, int]]]:
-    done = done_periods(spark, paths.bronze, paths.run_log, STAGE)
-    pending = set(collect_periods(pending_periods(landing_periods(spark, files), done)))
-    return [f for f in files if (f.year, f.month) in pending], sorted(pending)
+    """Files whose period is not done yet (landed periods minus done
+    periods; both sets hold at most one entry per month)."""
+    done = done_period_set(spark, paths.bronze, paths.run_log, STAGE)
+    todo = [f for f in files if (f.year, f.month) not in done]
+    return todo, sorted({(f.year, f.month) for f in todo})
 
 
 def ingest(

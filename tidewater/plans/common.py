@@ -81,6 +81,13 @@ def done_periods(spark: SparkSession, table_root: str, run_log_root: str, stage:
     return partition_periods(spark, table_root).unionByName(logged).distinct()
 
 
+def done_period_set(spark: SparkSession, table_root: str, run_log_root: str, stage: str) -> set[tuple[int, int]]:
+    """:func:`done_periods` on the driver: at most one entry per month, so
+    the run's set arithmetic (pending = landed − done) is done in Python
+    instead of in one more Spark job."""
+    return set(collect_periods(done_periods(spark, table_root, run_log_root, stage)))
+
+
 def collect_periods(frame: DataFrame) -> list[tuple[int, int]]:
     """A period set to the driver: at most one row per month."""
     return sorted((int(r["year"]), int(r["month"])) for r in frame.select(*PERIOD).collect())

@@ -69,21 +69,14 @@ def dim(spark: SparkSession, sf_dir: str) -> DataFrame:
 def landing_with_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Landing rows plus an exact second copy of every six-passenger trip.
 
-    Each branch gets its own row identity (source row + copy number), so
-    the copies are distinguishable the way re-delivered rows in different
-    files or positions are.
+    Each branch gets its own row identity (2 × source row index + copy
+    number), so the copies are distinguishable the way re-delivered rows at
+    different positions are.
     """
     base = landing_trips(spark, sf_dir, with_row_id=True)
 
     def tag(frame: DataFrame, copy: int) -> DataFrame:
-        return frame.withColumn(
-            ROW_ID,
-            F.struct(
-                F.col(f"{ROW_ID}.file").alias("file"),
-                F.col(f"{ROW_ID}.row").alias("row"),
-                F.lit(copy).alias("copy"),
-            ),
-        )
+        return frame.withColumn(ROW_ID, F.col(ROW_ID) * 2 + F.lit(copy))
 
     copies = base.filter(F.col("passenger_count") == 6)
     return tag(base, 0).unionByName(tag(copies, 1))

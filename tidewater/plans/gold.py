@@ -16,7 +16,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 
 from tidewater.operators.fact import aggregate_fact, stamp_fact
-from tidewater.operators.periods import PERIOD, missing_periods, select_period
+from tidewater.operators.periods import select_period
 from tidewater.operators.zones import duplicate_locations, zone_dimension
 from tidewater.plans.common import (
     LakePaths,
@@ -24,7 +24,6 @@ from tidewater.plans.common import (
     collect_periods,
     logger,
     new_batch_id,
-    period_frame,
 )
 from tidewater.sinks.writers import write_partitioned, write_single_file
 from tidewater.sources.tables import partition_periods, read_periods, read_zone_lookup
@@ -84,15 +83,14 @@ def transform(
     if paths.lookup:
         result.dimension_built = build_dimension(spark, paths.lookup, paths.dim_zone)
 
-    source = partition_periods(spark, paths.silver)
+    source = set(collect_periods(partition_periods(spark, paths.silver)))
     requested = select_period(year, month)
     if requested is not None:
-        wanted = period_frame(spark, requested)
-        result.missing = collect_periods(missing_periods(wanted, source))
+        result.missing = sorted(set(requested) - source)
         for y, m in result.missing:
             logger.warning("gold: partition year=%d/month=%d not found in Silver", y, m)
-        source = wanted.join(source, PERIOD, "left_semi")
-    periods = collect_periods(source)
+        source &= set(requested)
+    periods = sorted(source)
     result.periods = periods
     if not periods:
         logger.warning("gold: no partitions found to process")

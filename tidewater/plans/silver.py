@@ -18,16 +18,15 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewater.operators.enrich import clean_and_enrich, silver_projection
-from tidewater.operators.periods import PERIOD, missing_periods, pending_periods, select_period
+from tidewater.operators.periods import PERIOD, select_period
 from tidewater.plans.common import (
     LakePaths,
     batch_timestamp,
     collect_periods,
-    done_periods,
+    done_period_set,
     logger,
     new_batch_id,
     period_counts,
-    period_frame,
 )
 from tidewater.sinks.writers import append_run_log, write_partitioned
 from tidewater.sources.tables import partition_periods, read_periods
@@ -57,20 +56,22 @@ def plan_periods(
     year: int | None,
     month: int | None,
 ) -> tuple[list[tuple[int, int]], list[tuple[int, int]], list[tuple[int, int]]]:
-    """(pending, missing, skipped) periods for this run."""
-    source = partition_periods(spark, paths.bronze)
+    """(pending, missing, skipped) periods for this run.
+
+    Period sets hold at most one entry per month; they are collected once and
+    combined on the driver.
+    """
+    source = set(collect_periods(partition_periods(spark, paths.bronze)))
     requested = select_period(year, month)
     missing: list[tuple[int, int]] = []
     if requested is not None:
-        wanted = period_frame(spark, requested)
-        missing = collect_periods(missing_periods(wanted, source))
+        missing = sorted(set(requested) - source)
         for y, m in missing:
             logger.warning("silver: partition year=%d/month=%d not found in Bronze", y, m)
-        source = wanted.join(source, PERIOD, "left_semi")
-    done = done_periods(spark, paths.silver, paths.run_log, STAGE)
-    candidates = collect_periods(source)
-    pending = collect_periods(pending_periods(source, done))
-    skipped = sorted(set(candidates) - set(pending))
+        source &= set(requested)
+    done = done_period_set(spark, paths.silver, paths.run_log, STAGE)
+    pending = sorted(source - done)
+    skipped = sorted(source & done)
     return pending, missing, skipped
 
 

@@ -55,10 +55,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def landing_trips(spark: SparkSession, sf_dir: str, with_row_id: bool = False) -> DataFrame:
     """Landing-layout trips (plus ``shipdate``), one per lineitem row.
 
-    ``with_row_id`` adds ``_row_id``, the stable identity of the source row.
+    ``with_row_id`` adds ``_row_id``, the row's index in the lineitem file.
     """
     lineitem = table(spark, sf_dir, "lineitem")
-    extra = ["struct(_metadata.file_path AS file, _metadata.row_index AS row) AS _row_id"]
+    extra = ["_metadata.row_index AS _row_id"]
     return lineitem.selectExpr(*TRIP_EXPRESSIONS, *(extra if with_row_id else []))
 
 

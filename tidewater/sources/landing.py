@@ -111,9 +111,7 @@ def read_group(spark: SparkSession, schema: T.StructType, files: list[LandingFil
             "_source_file": F.col("_metadata.file_path"),
             "_period_year": F.regexp_extract(name, LANDING_PATTERN, 1).cast("int"),
             "_period_month": F.regexp_extract(name, LANDING_PATTERN, 2).cast("int"),
-            "_row_id": F.struct(
-                F.col("_metadata.file_path").alias("file"),
-                F.col("_metadata.row_index").alias("row"),
-            ),
+            # unique within a period: one landing file per period
+            "_row_id": F.col("_metadata.row_index"),
         }
     )
