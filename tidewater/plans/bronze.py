@@ -114,9 +114,21 @@ def ingest(
     business keys within their month; copies go to
     ``quarantine/duplicate_records``.
     """
+    files = list_landing_files(spark, paths.landing)
+    return ingest_files(spark, files, paths, batch_id=batch_id, dedup=dedup, layout=layout)
+
+
+def ingest_files(
+    spark: SparkSession,
+    files: list[LandingFile],
+    paths: LakePaths,
+    batch_id: str | None = None,
+    dedup: bool = False,
+    layout: str = "scan",
+) -> IngestResult:
+    """Ingest the given landing files (those of done months are skipped)."""
     start = time.time()
     active_batch = batch_id or new_batch_id()
-    files = list_landing_files(spark, paths.landing)
     todo, periods = pending_files(spark, files, paths)
     result = IngestResult(active_batch, len(files), len(files) - len(todo), periods=periods)
     logger.info("ingest start batch=%s files=%d pending=%d", active_batch, len(files), len(todo))

@@ -132,7 +132,15 @@ def hourly_profile(fact: DataFrame, year: int | None = None) -> DataFrame:
 
 def load_gold(spark, paths) -> tuple[DataFrame, DataFrame]:
     """(fact, dim) from a lakehouse's Gold tables; ``year``/``month`` of the
-    fact come from its partition directories, so year filters prune files."""
+    fact come from its partition directories, so year filters prune files.
+
+    Without a dimension table (no lookup was ever provided) an empty one is
+    used: every pickup zone is then unknown, reported as a NULL borough.
+    """
+    from tidewater.sources.tables import read_table
+
     fact = spark.read.parquet(paths.fact)
-    dim = spark.read.parquet(paths.dim_zone)
+    dim = read_table(spark, paths.dim_zone)
+    if dim is None:
+        dim = spark.createDataFrame([], "location_id int, borough string, zone string, service_zone string")
     return fact, dim
