@@ -155,3 +155,20 @@ def test_single_trip_end_to_end(spark, tmp_path):
     fact = read_table(spark, paths.fact).first()
     assert fact["total_trips"] == 1 and fact["total_revenue"] == 21.8
     assert fact["avg_duration_minutes"] == 15.0 and fact["batch_id"] == "gold-A6"
+
+
+def test_gold_only_changed_months(spark, built_lake):
+    paths, _ = built_lake
+    full = gold.transform(spark, paths)  # logs every month for Gold
+    assert full.partitions_processed == 83
+    nothing = gold.transform(spark, paths, only_changed=True)
+    assert nothing.partitions_processed == 0
+    # Silver re-transformed for one month → only that month is recomputed
+    from tidewater.sinks.writers import append_run_log
+    from tidewater.plans.common import period_frame
+
+    redo = period_frame(spark, [(1998, 3)]).selectExpr("year", "month", "41 AS rows_written", "0 AS rows_rejected")
+    append_run_log(paths.run_log, "silver", redo, "silver-manual")
+    one = gold.transform(spark, paths, only_changed=True)
+    assert one.periods == [(1998, 3)]
+    assert read_table(spark, paths.fact).count() == 3647

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import weakref
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -11,6 +13,10 @@ from tidewater.schemas import PICKUP_ZONE_RENAMES, ZONE_RENAMES
 # lookup any more and must not be shipped to every executor.
 DEFAULT_BROADCAST_MAX_ROWS = 1_000_000
 
+# Size checks already made, per frame object and bound: several reports over
+# the same dimension frame check it once.
+_checked: "weakref.WeakKeyDictionary[DataFrame, dict[int, bool]]" = weakref.WeakKeyDictionary()
+
 
 def zone_dimension(lookup: DataFrame) -> DataFrame:
     """Lookup (LocationID, Borough, Zone, service_zone) → snake_case dimension."""
@@ -29,8 +35,10 @@ def bounded_broadcast(frame: DataFrame, max_rows: int = DEFAULT_BROADCAST_MAX_RO
     The check reads at most ``max_rows + 1`` rows, so it stays cheap even when
     the frame turns out to be large.
     """
-    rows = frame.limit(max_rows + 1).count()
-    return F.broadcast(frame) if rows <= max_rows else frame
+    known = _checked.setdefault(frame, {})
+    if max_rows not in known:
+        known[max_rows] = frame.limit(max_rows + 1).count() <= max_rows
+    return F.broadcast(frame) if known[max_rows] else frame
 
 
 def with_pickup_zone(
@@ -42,7 +50,6 @@ def with_pickup_zone(
     dropped; an unmatched pickup zone keeps its fact row with NULL zone
     columns. Drop-off zones are not joined.
     """
-    zones = dim.withColumnsRenamed(PICKUP_ZONE_RENAMES)
-    zones = bounded_broadcast(zones, max_broadcast_rows)
+    zones = bounded_broadcast(dim, max_broadcast_rows).withColumnsRenamed(PICKUP_ZONE_RENAMES)
     joined = fact.join(zones, F.col("pulocationid") == F.col("location_id"), "left")
     return joined.drop("location_id")

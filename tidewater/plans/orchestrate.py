@@ -42,6 +42,7 @@ class RunConfig:
     month: int | None = None
     silver_period: bool = False
     dedup: bool = False
+    only_changed_gold: bool = False
 
     @classmethod
     def from_strings(cls, paths: LakePaths, **values: Any) -> "RunConfig":
@@ -52,6 +53,7 @@ class RunConfig:
             month=optional_int(values.get("month")),
             silver_period=bool(values.get("silver_period", False)),
             dedup=bool(values.get("dedup", False)),
+            only_changed_gold=bool(values.get("only_changed_gold", False)),
         )
 
 
@@ -59,5 +61,7 @@ def run(spark: SparkSession, cfg: RunConfig) -> dict[str, Any]:
     ingested = bronze.ingest(spark, cfg.paths, batch_id=cfg.batch_id, dedup=cfg.dedup)
     year, month = (cfg.year, cfg.month) if cfg.silver_period else (None, None)
     transformed = silver.transform(spark, cfg.paths, year=year, month=month)
-    modeled = gold.transform(spark, cfg.paths, year=cfg.year, month=cfg.month)
+    modeled = gold.transform(
+        spark, cfg.paths, year=cfg.year, month=cfg.month, only_changed=cfg.only_changed_gold
+    )
     return {"ingest": ingested, "silver": transformed, "gold": modeled}
