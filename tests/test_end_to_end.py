@@ -165,10 +165,8 @@ def test_gold_only_changed_months(spark, built_lake):
     assert nothing.partitions_processed == 0
     # Silver re-transformed for one month → only that month is recomputed
     from tidewater.sinks.writers import append_run_log
-    from tidewater.plans.common import period_frame
 
-    redo = period_frame(spark, [(1998, 3)]).selectExpr("year", "month", "41 AS rows_written", "0 AS rows_rejected")
-    append_run_log(paths.run_log, "silver", redo, "silver-manual")
+    append_run_log(spark, paths.run_log, "silver", {(1998, 3): (41, 0)}, "silver-manual")
     one = gold.transform(spark, paths, only_changed=True)
     assert one.periods == [(1998, 3)]
     assert read_table(spark, paths.fact).count() == 3647

@@ -168,15 +168,13 @@ def ingest_files(
     )
     result.records_processed = int(bronze_obs.get["rows"])
 
-    written = period_counts(spark, paths.bronze, periods, "rows_written")
-    rejected = period_counts(spark, paths.schema_violations, periods, "violations")
-    counts = written.join(rejected, ["year", "month"]).withColumn("rows_rejected", F.col("violations"))
+    written = period_counts(spark, paths.bronze, periods)
+    rejected = period_counts(spark, paths.schema_violations, periods)
     if dedup:
-        dups = period_counts(spark, paths.duplicate_records, periods, "dups")
-        counts = counts.join(dups, ["year", "month"]).withColumn(
-            "rows_rejected", F.col("rows_rejected") + F.col("dups")
-        )
-    append_run_log(paths.run_log, STAGE, counts, active_batch)
+        duplicates = period_counts(spark, paths.duplicate_records, periods)
+        rejected = {p: n + duplicates[p] for p, n in rejected.items()}
+    counts = {p: (written[p], rejected[p]) for p in periods}
+    append_run_log(spark, paths.run_log, STAGE, counts, active_batch)
 
     result.job_duration_sec = time.time() - start
     logger.info(

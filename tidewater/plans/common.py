@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewater.operators.periods import PERIOD
-from tidewater.sources.tables import partition_periods, read_periods, read_run_log
+from tidewater.sources.tables import partition_periods, read_periods, read_run_log, read_table
 
 logger = logging.getLogger("tidewater")
 
@@ -84,8 +84,16 @@ def done_periods(spark: SparkSession, table_root: str, run_log_root: str, stage:
 def done_period_set(spark: SparkSession, table_root: str, run_log_root: str, stage: str) -> set[tuple[int, int]]:
     """:func:`done_periods` on the driver: at most one entry per month, so
     the run's set arithmetic (pending = landed − done) is done in Python
-    instead of in one more Spark job."""
-    return set(collect_periods(done_periods(spark, table_root, run_log_root, stage)))
+    instead of in one more Spark job. A table that does not exist yet costs
+    no job at all."""
+    done: set[tuple[int, int]] = set()
+    table = read_table(spark, table_root)
+    if table is not None:
+        done |= set(collect_periods(table.select(*PERIOD).distinct()))
+    log = read_table(spark, run_log_root)
+    if log is not None:
+        done |= set(collect_periods(log.filter(F.col("stage") == stage).select(*PERIOD).distinct()))
+    return done
 
 
 def collect_periods(frame: DataFrame) -> list[tuple[int, int]]:
@@ -97,17 +105,15 @@ def period_frame(spark: SparkSession, periods: list[tuple[int, int]]) -> DataFra
     return spark.createDataFrame(periods, "year int, month int")
 
 
-def period_counts(
-    spark: SparkSession, root: str, periods: list[tuple[int, int]], alias: str
-) -> DataFrame:
-    """Rows per period of a written table, 0 for periods without rows.
+def period_counts(spark: SparkSession, root: str, periods: list[tuple[int, int]]) -> dict[tuple[int, int], int]:
+    """Rows per period of a written table (0 for periods without rows).
 
     Only row counts are needed, which Parquet keeps in its footers, so no
-    column data is decoded.
+    column data is decoded; the result has one entry per month.
     """
-    wanted = period_frame(spark, periods)
+    counts = {period: 0 for period in periods}
     frame = read_periods(spark, root, periods)
-    if frame is None:
-        return wanted.withColumn(alias, F.lit(0).cast("bigint"))
-    counts = frame.groupBy(*PERIOD).agg(F.count(F.lit(1)).alias(alias))
-    return wanted.join(counts, PERIOD, "left").fillna(0, subset=[alias])
+    if frame is not None:
+        for row in frame.groupBy(*PERIOD).count().collect():
+            counts[(int(row["year"]), int(row["month"]))] = int(row["count"])
+    return counts

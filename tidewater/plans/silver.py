@@ -15,10 +15,9 @@ import time
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from tidewater.operators.enrich import clean_and_enrich, silver_projection
-from tidewater.operators.periods import PERIOD, select_period
+from tidewater.operators.periods import select_period
 from tidewater.plans.common import (
     LakePaths,
     batch_timestamp,
@@ -97,13 +96,11 @@ def transform(
     silver = build_silver(bronze, active_batch, batch_timestamp())
     write_partitioned(silver, paths.silver, layout=layout)
 
-    written = period_counts(spark, paths.silver, pending, "rows_written")
-    read = period_counts(spark, paths.bronze, pending, "rows_read")
-    counts = written.join(read, PERIOD).withColumn(
-        "rows_rejected", F.col("rows_read") - F.col("rows_written")
-    )
-    append_run_log(paths.run_log, STAGE, counts, active_batch)
+    written = period_counts(spark, paths.silver, pending)
+    read = period_counts(spark, paths.bronze, pending)
+    counts = {p: (written[p], read[p] - written[p]) for p in pending}
+    append_run_log(spark, paths.run_log, STAGE, counts, active_batch)
     result.partitions_processed = len(pending)
-    result.rows_written = int(counts.agg(F.sum("rows_written")).first()[0] or 0)
+    result.rows_written = sum(written.values())
     result.job_duration_sec = time.time() - start
     return result

@@ -8,10 +8,12 @@ instead of appending a second copy, which makes every stage idempotent.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
+from datetime import datetime, timezone
+
+from pyspark.sql import DataFrame, SparkSession
 
 from tidewater.operators.periods import PERIOD
+from tidewater.schemas import RUN_LOG_SCHEMA
 
 # Output file layout of a partitioned write.
 #   "scan":      no shuffle; each scan task writes the periods it read.
@@ -44,21 +46,19 @@ def write_single_file(frame: DataFrame, path: str) -> None:
 
 
 def append_run_log(
+    spark: SparkSession,
     root: str,
     stage: str,
-    counts: DataFrame,
+    counts: dict[tuple[int, int], tuple[int | None, int | None]],
     batch_id: str,
+    logged_at: datetime | None = None,
 ) -> None:
-    """Append one row per period of ``counts`` (year, month, rows_written,
-    rows_rejected). Written after the stage's data: a period in the log is
-    a committed period."""
-    rows = counts.select(
-        F.lit(stage).alias("stage"),
-        F.col("year").cast("int").alias("year"),
-        F.col("month").cast("int").alias("month"),
-        F.col("rows_written").cast("bigint").alias("rows_written"),
-        F.col("rows_rejected").cast("bigint").alias("rows_rejected"),
-        F.lit(batch_id).alias("batch_id"),
-        F.current_timestamp().alias("logged_at"),
-    )
-    rows.coalesce(1).write.mode("append").parquet(root)
+    """Append one row per period: (rows written, rows rejected). Written
+    after the stage's data, so a period in the log is a committed period.
+    ``counts`` has one entry per month processed by the run."""
+    stamp = logged_at or datetime.now(timezone.utc)
+    rows = [
+        (stage, year, month, written, rejected, batch_id, stamp)
+        for (year, month), (written, rejected) in sorted(counts.items())
+    ]
+    spark.createDataFrame(rows, RUN_LOG_SCHEMA).coalesce(1).write.mode("append").parquet(root)
