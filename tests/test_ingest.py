@@ -152,3 +152,17 @@ def test_duplicates_are_quarantined_when_enabled(spark, lake):
     dups = read_table(spark, lake.duplicate_records)
     assert dups.count() == 2
     assert {r["failure_mode"] for r in dups.collect()} == {"duplicate_record"}
+
+
+def test_compatible_files_are_read_in_one_scan(spark, lake):
+    from tidewater.plans.bronze import normalized_landing
+    from tidewater.sources.landing import list_landing_files, read_landing
+
+    _write(lake.landing, "yellow_tripdata_2026-01.parquet", _trips(4, 1, fee="airport_fee"))
+    _write(lake.landing, "yellow_tripdata_2026-02.parquet", _trips(3, 2, fee=None))
+    _write(lake.landing, "yellow_tripdata_2026-03.parquet", _trips(2, 3, fee="Airport_fee"))
+    files = list_landing_files(spark, lake.landing)
+    assert len(read_landing(spark, files)) == 1
+    rows = normalized_landing(spark, files, "b").groupBy("month").agg({"airport_fee": "max"}).collect()
+    fees = {r["month"]: r["max(airport_fee)"] for r in rows}
+    assert fees == {1: 1.25, 2: None, 3: 1.25}

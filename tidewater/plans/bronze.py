@@ -45,9 +45,8 @@ from tidewater.schemas import DUPLICATE_REASON, FAILURE_DUPLICATE
 from tidewater.sinks.writers import append_run_log, write_partitioned
 from tidewater.sources.landing import (
     LandingFile,
-    group_by_schema,
     list_landing_files,
-    read_group,
+    read_landing,
 )
 
 STAGE = "bronze"
@@ -71,12 +70,12 @@ def normalized_landing(
     batch_id: str,
     ingested_at: Column | None = None,
 ) -> DataFrame:
-    """All rows of ``files`` in the Bronze layout (+ reason and ``_row_id``),
-    one scan per distinct file schema."""
+    """All rows of ``files`` in the Bronze layout (+ reason and ``_row_id``):
+    one scan when the file schemas merge, else one per distinct schema."""
     stamp = ingested_at if ingested_at is not None else batch_timestamp()
     frames = [
         normalize_trips(
-            read_group(spark, schema, group),
+            scan,
             period_year=F.col("_period_year"),
             period_month=F.col("_period_month"),
             source_file=F.col("_source_file"),
@@ -84,7 +83,7 @@ def normalized_landing(
             ingested_at=stamp,
             carry=[ROW_ID],
         )
-        for schema, group in group_by_schema(spark, files)
+        for scan in read_landing(spark, files)
     ]
     return reduce(lambda a, b: a.unionByName(b), frames)
 

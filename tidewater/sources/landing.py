@@ -1,11 +1,14 @@
 """Landing zone: discover monthly trip files, parse their period, read them.
 
 Files of different months drift in schema (bigint vs double counts,
-``timestamp`` vs ``timestamp_ntz``, ``airport_fee`` vs ``Airport_fee``). A
-single multi-file read cannot reconcile that (``mergeSchema`` rejects
-int/double conflicts), so files are grouped by their footer schema, each
-group is read in one scan, normalised to the Bronze layout, and the groups
-are unioned: one job over all pending files instead of a loop per file.
+``timestamp`` vs ``timestamp_ntz``, ``airport_fee`` vs ``Airport_fee``).
+The common case — one schema, or schemas that only add or drop columns — is
+read as one scan with ``mergeSchema`` (all footers are read in one parallel
+job). When the schemas conflict (``mergeSchema`` rejects int/double or
+timestamp/timestamp_ntz), files are grouped by their footer schema and each
+group is read in one scan; the caller normalises each scan to the Bronze
+layout and unions them. Either way: one job over all pending files instead of
+a loop per file.
 """
 
 from __future__ import annotations
@@ -102,9 +105,28 @@ def group_by_schema(
 
 
 def read_group(spark: SparkSession, schema: T.StructType, files: list[LandingFile]) -> DataFrame:
-    """One scan over files that share ``schema``, with file-derived columns:
-    ``_source_file``, ``_period_year``, ``_period_month`` and ``_row_id``."""
-    frame = spark.read.schema(schema).parquet(*[f.path for f in files])
+    """One scan over files that share ``schema``, with file-derived columns."""
+    return with_file_columns(spark.read.schema(schema).parquet(*[f.path for f in files]))
+
+
+def read_landing(spark: SparkSession, files: list[LandingFile]) -> list[DataFrame]:
+    """Scans covering ``files``: one merged scan when the schemas merge,
+    otherwise one scan per distinct footer schema."""
+    try:
+        merged = spark.read.option("mergeSchema", "true").parquet(*[f.path for f in files])
+        merged.schema  # noqa: B018 - runs the footer merge
+        return [with_file_columns(merged)]
+    except Exception as exc:  # noqa: BLE001 - CANNOT_MERGE_SCHEMAS arrives as a raw JVM error
+        if "PATH_NOT_FOUND" in str(exc):
+            raise
+        # conflicting types: read each schema group on its own; a truly
+        # unreadable file fails there with its own error
+    return [read_group(spark, schema, group) for schema, group in group_by_schema(spark, files)]
+
+
+def with_file_columns(frame: DataFrame) -> DataFrame:
+    """``_source_file``, ``_period_year``, ``_period_month`` (from the file
+    name) and ``_row_id`` (row index in the file)."""
     name = F.col("_metadata.file_name")
     return frame.withColumns(
         {
