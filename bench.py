@@ -30,10 +30,18 @@ from tidewater.session import ensure_checkpoint_dir, local_session  # noqa: E402
 from tidewater.sources.fixtures import stage_landing_files, zone_lookup  # noqa: E402
 
 
-def _timed(results: dict[str, float], name: str, fn) -> None:
+JOBS: dict[str, int] = {}
+
+
+def _timed(results: dict[str, float], name: str, fn, spark=None) -> None:
+    if spark is not None:
+        spark.sparkContext.setJobGroup(name, name)
     start = time.perf_counter()
     fn()
     results[name] = round(time.perf_counter() - start, 3)
+    if spark is not None:
+        JOBS[name] = len(spark.sparkContext.statusTracker().getJobIdsForGroup(name))
+        spark.sparkContext.setJobGroup("other", "other")
 
 
 def main() -> None:
@@ -58,9 +66,9 @@ def main() -> None:
     spark.range(1000).selectExpr("sum(id)").collect()  # warm the JVM
 
     times: dict[str, float] = {}
-    _timed(times, "ingest", lambda: bronze.ingest(spark, paths))
-    _timed(times, "silver", lambda: silver.transform(spark, paths))
-    _timed(times, "gold", lambda: gold.transform(spark, paths))
+    _timed(times, "ingest", lambda: bronze.ingest(spark, paths), spark)
+    _timed(times, "silver", lambda: silver.transform(spark, paths), spark)
+    _timed(times, "gold", lambda: gold.transform(spark, paths), spark)
 
     fact, dim = reports.load_gold(spark, paths)
     _timed(times, "dash_years", lambda: reports.available_years(fact).collect())
@@ -83,6 +91,8 @@ def main() -> None:
                 "queries": times,
                 "sf": sf,
                 "cpus": cpus,
+                "landing_files": len(os.listdir(paths.landing)),
+                "spark_jobs_per_stage": JOBS,
                 "scratch": scratch,
             }
         )

@@ -28,6 +28,7 @@ def _paths(args: argparse.Namespace) -> LakePaths:
         **{k: (v or getattr(base, k)) for k, v in overrides.items()},
         run_log=args.run_log_dir or base.run_log,
         lookup=base.lookup,
+        checkpoints=base.checkpoints,
     )
 
 

@@ -42,6 +42,7 @@ from tidewater.plans.common import (
     period_counts,
 )
 from tidewater.schemas import DUPLICATE_REASON, FAILURE_DUPLICATE
+from tidewater.session import ensure_checkpoint_dir
 from tidewater.sinks.writers import append_run_log, write_partitioned
 from tidewater.sources.landing import (
     LandingFile,
@@ -147,6 +148,7 @@ def ingest_files(
 
     valid = valid_rows(normalized)
     if dedup:
+        ensure_checkpoint_dir(spark, paths.checkpoint_fallback)
         marked = mark_duplicates(valid, materialize=lambda kept: kept.checkpoint(eager=True))
         dup_obs = Observation("duplicates")
         write_partitioned(

@@ -31,6 +31,7 @@ class LakePaths:
     gold: str
     run_log: str
     lookup: str | None = None
+    checkpoints: str | None = None
 
     @classmethod
     def under(cls, root: str, lookup: str | None = None) -> "LakePaths":
@@ -43,8 +44,16 @@ class LakePaths:
             gold=f"{root}/gold",
             run_log=f"{root}/_run_log",
             lookup=lookup if lookup is not None else f"{root}/reference/taxi_zone_lookup.csv",
+            checkpoints=f"{root}/_checkpoints",
         )
 
+    @property
+    def checkpoint_fallback(self) -> str:
+        """Shared folder for ``checkpoint()`` when the session names none
+        (``spark.checkpoint.dir`` always wins): beside the run-log, on the
+        same shared storage as the tables."""
+        return self.checkpoints or f"{self.run_log.rstrip('/')}_checkpoints"
+
     @property
     def schema_violations(self) -> str:
         return f"{self.quarantine}/schema_violations"
