@@ -10,6 +10,11 @@ result is computed without shipping it to the driver).
 
 Prints one JSON line: {"metric", "value" (total seconds), "unit", "queries",
 "sf", ...}.
+
+``BENCH_LOOP_BASELINE=1`` additionally runs the same stage functions the way a
+driver loop schedules them — one ingest per landing file, one Silver and one
+Gold job per month — into a second lakehouse, and reports those timings under
+"loop_baseline" (not part of "value").
 """
 
 from __future__ import annotations
@@ -70,6 +75,23 @@ def main() -> None:
     _timed(times, "silver", lambda: silver.transform(spark, paths), spark)
     _timed(times, "gold", lambda: gold.transform(spark, paths), spark)
 
+    loop_times: dict[str, float] = {}
+    if os.environ.get("BENCH_LOOP_BASELINE") == "1":
+        from tidewater.sources.landing import list_landing_files
+
+        loop = LakePaths.under(os.path.join(scratch, "loop"))
+        loop = LakePaths(
+            landing=paths.landing, bronze=loop.bronze, quarantine=loop.quarantine, silver=loop.silver,
+            gold=loop.gold, run_log=loop.run_log, lookup=paths.lookup, checkpoints=loop.checkpoints,
+        )
+        files = list_landing_files(spark, paths.landing)
+        months = sorted({(f.year, f.month) for f in files})
+        _timed(loop_times, "ingest_per_file", lambda: [bronze.ingest_files(spark, [f], loop) for f in files])
+        _timed(loop_times, "silver_per_month",
+               lambda: [silver.transform(spark, loop, year=y, month=m) for y, m in months])
+        _timed(loop_times, "gold_per_month",
+               lambda: [gold.transform(spark, loop, year=y, month=m) for y, m in months])
+
     fact, dim = reports.load_gold(spark, paths)
     _timed(times, "dash_years", lambda: reports.available_years(fact).collect())
     _timed(times, "dash_kpis", lambda: reports.kpis(fact, REPORT_YEAR).collect())
@@ -93,6 +115,7 @@ def main() -> None:
                 "cpus": cpus,
                 "landing_files": len(os.listdir(paths.landing)),
                 "spark_jobs_per_stage": JOBS,
+                **({"loop_baseline": loop_times} if loop_times else {}),
                 "scratch": scratch,
             }
         )
