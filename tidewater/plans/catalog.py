@@ -32,8 +32,12 @@ def _check(frame: DataFrame) -> DataFrame:
     return flow.stable_doubles(flow.without_audit(frame))
 
 
+def _check_trips(frame: DataFrame) -> DataFrame:
+    return flow.comparable_trips(flow.without_audit(frame))
+
+
 def bronze_normalized(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _check(flow.normalized(spark, sf_dir))
+    return _check_trips(flow.normalized(spark, sf_dir))
 
 
 def violation_reason_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -45,11 +49,11 @@ def violation_reason_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def bronze_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _check(split.bronze_rows(flow.normalized(spark, sf_dir)))
+    return _check_trips(split.bronze_rows(flow.normalized(spark, sf_dir)))
 
 
 def quarantine_schema(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _check(split.schema_violations(flow.normalized(spark, sf_dir)))
+    return _check_trips(split.schema_violations(flow.normalized(spark, sf_dir)))
 
 
 def ingest_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -68,7 +72,7 @@ def silver_rule_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def silver_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _check(flow.silver(spark, sf_dir))
+    return _check_trips(flow.silver(spark, sf_dir))
 
 
 def dim_zone(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -138,12 +142,12 @@ def available_periods(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def dedup_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
     marked = flow.dedup_marked(spark, sf_dir)
-    return _check(split.bronze_projection(dedup.unique_rows(marked)))
+    return _check_trips(split.bronze_projection(dedup.unique_rows(marked)))
 
 
 def dedup_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
     marked = flow.dedup_marked(spark, sf_dir)
-    return _check(
+    return _check_trips(
         split.quarantine_projection(dedup.duplicate_rows(marked), FAILURE_DUPLICATE, DUPLICATE_REASON)
     )
 

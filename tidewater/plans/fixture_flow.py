@@ -97,6 +97,14 @@ def without_audit(frame: DataFrame) -> DataFrame:
     return frame.drop(*[c for c in AUDIT_COLUMNS if c in frame.columns])
 
 
+# Trip attributes stored as int that may hold NULLs; check views carry them as
+# double so every client library maps them to the same type (a NULL-bearing
+# int column otherwise arrives as float from one engine and as a nullable
+# integer from the other).
+NULLABLE_TRIP_INTS = ("vendor_id", "passenger_count", "ratecode_id", "pulocationid", "dolocationid", "payment_type")
+TIME_TEXT = "yyyy-MM-dd HH:mm:ss"
+
+
 def stable_doubles(frame: DataFrame, scale: int = 6) -> DataFrame:
     """Doubles normalised for cross-engine comparison: snapped to 9 decimals
     (absorbs summation-order noise), rounded half-up to ``scale`` as an
@@ -109,3 +117,19 @@ def stable_doubles(frame: DataFrame, scale: int = 6) -> DataFrame:
         else:
             out.append(F.col(field.name))
     return frame.select(*out)
+
+
+def comparable_trips(frame: DataFrame) -> DataFrame:
+    """Trip-level check view: stable doubles, NULL-bearing int attributes as
+    double, timestamps as ``yyyy-MM-dd HH:mm:ss`` text (the same value in any
+    client, whatever its timestamp unit). The oracle SQL does the same."""
+    out = []
+    for field in frame.schema.fields:
+        name = field.name
+        if isinstance(field.dataType, (T.TimestampType, T.TimestampNTZType)):
+            out.append(F.date_format(F.col(name), TIME_TEXT).alias(name))
+        elif name in NULLABLE_TRIP_INTS:
+            out.append(F.col(name).cast("double").alias(name))
+        else:
+            out.append(F.col(name))
+    return stable_doubles(frame.select(*out))

@@ -151,6 +151,19 @@ def _stable_all(columns: list[str]) -> str:
     return ", ".join(f"{stable(c)} AS {c}" for c in columns)
 
 
+TRIP_INTS = ["vendor_id", "passenger_count", "ratecode_id", "pulocationid", "dolocationid", "payment_type"]
+TRIP_TIMES = ["pickup_datetime", "dropoff_datetime"]
+
+
+def _trip_view(doubles: list[str]) -> str:
+    """REPLACE list of a trip-level check view: stable doubles, NULL-bearing
+    int attributes as double, timestamps as text."""
+    parts = [f"{stable(c)} AS {c}" for c in doubles]
+    parts += [f"CAST({c} AS DOUBLE) AS {c}" for c in TRIP_INTS]
+    parts += [f"strftime({c}, '%Y-%m-%d %H:%M:%S') AS {c}" for c in TRIP_TIMES]
+    return ", ".join(parts)
+
+
 TRIP_DOUBLES = [
     "trip_distance", "pickup_longitude", "pickup_latitude", "dropoff_longitude",
     "dropoff_latitude", "fare_amount", "extra", "mta_tax", "tip_amount", "tolls_amount",
@@ -183,14 +196,14 @@ ORDER_PERIODS = """SELECT DISTINCT CAST(year(o_orderdate) AS INTEGER) AS year,
 
 ORACLE: dict[str, str] = {
     "bronze_normalized": BASE_CTES
-    + f"SELECT * REPLACE ({_stable_all(TRIP_DOUBLES)}) FROM norm",
+    + f"SELECT * REPLACE ({_trip_view(TRIP_DOUBLES)}) FROM norm",
     "violation_reason_counts": BASE_CTES
     + "SELECT schema_violation_reason, COUNT(*) AS row_count FROM norm GROUP BY schema_violation_reason",
-    "bronze_clean": BASE_CTES + f"SELECT * REPLACE ({_stable_all(TRIP_DOUBLES)}) FROM bronze",
+    "bronze_clean": BASE_CTES + f"SELECT * REPLACE ({_trip_view(TRIP_DOUBLES)}) FROM bronze",
     "quarantine_schema": BASE_CTES
     + f"""SELECT {BRONZE_COLS}, 'schema_violation' AS failure_mode,
       schema_violation_reason AS failure_reason
-    FROM (SELECT * REPLACE ({_stable_all(TRIP_DOUBLES)}) FROM norm) q
+    FROM (SELECT * REPLACE ({_trip_view(TRIP_DOUBLES)}) FROM norm) q
     WHERE schema_violation_reason <> ''""",
     "ingest_counts": BASE_CTES
     + """SELECT year, month,
@@ -198,7 +211,7 @@ ORACLE: dict[str, str] = {
       COUNT(*) FILTER (WHERE schema_violation_reason <> '') AS violations
     FROM norm GROUP BY year, month""",
     "silver_rule_counts": BASE_CTES + RULE_COUNTS,
-    "silver_trips": BASE_CTES + f"SELECT * REPLACE ({_stable_all(SILVER_DOUBLES)}) FROM silver",
+    "silver_trips": BASE_CTES + f"SELECT * REPLACE ({_trip_view(SILVER_DOUBLES)}) FROM silver",
     "dim_zone": BASE_CTES + "SELECT * FROM dim",
     "gold_fact_trip_summary": BASE_CTES
     + f"SELECT * REPLACE ({_stable_all(FACT_DOUBLES)}) FROM fact",
@@ -254,9 +267,9 @@ ORACLE: dict[str, str] = {
     + f"""SELECT r.year, r.month FROM ({ORDER_PERIODS}) r
     WHERE EXISTS (SELECT 1 FROM silver s WHERE s.year = r.year AND s.month = r.month)""",
     "dedup_clean": DEDUP_CTES
-    + f"SELECT * EXCLUDE (rn) REPLACE ({_stable_all(TRIP_DOUBLES)}) FROM ranked WHERE rn = 1",
+    + f"SELECT * EXCLUDE (rn) REPLACE ({_trip_view(TRIP_DOUBLES)}) FROM ranked WHERE rn = 1",
     "dedup_quarantine": DEDUP_CTES
-    + f"""SELECT * EXCLUDE (rn) REPLACE ({_stable_all(TRIP_DOUBLES)}),
+    + f"""SELECT * EXCLUDE (rn) REPLACE ({_trip_view(TRIP_DOUBLES)}),
       'duplicate_record' AS failure_mode, 'duplicate business key' AS failure_reason
     FROM ranked WHERE rn > 1""",
 }
