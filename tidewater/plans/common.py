@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewater.operators.periods import PERIOD
-from tidewater.sources.tables import partition_periods, read_periods, read_run_log, read_table
+from tidewater.sources.tables import read_periods, read_table
 
 logger = logging.getLogger("tidewater")
 
@@ -83,18 +83,13 @@ def batch_timestamp() -> Column:
     return F.lit(datetime.now(timezone.utc)).cast("timestamp")
 
 
-def done_periods(spark: SparkSession, table_root: str, run_log_root: str, stage: str) -> DataFrame:
+def done_period_set(spark: SparkSession, table_root: str, run_log_root: str, stage: str) -> set[tuple[int, int]]:
     """Periods a stage has finished: partitions holding data, plus periods in
-    the run-log (which also records periods that produced no rows)."""
-    logged = read_run_log(spark, run_log_root, stage).select(*PERIOD)
-    return partition_periods(spark, table_root).unionByName(logged).distinct()
-
+    the run-log (which also records periods that produced no rows).
 
-def done_period_set(spark: SparkSession, table_root: str, run_log_root: str, stage: str) -> set[tuple[int, int]]:
-    """:func:`done_periods` on the driver: at most one entry per month, so
-    the run's set arithmetic (pending = landed − done) is done in Python
-    instead of in one more Spark job. A table that does not exist yet costs
-    no job at all."""
+    At most one entry per month, so the run's set arithmetic (pending =
+    landed − done) is done on the driver instead of in one more Spark job. A
+    table that does not exist yet costs no job at all."""
     done: set[tuple[int, int]] = set()
     table = read_table(spark, table_root)
     if table is not None:
@@ -110,10 +105,6 @@ def collect_periods(frame: DataFrame) -> list[tuple[int, int]]:
     return sorted((int(r["year"]), int(r["month"])) for r in frame.select(*PERIOD).collect())
 
 
-def period_frame(spark: SparkSession, periods: list[tuple[int, int]]) -> DataFrame:
-    return spark.createDataFrame(periods, "year int, month int")
-
-
 def period_counts(spark: SparkSession, root: str, periods: list[tuple[int, int]]) -> dict[tuple[int, int], int]:
     """Rows per period of a written table (0 for periods without rows).
 

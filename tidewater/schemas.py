@@ -178,13 +178,3 @@ RUN_LOG_SCHEMA = T.StructType(
 )
 
 
-def spark_type(name: str) -> T.DataType:
-    """DataType for the short type names used in the layouts above."""
-    return {
-        "string": T.StringType(),
-        "int": T.IntegerType(),
-        "double": T.DoubleType(),
-        "timestamp": T.TimestampType(),
-        "boolean": T.BooleanType(),
-        "bigint": T.LongType(),
-    }[name]

@@ -22,6 +22,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidewater.operators.dedup import file_row_id
 from tidewater.schemas import LANDING_GLOB, LANDING_PATTERN
 
 _PATTERN = re.compile(LANDING_PATTERN)
@@ -77,13 +78,6 @@ def list_landing_files(spark: SparkSession, landing_dir: str) -> list[LandingFil
     return files
 
 
-def landing_periods(spark: SparkSession, files: list[LandingFile]) -> DataFrame:
-    schema = T.StructType(
-        [T.StructField("year", T.IntegerType(), False), T.StructField("month", T.IntegerType(), False)]
-    )
-    return spark.createDataFrame(sorted({(f.year, f.month) for f in files}), schema)
-
-
 def _footer_schema(spark: SparkSession, path: str) -> T.StructType:
     return spark.read.parquet(path).schema
 
@@ -134,6 +128,6 @@ def with_file_columns(frame: DataFrame) -> DataFrame:
             "_period_year": F.regexp_extract(name, LANDING_PATTERN, 1).cast("int"),
             "_period_month": F.regexp_extract(name, LANDING_PATTERN, 2).cast("int"),
             # unique within a period: one landing file per period
-            "_row_id": F.col("_metadata.row_index"),
+            "_row_id": file_row_id(),
         }
     )
