@@ -100,6 +100,11 @@ def report_kpis(spark: SparkSession, sf_dir: str) -> DataFrame:
     return flow.stable_doubles(reports.kpis(flow.fact(spark, sf_dir), REPORT_YEAR))
 
 
+def report_kpis_newest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """KPIs for the default year: the newest one present."""
+    return flow.stable_doubles(reports.kpis(flow.fact(spark, sf_dir)))
+
+
 def report_kpis_empty(spark: SparkSession, sf_dir: str) -> DataFrame:
     return flow.stable_doubles(reports.kpis(flow.fact(spark, sf_dir), EMPTY_YEAR))
 
@@ -166,6 +171,7 @@ QUERIES: dict[str, Query] = {
     "fact_enriched": fact_enriched,
     "report_years": report_years,
     "report_kpis": report_kpis,
+    "report_kpis_newest": report_kpis_newest,
     "report_kpis_empty": report_kpis_empty,
     "report_trend_weekend": _trend("is_weekend"),
     "report_trend_borough": _trend("pickup_borough"),

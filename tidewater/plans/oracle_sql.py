@@ -229,6 +229,13 @@ ORACLE: dict[str, str] = {
       {stable("coalesce(SUM(total_tip_amount), 0.0)")} AS total_tip_amount,
       {stable("CASE WHEN coalesce(SUM(total_trips), 0) > 0 THEN coalesce(SUM(total_tip_amount), 0.0) / SUM(total_trips) ELSE 0.0 END")} AS avg_tip
     FROM fact WHERE year = 1998""",
+    "report_kpis_newest": BASE_CTES
+    + f"""SELECT CAST(coalesce(SUM(total_trips), 0) AS BIGINT) AS total_trips,
+      {stable("coalesce(SUM(total_revenue), 0.0)")} AS total_revenue,
+      CAST(coalesce(SUM(total_passengers), 0) AS BIGINT) AS total_passengers,
+      {stable("coalesce(SUM(total_tip_amount), 0.0)")} AS total_tip_amount,
+      {stable("CASE WHEN coalesce(SUM(total_trips), 0) > 0 THEN coalesce(SUM(total_tip_amount), 0.0) / SUM(total_trips) ELSE 0.0 END")} AS avg_tip
+    FROM fact WHERE year = (SELECT MAX(year) FROM fact)""",
     "report_kpis_empty": BASE_CTES
     + f"""SELECT CAST(coalesce(SUM(total_trips), 0) AS BIGINT) AS total_trips,
       {stable("coalesce(SUM(total_revenue), 0.0)")} AS total_revenue,
