@@ -166,3 +166,22 @@ def test_compatible_files_are_read_in_one_scan(spark, lake):
     rows = normalized_landing(spark, files, "b").groupBy("month").agg({"airport_fee": "max"}).collect()
     fees = {r["month"]: r["max(airport_fee)"] for r in rows}
     assert fees == {1: 1.25, 2: None, 3: 1.25}
+
+
+def test_months_written_by_another_tool(spark, lake):
+    """Without a run-log entry a Bronze month is re-ingested (dynamic overwrite
+    replaces it); with discover_partitions it counts as done."""
+    from tidewater.operators.split import bronze_rows
+    from tidewater.plans.bronze import normalized_landing
+    from tidewater.sinks.writers import write_partitioned
+    from tidewater.sources.landing import list_landing_files
+
+    _write(lake.landing, "yellow_tripdata_2026-01.parquet", _trips(5, 1))
+    files = list_landing_files(spark, lake.landing)
+    external = bronze_rows(normalized_landing(spark, files, "external")).limit(2)
+    write_partitioned(external, lake.bronze)  # 2 rows, no run-log entry
+    adopted = bronze.ingest(spark, lake, discover_partitions=True)
+    assert adopted.files_skipped == 1 and read_table(spark, lake.bronze).count() == 2
+    replaced = bronze.ingest(spark, lake)
+    assert replaced.files_skipped == 0 and replaced.records_processed == 5
+    assert read_table(spark, lake.bronze).count() == 5

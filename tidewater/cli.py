@@ -43,6 +43,11 @@ def build_parser() -> argparse.ArgumentParser:
     parser.add_argument("--year", default=None)
     parser.add_argument("--month", default=None)
     parser.add_argument("--dedup", action="store_true", help="quarantine duplicate trips")
+    parser.add_argument(
+        "--discover-partitions",
+        action="store_true",
+        help="also treat months already present in the tables (not only in the run-log) as done",
+    )
     parser.add_argument("--drill-down", default="is_weekend", choices=TREND_DIMENSIONS)
     parser.add_argument("--checkpoint", default=None, help="stream checkpoint location")
     parser.add_argument("--app-name", default="tidewater")
@@ -63,15 +68,18 @@ def main(argv: list[str] | None = None) -> None:
     )
     paths = _paths(args)
     year, month, batch = optional_int(args.year), optional_int(args.month), optional_str(args.batch_id)
+    discover = args.discover_partitions
     try:
         if args.stage == "ingest":
-            _emit(bronze.ingest(spark, paths, batch_id=batch, dedup=args.dedup))
+            _emit(bronze.ingest(spark, paths, batch_id=batch, dedup=args.dedup, discover_partitions=discover))
         elif args.stage == "silver":
-            _emit(silver.transform(spark, paths, year=year, month=month, batch_id=batch))
+            _emit(silver.transform(spark, paths, year=year, month=month, batch_id=batch, discover_partitions=discover))
         elif args.stage == "gold":
-            _emit(gold.transform(spark, paths, year=year, month=month, batch_id=batch))
+            _emit(gold.transform(spark, paths, year=year, month=month, batch_id=batch, discover_partitions=discover))
         elif args.stage == "run":
-            cfg = RunConfig(paths=paths, batch_id=batch, year=year, month=month, dedup=args.dedup)
+            cfg = RunConfig(
+                paths=paths, batch_id=batch, year=year, month=month, dedup=args.dedup, discover_partitions=discover
+            )
             _emit({k: asdict(v) for k, v in run(spark, cfg).items()})
         elif args.stage == "report":
             fact, dim = reports.load_gold(spark, paths)

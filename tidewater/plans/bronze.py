@@ -90,11 +90,11 @@ def normalized_landing(
 
 
 def pending_files(
-    spark: SparkSession, files: list[LandingFile], paths: LakePaths
+    spark: SparkSession, files: list[LandingFile], paths: LakePaths, discover_partitions: bool = False
 ) -> tuple[list[LandingFile], list[tuple[int, int]]]:
     """Files whose period is not done yet (landed periods minus done
     periods; both sets hold at most one entry per month)."""
-    done = done_period_set(spark, paths.bronze, paths.run_log, STAGE)
+    done = done_period_set(spark, paths.bronze, paths.run_log, STAGE, discover_partitions)
     todo = [f for f in files if (f.year, f.month) not in done]
     return todo, sorted({(f.year, f.month) for f in todo})
 
@@ -105,6 +105,7 @@ def ingest(
     batch_id: str | None = None,
     dedup: bool = False,
     layout: str = "scan",
+    discover_partitions: bool = False,
 ) -> IngestResult:
     """Ingest every pending landing file into Bronze and quarantine.
 
@@ -112,10 +113,14 @@ def ingest(
     files and ``ValueError`` for a file name without a period, before any
     write. With ``dedup`` the valid rows are also checked for duplicate
     business keys within their month; copies go to
-    ``quarantine/duplicate_records``.
+    ``quarantine/duplicate_records``. ``discover_partitions`` also treats
+    months already present in Bronze (but not in the run-log) as done.
     """
     files = list_landing_files(spark, paths.landing)
-    return ingest_files(spark, files, paths, batch_id=batch_id, dedup=dedup, layout=layout)
+    return ingest_files(
+        spark, files, paths, batch_id=batch_id, dedup=dedup, layout=layout,
+        discover_partitions=discover_partitions,
+    )
 
 
 def ingest_files(
@@ -125,11 +130,12 @@ def ingest_files(
     batch_id: str | None = None,
     dedup: bool = False,
     layout: str = "scan",
+    discover_partitions: bool = False,
 ) -> IngestResult:
     """Ingest the given landing files (those of done months are skipped)."""
     start = time.time()
     active_batch = batch_id or new_batch_id()
-    todo, periods = pending_files(spark, files, paths)
+    todo, periods = pending_files(spark, files, paths, discover_partitions)
     result = IngestResult(active_batch, len(files), len(files) - len(todo), periods=periods)
     logger.info("ingest start batch=%s files=%d pending=%d", active_batch, len(files), len(todo))
     if not todo:

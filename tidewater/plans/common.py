@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewater.operators.periods import PERIOD
-from tidewater.sources.tables import read_periods, read_table
+from tidewater.sources.tables import logged_periods, partition_periods, read_periods
 
 logger = logging.getLogger("tidewater")
 
@@ -83,23 +83,43 @@ def batch_timestamp() -> Column:
     return F.lit(datetime.now(timezone.utc)).cast("timestamp")
 
 
-def done_period_set(spark: SparkSession, table_root: str, run_log_root: str, stage: str) -> set[tuple[int, int]]:
-    """Periods a stage has finished: partitions holding data, plus periods in
-    the run-log (which also records periods that produced no rows).
-
-    At most one entry per month, so the run's set arithmetic (pending =
-    landed − done) is done on the driver instead of in one more Spark job. A
-    table that does not exist yet costs no job at all."""
-    done: set[tuple[int, int]] = set()
-    table = read_table(spark, table_root)
-    if table is not None:
-        done |= set(collect_periods(table.select(*PERIOD).distinct()))
-    log = read_table(spark, run_log_root)
-    if log is not None:
-        done |= set(collect_periods(log.filter(F.col("stage") == stage).select(*PERIOD).distinct()))
+def done_period_set(
+    spark: SparkSession,
+    table_root: str,
+    run_log_root: str,
+    stage: str,
+    discover_partitions: bool = False,
+) -> set[tuple[int, int]]:
+    """Periods a stage has finished.
+
+    The run-log is the commit record: every run appends one row per month it
+    wrote, after the data, including months that produced no rows. Reading
+    it costs one tiny scan, whatever the size of the tables. With
+    ``discover_partitions`` the partitions already holding data count as done
+    too — for adopting tables written by another tool; it lists and reads the
+    footers of every file of the table, which is costly on a large table.
+    """
+    done = logged_periods(spark, run_log_root, stage)
+    if discover_partitions:
+        done |= set(collect_periods(partition_periods(spark, table_root)))
     return done
 
 
+def source_period_set(
+    spark: SparkSession,
+    table_root: str,
+    run_log_root: str,
+    stage: str,
+    discover_partitions: bool = False,
+) -> set[tuple[int, int]]:
+    """Periods holding data in the table written by ``stage``: run-log rows
+    with ``rows_written > 0`` (plus the table's partitions when discovering)."""
+    found = logged_periods(spark, run_log_root, stage, with_rows=True)
+    if discover_partitions:
+        found |= set(collect_periods(partition_periods(spark, table_root)))
+    return found
+
+
 def collect_periods(frame: DataFrame) -> list[tuple[int, int]]:
     """A period set to the driver: at most one row per month."""
     return sorted((int(r["year"]), int(r["month"])) for r in frame.select(*PERIOD).collect())

@@ -25,9 +25,10 @@ from tidewater.plans.common import (
     collect_periods,
     logger,
     new_batch_id,
+    source_period_set,
 )
 from tidewater.sinks.writers import append_run_log, write_partitioned, write_single_file
-from tidewater.sources.tables import partition_periods, read_periods, read_run_log, read_zone_lookup
+from tidewater.sources.tables import read_periods, read_run_log, read_zone_lookup
 
 STAGE = "gold"
 
@@ -92,6 +93,7 @@ def transform(
     batch_id: str | None = None,
     layout: str = "rebalance",
     only_changed: bool = False,
+    discover_partitions: bool = False,
 ) -> GoldResult:
     """Build the dimension (if the lookup exists) and recompute the fact.
 
@@ -107,7 +109,7 @@ def transform(
     if paths.lookup:
         result.dimension_built = build_dimension(spark, paths.lookup, paths.dim_zone)
 
-    source = set(collect_periods(partition_periods(spark, paths.silver)))
+    source = source_period_set(spark, paths.silver, paths.run_log, "silver", discover_partitions)
     requested = select_period(year, month)
     if requested is not None:
         result.missing = sorted(set(requested) - source)

@@ -21,14 +21,14 @@ from tidewater.operators.periods import select_period
 from tidewater.plans.common import (
     LakePaths,
     batch_timestamp,
-    collect_periods,
     done_period_set,
     logger,
     new_batch_id,
     period_counts,
+    source_period_set,
 )
 from tidewater.sinks.writers import append_run_log, write_partitioned
-from tidewater.sources.tables import partition_periods, read_periods
+from tidewater.sources.tables import read_periods
 
 STAGE = "silver"
 
@@ -54,13 +54,14 @@ def plan_periods(
     paths: LakePaths,
     year: int | None,
     month: int | None,
+    discover_partitions: bool = False,
 ) -> tuple[list[tuple[int, int]], list[tuple[int, int]], list[tuple[int, int]]]:
     """(pending, missing, skipped) periods for this run.
 
-    Period sets hold at most one entry per month; they are collected once and
-    combined on the driver.
+    Period sets hold at most one entry per month; they come from the run-log
+    and are combined on the driver.
     """
-    source = set(collect_periods(partition_periods(spark, paths.bronze)))
+    source = source_period_set(spark, paths.bronze, paths.run_log, "bronze", discover_partitions)
     requested = select_period(year, month)
     missing: list[tuple[int, int]] = []
     if requested is not None:
@@ -68,7 +69,7 @@ def plan_periods(
         for y, m in missing:
             logger.warning("silver: partition year=%d/month=%d not found in Bronze", y, m)
         source &= set(requested)
-    done = done_period_set(spark, paths.silver, paths.run_log, STAGE)
+    done = done_period_set(spark, paths.silver, paths.run_log, STAGE, discover_partitions)
     pending = sorted(source - done)
     skipped = sorted(source & done)
     return pending, missing, skipped
@@ -81,11 +82,12 @@ def transform(
     month: int | None = None,
     batch_id: str | None = None,
     layout: str = "scan",
+    discover_partitions: bool = False,
 ) -> SilverResult:
     """Transform every pending Bronze month (or the one month requested)."""
     start = time.time()
     active_batch = batch_id or new_batch_id("silver-")
-    pending, missing, skipped = plan_periods(spark, paths, year, month)
+    pending, missing, skipped = plan_periods(spark, paths, year, month, discover_partitions)
     result = SilverResult(active_batch, periods=pending, missing=missing, skipped=skipped)
     if not pending:
         logger.warning("silver: no partitions to process")

@@ -35,11 +35,29 @@ def read_table(spark: SparkSession, root: str) -> DataFrame | None:
 def read_periods(
     spark: SparkSession, root: str, periods: list[tuple[int, int]] | None = None
 ) -> DataFrame | None:
-    """Rows of the given periods only; the predicate is on partition columns,
-    so other months' files are never listed for reading."""
-    frame = read_table(spark, root)
-    if frame is None or periods is None:
-        return frame
+    """Rows of the given periods only (``None``: the whole table).
+
+    Only the directories of the wanted years × months are listed, through a
+    glob under the table root (``basePath`` keeps ``year``/``month`` as
+    partition columns); the exact period predicate then drops the other
+    combinations of that cross product. Reading a few months of a large
+    table therefore never lists the whole table. ``None`` when no wanted
+    month has data.
+    """
+    if periods is None:
+        return read_table(spark, root)
+    if not periods:
+        return None
+    base = root.rstrip("/")
+    years = ",".join(str(y) for y in sorted({int(y) for y, _ in periods}))
+    months = ",".join(str(m) for m in sorted({int(m) for _, m in periods}))
+    try:
+        frame = spark.read.option("basePath", base).parquet(f"{base}/year={{{years}}}/month={{{months}}}")
+        frame.schema  # noqa: B018 - resolves the glob
+    except AnalysisException as exc:
+        if _is_missing(exc):
+            return None
+        raise
     return frame.filter(period_filter(periods))
 
 
@@ -52,6 +70,18 @@ def partition_periods(spark: SparkSession, root: str) -> DataFrame:
     return frame.select(*[F.col(c).cast("int").alias(c) for c in PERIOD]).distinct()
 
 
+def logged_periods(spark: SparkSession, root: str, stage: str, with_rows: bool = False) -> set[tuple[int, int]]:
+    """Periods the run-log records for ``stage`` (only those that wrote rows
+    when ``with_rows``). The run-log is tiny: one row per run and month."""
+    log = read_table(spark, root)
+    if log is None:
+        return set()
+    log = log.filter(F.col("stage") == stage)
+    if with_rows:
+        log = log.filter(F.col("rows_written") > 0)
+    return {(int(r["year"]), int(r["month"])) for r in log.select(*PERIOD).distinct().collect()}
+
+
 def read_run_log(spark: SparkSession, root: str, stage: str) -> DataFrame:
     frame = read_table(spark, root)
     if frame is None:
