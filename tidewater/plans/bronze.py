@@ -36,12 +36,12 @@ from tidewater.operators.split import (
 from tidewater.plans.common import (
     LakePaths,
     batch_timestamp,
-    done_period_set,
+    stage_periods,
     logger,
     new_batch_id,
     period_counts,
 )
-from tidewater.schemas import DUPLICATE_REASON, FAILURE_DUPLICATE
+from tidewater.schemas import BRONZE_SCHEMA, DUPLICATE_REASON, FAILURE_DUPLICATE, QUARANTINE_SCHEMA
 from tidewater.session import ensure_checkpoint_dir
 from tidewater.sinks.writers import append_run_log, write_partitioned
 from tidewater.sources.landing import (
@@ -94,7 +94,7 @@ def pending_files(
 ) -> tuple[list[LandingFile], list[tuple[int, int]]]:
     """Files whose period is not done yet (landed periods minus done
     periods; both sets hold at most one entry per month)."""
-    done = done_period_set(spark, paths.bronze, paths.run_log, STAGE, discover_partitions)
+    _, done = stage_periods(spark, paths, STAGE, paths.bronze, discover_partitions=discover_partitions)
     todo = [f for f in files if (f.year, f.month) not in done]
     return todo, sorted({(f.year, f.month) for f in todo})
 
@@ -175,10 +175,10 @@ def ingest_files(
     )
     result.records_processed = int(bronze_obs.get["rows"])
 
-    written = period_counts(spark, paths.bronze, periods)
-    rejected = period_counts(spark, paths.schema_violations, periods)
+    written = period_counts(spark, paths.bronze, periods, BRONZE_SCHEMA)
+    rejected = period_counts(spark, paths.schema_violations, periods, QUARANTINE_SCHEMA)
     if dedup:
-        duplicates = period_counts(spark, paths.duplicate_records, periods)
+        duplicates = period_counts(spark, paths.duplicate_records, periods, QUARANTINE_SCHEMA)
         rejected = {p: n + duplicates[p] for p, n in rejected.items()}
     counts = {p: (written[p], rejected[p]) for p in periods}
     append_run_log(spark, paths.run_log, STAGE, counts, active_batch)

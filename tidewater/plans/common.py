@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewater.operators.periods import PERIOD
-from tidewater.sources.tables import logged_periods, partition_periods, read_periods
+from tidewater.sources.tables import partition_periods, read_periods, run_log_summary
 
 logger = logging.getLogger("tidewater")
 
@@ -83,41 +83,33 @@ def batch_timestamp() -> Column:
     return F.lit(datetime.now(timezone.utc)).cast("timestamp")
 
 
-def done_period_set(
+def stage_periods(
     spark: SparkSession,
-    table_root: str,
-    run_log_root: str,
-    stage: str,
+    paths: LakePaths,
+    done_stage: str,
+    done_root: str,
+    source_stage: str | None = None,
+    source_root: str | None = None,
     discover_partitions: bool = False,
-) -> set[tuple[int, int]]:
-    """Periods a stage has finished.
+) -> tuple[set[tuple[int, int]], set[tuple[int, int]]]:
+    """(source periods holding data, periods ``done_stage`` has finished).
 
     The run-log is the commit record: every run appends one row per month it
-    wrote, after the data, including months that produced no rows. Reading
-    it costs one tiny scan, whatever the size of the tables. With
-    ``discover_partitions`` the partitions already holding data count as done
-    too — for adopting tables written by another tool; it lists and reads the
-    footers of every file of the table, which is costly on a large table.
+    wrote, after the data, including months that produced no rows. One small
+    aggregate over it answers both questions, whatever the size of the
+    tables. With ``discover_partitions`` the partitions present in the tables
+    count too — for adopting tables written by another tool; that lists and
+    reads the footers of every file of those tables, costly when they are
+    large.
     """
-    done = logged_periods(spark, run_log_root, stage)
+    summary = run_log_summary(spark, paths.run_log)
+    done = set(summary.get(done_stage, {}))
+    source = {p for p, has_rows in summary.get(source_stage or "", {}).items() if has_rows}
     if discover_partitions:
-        done |= set(collect_periods(partition_periods(spark, table_root)))
-    return done
-
-
-def source_period_set(
-    spark: SparkSession,
-    table_root: str,
-    run_log_root: str,
-    stage: str,
-    discover_partitions: bool = False,
-) -> set[tuple[int, int]]:
-    """Periods holding data in the table written by ``stage``: run-log rows
-    with ``rows_written > 0`` (plus the table's partitions when discovering)."""
-    found = logged_periods(spark, run_log_root, stage, with_rows=True)
-    if discover_partitions:
-        found |= set(collect_periods(partition_periods(spark, table_root)))
-    return found
+        done |= set(collect_periods(partition_periods(spark, done_root)))
+        if source_root is not None:
+            source |= set(collect_periods(partition_periods(spark, source_root)))
+    return source, done
 
 
 def collect_periods(frame: DataFrame) -> list[tuple[int, int]]:
@@ -125,14 +117,16 @@ def collect_periods(frame: DataFrame) -> list[tuple[int, int]]:
     return sorted((int(r["year"]), int(r["month"])) for r in frame.select(*PERIOD).collect())
 
 
-def period_counts(spark: SparkSession, root: str, periods: list[tuple[int, int]]) -> dict[tuple[int, int], int]:
+def period_counts(
+    spark: SparkSession, root: str, periods: list[tuple[int, int]], schema=None
+) -> dict[tuple[int, int], int]:
     """Rows per period of a written table (0 for periods without rows).
 
     Only row counts are needed, which Parquet keeps in its footers, so no
     column data is decoded; the result has one entry per month.
     """
     counts = {period: 0 for period in periods}
-    frame = read_periods(spark, root, periods)
+    frame = read_periods(spark, root, periods, schema)
     if frame is not None:
         for row in frame.groupBy(*PERIOD).count().collect():
             counts[(int(row["year"]), int(row["month"]))] = int(row["count"])

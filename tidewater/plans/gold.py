@@ -25,8 +25,9 @@ from tidewater.plans.common import (
     collect_periods,
     logger,
     new_batch_id,
-    source_period_set,
+    stage_periods,
 )
+from tidewater.schemas import SILVER_SCHEMA
 from tidewater.sinks.writers import append_run_log, write_partitioned, write_single_file
 from tidewater.sources.tables import read_periods, read_run_log, read_zone_lookup
 
@@ -109,7 +110,9 @@ def transform(
     if paths.lookup:
         result.dimension_built = build_dimension(spark, paths.lookup, paths.dim_zone)
 
-    source = source_period_set(spark, paths.silver, paths.run_log, "silver", discover_partitions)
+    source, _ = stage_periods(
+        spark, paths, STAGE, paths.fact, "silver", paths.silver, discover_partitions=discover_partitions
+    )
     requested = select_period(year, month)
     if requested is not None:
         result.missing = sorted(set(requested) - source)
@@ -125,7 +128,7 @@ def transform(
         result.duration_sec = time.time() - start
         return result
 
-    silver = read_periods(spark, paths.silver, periods)
+    silver = read_periods(spark, paths.silver, periods, SILVER_SCHEMA)
     fact = build_fact(silver, active_batch, batch_timestamp())
     write_partitioned(fact, paths.fact, layout=layout)
     append_run_log(spark, paths.run_log, STAGE, {p: (None, None) for p in periods}, active_batch)

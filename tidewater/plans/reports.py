@@ -137,10 +137,11 @@ def load_gold(spark, paths) -> tuple[DataFrame, DataFrame]:
     Without a dimension table (no lookup was ever provided) an empty one is
     used: every pickup zone is then unknown, reported as a NULL borough.
     """
+    from tidewater.schemas import DIM_ZONE_SCHEMA, FACT_SCHEMA
     from tidewater.sources.tables import read_table
 
-    fact = spark.read.parquet(paths.fact)
-    dim = read_table(spark, paths.dim_zone)
+    fact = spark.read.schema(FACT_SCHEMA).parquet(paths.fact)
+    dim = read_table(spark, paths.dim_zone, DIM_ZONE_SCHEMA)
     if dim is None:
-        dim = spark.createDataFrame([], "location_id int, borough string, zone string, service_zone string")
+        dim = spark.createDataFrame([], DIM_ZONE_SCHEMA)
     return fact, dim

@@ -21,12 +21,12 @@ from tidewater.operators.periods import select_period
 from tidewater.plans.common import (
     LakePaths,
     batch_timestamp,
-    done_period_set,
+    stage_periods,
     logger,
     new_batch_id,
     period_counts,
-    source_period_set,
 )
+from tidewater.schemas import BRONZE_SCHEMA, SILVER_SCHEMA
 from tidewater.sinks.writers import append_run_log, write_partitioned
 from tidewater.sources.tables import read_periods
 
@@ -61,7 +61,9 @@ def plan_periods(
     Period sets hold at most one entry per month; they come from the run-log
     and are combined on the driver.
     """
-    source = source_period_set(spark, paths.bronze, paths.run_log, "bronze", discover_partitions)
+    source, done = stage_periods(
+        spark, paths, STAGE, paths.silver, "bronze", paths.bronze, discover_partitions=discover_partitions
+    )
     requested = select_period(year, month)
     missing: list[tuple[int, int]] = []
     if requested is not None:
@@ -69,7 +71,6 @@ def plan_periods(
         for y, m in missing:
             logger.warning("silver: partition year=%d/month=%d not found in Bronze", y, m)
         source &= set(requested)
-    done = done_period_set(spark, paths.silver, paths.run_log, STAGE, discover_partitions)
     pending = sorted(source - done)
     skipped = sorted(source & done)
     return pending, missing, skipped
@@ -94,12 +95,12 @@ def transform(
         result.job_duration_sec = time.time() - start
         return result
 
-    bronze = read_periods(spark, paths.bronze, pending)
+    bronze = read_periods(spark, paths.bronze, pending, BRONZE_SCHEMA)
     silver = build_silver(bronze, active_batch, batch_timestamp())
     write_partitioned(silver, paths.silver, layout=layout)
 
-    written = period_counts(spark, paths.silver, pending)
-    read = period_counts(spark, paths.bronze, pending)
+    written = period_counts(spark, paths.silver, pending, SILVER_SCHEMA)
+    read = period_counts(spark, paths.bronze, pending, BRONZE_SCHEMA)
     counts = {p: (written[p], read[p] - written[p]) for p in pending}
     append_run_log(spark, paths.run_log, STAGE, counts, active_batch)
     result.partitions_processed = len(pending)

@@ -178,3 +178,62 @@ RUN_LOG_SCHEMA = T.StructType(
 )
 
 
+
+# --- fixed values: column types of the stored tables -------------------------
+# Known types let readers skip schema inference (no footer-reading job per
+# read) and make a table written with other types fail loudly on read.
+_SHORT_TYPES = {
+    "string": T.StringType(),
+    "int": T.IntegerType(),
+    "bigint": T.LongType(),
+    "double": T.DoubleType(),
+    "timestamp": T.TimestampType(),
+    "boolean": T.BooleanType(),
+}
+_TRIP_TYPES = {name: kind for name, kind, _ in TRIP_COLUMNS}
+_COLUMN_TYPES = {
+    **_TRIP_TYPES,
+    "schema_family": "string",
+    "batch_id": "string",
+    "source_file": "string",
+    "year": "int",
+    "month": "int",
+    "ingested_at": "timestamp",
+    "failure_mode": "string",
+    "failure_reason": "string",
+    "trip_duration_minutes": "double",
+    "pickup_hour": "int",
+    "pickup_day_of_week": "int",
+    "is_weekend": "boolean",
+    "transformed_at": "timestamp",
+    "total_trips": "bigint",
+    "total_passengers": "bigint",
+    "total_distance_miles": "double",
+    "avg_distance_miles": "double",
+    "avg_duration_minutes": "double",
+    "total_fare_amount": "double",
+    "total_tip_amount": "double",
+    "total_revenue": "double",
+    "avg_cost_per_trip": "double",
+    "generated_at": "timestamp",
+}
+FACT_COLUMNS: list[str] = FACT_KEYS + FACT_MEASURES + ["batch_id", "generated_at"]
+DIM_ZONE_SCHEMA = T.StructType(
+    [
+        T.StructField("location_id", T.IntegerType(), True),
+        T.StructField("borough", T.StringType(), True),
+        T.StructField("zone", T.StringType(), True),
+        T.StructField("service_zone", T.StringType(), True),
+    ]
+)
+
+
+def stored_schema(columns: list[str]) -> T.StructType:
+    """Read schema of a year/month-partitioned table with these columns."""
+    return T.StructType([T.StructField(c, _SHORT_TYPES[_COLUMN_TYPES[c]], True) for c in columns])
+
+
+BRONZE_SCHEMA = stored_schema(BRONZE_COLUMNS)
+QUARANTINE_SCHEMA = stored_schema(QUARANTINE_COLUMNS)
+SILVER_SCHEMA = stored_schema(SILVER_COLUMNS)
+FACT_SCHEMA = stored_schema(FACT_COLUMNS)

@@ -6,6 +6,7 @@ from __future__ import annotations
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidewater.operators.periods import PERIOD, period_filter
 from tidewater.schemas import RUN_LOG_SCHEMA, ZONE_LOOKUP_SCHEMA
@@ -18,12 +19,14 @@ def _is_missing(exc: AnalysisException) -> bool:
     return any(marker in text for marker in _MISSING_MARKERS)
 
 
-def read_table(spark: SparkSession, root: str) -> DataFrame | None:
+def read_table(spark: SparkSession, root: str, schema: T.StructType | None = None) -> DataFrame | None:
     """A partitioned Parquet table by its root, or ``None`` when the root is
     missing or holds no data files yet. ``year``/``month`` are discovered
-    from the ``year=Y/month=M`` directories."""
+    from the ``year=Y/month=M`` directories. A known ``schema`` skips the
+    inference pass over file footers."""
     try:
-        frame = spark.read.parquet(root)
+        reader = spark.read if schema is None else spark.read.schema(schema)
+        frame = reader.parquet(root)
         frame.schema  # noqa: B018 - forces file listing / schema resolution
         return frame
     except AnalysisException as exc:
@@ -33,7 +36,10 @@ def read_table(spark: SparkSession, root: str) -> DataFrame | None:
 
 
 def read_periods(
-    spark: SparkSession, root: str, periods: list[tuple[int, int]] | None = None
+    spark: SparkSession,
+    root: str,
+    periods: list[tuple[int, int]] | None = None,
+    schema: T.StructType | None = None,
 ) -> DataFrame | None:
     """Rows of the given periods only (``None``: the whole table).
 
@@ -45,14 +51,17 @@ def read_periods(
     month has data.
     """
     if periods is None:
-        return read_table(spark, root)
+        return read_table(spark, root, schema)
     if not periods:
         return None
     base = root.rstrip("/")
     years = ",".join(str(y) for y in sorted({int(y) for y, _ in periods}))
     months = ",".join(str(m) for m in sorted({int(m) for _, m in periods}))
+    reader = spark.read.option("basePath", base)
+    if schema is not None:
+        reader = reader.schema(schema)
     try:
-        frame = spark.read.option("basePath", base).parquet(f"{base}/year={{{years}}}/month={{{months}}}")
+        frame = reader.parquet(f"{base}/year={{{years}}}/month={{{months}}}")
         frame.schema  # noqa: B018 - resolves the glob
     except AnalysisException as exc:
         if _is_missing(exc):
@@ -70,20 +79,23 @@ def partition_periods(spark: SparkSession, root: str) -> DataFrame:
     return frame.select(*[F.col(c).cast("int").alias(c) for c in PERIOD]).distinct()
 
 
-def logged_periods(spark: SparkSession, root: str, stage: str, with_rows: bool = False) -> set[tuple[int, int]]:
-    """Periods the run-log records for ``stage`` (only those that wrote rows
-    when ``with_rows``). The run-log is tiny: one row per run and month."""
-    log = read_table(spark, root)
+def run_log_summary(spark: SparkSession, root: str) -> dict[str, dict[tuple[int, int], bool]]:
+    """stage → {period: wrote rows in any run}, from one small aggregate over
+    the run-log (bounded by stages × months, however many runs it holds)."""
+    log = read_table(spark, root, RUN_LOG_SCHEMA)
     if log is None:
-        return set()
-    log = log.filter(F.col("stage") == stage)
-    if with_rows:
-        log = log.filter(F.col("rows_written") > 0)
-    return {(int(r["year"]), int(r["month"])) for r in log.select(*PERIOD).distinct().collect()}
+        return {}
+    summary: dict[str, dict[tuple[int, int], bool]] = {}
+    rows = log.groupBy("stage", *PERIOD).agg(
+        F.max(F.coalesce(F.col("rows_written"), F.lit(0)) > 0).alias("has_rows")
+    )
+    for r in rows.collect():
+        summary.setdefault(r["stage"], {})[(int(r["year"]), int(r["month"]))] = bool(r["has_rows"])
+    return summary
 
 
 def read_run_log(spark: SparkSession, root: str, stage: str) -> DataFrame:
-    frame = read_table(spark, root)
+    frame = read_table(spark, root, RUN_LOG_SCHEMA)
     if frame is None:
         return spark.createDataFrame([], RUN_LOG_SCHEMA)
     return frame.filter(F.col("stage") == stage)
