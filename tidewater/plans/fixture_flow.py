@@ -122,9 +122,11 @@ def stable_doubles(frame: DataFrame, scale: int = 6) -> DataFrame:
 def comparable_trips(frame: DataFrame) -> DataFrame:
     """Trip-level check view: stable doubles, NULL-bearing int attributes as
     double, timestamps as ``yyyy-MM-dd HH:mm:ss`` text (the same value in any
-    client, whatever its timestamp unit). The oracle SQL does the same."""
+    client, whatever its timestamp unit). The oracle SQL does the same.
+    Integers become doubles after the rounding step: they are exact already."""
+    rounded = stable_doubles(frame)
     out = []
-    for field in frame.schema.fields:
+    for field in rounded.schema.fields:
         name = field.name
         if isinstance(field.dataType, (T.TimestampType, T.TimestampNTZType)):
             out.append(F.date_format(F.col(name), TIME_TEXT).alias(name))
@@ -132,4 +134,4 @@ def comparable_trips(frame: DataFrame) -> DataFrame:
             out.append(F.col(name).cast("double").alias(name))
         else:
             out.append(F.col(name))
-    return stable_doubles(frame.select(*out))
+    return rounded.select(*out)
