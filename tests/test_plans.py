@@ -80,9 +80,10 @@ def test_fact_aggregation_is_partial_then_final(spark):
     assert plan.count("HashAggregate") >= 2 and "SortAggregate" not in plan
 
 
-def test_dedup_uses_hash_aggregation(spark):
+def test_dedup_uses_hash_aggregation_and_never_broadcasts(spark):
     plan = plan_of(contract.queries()["dedup_clean"](spark, SF_SMALL))
     assert "SortAggregate" not in plan and "HashAggregate" in plan
+    assert "SortMergeJoin" in plan and "BroadcastHashJoin" not in plan
 
 
 @pytest.mark.parametrize("name", sorted(contract.queries()))

@@ -60,7 +60,9 @@ def mark_duplicates(
     kept = keepers(rows, key, scope, row_id).withColumn("_kept", F.lit(True))
     if materialize is not None:
         kept = materialize(kept)
-    marked = rows.join(kept, [*scope, row_id], "left")
+    # Both sides grow with the data, so neither may be broadcast: a sort-merge
+    # join on the unique (scope, row id) key spreads evenly and can spill.
+    marked = rows.join(kept.hint("merge"), [*scope, row_id], "left")
     return marked.withColumn(DUPLICATE_FLAG, F.col("_kept").isNull()).drop("_kept")
 
 
