@@ -91,3 +91,13 @@ def test_no_python_in_the_plan(spark, name):
     plan = plan_of(contract.queries()[name](spark, SF_SMALL))
     for marker in ("BatchEvalPython", "ArrowEvalPython", "PythonUDF", "FlatMapGroupsInPandas"):
         assert marker not in plan
+
+
+def test_reading_months_lists_only_their_directories(spark, small_lake):
+    from tidewater.schemas import BRONZE_SCHEMA
+
+    frame = read_periods(spark, small_lake.bronze, [(2026, 2)], BRONZE_SCHEMA)
+    files = frame.inputFiles()
+    assert files and all("/year=2026/month=2/" in f for f in files)
+    assert frame.count() == 10
+    assert read_periods(spark, small_lake.bronze, [(2030, 1)], BRONZE_SCHEMA) is None
