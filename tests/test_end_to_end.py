@@ -170,3 +170,13 @@ def test_gold_only_changed_months(spark, built_lake):
     one = gold.transform(spark, paths, only_changed=True)
     assert one.periods == [(1998, 3)]
     assert read_table(spark, paths.fact).count() == 3647
+
+
+def test_sql_views(spark, built_lake):
+    paths, _ = built_lake
+    names = reports.register_views(spark, paths)
+    assert {"trips_bronze", "trips_silver", "fact_trip_summary", "dim_taxi_zone", "trip_report"} <= set(names)
+    row = spark.sql(
+        "SELECT SUM(total_trips) AS trips FROM trip_report WHERE year = 1998"
+    ).first()
+    assert row["trips"] == 576

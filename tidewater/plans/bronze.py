@@ -154,6 +154,13 @@ def ingest_files(
 
     valid = valid_rows(normalized)
     if dedup:
+        by_period: dict[tuple[int, int], list[str]] = {}
+        for f in todo:
+            by_period.setdefault((f.year, f.month), []).append(f.name)
+        shared = {p: names for p, names in by_period.items() if len(names) > 1}
+        if shared:
+            # the row identity (row index in the month's file) needs one file per month
+            raise ValueError(f"several landing files for one month, cannot deduplicate: {shared}")
         ensure_checkpoint_dir(spark, paths.checkpoint_fallback)
         marked = mark_duplicates(valid, materialize=lambda kept: kept.checkpoint(eager=True))
         dup_obs = Observation("duplicates")

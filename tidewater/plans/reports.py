@@ -145,3 +145,30 @@ def load_gold(spark, paths) -> tuple[DataFrame, DataFrame]:
     if dim is None:
         dim = spark.createDataFrame([], DIM_ZONE_SCHEMA)
     return fact, dim
+
+
+def register_views(spark, paths) -> list[str]:
+    """Temp views for SQL users: ``trips_bronze``, ``trips_quarantine``,
+    ``trips_silver``, ``fact_trip_summary``, ``dim_taxi_zone`` and
+    ``trip_report`` (fact ⟕ zone). Views over tables that do not exist yet are
+    skipped; the registered names are returned."""
+    from tidewater.schemas import BRONZE_SCHEMA, DIM_ZONE_SCHEMA, FACT_SCHEMA, QUARANTINE_SCHEMA, SILVER_SCHEMA
+    from tidewater.sources.tables import read_table
+
+    tables = {
+        "trips_bronze": (paths.bronze, BRONZE_SCHEMA),
+        "trips_quarantine": (paths.schema_violations, QUARANTINE_SCHEMA),
+        "trips_silver": (paths.silver, SILVER_SCHEMA),
+        "fact_trip_summary": (paths.fact, FACT_SCHEMA),
+        "dim_taxi_zone": (paths.dim_zone, DIM_ZONE_SCHEMA),
+    }
+    frames = {}
+    for name, (root, schema) in tables.items():
+        frame = read_table(spark, root, schema)
+        if frame is not None:
+            frame.createOrReplaceTempView(name)
+            frames[name] = frame
+    if "fact_trip_summary" in frames and "dim_taxi_zone" in frames:
+        report_frame(frames["fact_trip_summary"], frames["dim_taxi_zone"]).createOrReplaceTempView("trip_report")
+        frames["trip_report"] = None
+    return sorted(frames)
