@@ -87,7 +87,7 @@ def stage_periods(
     spark: SparkSession,
     paths: LakePaths,
     done_stage: str,
-    done_root: str,
+    done_root: str | None,
     source_stage: str | None = None,
     source_root: str | None = None,
     discover_partitions: bool = False,
@@ -106,7 +106,8 @@ def stage_periods(
     done = set(summary.get(done_stage, {}))
     source = {p for p, has_rows in summary.get(source_stage or "", {}).items() if has_rows}
     if discover_partitions:
-        done |= set(collect_periods(partition_periods(spark, done_root)))
+        if done_root is not None:
+            done |= set(collect_periods(partition_periods(spark, done_root)))
         if source_root is not None:
             source |= set(collect_periods(partition_periods(spark, source_root)))
     return source, done

@@ -111,7 +111,7 @@ def transform(
         result.dimension_built = build_dimension(spark, paths.lookup, paths.dim_zone)
 
     source, _ = stage_periods(
-        spark, paths, STAGE, paths.fact, "silver", paths.silver, discover_partitions=discover_partitions
+        spark, paths, STAGE, None, "silver", paths.silver, discover_partitions=discover_partitions
     )
     requested = select_period(year, month)
     if requested is not None:

@@ -1,12 +1,12 @@
 """Bronze → Silver: one job over all pending months.
 
-Pending = Bronze periods (optionally one requested month) LEFT ANTI Silver's
-done periods. The Bronze root is read once with a partition predicate on the
-pending months; the cleansing rules reach the Parquet scan as pushed
-filters; the output is written with dynamic partition overwrite and, by
-default, without a shuffle (each scan task writes the month it read).
-Months whose rows all fail the rules write no partition, so the run-log
-records them as done.
+Pending = Bronze months holding rows (optionally one requested month) minus
+Silver's done months, both from the run-log. Only the pending months'
+directories are listed and read (a year/month glob plus the exact period
+predicate); the cleansing rules reach the Parquet scan as pushed filters; the
+output is written with dynamic partition overwrite and, by default, without a
+shuffle (each scan task writes the month it read). Months whose rows all fail
+the rules write no partition, so the run-log records them as done.
 """
 
 from __future__ import annotations
