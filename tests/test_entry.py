@@ -54,3 +54,18 @@ def test_query_matches_oracle(spark, duck, name):
     assert sorted(frame.columns) == sorted(d_cols)
     assert len(rows) == len(d_rows)
     assert _canon(frame.columns, rows) == _canon(d_cols, d_rows)
+
+
+@pytest.mark.parametrize("name", ["silver_trips", "bronze_clean", "gold_fact_trip_summary", "report_hourly"])
+def test_queries_do_not_depend_on_the_session_time_zone(spark, duck, name):
+    key = "spark.sql.session.timeZone"
+    spark.conf.set(key, "America/New_York")
+    try:
+        frame = contract.queries()[name](spark, SF_SMALL)
+        rows = [tuple(r) for r in frame.collect()]
+        assert spark.conf.get(key) == "America/New_York"  # caller's setting restored
+    finally:
+        spark.conf.set(key, "UTC")
+    result = duck.execute(contract.oracle_sql()[name])
+    d_cols = [d[0] for d in result.description]
+    assert _canon(frame.columns, rows) == _canon(d_cols, result.fetchall())

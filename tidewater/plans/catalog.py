@@ -9,6 +9,8 @@ Audit timestamps are left out and doubles are normalised with
 from __future__ import annotations
 
 from collections.abc import Callable
+from contextlib import contextmanager
+from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -28,6 +30,33 @@ EMPTY_YEAR = 1990  # a year with no trips: KPIs must come back as zeros
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+@contextmanager
+def _utc_plan(spark: SparkSession):
+    """Build a plan with the session time zone set to UTC, then restore it.
+
+    The fixture timestamps are naive wall-clock values, compared with an
+    engine that has no time zone. Spark fixes the zone into each
+    time-zone-aware expression when the frame is analysed, so the plan keeps
+    UTC after the caller's setting is back.
+    """
+    key = "spark.sql.session.timeZone"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "UTC")
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
+def _in_utc(query: Query) -> Query:
+    @wraps(query)
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        with _utc_plan(spark):
+            return query(spark, sf_dir)
+
+    return run
+
+
 def _check(frame: DataFrame) -> DataFrame:
     return flow.stable_doubles(flow.without_audit(frame))
 
@@ -157,7 +186,7 @@ def dedup_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES: dict[str, Query] = {
+_QUERIES: dict[str, Query] = {
     "bronze_normalized": bronze_normalized,
     "violation_reason_counts": violation_reason_counts,
     "bronze_clean": bronze_clean,
@@ -184,3 +213,5 @@ QUERIES: dict[str, Query] = {
     "dedup_clean": dedup_clean,
     "dedup_quarantine": dedup_quarantine,
 }
+
+QUERIES: dict[str, Query] = {name: _in_utc(query) for name, query in _QUERIES.items()}
