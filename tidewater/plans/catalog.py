@@ -31,7 +31,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 
 @contextmanager
-def _utc_plan(spark: SparkSession):
+def utc_plan(spark: SparkSession):
     """Build a plan with the session time zone set to UTC, then restore it.
 
     The fixture timestamps are naive wall-clock values, compared with an
@@ -51,7 +51,7 @@ def _utc_plan(spark: SparkSession):
 def _in_utc(query: Query) -> Query:
     @wraps(query)
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        with _utc_plan(spark):
+        with utc_plan(spark):
             return query(spark, sf_dir)
 
     return run
