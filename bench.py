@@ -36,19 +36,48 @@ from tidewater.sources.fixtures import stage_landing_files, zone_lookup  # noqa:
 
 
 JOBS: dict[str, int] = {}
+WINDOWS: dict[str, tuple[float, float]] = {}
 
 
 def _timed(results: dict[str, float], name: str, fn, spark=None) -> None:
     if spark is not None:
         spark.sparkContext.setJobGroup(name, name)
+    wall = time.time() * 1000
     start = time.perf_counter()
     fn()
     results[name] = round(time.perf_counter() - start, 3)
+    WINDOWS[name] = (wall, time.time() * 1000)
     if spark is not None:
         JOBS[name] = len(spark.sparkContext.statusTracker().getJobIdsForGroup(name))
         spark.sparkContext.setJobGroup("other", "other")
 
 
+def _structure(event_dir: str, paths: LakePaths) -> dict[str, int]:
+    """BASELINE's structural figures, measured from this run's event log:
+    SQL executions that scan the landing files during ingest (= scans per
+    landing file, each scans all pending files once), and write executions
+    into Silver / the fact during their stage."""
+    from tools.eventlog import events
+
+    executions = []
+    for event in events(event_dir):
+        if event["Event"].endswith("SparkListenerSQLExecutionStart"):
+            executions.append((event["time"], event.get("physicalPlanDescription", "")))
+
+    def count(stage: str, predicate) -> int:
+        lo, hi = WINDOWS.get(stage, (0, -1))
+        return sum(1 for at, plan in executions if lo <= at <= hi and predicate(plan))
+
+    def writes_to(root: str):
+        return lambda plan: "InsertIntoHadoopFsRelationCommand" in plan and root.split(":", 1)[-1] in plan
+
+    return {
+        "landing_scans_per_file": count("ingest", lambda plan: paths.landing in plan and "Scan parquet" in plan),
+        "silver_write_jobs": count("silver", writes_to(paths.silver)),
+        "fact_write_jobs": count("gold", writes_to(paths.fact)),
+    }
+
+
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1").rstrip("/")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
@@ -104,6 +133,8 @@ def main() -> None:
         _timed(times, name, lambda q=query: q(spark, sf_dir).write.format("noop").mode("overwrite").save())
 
     spark.stop()
+    event_dirs = [os.path.join(scratch, d) for d in os.listdir(scratch) if d.startswith("eventlog")]
+    structure = _structure(event_dirs[0], paths) if event_dirs else {}
     print(
         json.dumps(
             {
@@ -115,6 +146,7 @@ def main() -> None:
                 "cpus": cpus,
                 "landing_files": len(os.listdir(paths.landing)),
                 "spark_jobs_per_stage": JOBS,
+                "structure": structure,
                 **({"loop_baseline": loop_times} if loop_times else {}),
                 "scratch": scratch,
             }
