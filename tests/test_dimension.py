@@ -30,7 +30,7 @@ def test_dimension_from_lookup_csv(spark, tmp_path):
 
 
 def test_empty_field_is_null_and_na_stays_text(spark, tmp_path):
-    csv = _csv(tmp_path, ["264,Unknown,N/A,N/A", "265,,Outside of NYC,"])
+    csv = _csv(tmp_path, ["264,Unknown,N/A,N/A", "265,,Outside the area,"])
     rows = {r["location_id"]: r for r in zone_dimension(read_zone_lookup(spark, csv)).collect()}
     assert rows[264]["zone"] == "N/A"
     assert rows[265]["borough"] is None and rows[265]["service_zone"] is None
