@@ -185,3 +185,22 @@ def test_months_written_by_another_tool(spark, lake):
     replaced = bronze.ingest(spark, lake)
     assert replaced.files_skipped == 0 and replaced.records_processed == 5
     assert read_table(spark, lake.bronze).count() == 5
+
+
+def test_hot_duplicate_key_holding_a_third_of_the_rows(spark, lake):
+    """One trip repeated as a third of a month: one copy kept, every other copy
+    quarantined, nothing dropped or capped."""
+    from tidewater.plans import gold, silver
+
+    base = _trips(40, 9)
+    hot = {k: pa.concat_arrays([v] + [v.slice(0, 1)] * 20) for k, v in base.items()}  # 60 rows, 21 of trip 0
+    _write(lake.landing, "yellow_tripdata_2026-09.parquet", hot)
+    result = bronze.ingest(spark, lake, dedup=True)
+    assert result.records_processed == 40 and result.duplicates == 20
+    dups = read_table(spark, lake.duplicate_records)
+    assert dups.count() == 20
+    assert dups.select("pickup_datetime", "fare_amount").distinct().count() == 1
+    silver.transform(spark, lake)
+    gold.transform(spark, lake)
+    fact = read_table(spark, lake.fact)
+    assert fact.agg({"total_revenue": "sum"}).first()[0] == sum(15.0 + i for i in range(40))
