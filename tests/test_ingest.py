@@ -204,3 +204,19 @@ def test_hot_duplicate_key_holding_a_third_of_the_rows(spark, lake):
     gold.transform(spark, lake)
     fact = read_table(spark, lake.fact)
     assert fact.agg({"total_revenue": "sum"}).first()[0] == sum(15.0 + i for i in range(40))
+
+
+@pytest.mark.parametrize(
+    "first,second",
+    [(pa.int32(), pa.int64()), (pa.int64(), pa.float64()), (pa.float32(), pa.float64()), (pa.int32(), pa.float64())],
+)
+def test_numeric_type_drift_is_read_per_schema(spark, lake, first, second):
+    from tidewater.plans.bronze import normalized_landing
+    from tidewater.sources.landing import list_landing_files, read_landing
+
+    for month, kind in ((1, first), (2, second)):
+        _write(lake.landing, f"yellow_tripdata_2026-0{month}.parquet", _trips(3, month, count_type=kind))
+    files = list_landing_files(spark, lake.landing)
+    assert len(read_landing(spark, files)) == 2
+    counts = sorted(r["passenger_count"] for r in normalized_landing(spark, files, "b").collect())
+    assert counts == [1, 1, 2, 2, 3, 3]
