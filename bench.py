@@ -8,8 +8,10 @@ Gold, the dashboard reports over the Gold files, then every registered check
 query over the whole tables (executed into Spark's ``noop`` sink so the full
 result is computed without shipping it to the driver).
 
-Prints one JSON line: {"metric", "value" (total seconds), "unit", "queries",
-"sf", ...}.
+Prints one JSON line: {"metric", "value", "unit", "queries", "sf", ...}.
+"value" is the lakehouse run the reference performs — ingest + Silver + Gold
++ the dashboard queries over Gold; "queries" has every timing, including the
+registered check queries, whose total is "checks_total_sec".
 
 ``BENCH_LOOP_BASELINE=1`` additionally runs the same stage functions the way a
 driver loop schedules them — one ingest per landing file, one Silver and one
@@ -129,8 +131,10 @@ def main() -> None:
     _timed(times, "dash_borough", lambda: reports.borough_ranking(fact, dim, REPORT_YEAR).collect())
     _timed(times, "dash_hourly", lambda: reports.hourly_profile(fact, REPORT_YEAR).collect())
 
+    headline = sum(times.values())
+    checks: dict[str, float] = {}
     for name, query in QUERIES.items():
-        _timed(times, name, lambda q=query: q(spark, sf_dir).write.format("noop").mode("overwrite").save())
+        _timed(checks, name, lambda q=query: q(spark, sf_dir).write.format("noop").mode("overwrite").save())
 
     spark.stop()
     event_dirs = [os.path.join(scratch, d) for d in os.listdir(scratch) if d.startswith("eventlog")]
@@ -138,10 +142,11 @@ def main() -> None:
     print(
         json.dumps(
             {
-                "metric": "total_query_seconds",
-                "value": round(sum(times.values()), 3),
+                "metric": "lakehouse_run_seconds",
+                "value": round(headline, 3),
                 "unit": "sec",
-                "queries": times,
+                "queries": {**times, **checks},
+                "checks_total_sec": round(sum(checks.values()), 3),
                 "sf": sf,
                 "cpus": cpus,
                 "landing_files": len(os.listdir(paths.landing)),
