@@ -180,3 +180,14 @@ def test_sql_views(spark, built_lake):
         "SELECT SUM(total_trips) AS trips FROM trip_report WHERE year = 1998"
     ).first()
     assert row["trips"] == 576
+
+
+def test_one_audit_timestamp_per_batch(spark, built_lake):
+    paths, _ = built_lake
+    bronze_stamps = {r[0] for r in read_table(spark, paths.bronze).select("ingested_at").distinct().collect()}
+    quarantine_stamps = {
+        r[0] for r in read_table(spark, paths.schema_violations).select("ingested_at").distinct().collect()
+    }
+    assert len(bronze_stamps) == 1 and bronze_stamps == quarantine_stamps
+    silver_stamps = read_table(spark, paths.silver).select("transformed_at").distinct().count()
+    assert silver_stamps == 1
