@@ -220,3 +220,16 @@ def test_numeric_type_drift_is_read_per_schema(spark, lake, first, second):
     assert len(read_landing(spark, files)) == 2
     counts = sorted(r["passenger_count"] for r in normalized_landing(spark, files, "b").collect())
     assert counts == [1, 1, 2, 2, 3, 3]
+
+
+def test_month_failing_every_rule_is_not_reprocessed(spark, lake):
+    from tidewater.plans import silver
+
+    _write(lake.landing, "yellow_tripdata_2026-10.parquet", _trips(3, 10, passenger=[0, 0, 0]))
+    _write(lake.landing, "yellow_tripdata_2026-11.parquet", _trips(3, 11))
+    bronze.ingest(spark, lake)
+    first = silver.transform(spark, lake)
+    assert first.periods == [(2026, 10), (2026, 11)] and first.rows_written == 3
+    assert read_table(spark, lake.silver).select("month").distinct().count() == 1
+    again = silver.transform(spark, lake)
+    assert again.partitions_processed == 0 and again.skipped == [(2026, 10), (2026, 11)]
