@@ -77,8 +77,9 @@ def ingest_stream(
             year, month = parse_period(row.path.rsplit("/", 1)[-1])
             files.append(LandingFile(row.path, year, month))
         if files:
+            session = batch.sparkSession
             progress.batches.append(
-                bronze.ingest_files(spark, sorted(files, key=lambda f: f.path), paths, dedup=dedup)
+                bronze.ingest_files(session, sorted(files, key=lambda f: f.path), paths, dedup=dedup)
             )
 
     writer = landing_file_stream(spark, paths.landing, max_files_per_trigger).writeStream.foreachBatch(handle)
