@@ -233,3 +233,18 @@ def test_month_failing_every_rule_is_not_reprocessed(spark, lake):
     assert read_table(spark, lake.silver).select("month").distinct().count() == 1
     again = silver.transform(spark, lake)
     assert again.partitions_processed == 0 and again.skipped == [(2026, 10), (2026, 11)]
+
+
+def test_run_log_compaction_keeps_every_entry(spark, lake):
+    from tidewater.sinks.writers import append_run_log, compact_run_log
+    from tidewater.sources.tables import run_log_summary
+
+    for month in range(1, 13):
+        append_run_log(spark, lake.run_log, "silver", {(2025, month): (month, 0)}, f"b{month}")
+    before = run_log_summary(spark, lake.run_log)
+    rows_before = sorted(tuple(r) for r in read_table(spark, lake.run_log).collect())
+    assert compact_run_log(spark, lake.run_log, max_files=5)
+    assert len(read_table(spark, lake.run_log).inputFiles()) == 1
+    assert run_log_summary(spark, lake.run_log) == before
+    assert sorted(tuple(r) for r in read_table(spark, lake.run_log).collect()) == rows_before
+    assert not compact_run_log(spark, lake.run_log, max_files=5)

@@ -34,6 +34,7 @@ from tidewater.operators.split import (
     valid_rows,
 )
 from tidewater.plans.common import (
+    maintain_run_log,
     LakePaths,
     batch_timestamp,
     stage_periods,
@@ -189,6 +190,7 @@ def ingest_files(
         rejected = {p: n + duplicates[p] for p, n in rejected.items()}
     counts = {p: (written[p], rejected[p]) for p in periods}
     append_run_log(spark, paths.run_log, STAGE, counts, active_batch)
+    maintain_run_log(spark, paths)
 
     result.job_duration_sec = time.time() - start
     logger.info(

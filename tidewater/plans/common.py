@@ -11,7 +11,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewater.operators.periods import PERIOD
-from tidewater.sources.tables import partition_periods, read_periods, run_log_summary
+from tidewater.schemas import RUN_LOG_SCHEMA
+from tidewater.sources.tables import partition_periods, read_periods, read_table, run_log_summary
 
 logger = logging.getLogger("tidewater")
 
@@ -132,3 +133,16 @@ def period_counts(
         for row in frame.groupBy(*PERIOD).count().collect():
             counts[(int(row["year"]), int(row["month"]))] = int(row["count"])
     return counts
+
+
+def maintain_run_log(spark: SparkSession, paths: LakePaths) -> None:
+    """Compact the run-log once it has grown to many small files."""
+    from tidewater.session import ensure_checkpoint_dir
+    from tidewater.sinks.writers import RUN_LOG_MAX_FILES, compact_run_log
+
+    log = read_table(spark, paths.run_log, RUN_LOG_SCHEMA)
+    if log is None or len(log.inputFiles()) <= RUN_LOG_MAX_FILES:
+        return
+    ensure_checkpoint_dir(spark, paths.checkpoint_fallback)
+    if compact_run_log(spark, paths.run_log):
+        logger.info("run-log compacted at %s", paths.run_log)

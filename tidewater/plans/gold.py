@@ -20,6 +20,7 @@ from tidewater.operators.fact import aggregate_fact, stamp_fact
 from tidewater.operators.periods import PERIOD, select_period
 from tidewater.operators.zones import duplicate_locations, zone_dimension
 from tidewater.plans.common import (
+    maintain_run_log,
     LakePaths,
     batch_timestamp,
     collect_periods,
@@ -132,6 +133,7 @@ def transform(
     fact = build_fact(silver, active_batch, batch_timestamp())
     write_partitioned(fact, paths.fact, layout=layout)
     append_run_log(spark, paths.run_log, STAGE, {p: (None, None) for p in periods}, active_batch)
+    maintain_run_log(spark, paths)
     result.partitions_processed = len(periods)
     result.duration_sec = time.time() - start
     return result

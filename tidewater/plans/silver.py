@@ -19,6 +19,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from tidewater.operators.enrich import clean_and_enrich, silver_projection
 from tidewater.operators.periods import select_period
 from tidewater.plans.common import (
+    maintain_run_log,
     LakePaths,
     batch_timestamp,
     stage_periods,
@@ -103,6 +104,7 @@ def transform(
     read = period_counts(spark, paths.bronze, pending, BRONZE_SCHEMA)
     counts = {p: (written[p], read[p] - written[p]) for p in pending}
     append_run_log(spark, paths.run_log, STAGE, counts, active_batch)
+    maintain_run_log(spark, paths)
     result.partitions_processed = len(pending)
     result.rows_written = sum(written.values())
     result.job_duration_sec = time.time() - start

@@ -62,3 +62,32 @@ def append_run_log(
         for (year, month), (written, rejected) in sorted(counts.items())
     ]
     spark.createDataFrame(rows, RUN_LOG_SCHEMA).coalesce(1).write.mode("append").parquet(root)
+
+
+# A run-log with more files than this is rewritten as one file after a run.
+RUN_LOG_MAX_FILES = 200
+
+
+def compact_run_log(spark: SparkSession, root: str, max_files: int = RUN_LOG_MAX_FILES) -> bool:
+    """Rewrite the run-log as a single file when it has more than
+    ``max_files`` files (one is added per stage run). Returns True when it
+    compacted.
+
+    The rows are first ``checkpoint()``-ed to the session's checkpoint
+    directory (shared, reliable storage), which also cuts the plan's link to
+    the files being replaced, then written back over the log. Were the
+    rewrite to fail half-way, the stages would redo the affected months,
+    which dynamic partition overwrite makes harmless.
+    """
+    from pyspark.errors import AnalysisException
+
+    try:
+        log = spark.read.schema(RUN_LOG_SCHEMA).parquet(root)
+        files = log.inputFiles()
+    except AnalysisException:
+        return False
+    if len(files) <= max_files:
+        return False
+    rows = log.checkpoint(eager=True)
+    rows.coalesce(1).write.mode("overwrite").parquet(root)
+    return True
