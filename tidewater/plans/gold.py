@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from tidewater.operators.fact import aggregate_fact, stamp_fact
 from tidewater.operators.periods import PERIOD, select_period
-from tidewater.operators.zones import duplicate_locations, zone_dimension
+from tidewater.operators.zones import DEFAULT_BROADCAST_MAX_ROWS, duplicate_locations, zone_dimension
 from tidewater.plans.common import (
     maintain_run_log,
     LakePaths,
@@ -68,7 +68,10 @@ def build_dimension(spark: SparkSession, lookup_path: str, gold_dim_path: str) -
         raise
     if duplicate:
         raise ValueError(f"zone lookup has duplicate location_id {duplicate[0]['location_id']}")
-    write_single_file(dim, gold_dim_path)
+    if dim.limit(DEFAULT_BROADCAST_MAX_ROWS + 1).count() <= DEFAULT_BROADCAST_MAX_ROWS:
+        write_single_file(dim, gold_dim_path)  # a lookup: one small file
+    else:
+        dim.write.mode("overwrite").parquet(gold_dim_path)  # too big to funnel through one task
     return True
 
 
