@@ -11,7 +11,8 @@ import tempfile
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-from tidewater.operators.split import bronze_rows, schema_violations  # noqa: E402
+from tidewater.operators.dedup import mark_duplicates, unique_rows  # noqa: E402
+from tidewater.operators.split import bronze_projection, bronze_rows, schema_violations, valid_rows  # noqa: E402
 from tidewater.plans import bronze, gold, reports, silver  # noqa: E402
 from tidewater.plans.common import LakePaths  # noqa: E402
 from tidewater.schemas import BRONZE_SCHEMA, SILVER_SCHEMA  # noqa: E402
@@ -46,6 +47,8 @@ def main() -> None:
     sections = [
         ("Ingest: quarantine write input (all landing files, one merged scan)", schema_violations(normalized)),
         ("Ingest: Bronze write input", bronze_rows(normalized)),
+        ("Ingest with dedup: Bronze input (keepers by hash aggregate, sort-merge join on month + row id)",
+         bronze_projection(unique_rows(mark_duplicates(valid_rows(normalized))))),
         ("Silver: two pending months (glob-listed, rules pushed to the scan, no exchange)",
          silver.build_silver(read_periods(spark, paths.bronze, pending, BRONZE_SCHEMA), "b")),
         ("Gold: fact (partial → final aggregate, rebalance of the aggregated rows)",
