@@ -87,10 +87,12 @@ def test_dedup_uses_hash_aggregation_and_never_broadcasts(spark):
 
 
 @pytest.mark.parametrize("name", sorted(contract.queries()))
-def test_no_python_in_the_plan(spark, name):
+def test_no_python_and_no_pairwise_join_in_the_plan(spark, name):
     plan = plan_of(contract.queries()[name](spark, SF_SMALL))
     for marker in ("BatchEvalPython", "ArrowEvalPython", "PythonUDF", "FlatMapGroupsInPandas"):
         assert marker not in plan
+    for marker in ("CartesianProduct", "BroadcastNestedLoopJoin"):
+        assert marker not in plan
 
 
 def test_reading_months_lists_only_their_directories(spark, small_lake):
