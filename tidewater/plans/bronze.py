@@ -34,13 +34,13 @@ from tidewater.operators.split import (
     valid_rows,
 )
 from tidewater.plans.common import (
-    maintain_run_log,
     LakePaths,
     batch_timestamp,
-    stage_periods,
     logger,
+    maintain_run_log,
     new_batch_id,
     period_counts,
+    stage_periods,
 )
 from tidewater.schemas import BRONZE_SCHEMA, DUPLICATE_REASON, FAILURE_DUPLICATE, QUARANTINE_SCHEMA
 from tidewater.session import ensure_checkpoint_dir

@@ -5,6 +5,8 @@ requested month) in a single job: partial aggregation before the shuffle on
 the seven keys, final aggregation, then a rebalance on (year, month) of the
 small aggregated rows so each month is written as a few AQE-sized files and a
 month holding a large share of trips is split rather than sent to one task.
+With ``only_changed`` only the months Silver re-logged since the last Gold run
+are recomputed.
 """
 
 from __future__ import annotations
@@ -20,11 +22,11 @@ from tidewater.operators.fact import aggregate_fact, stamp_fact
 from tidewater.operators.periods import PERIOD, select_period
 from tidewater.operators.zones import DEFAULT_BROADCAST_MAX_ROWS, duplicate_locations, zone_dimension
 from tidewater.plans.common import (
-    maintain_run_log,
     LakePaths,
     batch_timestamp,
     collect_periods,
     logger,
+    maintain_run_log,
     new_batch_id,
     stage_periods,
 )

@@ -19,13 +19,13 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from tidewater.operators.enrich import clean_and_enrich, silver_projection
 from tidewater.operators.periods import select_period
 from tidewater.plans.common import (
-    maintain_run_log,
     LakePaths,
     batch_timestamp,
-    stage_periods,
     logger,
+    maintain_run_log,
     new_batch_id,
     period_counts,
+    stage_periods,
 )
 from tidewater.schemas import BRONZE_SCHEMA, SILVER_SCHEMA
 from tidewater.sinks.writers import append_run_log, write_partitioned
