@@ -3,17 +3,20 @@
 Plan per run, independent of the number of files or months:
 
 1. list landing files through Spark and validate every name (no write yet);
-2. pending periods = landed periods LEFT ANTI done periods (partitions
-   holding data ∪ run-log); a re-delivered file for a done month is skipped;
-3. group pending files by footer schema, one scan per group, normalise to
-   the Bronze layout, ``unionByName``;
-4. write quarantine first, then Bronze, then the run-log, each with dynamic
-   partition overwrite. Bronze present ⇒ the quarantine of that month is
-   complete; a crash anywhere leaves months pending, and the re-run replaces
-   what was half written.
-
-Each landing file is scanned twice (quarantine and Bronze writes), and the
-quarantine scan's ``IS NULL`` disjunction is pushed to the Parquet reader.
+2. pending months = landed months − done months (from the run-log; with
+   ``discover_partitions`` also the months Bronze already holds); a
+   re-delivered file for a done month is skipped;
+3. read the pending files in one scan when their schemas merge, else one scan
+   per footer schema; normalise each to the Bronze layout and ``unionByName``;
+4. write the quarantine first, then Bronze, then the run-log row that commits
+   the months, each data write with dynamic partition overwrite. A crash
+   anywhere leaves the months uncommitted; the re-run replaces what was half
+   written.
+
+Each landing file is scanned twice (quarantine and Bronze writes). The Bronze
+pass's ``IS NOT NULL`` checks on same-typed source columns reach the Parquet
+reader; the quarantine predicate cannot (a ``try_cast`` to a narrower type may
+turn a value into NULL), so that pass reads every row once.
 """
 
 from __future__ import annotations
