@@ -23,11 +23,6 @@ def zone_dimension(lookup: DataFrame) -> DataFrame:
     return lookup.select(*[F.col(src).alias(dst) for src, dst in ZONE_RENAMES.items()])
 
 
-def duplicate_locations(dim: DataFrame) -> DataFrame:
-    """``location_id`` values that occur more than once (should be none)."""
-    return dim.groupBy("location_id").count().filter(F.col("count") > 1)
-
-
 def bounded_broadcast(frame: DataFrame, max_rows: int = DEFAULT_BROADCAST_MAX_ROWS) -> DataFrame:
     """``broadcast(frame)`` when it has at most ``max_rows`` rows, else the
     frame unchanged, leaving Spark a shuffle join (with AQE skew handling).

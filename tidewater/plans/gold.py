@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from tidewater.operators.fact import aggregate_fact, stamp_fact
 from tidewater.operators.periods import PERIOD, select_period
-from tidewater.operators.zones import DEFAULT_BROADCAST_MAX_ROWS, duplicate_locations, zone_dimension
+from tidewater.operators.zones import DEFAULT_BROADCAST_MAX_ROWS, zone_dimension
 from tidewater.plans.common import (
     LakePaths,
     batch_timestamp,
@@ -62,15 +62,25 @@ def build_dimension(spark: SparkSession, lookup_path: str, gold_dim_path: str) -
     try:
         dim = zone_dimension(read_zone_lookup(spark, lookup_path))
         dim.schema  # noqa: B018 - resolves the path
-        duplicate = duplicate_locations(dim).limit(1).collect()
+        # one pass: total rows and the most rows any location_id has
+        stats = (
+            dim.groupBy("location_id")
+            .agg(F.count(F.lit(1)).alias("copies"))
+            .agg(
+                F.sum("copies").alias("rows"),
+                F.max("copies").alias("max_copies"),
+                F.max_by("location_id", "copies").alias("example"),
+            )
+            .first()
+        )
     except AnalysisException as exc:
         if "PATH_NOT_FOUND" in str(exc) or "Path does not exist" in str(exc):
             logger.warning("gold: lookup file %s missing, dim_taxi_zone not built", lookup_path)
             return False
         raise
-    if duplicate:
-        raise ValueError(f"zone lookup has duplicate location_id {duplicate[0]['location_id']}")
-    if dim.limit(DEFAULT_BROADCAST_MAX_ROWS + 1).count() <= DEFAULT_BROADCAST_MAX_ROWS:
+    if (stats["max_copies"] or 0) > 1:
+        raise ValueError(f"zone lookup has duplicate location_id {stats['example']}")
+    if (stats["rows"] or 0) <= DEFAULT_BROADCAST_MAX_ROWS:
         write_single_file(dim, gold_dim_path)  # a lookup: one small file
     else:
         dim.write.mode("overwrite").parquet(gold_dim_path)  # too big to funnel through one task
