@@ -48,6 +48,11 @@ def build_parser() -> argparse.ArgumentParser:
         action="store_true",
         help="also treat months already present in the tables (not only in the run-log) as done",
     )
+    parser.add_argument(
+        "--only-changed",
+        action="store_true",
+        help="gold: recompute only the months Silver logged since the last Gold run",
+    )
     parser.add_argument("--drill-down", default="is_weekend", choices=TREND_DIMENSIONS)
     parser.add_argument("--checkpoint", default=None, help="stream checkpoint location")
     parser.add_argument("--app-name", default="tidewater")
@@ -75,10 +80,16 @@ def main(argv: list[str] | None = None) -> None:
         elif args.stage == "silver":
             _emit(silver.transform(spark, paths, year=year, month=month, batch_id=batch, discover_partitions=discover))
         elif args.stage == "gold":
-            _emit(gold.transform(spark, paths, year=year, month=month, batch_id=batch, discover_partitions=discover))
+            _emit(
+                gold.transform(
+                    spark, paths, year=year, month=month, batch_id=batch,
+                    only_changed=args.only_changed, discover_partitions=discover,
+                )
+            )
         elif args.stage == "run":
             cfg = RunConfig(
-                paths=paths, batch_id=batch, year=year, month=month, dedup=args.dedup, discover_partitions=discover
+                paths=paths, batch_id=batch, year=year, month=month, dedup=args.dedup,
+                only_changed_gold=args.only_changed, discover_partitions=discover,
             )
             _emit({k: asdict(v) for k, v in run(spark, cfg).items()})
         elif args.stage == "report":
