@@ -12,7 +12,7 @@ import pytest
 import __spark_entry__ as contract
 from conftest import SF_SMALL
 
-TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem"]
+TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events"]
 
 
 def test_entry_runs(spark):

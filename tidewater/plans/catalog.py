@@ -170,6 +170,13 @@ def missing_periods(spark: SparkSession, sf_dir: str) -> DataFrame:
     return periods.missing_periods(_order_periods(spark, sf_dir), flow.silver(spark, sf_dir))
 
 
+def missing_event_periods(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Months another feed (the ``events`` table) asks for that the lakehouse
+    has no trips for."""
+    events = table(spark, sf_dir, "events").select(F.year("ts").alias("year"), F.month("ts").alias("month"))
+    return periods.missing_periods(events, flow.silver(spark, sf_dir))
+
+
 def available_periods(spark: SparkSession, sf_dir: str) -> DataFrame:
     return periods.available_periods(_order_periods(spark, sf_dir), flow.silver(spark, sf_dir))
 
@@ -209,6 +216,7 @@ _QUERIES: dict[str, Query] = {
     "report_hourly": report_hourly,
     "pending_periods": pending_periods,
     "missing_periods": missing_periods,
+    "missing_event_periods": missing_event_periods,
     "available_periods": available_periods,
     "dedup_clean": dedup_clean,
     "dedup_quarantine": dedup_quarantine,

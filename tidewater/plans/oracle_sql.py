@@ -270,6 +270,10 @@ ORACLE: dict[str, str] = {
     "missing_periods": BASE_CTES
     + f"""SELECT r.year, r.month FROM ({ORDER_PERIODS}) r
     WHERE NOT EXISTS (SELECT 1 FROM silver s WHERE s.year = r.year AND s.month = r.month)""",
+    "missing_event_periods": BASE_CTES
+    + """SELECT r.year, r.month FROM (SELECT DISTINCT CAST(year(ts) AS INTEGER) AS year,
+      CAST(month(ts) AS INTEGER) AS month FROM events) r
+    WHERE NOT EXISTS (SELECT 1 FROM silver s WHERE s.year = r.year AND s.month = r.month)""",
     "available_periods": BASE_CTES
     + f"""SELECT r.year, r.month FROM ({ORDER_PERIODS}) r
     WHERE EXISTS (SELECT 1 FROM silver s WHERE s.year = r.year AND s.month = r.month)""",
