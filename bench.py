@@ -112,7 +112,8 @@ def main() -> None:
     zone_lookup(spark, sf_dir).toPandas().to_csv(paths.lookup, index=False)
     # warm the JVM (JIT, codegen paths) with an untimed pass over a tiny lake
     warm = LakePaths.under(os.path.join(scratch, "warm"))
-    stage_landing_files(spark, WARM_SF_DIR, warm.landing, os.path.join(scratch, "warm_staging"))
+    warm_dir = WARM_SF_DIR if os.path.isdir(WARM_SF_DIR) else sf_dir
+    stage_landing_files(spark, warm_dir, warm.landing, os.path.join(scratch, "warm_staging"))
     bronze.ingest(spark, warm)
     silver.transform(spark, warm)
     gold.transform(spark, warm)
