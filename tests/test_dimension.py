@@ -73,3 +73,11 @@ def test_broadcast_only_within_bound(spark):
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert bounded_broadcast(dim, 50) is not dim
+
+
+def test_reports_need_a_gold_fact(spark, tmp_path):
+    from tidewater.plans import reports
+    from tidewater.plans.common import LakePaths
+
+    with pytest.raises(FileNotFoundError):
+        reports.load_gold(spark, LakePaths.under(str(tmp_path / "empty")))

@@ -140,7 +140,9 @@ def load_gold(spark, paths) -> tuple[DataFrame, DataFrame]:
     from tidewater.schemas import DIM_ZONE_SCHEMA, FACT_SCHEMA
     from tidewater.sources.tables import read_table
 
-    fact = spark.read.schema(FACT_SCHEMA).parquet(paths.fact)
+    fact = read_table(spark, paths.fact, FACT_SCHEMA)
+    if fact is None:
+        raise FileNotFoundError(f"no Gold fact table at {paths.fact}; run the gold stage first")
     dim = read_table(spark, paths.dim_zone, DIM_ZONE_SCHEMA)
     if dim is None:
         dim = spark.createDataFrame([], DIM_ZONE_SCHEMA)
