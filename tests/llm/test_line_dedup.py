@@ -1,0 +1,88 @@
+"""Line dedup against a brute-force version."""
+
+from __future__ import annotations
+
+import hashlib
+import random
+
+import pytest
+
+from tidewater.llm import line_dedup, queries
+
+SCHEMA = "doc_id long, text string, word string, __n long, pos int"
+CAPS = {c: c + 32 for c in range(65, 91)}
+
+
+def brute(rows, least=10):
+    key = lambda x: x.strip(" \t\n\x0b\x0c\r").translate(CAPS)
+    holders = {}
+    order = lambda d: (d is None, d or 0)
+    for d, t in rows:
+        for line in (t or "").split("\n"):
+            if len(key(line)) >= least:
+                holders.setdefault(key(line), set()).add(order(d))
+    out = []
+    for d, t in rows:
+        lines = (t or "").split("\n")
+        kept = [x for x in lines if len(key(x)) < least or order(d) == min(holders[key(x)])]
+        out.append((d, len(lines), len(lines) - len(kept), "\n".join(kept)))
+    return out
+
+
+def spread(spark, rows):
+    return spark.createDataFrame([(d, t, "w", 5, 1) for d, t in rows], SCHEMA).repartition(4)
+
+
+def run(spark, rows):
+    docs = spread(spark, rows)
+    out = line_dedup.apply_bitmaps(docs, line_dedup.keep_bitmaps(docs))
+    return [(r["doc_id"], r["n_lines"], r["n_dropped"], r["text"] or "") for r in out.collect()]
+
+
+def cases():
+    rng = random.Random(3)
+    pool = [f"Common line number {i}" for i in range(30)] + ["ÉTÉ À LA PLAGE", "été à la plage", "short", "", "  Common LINE number 1\t", "\x0bCOMMON line number 2 "]
+    rows = [(i, "\n".join(rng.choice(pool) if rng.random() < 0.6 else f"only {i} {j} here" for j in range(rng.randint(1, 150)))) for i in range(40)]
+    rows += [(50, None), (51, ""), (52, "\n\n"), (None, "Common line number 3\nlonely line of none"), (53, "x" * 50_000 + "\nCommon line number 4")]
+    rows += [(60, "twice in one document\ntwice in one document\nCommon line number 5")] * 2
+    return rows + [(61, "other text same id\nCommon line number 6"), (61, "other text same id\nfree standing line")]
+
+
+def test_matches_brute_force(spark):
+    rows = cases()
+    assert sorted(run(spark, rows), key=str) == sorted(brute(rows), key=str)
+
+
+def test_hot_line_is_split_and_result_the_same(spark, monkeypatch):
+    monkeypatch.setattr(line_dedup, "SAMPLE", 1.0)
+    rows = [(i, f"The one line that everybody has\nown line of {i}\nThe one line that everybody has") for i in range(300, 0, -1)]
+    hot = line_dedup._hot(spread(spark, rows), 10).collect()
+    assert len(hot) == 1 and hot[0]["salts"] > 1
+    assert sorted(run(spark, rows)) == sorted(brute(rows))
+
+
+@pytest.mark.parametrize("rows", [[], [(1, "alone in the table")]])
+def test_empty_and_single(spark, rows):
+    assert run(spark, rows) == brute(rows)
+
+
+def test_extra_columns_stay(spark):
+    out = line_dedup.dedup_lines(spread(spark, cases()[:5]))
+    assert out.columns == ["doc_id", "text", "word", "__n", "pos"] and out.count() == 5
+
+
+def test_streams_over_the_range_partitions_without_python(spark):
+    docs = spread(spark, cases())
+    hot = spark.createDataFrame([(5, 3)], "hot long, salts int")
+    rows = line_dedup._ranged(docs, hot, 10)
+    plan = line_dedup._first_documents(rows, "h1", "h2", "salt")._jdf.queryExecution().executedPlan().toString()
+    above = plan[: plan.index("Exchange rangepartitioning")]
+    assert "Window" in above and "Exchange" not in above
+    assert "Python" not in plan and "Arrow" not in plan
+
+
+def test_query_digest(spark):
+    sf = "/root/testdata/sf0.001"
+    rows = [(r["doc_id"], r["text"]) for r in spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text").collect()]
+    got = {tuple(r) for r in queries.op4_line_dedup(spark, sf).collect()}
+    assert got == {(d, n, k, hashlib.sha256(t.encode()).hexdigest()) for d, n, k, t in brute(rows)}
