@@ -82,7 +82,7 @@ def links(distinct: DataFrame, max_bits: int = MAX_BITS, segments: int = SEGMENT
     probes = rows.select("k", F.explode(members).alias("key"), "segment", F.col("fp").alias("u"))
     near = F.bit_count(F.col("u").bitwiseXOR(F.col("v"))) <= max_bits
     once = (F.col("key") != F.col("segment")) | (F.col("u") < F.col("v"))
-    return probes.join(table, ["k", "key"]).where(near & once).select("u", "v").distinct()
+    return probes.join(table, ["k", "key"]).where(near & once).select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct()
 
 
 def near_duplicates(
