@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewater.llm import line_dedup, quality, simhash
-from tidewater.llm.common import documents
+from tidewater.llm import line_dedup, quality, simhash, tiling
+from tidewater.llm.common import benchmark, documents
 
 
 def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -17,6 +17,12 @@ def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tiling.contaminated(documents(spark, sf_dir), benchmark(spark, sf_dir)).select(
+        "doc_id", "item_id", "n_item_words", "n_tiles", "n_covered", "longest_tile", "coverage"
+    )
+
+
 def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir).select("doc_id", "text")
     out = line_dedup.apply_bitmaps(docs, line_dedup.keep_bitmaps(docs))
@@ -53,6 +59,7 @@ def op5_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_rules": op1_quality_rules,
+    "op3_benchmark_decontamination": op3_benchmark_decontamination,
     "op4_line_dedup": op4_line_dedup,
     "op5_simhash_near_dedup": op5_simhash_near_dedup,
 }
