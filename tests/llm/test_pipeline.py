@@ -1,0 +1,59 @@
+"""The pipeline against brute-force versions of its stages."""
+
+from __future__ import annotations
+
+import sys
+
+import corpus_pipeline
+import public_tokenizers
+from pyspark.sql import functions as F
+
+sys.path.insert(0, __file__.rsplit("/", 1)[0])
+import test_bpe  # noqa: E402
+import test_line_dedup  # noqa: E402
+import test_simhash  # noqa: E402
+
+from tidewater.llm import bpe, quality, tiling  # noqa: E402
+
+SF = "/root/testdata/sf0.001"
+
+
+def test_stages_take_effect_and_match_brute_force(spark, tmp_path):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    columns, ids = docs.columns, {}
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        before = {r["doc_id"]: r["text"] for r in docs.collect()}
+        if name == "quality_rules":
+            want = {r["doc_id"]: before[r["doc_id"]] for r in quality.robust_quality(docs).collect() if r["kept"]}
+        elif name == "line_dedup":
+            want = {d: t for d, _, _, t in test_line_dedup.brute(list(before.items()))}
+        elif name == "simhash_near_dedup":
+            values = [(d, test_simhash.fp(t)) for d, t in before.items()]
+            want = {d: before[d] for (d, _), c in zip(values, test_simhash.brute(values), strict=True) if d == c}
+        else:
+            gone = {r["doc_id"] for r in tiling.contaminated(docs, spark.read.parquet(f"{SF}/benchmark.parquet")).collect()}
+            want = {d: t for d, t in before.items() if d not in gone}
+        out = stage(spark, docs, SF)
+        assert out.columns == columns
+        out.write.parquet(f"{tmp_path}/{name}")
+        docs = spark.read.parquet(f"{tmp_path}/{name}")
+        got = {r["doc_id"]: r["text"] for r in docs.collect()}
+        assert got == want, name
+        assert got != before, name
+        ids = got
+    with open(test_bpe.PATH, "rb") as f:
+        lib = test_bpe.library(bpe.vocabulary(f.read()).ranks)
+    rows = corpus_pipeline.run(spark, SF).select("doc_id", "n_tokens").collect()
+    assert {r["doc_id"]: r["n_tokens"] for r in rows} == {d: len(lib.encode_ordinary(t)) for d, t in ids.items()}
+    assert public_tokenizers.PATTERN
+
+
+def test_null_rows_pass_through(spark):
+    schema = "doc_id long, text string, lang string, source string, n_chars long"
+    rows = [(None, None, None, None, None), (1, None, "en", "a", 0), (1, None, "en", "a", 0)]
+    docs = spark.createDataFrame(rows, schema)
+    assert corpus_pipeline.line_dedup_stage(spark, docs, SF).count() == 3
+    assert corpus_pipeline.benchmark_decontamination(spark, docs, SF).count() == 3
+    assert corpus_pipeline.quality_rules(spark, docs, SF).count() == 0
+    kept = corpus_pipeline.simhash_near_dedup(spark, docs, SF)
+    assert [r["doc_id"] for r in kept.orderBy(F.col("doc_id")).collect()] == [1, 1]

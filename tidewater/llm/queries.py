@@ -4,10 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import corpus_pipeline
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewater.llm import line_dedup, quality, simhash, tiling
+from tidewater.llm import bpe, line_dedup, quality, simhash, tiling
 from tidewater.llm.common import benchmark, documents
 
 
@@ -57,10 +59,17 @@ def op5_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    return bpe.digests(documents(spark, sf_dir), path, public_tokenizers.PATTERN)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_rules": op1_quality_rules,
     "op3_benchmark_decontamination": op3_benchmark_decontamination,
     "op4_line_dedup": op4_line_dedup,
     "op5_simhash_near_dedup": op5_simhash_near_dedup,
+    "op9_byte_bpe": op9_byte_bpe,
+    "pipeline": corpus_pipeline.run,
 }
 SQL: dict[str, str] = {"op4_line_dedup": OP4_SQL}
