@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewater.llm import bpe, line_dedup, quality, simhash, tiling
+from tidewater.llm import bpe, line_dedup, quality, simhash, substrings, tiling
 from tidewater.llm.common import benchmark, documents
 
 
@@ -64,12 +64,19 @@ def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(documents(spark, sf_dir), path, public_tokenizers.PATTERN)
 
 
+def op10_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substrings.remove_repeated(documents(spark, sf_dir)).select(
+        "doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256")
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_rules": op1_quality_rules,
     "op3_benchmark_decontamination": op3_benchmark_decontamination,
     "op4_line_dedup": op4_line_dedup,
     "op5_simhash_near_dedup": op5_simhash_near_dedup,
     "op9_byte_bpe": op9_byte_bpe,
+    "op10_suffix_array_dedup": op10_suffix_array_dedup,
     "pipeline": corpus_pipeline.run,
 }
 SQL: dict[str, str] = {"op4_line_dedup": OP4_SQL}
