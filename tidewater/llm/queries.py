@@ -9,8 +9,24 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewater.llm import bpe, line_dedup, quality, simhash, substrings, tiling
-from tidewater.llm.common import benchmark, documents
+from tidewater.llm import (
+    bpe,
+    licenses,
+    line_dedup,
+    pseudonyms,
+    quality,
+    secrets,
+    simhash,
+    substrings,
+    tiling,
+    token_counts,
+)
+from tidewater.llm.common import benchmark, documents, scratch
+
+#: Rank file of the token queries, and the key of the registered pseudonym query;
+#: a production run passes its own secret.
+RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+DEMO_KEY = b"demonstration key, not a secret"
 
 
 def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -19,6 +35,16 @@ def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    starts = F.transform("places", lambda p: p["start"])
+    base = F.array_sort(F.array_distinct(F.transform("places", lambda p: p["label"])))
+    return licenses.scan_licenses(documents(spark, sf_dir)).select(
+        "doc_id", "n_words", F.size("places").cast("long").alias("n_base"),
+        F.array_min(starts).alias("first_word"), F.array_max(starts).alias("last_word"),
+        F.array_join(base, ",").alias("base_labels"), F.array_join("labels", ",").alias("labels"), "score",
+    )
+
+
 def op3_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tiling.contaminated(documents(spark, sf_dir), benchmark(spark, sf_dir)).select(
         "doc_id", "item_id", "n_item_words", "n_tiles", "n_covered", "longest_tile", "coverage"
@@ -59,9 +85,31 @@ def op5_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secrets.scan_secrets(documents(spark, sf_dir), f"{scratch(spark, 'secrets')}/ledger")
+    base = [r.kind for r in secrets.BASE_RULES]
+    spelled = lambda spans: F.array_join(F.transform(spans, lambda x: F.concat_ws(":", x["kind"], x["start"], x["end"])), ",")
+    count = lambda kind: F.size(F.filter("spans", lambda x: x["kind"] == kind)).cast("long")
+    return found.select(
+        "doc_id", *[count(kind).alias(f"n_{kind}") for kind in base],
+        F.sha2(spelled(F.filter("spans", lambda x: x["kind"].isin(base))), 256).alias("base_sha256"),
+        spelled(F.col("spans")).alias("spans"),
+    )
+
+
+def op7_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pseudonyms.pseudonymize(documents(spark, sf_dir), DEMO_KEY)
+    kinds = F.array_join(F.array_sort(F.array_distinct(F.transform("found", lambda x: x["kind"]))), ",")
+    return found.select("doc_id", F.size("found").cast("long").alias("n_found"), kinds.alias("kinds"), "text")
+
+
+def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    counts = token_counts.lengths(documents(spark, sf_dir), RANKS, public_tokenizers.PATTERN)
+    return token_counts.suffix_sums(token_counts.histogram(counts))
+
+
 def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
-    return bpe.digests(documents(spark, sf_dir), path, public_tokenizers.PATTERN)
+    return bpe.digests(documents(spark, sf_dir), RANKS, public_tokenizers.PATTERN)
 
 
 def op10_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -72,9 +120,13 @@ def op10_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_rules": op1_quality_rules,
+    "op2_license_scan": op2_license_scan,
     "op3_benchmark_decontamination": op3_benchmark_decontamination,
     "op4_line_dedup": op4_line_dedup,
     "op5_simhash_near_dedup": op5_simhash_near_dedup,
+    "op6_secret_scan": op6_secret_scan,
+    "op7_pseudonyms": op7_pseudonyms,
+    "op8_token_counts": op8_token_counts,
     "op9_byte_bpe": op9_byte_bpe,
     "op10_suffix_array_dedup": op10_suffix_array_dedup,
     "pipeline": corpus_pipeline.run,
