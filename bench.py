@@ -37,7 +37,8 @@ from tidewater.plans import bronze, gold, reports, silver  # noqa: E402
 from tidewater.plans.catalog import QUERIES, REPORT_YEAR  # noqa: E402
 from tidewater.plans.common import LakePaths  # noqa: E402
 from tidewater.session import ensure_checkpoint_dir, local_session  # noqa: E402
-from tidewater.sources.fixtures import stage_landing_files, zone_lookup  # noqa: E402
+from tidewater.sources.fixtures import zone_lookup  # noqa: E402
+from tools.staging import stage_landing_files  # noqa: E402
 
 
 WARM_SF_DIR = "/root/testdata/sf0.001"

@@ -4,14 +4,14 @@ from __future__ import annotations
 
 import pytest
 
-from tidewater.operators.zones import bounded_broadcast, with_pickup_zone, zone_dimension
+from tidewater.operators.zones import with_pickup_zone, zone_dimension
 from tidewater.plans import gold
 from tidewater.sources.tables import read_table, read_zone_lookup
 
 
-def _csv(tmp_path, lines):
+def _csv(tmp_path, lines, header="LocationID,Borough,Zone,service_zone"):
     path = tmp_path / "taxi_zone_lookup.csv"
-    path.write_text("\n".join(["LocationID,Borough,Zone,service_zone", *lines]) + "\n")
+    path.write_text("\n".join([header, *lines]) + "\n")
     return str(path)
 
 
@@ -53,26 +53,25 @@ def test_unmatched_zone_keeps_fact_row(spark):
     assert joined.count() == 2
 
 
-def test_broadcast_only_within_bound(spark):
-    import contextlib
-    import io
-
-    fact = spark.range(1000).selectExpr("CAST(id % 50 AS INT) AS pulocationid", "1L AS total_trips")
-    dim = spark.range(50).selectExpr("CAST(id AS INT) AS location_id", "'b' AS borough", "'z' AS zone", "'s' AS service_zone")
-
-    def plan(frame):
-        buffer = io.StringIO()
-        with contextlib.redirect_stdout(buffer):
-            frame.explain()
-        return buffer.getvalue()
-
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    try:
-        assert "BroadcastHashJoin" in plan(with_pickup_zone(fact, dim, max_broadcast_rows=100))
-        assert "BroadcastHashJoin" not in plan(with_pickup_zone(fact, dim, max_broadcast_rows=10))
-    finally:
-        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-    assert bounded_broadcast(dim, 50) is not dim
+def test_columns_are_found_by_name_and_blank_ids_are_tolerated(spark, tmp_path):
+    path = _csv(tmp_path, [
+        "1,Yellow Zone,7,Harbour,Westside", "2,Boro Zone,,Nowhere,Unknown", "3,Boro Zone,,Elsewhere,", "4,EWR,x9,Odd,Eastside",
+    ], header="extra,service_zone,LocationID,Zone,Borough")
+    assert gold.build_dimension(spark, path, str(tmp_path / "dim"))
+    dim = read_table(spark, str(tmp_path / "dim"))
+    assert [(f.name, f.dataType.simpleString()) for f in dim.schema.fields] == [
+        ("location_id", "int"), ("borough", "string"), ("zone", "string"), ("service_zone", "string")
+    ]
+    rows = {r["zone"]: (r["location_id"], r["borough"], r["service_zone"]) for r in dim.collect()}
+    assert rows["Harbour"] == (7, "Westside", "Yellow Zone") and rows["Odd"][0] is None
+    assert rows["Nowhere"][0] is None and rows["Elsewhere"] == (None, None, "Boro Zone")
+    assert len(dim.inputFiles()) == 1
+
+
+def test_absent_column_is_named(spark, tmp_path):
+    path = _csv(tmp_path, ["1,Harbour,Yellow Zone"], header="LocationID,Zone,service_zone")
+    with pytest.raises(ValueError, match="Borough"):
+        gold.build_dimension(spark, path, str(tmp_path / "dim"))
 
 
 def test_reports_need_a_gold_fact(spark, tmp_path):

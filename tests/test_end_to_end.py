@@ -1,5 +1,6 @@
 """Landing → Bronze → Silver → Gold → reports on files (FIXTURES §B/§C),
-idempotent re-runs, period selection and the single-trip case (§A6)."""
+idempotent re-runs, period selection, and lakes that were left by other tools,
+lost their log or had months removed."""
 
 from __future__ import annotations
 
@@ -11,10 +12,13 @@ import pytest
 from pyspark.sql import functions as F
 
 from conftest import SF_SMALL
+from test_ingest import _trips, _write
 from tidewater.plans import bronze, fixture_flow, gold, reports, silver
 from tidewater.plans.common import LakePaths
 from tidewater.plans.orchestrate import RunConfig, run
-from tidewater.sources.fixtures import stage_landing_files, zone_lookup
+from tidewater.sources.fixtures import zone_lookup
+from tools.staging import stage_landing_files
+from tidewater.schemas import BRONZE_SCHEMA, FACT_SCHEMA, QUARANTINE_SCHEMA, SILVER_SCHEMA
 from tidewater.sources.tables import read_table
 
 
@@ -128,33 +132,123 @@ def test_period_selection_and_missing(spark, built_lake):
     assert only_year[0] == [] and len(only_year[2]) == 83  # all months, all done
 
 
-def test_single_trip_end_to_end(spark, tmp_path):
-    import pyarrow as pa
-    import pyarrow.parquet as pq
+def _bare_bronze(spark, root, rows, month):
+    """A Bronze month as another tool may have left it: no run-log, no batch
+    columns, no schema_family, and vendor ids as text."""
+    schema = (
+        "vendor_id string, vendor_name string, pickup_datetime timestamp, dropoff_datetime timestamp, passenger_count int,"
+        " trip_distance double, ratecode_id int, store_and_fwd_flag string, pulocationid int, dolocationid int, payment_type int,"
+        " fare_amount double, extra double, mta_tax double, tip_amount double, tolls_amount double, improvement_surcharge double,"
+        " congestion_surcharge double, airport_fee double, total_amount double"
+    )
+    full = [
+        (vendor, "V", start, end, riders, miles, 1, "Y", 41, 62, 2, fare, 0.0, 0.0, 1.25, 0.0, 0.0, 0.0, 0.0, fare + 1.25)
+        for vendor, start, end, riders, miles, fare in rows
+    ]
+    spark.createDataFrame(full, schema).write.parquet(f"{root}/year=2031/month={month}")
 
-    paths = LakePaths.under(str(tmp_path / "one"), lookup=str(tmp_path / "missing.csv"))
+
+def test_stages_start_from_a_bare_bronze_directory(spark, tmp_path):
+    paths = LakePaths.under(str(tmp_path / "bare"), lookup=str(tmp_path / "missing.csv"))
+    day = datetime(2031, 2, 11, 19, 5)
+    rows = [
+        ("4", day, day.replace(hour=20, minute=17), 3, 9.5, 44.0), (None, day, day.replace(minute=35), 1, 2.5, 11.5),
+        ("x", day, day, 1, 1.0, 5.0), ("4", day, day.replace(hour=21), 0, 1.0, 5.0), ("4", day, day.replace(hour=21), 2, 1.0, -5.0),
+    ]
+    _bare_bronze(spark, paths.bronze, rows, 2)
+    assert silver.transform(spark, paths).periods == [(2031, 2)]
+    stored = read_table(spark, paths.silver)
+    assert {f.name: f.dataType for f in stored.schema.fields} == {f.name: f.dataType for f in SILVER_SCHEMA.fields}
+    got = {r["vendor_id"]: r for r in stored.collect()}
+    assert set(got) == {4, None} and got[4]["trip_duration_minutes"] == 72.0 and got[None]["trip_duration_minutes"] == 30.0
+    assert {r["schema_family"] for r in got.values()} == {"yellow_tripdata"}
+    result = gold.transform(spark, paths, year=2031, month=2, batch_id="gold-bare")
+    assert not result.dimension_built and result.periods == [(2031, 2)]  # lookup missing: warned, not failed
+    fact = read_table(spark, paths.fact).collect()
+    assert [(r["pickup_hour"], r["total_trips"], r["total_passengers"], r["total_revenue"]) for r in fact] == [(19, 1, 4, 58.0)]
+    assert fact[0]["avg_duration_minutes"] == 51.0 and fact[0]["batch_id"] == "gold-bare"
+    assert silver.transform(spark, paths, year=2031, month=5).missing == [(2031, 5)]
+    assert gold.transform(spark, paths, year=2031, month=5).partitions_processed == 0
+
+
+def test_bronze_months_of_different_types_are_read_together(spark, tmp_path):
+    from tidewater.sources.tables import read_resolved
+
+    paths = LakePaths.under(str(tmp_path / "mixed"))
+    day = datetime(2031, 3, 1, 6)
+    _bare_bronze(spark, paths.bronze, [("7", day, day.replace(hour=7), 1, 1.0, 2.0)], 3)
+    spark.sql("SELECT 9 AS vendor_id, 2L AS passenger_count, 'modern' AS schema_family").write.parquet(f"{paths.bronze}/year=2031/month=4")
+    got = read_resolved(spark, paths.bronze, [(2031, 3), (2031, 4), (2031, 5)], BRONZE_SCHEMA)
+    rows = {(r["month"], r["vendor_id"], r["passenger_count"], r["schema_family"]) for r in got.collect()}
+    assert rows == {(3, 7, 1, None), (4, 9, 2, "modern")}
+    assert read_resolved(spark, paths.bronze, [(2030, 1)], BRONZE_SCHEMA) is None
+
+
+def test_lost_log_and_removed_months(spark, tmp_path):
+    """Without its log the lake's months still count; removed months are done
+    again or reported, and leave no stale fact rows."""
+    import shutil
+
+    paths = LakePaths.under(str(tmp_path / "lake"), lookup=str(tmp_path / "missing.csv"))
     os.makedirs(paths.landing)
-    row = {
-        "VendorID": pa.array([1], pa.int64()),
-        "tpep_pickup_datetime": pa.array([datetime(2026, 7, 16, 8, 30)], pa.timestamp("us")),
-        "tpep_dropoff_datetime": pa.array([datetime(2026, 7, 16, 8, 45)], pa.timestamp("us")),
-        "passenger_count": pa.array([1.0]), "trip_distance": pa.array([2.0]),
-        "RatecodeID": pa.array([1.0]), "store_and_fwd_flag": pa.array(["N"]),
-        "PULocationID": pa.array([100], pa.int64()), "DOLocationID": pa.array([101], pa.int64()),
-        "payment_type": pa.array([1], pa.int64()), "fare_amount": pa.array([15.0]),
-        "extra": pa.array([0.5]), "mta_tax": pa.array([0.5]), "tip_amount": pa.array([3.0]),
-        "tolls_amount": pa.array([0.0]), "improvement_surcharge": pa.array([0.3]),
-        "congestion_surcharge": pa.array([2.5]), "total_amount": pa.array([21.8]),
-    }
-    pq.write_table(pa.table(row), os.path.join(paths.landing, "yellow_tripdata_2026-07.parquet"))
-    bronze.ingest(spark, paths)
-    silver.transform(spark, paths, year=2026, month=7)
-    result = gold.transform(spark, paths, batch_id="gold-A6")
-    assert not result.dimension_built  # lookup missing: warned, not failed
-    assert read_table(spark, paths.silver).count() == 1
-    fact = read_table(spark, paths.fact).first()
-    assert fact["total_trips"] == 1 and fact["total_revenue"] == 21.8
-    assert fact["avg_duration_minutes"] == 15.0 and fact["batch_id"] == "gold-A6"
+    for month, n in ((1, 5), (2, 4), (3, 3)):
+        _write(paths.landing, f"yellow_tripdata_2026-0{month}.parquet", _trips(n, month))
+    run(spark, RunConfig(paths=paths))
+    before = _table_rows(spark, paths.fact, ("generated_at", "batch_id"))
+
+    shutil.rmtree(paths.run_log)
+    again = run(spark, RunConfig(paths=paths))
+    assert again["ingest"].files_skipped == 3 and again["silver"].skipped == [(2026, 1), (2026, 2), (2026, 3)]
+    assert again["gold"].partitions_processed == 3 and _table_rows(spark, paths.fact, ("generated_at", "batch_id")) == before
+
+    shutil.rmtree(f"{paths.silver}/year=2026/month=2")
+    modeled = gold.transform(spark, paths)
+    assert modeled.periods == [(2026, 1), (2026, 3)] and modeled.stale == [(2026, 2)]
+    assert {r["month"] for r in read_table(spark, paths.fact).select("month").distinct().collect()} == {1, 3}
+    assert gold.transform(spark, paths, year=2026, month=2).missing == [(2026, 2)]
+    assert silver.transform(spark, paths).periods == [(2026, 2)]
+
+    shutil.rmtree(f"{paths.bronze}/year=2026/month=1")
+    redone = run(spark, RunConfig(paths=paths, only_changed_gold=True))
+    assert redone["ingest"].periods == [(2026, 1)] and redone["ingest"].records_processed == 5
+    assert _table_rows(spark, paths.fact, ("generated_at", "batch_id")) == before
+    # Silver logs the batch that each month was made from: a new Bronze batch makes it pending
+    bronze.ingest(spark, paths, force=True)
+    assert silver.transform(spark, paths, force=True).partitions_processed == 3
+    assert silver.transform(spark, paths).periods == []
+    bronze.ingest(spark, paths, force=True)
+    assert silver.transform(spark, paths).periods == [(2026, 1), (2026, 2), (2026, 3)]
+    assert gold.transform(spark, paths, only_changed=True).periods == [(2026, 1), (2026, 2), (2026, 3)]
+    assert gold.transform(spark, paths, only_changed=True).periods == []
+
+
+def test_crash_while_logging_leaves_a_complete_lake(spark, tmp_path, monkeypatch):
+    from tidewater.plans import bronze as stage
+
+    paths = LakePaths.under(str(tmp_path / "lake"), lookup=str(tmp_path / "missing.csv"))
+    os.makedirs(paths.landing)
+    _write(paths.landing, "yellow_tripdata_2026-01.parquet", _trips(5, 1))
+
+    def crash(*_, **__):
+        raise RuntimeError("lost the driver")
+
+    with monkeypatch.context() as m:
+        m.setattr(stage, "log_run", crash)
+        with pytest.raises(RuntimeError):
+            bronze.ingest(spark, paths)
+    done = run(spark, RunConfig(paths=paths))
+    assert done["ingest"].files_skipped == 1 and done["silver"].rows_written == 5
+    assert read_table(spark, paths.bronze).count() == 5 and done["gold"].partitions_processed == 1
+
+
+def test_stored_types(spark, built_lake):
+    """The tables' real column types, which the oracle comparison cannot see."""
+    paths, _ = built_lake
+    for root, schema in (
+        (paths.bronze, BRONZE_SCHEMA), (paths.schema_violations, QUARANTINE_SCHEMA), (paths.silver, SILVER_SCHEMA), (paths.fact, FACT_SCHEMA)
+    ):
+        stored = {f.name: f.dataType for f in spark.read.parquet(root).schema.fields}
+        assert stored == {f.name: f.dataType for f in schema.fields}, root
 
 
 def test_gold_only_changed_months(spark, built_lake):
@@ -163,10 +257,10 @@ def test_gold_only_changed_months(spark, built_lake):
     assert full.partitions_processed == 83
     nothing = gold.transform(spark, paths, only_changed=True)
     assert nothing.partitions_processed == 0
-    # Silver re-transformed for one month → only that month is recomputed
-    from tidewater.sinks.writers import append_run_log
+    # another Silver batch of one month → only that month is recomputed
+    from tidewater.sinks.writers import log_run
 
-    append_run_log(spark, paths.run_log, "silver", {(1998, 3): (41, 0)}, "silver-manual")
+    log_run(spark, paths.run_log, "silver", {(1998, 3): (41, 0)}, "silver-manual")
     one = gold.transform(spark, paths, only_changed=True)
     assert one.periods == [(1998, 3)]
     assert read_table(spark, paths.fact).count() == 3647

@@ -169,8 +169,7 @@ def test_compatible_files_are_read_in_one_scan(spark, lake):
 
 
 def test_months_written_by_another_tool(spark, lake):
-    """Without a run-log entry a Bronze month is re-ingested (dynamic overwrite
-    replaces it); with discover_partitions it counts as done."""
+    """A Bronze month counts as done whoever wrote it; ``force`` replaces it."""
     from tidewater.operators.split import bronze_rows
     from tidewater.plans.bronze import normalized_landing
     from tidewater.sinks.writers import write_partitioned
@@ -180,13 +179,58 @@ def test_months_written_by_another_tool(spark, lake):
     files = list_landing_files(spark, lake.landing)
     external = bronze_rows(normalized_landing(spark, files, "external")).limit(2)
     write_partitioned(external, lake.bronze)  # 2 rows, no run-log entry
-    adopted = bronze.ingest(spark, lake, discover_partitions=True)
+    adopted = bronze.ingest(spark, lake)
     assert adopted.files_skipped == 1 and read_table(spark, lake.bronze).count() == 2
-    replaced = bronze.ingest(spark, lake)
+    replaced = bronze.ingest(spark, lake, force=True)
     assert replaced.files_skipped == 0 and replaced.records_processed == 5
     assert read_table(spark, lake.bronze).count() == 5
 
 
+def test_one_landing_file_per_month(spark, lake, tmp_path):
+    """Of two files for a month the first by path counts, with and without
+    dedup; a name that only ends like a landing file is refused."""
+    from tidewater.sources.landing import LandingFile, list_landing_files
+
+    other = str(tmp_path / "other")
+    os.makedirs(other)
+    _write(lake.landing, "yellow_tripdata_2026-05.parquet", _trips(4, 5))
+    _write(other, "yellow_tripdata_2026-05.parquet", _trips(9, 5))
+    first = list_landing_files(spark, lake.landing)
+    files = first + [LandingFile("file:" + f"{other}/yellow_tripdata_2026-05.parquet", 2026, 5)]
+    assert sorted(files, key=lambda f: f.path)[0] == first[0]
+    for dedup in (False, True):
+        result = bronze.ingest_files(spark, files, lake, dedup=dedup, force=True)
+        assert (result.files_skipped, result.records_processed) == (1, 4)
+        assert read_table(spark, lake.bronze).count() == 4
+    _write(lake.landing, "yellow_tripdata_yellow_tripdata_2026-05.parquet", _trips(3, 5))
+    with pytest.raises(ValueError, match="yellow_tripdata_yellow"):
+        bronze.ingest(spark, lake)
+
+
+@pytest.mark.parametrize("name", ["yellow_tripdata_2026-13.parquet", "yellow_tripdata_2026-00.parquet", "yellow_tripdata_26-01.parquet"])
+def test_impossible_months_are_refused(name):
+    from tidewater.sources.landing import parse_period
+
+    with pytest.raises(ValueError):
+        parse_period(name)
+
+
+def test_quarantine_has_one_file_a_month(spark, lake):
+    for month in (1, 2, 3):
+        _write(lake.landing, f"yellow_tripdata_2026-0{month}.parquet", _trips(6, month, passenger=[None, 1, None, 1, None, 1]))
+    bronze.ingest(spark, lake)
+    files = read_table(spark, lake.schema_violations).inputFiles()
+    assert len(files) == 3 and len({f.rsplit("/", 1)[0] for f in files}) == 3
+
+
+def test_unreadable_landing_file_is_reported_as_such(spark, lake):
+    _write(lake.landing, "yellow_tripdata_2026-01.parquet", _trips(2, 1))
+    with open(os.path.join(lake.landing, "yellow_tripdata_2026-02.parquet"), "wb") as f:
+        f.write(b"not parquet at all")
+    with pytest.raises(Exception, match="(?i)footer|parquet"):
+        bronze.ingest(spark, lake)
+
+
 def test_hot_duplicate_key_holding_a_third_of_the_rows(spark, lake):
     """One trip repeated as a third of a month: one copy kept, every other copy
     quarantined, nothing dropped or capped."""
@@ -235,16 +279,15 @@ def test_month_failing_every_rule_is_not_reprocessed(spark, lake):
     assert again.partitions_processed == 0 and again.skipped == [(2026, 10), (2026, 11)]
 
 
-def test_run_log_compaction_keeps_every_entry(spark, lake):
-    from tidewater.sinks.writers import append_run_log, compact_run_log
+def test_run_log_has_one_row_per_stage_and_month(spark, lake):
+    from tidewater.sinks.writers import log_run
     from tidewater.sources.tables import run_log_summary
 
-    for month in range(1, 13):
-        append_run_log(spark, lake.run_log, "silver", {(2025, month): (month, 0)}, f"b{month}")
-    before = run_log_summary(spark, lake.run_log)
-    rows_before = sorted(tuple(r) for r in read_table(spark, lake.run_log).collect())
-    assert compact_run_log(spark, lake.run_log, max_files=5)
-    assert len(read_table(spark, lake.run_log).inputFiles()) == 1
-    assert run_log_summary(spark, lake.run_log) == before
-    assert sorted(tuple(r) for r in read_table(spark, lake.run_log).collect()) == rows_before
-    assert not compact_run_log(spark, lake.run_log, max_files=5)
+    for turn in range(3):
+        log_run(spark, lake.run_log, "silver", {(2025, m): (m + turn, 0) for m in (1, 2)}, f"b{turn}", {(2025, 1): "src"})
+        log_run(spark, lake.run_log, "gold", {(2025, 1): (None, None)}, f"g{turn}")
+    assert read_table(spark, lake.run_log).count() == 3
+    summary = run_log_summary(spark, lake.run_log)
+    one = summary["silver"][(2025, 1)]
+    assert (one.rows_written, one.batch_id, one.source_batch_id) == (3, "b2", "src")
+    assert summary["silver"][(2025, 2)].source_batch_id is None and summary["gold"][(2025, 1)].rows_written is None

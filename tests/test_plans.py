@@ -12,11 +12,13 @@ import pytest
 import __spark_entry__ as contract
 from conftest import SF_SMALL
 from test_ingest import _drifting_landing
-from tidewater.operators.split import schema_violations
-from tidewater.plans import bronze, gold, reports, silver
+from tidewater.operators.dedup import mark_duplicates
+from tidewater.operators.split import schema_violations, valid_rows
+from tidewater.plans import bronze, catalog, gold, reports, silver
 from tidewater.plans.bronze import normalized_landing
 from tidewater.sources.landing import list_landing_files
-from tidewater.sources.tables import read_periods
+from tidewater.schemas import BRONZE_SCHEMA
+from tidewater.sources.tables import read_periods, read_resolved
 
 
 def plan_of(frame) -> str:
@@ -44,9 +46,9 @@ def small_lake(spark, tmp_path_factory):
 
 
 def test_silver_scan_prunes_months_and_pushes_rules(spark, small_lake):
-    frame = silver.build_silver(read_periods(spark, small_lake.bronze, [(2026, 2)]), "b")
+    frame = silver.build_silver(read_resolved(spark, small_lake.bronze, [(2026, 2)], BRONZE_SCHEMA), "b")
     plan = plan_of(frame)
-    assert "PartitionFilters" in plan and "year" in plan.split("PartitionFilters")[1].splitlines()[0]
+    assert all("/year=2026/month=2/" in f for f in frame.inputFiles())
     pushed = plan.split("PushedFilters:")[1].splitlines()[0]
     for rule in ("GreaterThan(passenger_count,0)", "GreaterThan(trip_distance,0.0)",
                  "GreaterThan(pulocationid,0)", "GreaterThanOrEqual(fare_amount,0.0)"):
@@ -80,13 +82,48 @@ def test_fact_aggregation_is_partial_then_final(spark):
     assert plan.count("HashAggregate") >= 2 and "SortAggregate" not in plan
 
 
-def test_dedup_uses_hash_aggregation_and_never_broadcasts(spark):
+def test_dedup_aggregates_by_hash_and_joins_the_few_repeated_keys(spark, small_lake, tmp_path):
     plan = plan_of(contract.queries()["dedup_clean"](spark, SF_SMALL))
     assert "SortAggregate" not in plan and "HashAggregate" in plan
-    assert "SortMergeJoin" in plan and "BroadcastHashJoin" not in plan
 
+    def stored(repeated):
+        repeated.write.parquet(str(tmp_path / "repeated"))
+        return spark.read.parquet(str(tmp_path / "repeated"))
 
-@pytest.mark.parametrize("name", sorted(contract.queries()))
+    files = list_landing_files(spark, small_lake.landing)
+    marked = mark_duplicates(valid_rows(normalized_landing(spark, files, "b")), materialize=stored)
+    plan = plan_of(marked)
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan  # full rows are not shuffled
+
+
+def test_newest_year_is_a_literal_and_reads_one_year(spark, small_lake):
+    year = reports.newest_year(spark, small_lake)
+    assert year == 2026
+    fact, dim = reports.load_gold(spark, small_lake)
+    for frame in (reports.kpis(fact, year), reports.trend(fact, dim, year), reports.borough_ranking(fact, dim, year), reports.hourly_profile(fact, year)):
+        filters = [line for line in plan_of(frame).splitlines() if line.startswith("PartitionFilters")]
+        assert filters and all("year" in f and "= 2026)" in f for f in filters)
+
+
+def test_building_reports_starts_no_job(spark, small_lake):
+    fact, dim = reports.load_gold(spark, small_lake)
+    spark.sparkContext.setJobGroup("build-reports", "plans only")
+    try:
+        frame = reports.borough_ranking(fact, dim, 2026)
+        reports.trend(fact, dim, 2026, "pickup_borough")
+        jobs = spark.sparkContext.statusTracker().getJobIdsForGroup("build-reports")
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert not jobs
+    assert "BroadcastHashJoin" in plan_of(frame)  # by the dimension's size in bytes
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert "BroadcastHashJoin" not in plan_of(reports.borough_ranking(fact, dim, 2026))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+@pytest.mark.parametrize("name", sorted(catalog.QUERIES))
 def test_no_python_and_no_pairwise_join_in_the_plan(spark, name):
     plan = plan_of(contract.queries()[name](spark, SF_SMALL))
     for marker in ("BatchEvalPython", "ArrowEvalPython", "PythonUDF", "FlatMapGroupsInPandas"):
@@ -96,8 +133,6 @@ def test_no_python_and_no_pairwise_join_in_the_plan(spark, name):
 
 
 def test_reading_months_lists_only_their_directories(spark, small_lake):
-    from tidewater.schemas import BRONZE_SCHEMA
-
     frame = read_periods(spark, small_lake.bronze, [(2026, 2)], BRONZE_SCHEMA)
     files = frame.inputFiles()
     assert files and all("/year=2026/month=2/" in f for f in files)

@@ -17,7 +17,7 @@ def test_stream_ingests_new_files_once(spark, lake, tmp_path):
     query, progress = ingest_stream(spark, lake, ckpt, max_files_per_trigger=1)
     query.awaitTermination()
     assert progress.records_processed == 9
-    assert len(progress.batches) == 2
+    assert progress.batches == 2 and progress.last.landing_files == 1
     assert read_table(spark, lake.bronze).count() == 9
 
     _write(lake.landing, "yellow_tripdata_2026-03.parquet", _trips(3, 3))

@@ -43,15 +43,11 @@ def build_parser() -> argparse.ArgumentParser:
     parser.add_argument("--year", default=None)
     parser.add_argument("--month", default=None)
     parser.add_argument("--dedup", action="store_true", help="quarantine duplicate trips")
-    parser.add_argument(
-        "--discover-partitions",
-        action="store_true",
-        help="also treat months already present in the tables (not only in the run-log) as done",
-    )
+    parser.add_argument("--force", action="store_true", help="ingest and transform done months again")
     parser.add_argument(
         "--only-changed",
         action="store_true",
-        help="gold: recompute only the months Silver logged since the last Gold run",
+        help="gold: recompute only the months whose Silver batch is not the one their fact was made from",
     )
     parser.add_argument("--drill-down", default="is_weekend", choices=TREND_DIMENSIONS)
     parser.add_argument("--checkpoint", default=None, help="stream checkpoint location")
@@ -73,27 +69,22 @@ def main(argv: list[str] | None = None) -> None:
     )
     paths = _paths(args)
     year, month, batch = optional_int(args.year), optional_int(args.month), optional_str(args.batch_id)
-    discover = args.discover_partitions
     try:
         if args.stage == "ingest":
-            _emit(bronze.ingest(spark, paths, batch_id=batch, dedup=args.dedup, discover_partitions=discover))
+            _emit(bronze.ingest(spark, paths, batch_id=batch, dedup=args.dedup, force=args.force))
         elif args.stage == "silver":
-            _emit(silver.transform(spark, paths, year=year, month=month, batch_id=batch, discover_partitions=discover))
+            _emit(silver.transform(spark, paths, year=year, month=month, batch_id=batch, force=args.force))
         elif args.stage == "gold":
-            _emit(
-                gold.transform(
-                    spark, paths, year=year, month=month, batch_id=batch,
-                    only_changed=args.only_changed, discover_partitions=discover,
-                )
-            )
+            _emit(gold.transform(spark, paths, year=year, month=month, batch_id=batch, only_changed=args.only_changed))
         elif args.stage == "run":
             cfg = RunConfig(
                 paths=paths, batch_id=batch, year=year, month=month, dedup=args.dedup,
-                only_changed_gold=args.only_changed, discover_partitions=discover,
+                only_changed_gold=args.only_changed, force=args.force,
             )
             _emit({k: asdict(v) for k, v in run(spark, cfg).items()})
         elif args.stage == "report":
             fact, dim = reports.load_gold(spark, paths)
+            year = reports.newest_year(spark, paths) if year is None else year
             outputs = {
                 "years": reports.available_years(fact),
                 "kpis": reports.kpis(fact, year),
@@ -109,6 +100,6 @@ def main(argv: list[str] | None = None) -> None:
             ckpt = args.checkpoint or f"{args.root.rstrip('/')}/_checkpoints/landing_stream"
             query, progress = ingest_stream(spark, paths, ckpt, dedup=args.dedup)
             query.awaitTermination()
-            _emit({"records_processed": progress.records_processed, "batches": len(progress.batches)})
+            _emit({"records_processed": progress.records_processed, "batches": progress.batches})
     finally:
         spark.stop()

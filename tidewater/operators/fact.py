@@ -18,6 +18,7 @@ def aggregate_fact(silver: DataFrame) -> DataFrame:
     ``total_trips`` counts non-NULL vendors (not rows) and the averages divide
     by their own non-NULL inputs, as the fact has always defined them.
     """
+    # fixed values: names, order and definitions of the nine stored measures
     return silver.groupBy(*FACT_KEYS).agg(
         F.count("vendor_id").alias("total_trips"),
         F.sum("passenger_count").alias("total_passengers"),

@@ -2,49 +2,25 @@
 
 from __future__ import annotations
 
-import weakref
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidewater.schemas import PICKUP_ZONE_RENAMES, ZONE_RENAMES
 
-# A zone lookup has a few hundred rows; anything near this bound is not a
-# lookup any more and must not be shipped to every executor.
-DEFAULT_BROADCAST_MAX_ROWS = 1_000_000
-
-# Size checks already made, per frame object and bound: several reports over
-# the same dimension frame check it once.
-_checked: "weakref.WeakKeyDictionary[DataFrame, dict[int, bool]]" = weakref.WeakKeyDictionary()
-
 
 def zone_dimension(lookup: DataFrame) -> DataFrame:
     """Lookup (LocationID, Borough, Zone, service_zone) → snake_case dimension."""
     return lookup.select(*[F.col(src).alias(dst) for src, dst in ZONE_RENAMES.items()])
 
 
-def bounded_broadcast(frame: DataFrame, max_rows: int = DEFAULT_BROADCAST_MAX_ROWS) -> DataFrame:
-    """``broadcast(frame)`` when it has at most ``max_rows`` rows, else the
-    frame unchanged, leaving Spark a shuffle join (with AQE skew handling).
-
-    The check reads at most ``max_rows + 1`` rows, so it stays cheap even when
-    the frame turns out to be large.
-    """
-    known = _checked.setdefault(frame, {})
-    if max_rows not in known:
-        known[max_rows] = frame.limit(max_rows + 1).count() <= max_rows
-    return F.broadcast(frame) if known[max_rows] else frame
-
-
-def with_pickup_zone(
-    fact: DataFrame, dim: DataFrame, max_broadcast_rows: int = DEFAULT_BROADCAST_MAX_ROWS
-) -> DataFrame:
+def with_pickup_zone(fact: DataFrame, dim: DataFrame) -> DataFrame:
     """fact LEFT JOIN dim ON pulocationid = location_id.
 
     Dimension columns are renamed with a ``pickup_`` prefix and the key is
     dropped; an unmatched pickup zone keeps its fact row with NULL zone
-    columns. Drop-off zones are not joined.
+    columns. Drop-off zones are not joined. Spark broadcasts the dimension by
+    its size in bytes (``spark.sql.autoBroadcastJoinThreshold``), or joins by
+    sort and merge and splits hot locations.
     """
-    zones = bounded_broadcast(dim, max_broadcast_rows).withColumnsRenamed(PICKUP_ZONE_RENAMES)
-    joined = fact.join(zones, F.col("pulocationid") == F.col("location_id"), "left")
-    return joined.drop("location_id")
+    zones = dim.withColumnsRenamed(PICKUP_ZONE_RENAMES)
+    return fact.join(zones, F.col("pulocationid") == F.col("location_id"), "left").drop("location_id")

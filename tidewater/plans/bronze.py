@@ -3,15 +3,14 @@
 Plan per run, independent of the number of files or months:
 
 1. list landing files through Spark and validate every name (no write yet);
-2. pending months = landed months − done months (from the run-log; with
-   ``discover_partitions`` also the months Bronze already holds); a
-   re-delivered file for a done month is skipped;
+2. pending months = landed months less done months (Bronze's directories, and
+   months logged to have had no valid rows); the first file of a month counts,
+   others and files of done months are skipped;
 3. read the pending files in one scan when their schemas merge, else one scan
    per footer schema; normalise each to the Bronze layout and ``unionByName``;
-4. write the quarantine first, then Bronze, then the run-log row that commits
-   the months, each data write with dynamic partition overwrite. A crash
-   anywhere leaves the months uncommitted; the re-run replaces what was half
-   written.
+4. write the quarantine first, then Bronze, then the run-log, each with dynamic
+   partition overwrite. A month is done once Bronze holds it; a crash before
+   leaves it pending, and the re-run replaces what was half written.
 
 Each landing file is scanned twice (quarantine and Bronze writes). The Bronze
 pass's ``IS NOT NULL`` checks on same-typed source columns reach the Parquet
@@ -25,7 +24,7 @@ import time
 from dataclasses import dataclass, field
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewater.operators.dedup import ROW_ID, duplicate_rows, mark_duplicates, unique_rows
@@ -40,19 +39,20 @@ from tidewater.plans.common import (
     LakePaths,
     batch_timestamp,
     logger,
-    maintain_run_log,
     new_batch_id,
-    period_counts,
-    stage_periods,
+    stage_state,
+    table_counts,
 )
 from tidewater.schemas import BRONZE_SCHEMA, DUPLICATE_REASON, FAILURE_DUPLICATE, QUARANTINE_SCHEMA
 from tidewater.session import ensure_checkpoint_dir
-from tidewater.sinks.writers import append_run_log, write_partitioned
+from tidewater.sinks.writers import log_run, write_partitioned
 from tidewater.sources.landing import (
     LandingFile,
     list_landing_files,
+    one_per_month,
     read_landing,
 )
+from tidewater.sources.tables import drop_periods, period_dirs
 
 STAGE = "bronze"
 
@@ -94,13 +94,12 @@ def normalized_landing(
 
 
 def pending_files(
-    spark: SparkSession, files: list[LandingFile], paths: LakePaths, discover_partitions: bool = False
-) -> tuple[list[LandingFile], list[tuple[int, int]]]:
-    """Files whose period is not done yet (landed periods minus done
-    periods; both sets hold at most one entry per month)."""
-    _, done = stage_periods(spark, paths, STAGE, paths.bronze, discover_partitions=discover_partitions)
-    todo = [f for f in files if (f.year, f.month) not in done]
-    return todo, sorted({(f.year, f.month) for f in todo})
+    spark: SparkSession, files: list[LandingFile], paths: LakePaths, force: bool = False
+) -> list[LandingFile]:
+    """The first file of every month that is not done yet, or with ``force`` of
+    every month."""
+    done = set() if force else stage_state(spark, paths, STAGE, paths.bronze).done
+    return [f for f in one_per_month(files) if (f.year, f.month) not in done]
 
 
 def ingest(
@@ -109,22 +108,19 @@ def ingest(
     batch_id: str | None = None,
     dedup: bool = False,
     layout: str = "scan",
-    discover_partitions: bool = False,
+    force: bool = False,
 ) -> IngestResult:
     """Ingest every pending landing file into Bronze and quarantine.
 
     Raises ``FileNotFoundError`` when the landing directory has no trip
     files and ``ValueError`` for a file name without a period, before any
-    write. With ``dedup`` the valid rows are also checked for duplicate
-    business keys within their month; copies go to
-    ``quarantine/duplicate_records``. ``discover_partitions`` also treats
-    months already present in Bronze (but not in the run-log) as done.
+    write. A month that Bronze holds, or that is logged to have had no valid
+    rows, is skipped unless ``force`` is set. With ``dedup`` the valid rows are
+    also checked for duplicate business keys within their month; copies go to
+    ``quarantine/duplicate_records``.
     """
     files = list_landing_files(spark, paths.landing)
-    return ingest_files(
-        spark, files, paths, batch_id=batch_id, dedup=dedup, layout=layout,
-        discover_partitions=discover_partitions,
-    )
+    return ingest_files(spark, files, paths, batch_id=batch_id, dedup=dedup, layout=layout, force=force)
 
 
 def ingest_files(
@@ -134,12 +130,14 @@ def ingest_files(
     batch_id: str | None = None,
     dedup: bool = False,
     layout: str = "scan",
-    discover_partitions: bool = False,
+    force: bool = False,
 ) -> IngestResult:
-    """Ingest the given landing files (those of done months are skipped)."""
+    """Ingest the given landing files. Of several files for one month the first
+    by path counts; the others, and files of done months, are skipped."""
     start = time.time()
     active_batch = batch_id or new_batch_id()
-    todo, periods = pending_files(spark, files, paths, discover_partitions)
+    todo = pending_files(spark, files, paths, force)
+    periods = sorted((f.year, f.month) for f in todo)
     result = IngestResult(active_batch, len(files), len(files) - len(todo), periods=periods)
     logger.info("ingest start batch=%s files=%d pending=%d", active_batch, len(files), len(todo))
     if not todo:
@@ -147,53 +145,39 @@ def ingest_files(
         return result
 
     normalized = normalized_landing(spark, todo, active_batch)
+    # a month done again may come out without rows of one kind, which dynamic
+    # overwrite would leave in place; until its new rows are written it is not done
+    for root in (paths.bronze, paths.schema_violations, paths.duplicate_records):
+        drop_periods(spark, root, period_dirs(spark, root) & set(periods))
 
-    violations_obs = Observation("schema_violations")
-    write_partitioned(
-        schema_violations(normalized).observe(violations_obs, F.count(F.lit(1)).alias("rows")),
-        paths.schema_violations,
-        layout=layout,
-    )
-    result.schema_violations = int(violations_obs.get["rows"])
+    # rejects are few: one file a month, not one a scan task
+    write_partitioned(schema_violations(normalized), paths.schema_violations, layout="rebalance")
 
     valid = valid_rows(normalized)
     if dedup:
-        by_period: dict[tuple[int, int], list[str]] = {}
-        for f in todo:
-            by_period.setdefault((f.year, f.month), []).append(f.name)
-        shared = {p: names for p, names in by_period.items() if len(names) > 1}
-        if shared:
-            # the row identity (row index in the month's file) needs one file per month
-            raise ValueError(f"several landing files for one month, cannot deduplicate: {shared}")
-        ensure_checkpoint_dir(spark, paths.checkpoint_fallback)
-        marked = mark_duplicates(valid, materialize=lambda kept: kept.checkpoint(eager=True))
-        dup_obs = Observation("duplicates")
-        write_partitioned(
-            quarantine_projection(duplicate_rows(marked), FAILURE_DUPLICATE, DUPLICATE_REASON).observe(
-                dup_obs, F.count(F.lit(1)).alias("rows")
-            ),
-            paths.duplicate_records,
-            layout=layout,
-        )
-        result.duplicates = int(dup_obs.get["rows"])
+        base = ensure_checkpoint_dir(spark, paths.checkpoint_fallback)
+        repeated_root = f"{base.rstrip('/')}/repeated-{active_batch}"
+
+        def stored(repeated: DataFrame) -> DataFrame:
+            repeated.write.mode("overwrite").parquet(repeated_root)
+            return spark.read.schema(repeated.schema).parquet(repeated_root)
+
+        marked = mark_duplicates(valid, materialize=stored)
+        copies = quarantine_projection(duplicate_rows(marked), FAILURE_DUPLICATE, DUPLICATE_REASON)
+        write_partitioned(copies, paths.duplicate_records, layout="rebalance")
         valid = unique_rows(marked)
 
-    bronze_obs = Observation("bronze")
-    write_partitioned(
-        bronze_projection(valid).observe(bronze_obs, F.count(F.lit(1)).alias("rows")),
-        paths.bronze,
-        layout=layout,
-    )
-    result.records_processed = int(bronze_obs.get["rows"])
+    write_partitioned(bronze_projection(valid), paths.bronze, layout=layout)
 
-    written = period_counts(spark, paths.bronze, periods, BRONZE_SCHEMA)
-    rejected = period_counts(spark, paths.schema_violations, periods, QUARANTINE_SCHEMA)
+    tables = {"written": (paths.bronze, BRONZE_SCHEMA), "rejected": (paths.schema_violations, QUARANTINE_SCHEMA)}
     if dedup:
-        duplicates = period_counts(spark, paths.duplicate_records, periods, QUARANTINE_SCHEMA)
-        rejected = {p: n + duplicates[p] for p, n in rejected.items()}
-    counts = {p: (written[p], rejected[p]) for p in periods}
-    append_run_log(spark, paths.run_log, STAGE, counts, active_batch)
-    maintain_run_log(spark, paths)
+        tables["duplicates"] = (paths.duplicate_records, QUARANTINE_SCHEMA)
+    n = table_counts(spark, tables, periods)
+    result.records_processed = sum(n["written"].values())
+    result.schema_violations = sum(n["rejected"].values())
+    result.duplicates = sum(n.get("duplicates", {}).values())
+    counts = {p: (n["written"][p], n["rejected"][p] + n.get("duplicates", {}).get(p, 0)) for p in periods}
+    log_run(spark, paths.run_log, STAGE, counts, active_batch)
 
     result.job_duration_sec = time.time() - start
     logger.info(

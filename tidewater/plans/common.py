@@ -1,4 +1,4 @@
-"""Shared pieces of the stage jobs: paths, batch ids, done-sets, counts."""
+"""Shared pieces of the stage jobs: paths, batch ids, stage state, counts."""
 
 from __future__ import annotations
 
@@ -6,13 +6,14 @@ import logging
 import uuid
 from dataclasses import dataclass
 from datetime import datetime, timezone
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from tidewater.operators.periods import PERIOD
-from tidewater.schemas import RUN_LOG_SCHEMA
-from tidewater.sources.tables import partition_periods, read_periods, read_table, run_log_summary
+from tidewater.sources.tables import period_dirs, read_periods, run_log_summary
 
 logger = logging.getLogger("tidewater")
 
@@ -84,65 +85,67 @@ def batch_timestamp() -> Column:
     return F.lit(datetime.now(timezone.utc)).cast("timestamp")
 
 
-def stage_periods(
+@dataclass(frozen=True)
+class StageState:
+    """Periods of one stage: ``source`` holds data to read, ``stored`` holds
+    this stage's data, ``done`` needs no work; ``source_batches`` names the
+    batch that wrote each source period, where known."""
+
+    source: set[tuple[int, int]]
+    stored: set[tuple[int, int]]
+    done: set[tuple[int, int]]
+    source_batches: dict[tuple[int, int], str | None]
+
+
+def stage_state(
     spark: SparkSession,
     paths: LakePaths,
-    done_stage: str,
-    done_root: str | None,
+    stage: str,
+    root: str,
     source_stage: str | None = None,
     source_root: str | None = None,
-    discover_partitions: bool = False,
-) -> tuple[set[tuple[int, int]], set[tuple[int, int]]]:
-    """(source periods holding data, periods ``done_stage`` has finished).
-
-    The run-log is the commit record: every run appends one row per month it
-    wrote, after the data, including months that produced no rows. One small
-    aggregate over it answers both questions, whatever the size of the
-    tables. With ``discover_partitions`` the partitions present in the tables
-    count too — for adopting tables written by another tool; that lists and
-    reads the footers of every file of those tables, costly when they are
-    large.
+) -> StageState:
+    """What there is to do for ``stage``, from the table directories.
+
+    A month holds data if its directory holds a data file, whoever wrote it:
+    tables restored without their log, or written by another tool, count, and a
+    removed month is to be done again. The run-log adds what directories cannot
+    show: months that were processed and produced no rows are done too, and a
+    month that was made from another batch than the source month now holds is
+    not.
     """
-    summary = run_log_summary(spark, paths.run_log)
-    done = set(summary.get(done_stage, {}))
-    source = {p for p, has_rows in summary.get(source_stage or "", {}).items() if has_rows}
-    if discover_partitions:
-        if done_root is not None:
-            done |= set(collect_periods(partition_periods(spark, done_root)))
-        if source_root is not None:
-            source |= set(collect_periods(partition_periods(spark, source_root)))
-    return source, done
-
-
-def collect_periods(frame: DataFrame) -> list[tuple[int, int]]:
-    """A period set to the driver: at most one row per month."""
-    return sorted((int(r["year"]), int(r["month"])) for r in frame.select(*PERIOD).collect())
-
-
-def period_counts(
-    spark: SparkSession, root: str, periods: list[tuple[int, int]], schema=None
-) -> dict[tuple[int, int], int]:
-    """Rows per period of a written table (0 for periods without rows).
+    log = run_log_summary(spark, paths.run_log)
+    mine, theirs = log.get(stage, {}), log.get(source_stage or "", {})
+    source = period_dirs(spark, source_root) if source_root else set()
+    stored = period_dirs(spark, root)
+    done = stored | {p for p, entry in mine.items() if entry.rows_written == 0}
+    outdated = {
+        p
+        for p, entry in mine.items()
+        if entry.source_batch_id and p in theirs and theirs[p].batch_id != entry.source_batch_id
+    }
+    return StageState(source, stored, done - outdated, {p: entry.batch_id for p, entry in theirs.items()})
+
+
+def table_counts(
+    spark: SparkSession,
+    tables: dict[str, tuple[str, StructType]],
+    periods: list[tuple[int, int]],
+) -> dict[str, dict[tuple[int, int], int]]:
+    """name → {period: rows} of several written tables (0 for periods without
+    rows), in one job over all of them.
 
     Only row counts are needed, which Parquet keeps in its footers, so no
-    column data is decoded; the result has one entry per month.
+    column data is decoded; the result has one entry per table and month.
     """
-    counts = {period: 0 for period in periods}
-    frame = read_periods(spark, root, periods, schema)
-    if frame is not None:
-        for row in frame.groupBy(*PERIOD).count().collect():
-            counts[(int(row["year"]), int(row["month"]))] = int(row["count"])
+    counts = {name: dict.fromkeys(periods, 0) for name in tables}
+    frames = []
+    for name, (root, schema) in tables.items():
+        frame = read_periods(spark, root, periods, schema)
+        if frame is not None:
+            frames.append(frame.select(F.lit(name).alias("name"), *PERIOD))
+    if frames:
+        together = reduce(lambda a, b: a.unionAll(b), frames)
+        for r in together.groupBy("name", *PERIOD).count().collect():
+            counts[r["name"]][(int(r["year"]), int(r["month"]))] = int(r["count"])
     return counts
-
-
-def maintain_run_log(spark: SparkSession, paths: LakePaths) -> None:
-    """Compact the run-log once it has grown to many small files."""
-    from tidewater.session import ensure_checkpoint_dir
-    from tidewater.sinks.writers import RUN_LOG_MAX_FILES, compact_run_log
-
-    log = read_table(spark, paths.run_log, RUN_LOG_SCHEMA)
-    if log is None or len(log.inputFiles()) <= RUN_LOG_MAX_FILES:
-        return
-    ensure_checkpoint_dir(spark, paths.checkpoint_fallback)
-    if compact_run_log(spark, paths.run_log):
-        logger.info("run-log compacted at %s", paths.run_log)

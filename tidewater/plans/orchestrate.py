@@ -43,7 +43,7 @@ class RunConfig:
     silver_period: bool = False
     dedup: bool = False
     only_changed_gold: bool = False
-    discover_partitions: bool = False
+    force: bool = False
 
     @classmethod
     def from_strings(cls, paths: LakePaths, **values: Any) -> "RunConfig":
@@ -55,19 +55,13 @@ class RunConfig:
             silver_period=bool(values.get("silver_period", False)),
             dedup=bool(values.get("dedup", False)),
             only_changed_gold=bool(values.get("only_changed_gold", False)),
-            discover_partitions=bool(values.get("discover_partitions", False)),
+            force=bool(values.get("force", False)),
         )
 
 
 def run(spark: SparkSession, cfg: RunConfig) -> dict[str, Any]:
-    discover = cfg.discover_partitions
-    ingested = bronze.ingest(
-        spark, cfg.paths, batch_id=cfg.batch_id, dedup=cfg.dedup, discover_partitions=discover
-    )
+    ingested = bronze.ingest(spark, cfg.paths, batch_id=cfg.batch_id, dedup=cfg.dedup, force=cfg.force)
     year, month = (cfg.year, cfg.month) if cfg.silver_period else (None, None)
-    transformed = silver.transform(spark, cfg.paths, year=year, month=month, discover_partitions=discover)
-    modeled = gold.transform(
-        spark, cfg.paths, year=cfg.year, month=cfg.month, only_changed=cfg.only_changed_gold,
-        discover_partitions=discover,
-    )
+    transformed = silver.transform(spark, cfg.paths, year=year, month=month, force=cfg.force)
+    modeled = gold.transform(spark, cfg.paths, year=cfg.year, month=cfg.month, only_changed=cfg.only_changed_gold)
     return {"ingest": ingested, "silver": transformed, "gold": modeled}

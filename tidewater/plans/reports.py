@@ -1,4 +1,5 @@
-"""Report queries over the Gold star schema: DataFrame in, DataFrame out.
+"""Report queries over the Gold star schema: DataFrame in, DataFrame out. The
+result column names are fixed values.
 
 Each report returns a small, already aggregated frame; the caller collects it.
 Reports that need the zone name pre-aggregate the fact per pickup location
@@ -16,21 +17,23 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidewater.functions import guarded_ratio, zero_if_null
-from tidewater.operators.zones import DEFAULT_BROADCAST_MAX_ROWS, with_pickup_zone
+from tidewater.operators.zones import with_pickup_zone
 from tidewater.schemas import TREND_DIMENSIONS
 
 
-def report_frame(fact: DataFrame, dim: DataFrame, max_broadcast_rows: int = DEFAULT_BROADCAST_MAX_ROWS) -> DataFrame:
+def report_frame(fact: DataFrame, dim: DataFrame) -> DataFrame:
     """fact ⟕ dim: fact columns plus pickup_borough / pickup_zone /
     pickup_service_zone."""
-    return with_pickup_zone(fact, dim, max_broadcast_rows)
+    return with_pickup_zone(fact, dim)
 
 
 def select_year(fact: DataFrame, year: int | None = None) -> DataFrame:
     """Rows of ``year``; ``None`` selects the newest year present.
 
-    The newest year is found in the plan (a one-row aggregate, semi-joined),
-    so nothing is collected to the driver.
+    For a frame, the newest year is found in the plan (a one-row aggregate,
+    semi-joined). That reads the year of every row, so over a stored fact pass
+    the year that :func:`newest_year` finds from the directories: a literal
+    prunes all other years' files.
     """
     if year is not None:
         return fact.filter(F.col("year") == F.lit(int(year)))
@@ -38,6 +41,13 @@ def select_year(fact: DataFrame, year: int | None = None) -> DataFrame:
     return fact.join(newest, "year", "left_semi")
 
 
+def newest_year(spark, paths) -> int | None:
+    """The newest year the stored fact holds, from its directories."""
+    from tidewater.sources.tables import period_dirs
+
+    return max((y for y, _ in period_dirs(spark, paths.fact)), default=None)
+
+
 def available_years(fact: DataFrame) -> DataFrame:
     """Distinct years, newest first."""
     return fact.select("year").distinct().orderBy(F.desc("year"))
@@ -77,7 +87,6 @@ def trend(
     dim: DataFrame,
     year: int | None = None,
     drill_down: str = "is_weekend",
-    max_broadcast_rows: int = DEFAULT_BROADCAST_MAX_ROWS,
 ) -> DataFrame:
     """Trips per month split by one drill-down dimension, by month."""
     if drill_down not in TREND_DIMENSIONS:
@@ -85,7 +94,7 @@ def trend(
     selected = select_year(fact, year)
     if drill_down == "pickup_borough":
         per_location = _per_pickup_location(selected, ["month"], {"total_trips": "total_trips"})
-        selected = with_pickup_zone(per_location, dim, max_broadcast_rows)
+        selected = with_pickup_zone(per_location, dim)
     return (
         selected.groupBy("month", drill_down)
         .agg(F.sum("total_trips").alias("total_trips"))
@@ -97,14 +106,13 @@ def borough_ranking(
     fact: DataFrame,
     dim: DataFrame,
     year: int | None = None,
-    max_broadcast_rows: int = DEFAULT_BROADCAST_MAX_ROWS,
 ) -> DataFrame:
     """Revenue and trips per pickup borough (NULL = unknown zone), highest
     revenue first."""
     per_location = _per_pickup_location(
         select_year(fact, year), [], {"total_revenue": "total_revenue", "total_trips": "total_trips"}
     )
-    zoned = with_pickup_zone(per_location, dim, max_broadcast_rows)
+    zoned = with_pickup_zone(per_location, dim)
     return (
         zoned.groupBy("pickup_borough")
         .agg(F.sum("total_revenue").alias("total_revenue"), F.sum("total_trips").alias("total_trips"))

@@ -1,12 +1,13 @@
 """Bronze → Silver: one job over all pending months.
 
-Pending = Bronze months holding rows (optionally one requested month) minus
-Silver's done months, both from the run-log. Only the pending months'
-directories are listed and read (a year/month glob plus the exact period
-predicate); the cleansing rules reach the Parquet scan as pushed filters; the
-output is written with dynamic partition overwrite and, by default, without a
-shuffle (each scan task writes the month it read). Months whose rows all fail
-the rules write no partition, so the run-log records them as done.
+Pending = months whose Bronze directory holds data (optionally one requested
+month) less Silver's done months: those Silver holds, and those logged to have
+had no valid rows, unless Bronze has since been written by another batch. Only
+the pending months' directories are read; columns are resolved by name against
+the files, so an absent ``schema_family`` gets its default and a differently
+typed column is cast. The cleansing rules reach the Parquet scan as pushed
+filters; the output is written with dynamic partition overwrite and, by default,
+without a shuffle (each scan task writes the month it read).
 """
 
 from __future__ import annotations
@@ -20,16 +21,16 @@ from tidewater.operators.enrich import clean_and_enrich, silver_projection
 from tidewater.operators.periods import select_period
 from tidewater.plans.common import (
     LakePaths,
+    StageState,
     batch_timestamp,
     logger,
-    maintain_run_log,
     new_batch_id,
-    period_counts,
-    stage_periods,
+    stage_state,
+    table_counts,
 )
-from tidewater.schemas import BRONZE_SCHEMA, SILVER_SCHEMA
-from tidewater.sinks.writers import append_run_log, write_partitioned
-from tidewater.sources.tables import read_periods
+from tidewater.schemas import BRONZE_SCHEMA, PERIOD_SCHEMA, SILVER_SCHEMA
+from tidewater.sinks.writers import log_run, write_partitioned
+from tidewater.sources.tables import drop_periods, read_resolved
 
 STAGE = "silver"
 
@@ -55,16 +56,15 @@ def plan_periods(
     paths: LakePaths,
     year: int | None,
     month: int | None,
-    discover_partitions: bool = False,
-) -> tuple[list[tuple[int, int]], list[tuple[int, int]], list[tuple[int, int]]]:
-    """(pending, missing, skipped) periods for this run.
+    force: bool = False,
+) -> tuple[list[tuple[int, int]], list[tuple[int, int]], list[tuple[int, int]], StageState]:
+    """(pending, missing, skipped) periods for this run, and the stage's state.
 
-    Period sets hold at most one entry per month; they come from the run-log
-    and are combined on the driver.
+    Period sets hold at most one entry per month and are combined on the
+    driver. With ``force`` done months are transformed again.
     """
-    source, done = stage_periods(
-        spark, paths, STAGE, paths.silver, "bronze", paths.bronze, discover_partitions=discover_partitions
-    )
+    state = stage_state(spark, paths, STAGE, paths.silver, "bronze", paths.bronze)
+    source = set(state.source)
     requested = select_period(year, month)
     missing: list[tuple[int, int]] = []
     if requested is not None:
@@ -72,9 +72,8 @@ def plan_periods(
         for y, m in missing:
             logger.warning("silver: partition year=%d/month=%d not found in Bronze", y, m)
         source &= set(requested)
-    pending = sorted(source - done)
-    skipped = sorted(source & done)
-    return pending, missing, skipped
+    done = set() if force else state.done
+    return sorted(source - done), missing, sorted(source & done), state
 
 
 def transform(
@@ -84,28 +83,30 @@ def transform(
     month: int | None = None,
     batch_id: str | None = None,
     layout: str = "scan",
-    discover_partitions: bool = False,
+    force: bool = False,
 ) -> SilverResult:
-    """Transform every pending Bronze month (or the one month requested)."""
+    """Transform every pending Bronze month (or the one month requested). A
+    requested month that Bronze does not hold is reported in ``missing``."""
     start = time.time()
     active_batch = batch_id or new_batch_id("silver-")
-    pending, missing, skipped = plan_periods(spark, paths, year, month, discover_partitions)
+    pending, missing, skipped, state = plan_periods(spark, paths, year, month, force)
     result = SilverResult(active_batch, periods=pending, missing=missing, skipped=skipped)
-    if not pending:
+    bronze = read_resolved(spark, paths.bronze, pending, BRONZE_SCHEMA) if pending else None
+    if bronze is None:
         logger.warning("silver: no partitions to process")
         result.job_duration_sec = time.time() - start
         return result
 
-    bronze = read_periods(spark, paths.bronze, pending, BRONZE_SCHEMA)
     silver = build_silver(bronze, active_batch, batch_timestamp())
+    # a month done again may now have no valid rows, which dynamic overwrite would not show
+    drop_periods(spark, paths.silver, state.stored & set(pending))
     write_partitioned(silver, paths.silver, layout=layout)
 
-    written = period_counts(spark, paths.silver, pending, SILVER_SCHEMA)
-    read = period_counts(spark, paths.bronze, pending, BRONZE_SCHEMA)
-    counts = {p: (written[p], read[p] - written[p]) for p in pending}
-    append_run_log(spark, paths.run_log, STAGE, counts, active_batch)
-    maintain_run_log(spark, paths)
+    tables = {"written": (paths.silver, SILVER_SCHEMA), "read": (paths.bronze, PERIOD_SCHEMA)}
+    n = table_counts(spark, tables, pending)
+    counts = {p: (n["written"][p], n["read"][p] - n["written"][p]) for p in pending}
+    log_run(spark, paths.run_log, STAGE, counts, active_batch, state.source_batches)
     result.partitions_processed = len(pending)
-    result.rows_written = sum(written.values())
+    result.rows_written = sum(n["written"].values())
     result.job_duration_sec = time.time() - start
     return result

@@ -59,7 +59,7 @@ DUPLICATE_REASON = "duplicate business key"
 
 # Landing file names carry the period: yellow_tripdata_YYYY-MM.parquet
 LANDING_GLOB = "yellow_tripdata_*.parquet"
-LANDING_PATTERN = r"yellow_tripdata_(\d{4})-(\d{2})\.parquet$"
+LANDING_PATTERN = r"^yellow_tripdata_(\d{4})-(\d{2})\.parquet$"
 
 BRONZE_COLUMNS: list[str] = [name for name, _, _ in TRIP_COLUMNS] + [
     "schema_family",
@@ -165,6 +165,9 @@ PICKUP_ZONE_RENAMES: dict[str, str] = {
 TREND_DIMENSIONS: tuple[str, ...] = ("is_weekend", "pickup_borough", "pickup_day_of_week")
 
 # Run-log: one row per (stage, period) written after the stage's data.
+# Only the partition columns: enough to count rows of a table of any layout.
+PERIOD_SCHEMA = T.StructType([T.StructField("year", T.IntegerType()), T.StructField("month", T.IntegerType())])
+
 RUN_LOG_SCHEMA = T.StructType(
     [
         T.StructField("stage", T.StringType(), False),
@@ -173,6 +176,7 @@ RUN_LOG_SCHEMA = T.StructType(
         T.StructField("rows_written", T.LongType(), True),
         T.StructField("rows_rejected", T.LongType(), True),
         T.StructField("batch_id", T.StringType(), True),
+        T.StructField("source_batch_id", T.StringType(), True),
         T.StructField("logged_at", T.TimestampType(), True),
     ]
 )

@@ -40,54 +40,30 @@ def write_partitioned(
     )
 
 
-def write_single_file(frame: DataFrame, path: str) -> None:
-    """Full overwrite as one file; only for small tables (the dimension)."""
-    frame.coalesce(1).write.mode("overwrite").parquet(path)
+def write_lookup(frame: DataFrame, path: str) -> None:
+    """Full overwrite of an unpartitioned table, in files of the size that AQE
+    aims at: one file for a lookup table."""
+    frame.hint("rebalance").write.mode("overwrite").parquet(path)
 
 
-def append_run_log(
+def log_run(
     spark: SparkSession,
     root: str,
     stage: str,
     counts: dict[tuple[int, int], tuple[int | None, int | None]],
     batch_id: str,
-    logged_at: datetime | None = None,
+    source_batches: dict[tuple[int, int], str | None] | None = None,
 ) -> None:
-    """Append one row per period: (rows written, rows rejected). Written
-    after the stage's data, so a period in the log is a committed period.
-    ``counts`` has one entry per month processed by the run."""
-    stamp = logged_at or datetime.now(timezone.utc)
+    """Record (rows written, rows rejected) and the batch read, per period.
+
+    The log is partitioned by stage, year and month and written after the
+    stage's data with dynamic partition overwrite: it holds one row per stage
+    and month however often the stages run, and runs of different stages or
+    months touch different partitions."""
+    stamp, sources = datetime.now(timezone.utc), source_batches or {}
     rows = [
-        (stage, year, month, written, rejected, batch_id, stamp)
+        (stage, year, month, written, rejected, batch_id, sources.get((year, month)), stamp)
         for (year, month), (written, rejected) in sorted(counts.items())
     ]
-    spark.createDataFrame(rows, RUN_LOG_SCHEMA).coalesce(1).write.mode("append").parquet(root)
-
-
-# A run-log with more files than this is rewritten as one file after a run.
-RUN_LOG_MAX_FILES = 200
-
-
-def compact_run_log(spark: SparkSession, root: str, max_files: int = RUN_LOG_MAX_FILES) -> bool:
-    """Rewrite the run-log as a single file when it has more than
-    ``max_files`` files (one is added per stage run). Returns True when it
-    compacted.
-
-    The rows are first ``checkpoint()``-ed to the session's checkpoint
-    directory (shared, reliable storage), which also cuts the plan's link to
-    the files being replaced, then written back over the log. Were the
-    rewrite to fail half-way, the stages would redo the affected months,
-    which dynamic partition overwrite makes harmless.
-    """
-    from pyspark.errors import AnalysisException
-
-    try:
-        log = spark.read.schema(RUN_LOG_SCHEMA).parquet(root)
-        files = log.inputFiles()
-    except AnalysisException:
-        return False
-    if len(files) <= max_files:
-        return False
-    rows = log.checkpoint(eager=True)
-    rows.coalesce(1).write.mode("overwrite").parquet(root)
-    return True
+    if rows:
+        write_partitioned(spark.createDataFrame(rows, RUN_LOG_SCHEMA).coalesce(1), root, ("stage", *PERIOD))

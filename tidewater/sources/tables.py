@@ -3,12 +3,16 @@ zone lookup CSV."""
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+from dataclasses import dataclass
+from functools import reduce
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidewater.operators.periods import PERIOD, period_filter
+from tidewater.functions import resolve_source_columns, safe_value
+from tidewater.operators.periods import period_filter
 from tidewater.schemas import RUN_LOG_SCHEMA, ZONE_LOOKUP_SCHEMA
 
 _MISSING_MARKERS = ("PATH_NOT_FOUND", "Path does not exist", "UNABLE_TO_INFER_SCHEMA")
@@ -70,38 +74,122 @@ def read_periods(
     return frame.filter(period_filter(periods))
 
 
-def partition_periods(spark: SparkSession, root: str) -> DataFrame:
-    """(year, month) of every partition holding data; empty when the table
-    does not exist. Only partition columns are read."""
-    frame = read_table(spark, root)
-    if frame is None:
-        return spark.createDataFrame([], "year int, month int")
-    return frame.select(*[F.col(c).cast("int").alias(c) for c in PERIOD]).distinct()
+def _file_system(spark: SparkSession, root: str):
+    """(Hadoop file system of ``root``, its Path class)."""
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    conf = spark._jsparkSession.sessionState().newHadoopConf()
+    return path(root).getFileSystem(conf), path
+
+
+def _holds_data(fs, directory) -> bool:
+    entries = fs.listStatusIterator(directory)
+    while entries.hasNext():
+        if not entries.next().getPath().getName().startswith(("_", ".")):
+            return True
+    return False
+
+
+def period_dirs(spark: SparkSession, root: str) -> set[tuple[int, int]]:
+    """Periods whose ``year=Y/month=M`` directory under ``root`` holds a data
+    file. One glob and a look at each month's first entries: no file is opened,
+    and the work grows with months, not with files."""
+    fs, path = _file_system(spark, root)
+    found = set()
+    for status in fs.globStatus(path(f"{root.rstrip('/')}/year=*/month=*")) or []:
+        directory = status.getPath()
+        parts = (directory.getParent().getName().split("=")[1], directory.getName().split("=")[1])
+        if all(p.isdigit() for p in parts) and _holds_data(fs, directory):
+            found.add((int(parts[0]), int(parts[1])))
+    return found
+
+
+def drop_periods(spark: SparkSession, root: str, periods: Iterable[tuple[int, int]]) -> None:
+    """Delete the directories of ``periods`` under ``root``."""
+    fs, path = _file_system(spark, root)
+    for year, month in periods:
+        fs.delete(path(f"{root.rstrip('/')}/year={year}/month={month}"), True)
+
+
+def is_merge_conflict(exc: Exception) -> bool:
+    """Whether Spark refused to merge the files' schemas (it reports this as a
+    plain JVM error, so it is told by its message)."""
+    text = str(exc)
+    return "CANNOT_MERGE_SCHEMA" in text or "CANNOT_MERGE_INCOMPATIBLE_DATA_TYPE" in text or "Failed to merge" in text
+
+
+def read_resolved(
+    spark: SparkSession, root: str, periods: list[tuple[int, int]], schema: T.StructType
+) -> DataFrame | None:
+    """Rows of ``periods`` in the columns of ``schema`` that the files have, by
+    name, each cast to the schema's type where the stored type differs. Columns
+    that no file has are left out. ``None`` when no wanted month has data.
+
+    The footers are merged by one Spark job; only if their types conflict are
+    the months read one schema at a time.
+    """
+    base = root.rstrip("/")
+    dirs = [f"{base}/year={y}/month={m}" for y, m in sorted(set(periods) & period_dirs(spark, root))]
+    if not dirs:
+        return None
+    reader = lambda: spark.read.option("basePath", base)
+    try:
+        frames = [reader().option("mergeSchema", "true").parquet(*dirs)]
+        frames[0].schema  # noqa: B018 - runs the footer merge
+    except Exception as exc:  # noqa: BLE001 - a merge conflict arrives as a raw JVM error
+        if not is_merge_conflict(exc):
+            raise
+        groups: dict[str, list[str]] = {}
+        for d in dirs:
+            groups.setdefault(spark.read.parquet(d).schema.json(), []).append(d)
+        frames = [reader().parquet(*group) for group in groups.values()]
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), [_cast_to(f, schema) for f in frames])
+
+
+def _cast_to(frame: DataFrame, schema: T.StructType) -> DataFrame:
+    available, types = resolve_source_columns(frame.columns), dict(frame.dtypes)
+    return frame.select(
+        *[
+            safe_value(available, f.name, f.dataType.simpleString(), types).alias(f.name)
+            for f in schema.fields
+            if f.name.lower() in available
+        ]
+    )
+
 
+@dataclass(frozen=True)
+class LogEntry:
+    """What the run-log says of one stage and month."""
 
-def run_log_summary(spark: SparkSession, root: str) -> dict[str, dict[tuple[int, int], bool]]:
-    """stage → {period: wrote rows in any run}, from one small aggregate over
-    the run-log (bounded by stages × months, however many runs it holds)."""
+    rows_written: int | None
+    batch_id: str | None
+    source_batch_id: str | None
+
+
+def run_log_summary(spark: SparkSession, root: str) -> dict[str, dict[tuple[int, int], LogEntry]]:
+    """stage → {period: entry}; the log holds one row per stage and month."""
     log = read_table(spark, root, RUN_LOG_SCHEMA)
     if log is None:
         return {}
-    summary: dict[str, dict[tuple[int, int], bool]] = {}
-    rows = log.groupBy("stage", *PERIOD).agg(
-        F.max(F.coalesce(F.col("rows_written"), F.lit(0)) > 0).alias("has_rows")
-    )
-    for r in rows.collect():
-        summary.setdefault(r["stage"], {})[(int(r["year"]), int(r["month"]))] = bool(r["has_rows"])
+    summary: dict[str, dict[tuple[int, int], LogEntry]] = {}
+    for r in log.collect():
+        entry = LogEntry(r["rows_written"], r["batch_id"], r["source_batch_id"])
+        summary.setdefault(r["stage"], {})[(int(r["year"]), int(r["month"]))] = entry
     return summary
 
 
-def read_run_log(spark: SparkSession, root: str, stage: str) -> DataFrame:
-    frame = read_table(spark, root, RUN_LOG_SCHEMA)
-    if frame is None:
-        return spark.createDataFrame([], RUN_LOG_SCHEMA)
-    return frame.filter(F.col("stage") == stage)
-
-
 def read_zone_lookup(spark: SparkSession, path: str) -> DataFrame:
-    """Zone lookup CSV with a header. The schema is given, so no inference
-    pass over the file; an empty field reads as NULL."""
-    return spark.read.schema(ZONE_LOOKUP_SCHEMA).option("header", "true").csv(path)
+    """Zone lookup CSV: its columns are found by the names in its header, in any
+    order and beside others; the id is a number or NULL, an empty field NULL.
+    ``ValueError`` if a needed column is absent."""
+    raw = spark.read.option("header", "true").csv(path)  # header only: every column is text
+    available = resolve_source_columns(raw.columns)
+    absent = [f.name for f in ZONE_LOOKUP_SCHEMA.fields if f.name.lower() not in available]
+    if absent:
+        raise ValueError(f"zone lookup {path} lacks the columns {', '.join(absent)}")
+    types = dict(raw.dtypes)
+    return raw.select(
+        *[
+            safe_value(available, f.name, f.dataType.simpleString(), types).alias(f.name)
+            for f in ZONE_LOOKUP_SCHEMA.fields
+        ]
+    )

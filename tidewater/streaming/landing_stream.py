@@ -14,7 +14,7 @@ scheduled-job mode); otherwise the stream polls ``processing_time``.
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
@@ -38,11 +38,19 @@ BINARY_FILE_SCHEMA = T.StructType(
 
 @dataclass
 class StreamProgress:
-    batches: list[bronze.IngestResult] = field(default_factory=list)
+    """Counters and the last batch: as large after a year of polling as at the
+    start."""
 
-    @property
-    def records_processed(self) -> int:
-        return sum(b.records_processed for b in self.batches)
+    batches: int = 0
+    files: int = 0
+    records_processed: int = 0
+    last: bronze.IngestResult | None = None
+
+    def add(self, result: bronze.IngestResult) -> None:
+        self.batches += 1
+        self.files += result.landing_files
+        self.records_processed += result.records_processed
+        self.last = result
 
 
 def landing_file_stream(spark: SparkSession, landing_dir: str, max_files_per_trigger: int | None = None) -> DataFrame:
@@ -78,9 +86,7 @@ def ingest_stream(
             files.append(LandingFile(row.path, year, month))
         if files:
             session = batch.sparkSession
-            progress.batches.append(
-                bronze.ingest_files(session, sorted(files, key=lambda f: f.path), paths, dedup=dedup)
-            )
+            progress.add(bronze.ingest_files(session, files, paths, dedup=dedup))
 
     writer = landing_file_stream(spark, paths.landing, max_files_per_trigger).writeStream.foreachBatch(handle)
     writer = writer.option("checkpointLocation", checkpoint_location)

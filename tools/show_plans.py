@@ -17,7 +17,8 @@ from tidewater.plans import bronze, gold, reports, silver  # noqa: E402
 from tidewater.plans.common import LakePaths  # noqa: E402
 from tidewater.schemas import BRONZE_SCHEMA, SILVER_SCHEMA  # noqa: E402
 from tidewater.session import local_session  # noqa: E402
-from tidewater.sources.fixtures import stage_landing_files, zone_lookup  # noqa: E402
+from tidewater.sources.fixtures import zone_lookup  # noqa: E402
+from tools.staging import stage_landing_files  # noqa: E402
 from tidewater.sources.landing import list_landing_files  # noqa: E402
 from tidewater.sources.tables import read_periods  # noqa: E402
 
