@@ -2,7 +2,7 @@
 
 Every window of ``length`` bytes belongs to the least k-mer it holds (by digest,
 leftmost among equals), so equal windows always meet under the same k-mer, their
-anchor. Consecutive windows with one anchor form a run of about ninety; a run is
+anchor. Consecutive windows with one anchor form a run of about eighty; a run is
 known by its anchor and a digest of all its bytes.
 
 1. A scan counts runs per anchor, with the least and greatest run digest.
@@ -38,7 +38,7 @@ from pyspark.sql import functions as F
 from tidewater.llm import bwt
 from tidewater.llm.common import row_key, scratch, written
 
-LENGTH, KMER = 200, 16
+LENGTH, KMER = 200, 32
 BITS = 26  # the anchors' bitmap has 2 ** BITS bits, eight megabytes
 BLOCK_BYTES, HOT_BYTES = 1 << 20, 1 << 22
 SEGMENT = 1 << 22  # windows of one text handled at a time
