@@ -22,18 +22,19 @@ from __future__ import annotations
 import base64
 import heapq
 from collections.abc import Iterator
-from functools import lru_cache
+from functools import cached_property, lru_cache
 from itertools import islice
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 NONE = 1 << 30  # the rank of a pair that does not merge
-MAX_PIECES = 400_000  # pieces remembered by a task before the table is begun anew
-CHUNK_CHARS, BLOCK = 4_000_000, 400_000
+MAX_PIECES = 250_000  # pieces remembered by a task before the table is begun anew
+CHUNK_CHARS, BLOCK = 8_000_000, 200_000
 
 
 class Vocabulary:
@@ -41,15 +42,6 @@ class Vocabulary:
 
     def __init__(self, content: bytes):
         self.ranks = {base64.b64decode(a): int(b) for a, b in (line.split() for line in content.splitlines() if line)}
-        pairs = {}
-        for token, rank in self.ranks.items():
-            for k in range(1, len(token)):
-                a, b = self.ranks.get(token[:k]), self.ranks.get(token[k:])
-                if a is not None and b is not None:
-                    pairs[a << 32 | b] = rank
-        self.pairs = pairs
-        self.keys = np.array(sorted(pairs), dtype=np.int64)
-        self.merged = np.array([pairs[k] for k in self.keys.tolist()], dtype=np.int64)
         self.bytes = np.array([self.ranks[bytes([x])] for x in range(256)], dtype=np.int64)
         top = max(self.ranks.values()) + 1
         table = [b""] * top
@@ -59,6 +51,25 @@ class Vocabulary:
         self.starts = np.cumsum(self.sizes) - self.sizes
         self.content = np.frombuffer(b"".join(table), dtype=np.uint8)
 
+    @cached_property
+    def pairs(self) -> dict[int, int]:
+        """(left << 32 | right) -> merged rank; only encoding needs it."""
+        out = {}
+        for token, rank in self.ranks.items():
+            for k in range(1, len(token)):
+                a, b = self.ranks.get(token[:k]), self.ranks.get(token[k:])
+                if a is not None and b is not None:
+                    out[a << 32 | b] = rank
+        return out
+
+    @cached_property
+    def keys(self) -> np.ndarray:
+        return np.array(sorted(self.pairs), dtype=np.int64)
+
+    @cached_property
+    def merged(self) -> np.ndarray:
+        return np.array([self.pairs[k] for k in self.keys.tolist()], dtype=np.int64)
+
     def rank(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         key = a << 32 | b
         at = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
@@ -254,6 +265,12 @@ def _chunks(batch: pa.RecordBatch, sizes: np.ndarray, limit: int) -> Iterator[pa
             yield batch.slice(a, b - a)
 
 
+def text_chunks(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """Slices of the batch with about ``CHUNK_CHARS`` bytes of text each."""
+    sizes = pc.fill_null(pc.binary_length(batch.column("text")), 0)
+    return _chunks(batch, sizes.to_numpy(zero_copy_only=False).astype(np.int64), CHUNK_CHARS)
+
+
 def _lists(counts: np.ndarray) -> pa.Array:
     return pa.array(np.concatenate([[0], np.cumsum(counts)]), pa.int32())
 
@@ -267,13 +284,14 @@ def encode(docs: DataFrame, ranks_path: str, pattern: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = Encoder(vocabulary(shared.value), pattern)
         for batch in batches:
-            rows = encoder.learn([t or "" for t in batch.column("text").to_pylist()])
-            at = 0
-            for b in _chunks(batch, np.array([len(r) for r in rows], dtype=np.int64), BLOCK):
-                ids, counts = encoder.join(rows[at : at + b.num_rows])
-                at += b.num_rows
-                lists = pa.ListArray.from_arrays(_lists(counts), pa.array(ids, pa.int32()))
-                yield pa.RecordBatch.from_arrays([b.column("doc_id"), lists], ["doc_id", "ids"])
+            for part in text_chunks(batch):
+                rows = encoder.learn([t or "" for t in part.column("text").to_pylist()])
+                at = 0
+                for b in _chunks(part, np.array([len(r) for r in rows], dtype=np.int64), BLOCK):
+                    ids, counts = encoder.join(rows[at : at + b.num_rows])
+                    at += b.num_rows
+                    lists = pa.ListArray.from_arrays(_lists(counts), pa.array(ids, pa.int32()))
+                    yield pa.RecordBatch.from_arrays([b.column("doc_id"), lists], ["doc_id", "ids"])
 
     rows = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
     return rows.mapInArrow(run, "doc_id long, ids array<int>")
@@ -288,7 +306,7 @@ def decode(encoded: DataFrame, ranks_path: str) -> DataFrame:
         v = vocabulary(shared.value)
         for batch in batches:
             sizes = batch.column("ids").value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
-            for b in _chunks(batch, sizes.astype(np.int64), CHUNK_CHARS // 4):
+            for b in _chunks(batch, sizes.astype(np.int64), 2 * BLOCK):
                 lists = b.column("ids")
                 counts = lists.value_lengths().fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)
                 ids = lists.flatten().to_numpy(zero_copy_only=False)

@@ -33,7 +33,7 @@ def lengths(docs: DataFrame, ranks_path: str, pattern: str) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = bpe.Encoder(bpe.vocabulary(shared.value), pattern)
-        for batch in batches:
+        for batch in (part for whole in batches for part in bpe.text_chunks(whole)):
             rows = encoder.learn([t or "" for t in batch.column("text").to_pylist()])
             n = np.array([encoder.counts[r].sum() for r in rows], dtype=np.int64)
             yield pa.RecordBatch.from_arrays([pa.array(n)], ["n_tokens"])
