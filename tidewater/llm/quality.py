@@ -148,11 +148,12 @@ def _factored(moments: DataFrame) -> DataFrame:
     return out.select("cell", *[f"m{k}" for k in range(D)], *[_chol(k, j) for k in range(D) for j in range(k + 1)], "edge")
 
 
-def _start(v: DataFrame) -> DataFrame:
+def _start(v: DataFrame, path: str) -> DataFrame:
     """Median and median absolute deviation of each statistic and cell. The
     statistics take a few thousand whole values, so the exact percentile's
     value counts stay small however many documents there are."""
-    med = v.groupBy("cell").agg(*[F.percentile(f"x{k}", 0.5).alias(f"m{k}") for k in range(D)])
+    # written, so that Spark knows its size and need not deal the documents out by cell
+    med = written(v.groupBy("cell").agg(*[F.percentile(f"x{k}", 0.5).alias(f"m{k}") for k in range(D)]), f"{path}/median")
     dev = v.join(med, "cell").groupBy("cell").agg(
         *[F.first(f"m{k}").alias(f"m{k}") for k in range(D)],
         *[F.percentile(F.abs(F.col(f"x{k}") - F.col(f"m{k}")), 0.5).alias(f"d{k}") for k in range(D)],
@@ -201,7 +202,7 @@ def robust_quality(docs: DataFrame, min_group: int = MIN_GROUP, cutoff: float =
     cells = written(_cells(v, min_group), f"{path}/cells")
     keyed = v.join(cells, v["lang"].eqNullSafe(cells["cl"]) & v["source"].eqNullSafe(cells["cs"]), "left").drop("cl", "cs")
     used = keyed.where(~F.col("base_failed") & F.col("cell").isNotNull())
-    params = written(_start(used), f"{path}/start")
+    params = written(_start(used, path), f"{path}/start")
     for step in range(STEPS):
         params = written(_concentrate(used, params, reweight=False), f"{path}/step{step}")
     params = written(_concentrate(used, params, reweight=True), f"{path}/final")
