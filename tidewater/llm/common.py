@@ -35,8 +35,8 @@ def scratch(spark: SparkSession, name: str) -> str:
     """
     base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not base:
-        base = tempfile.mkdtemp(prefix="tidewater-llm-")
-        spark.conf.set("spark.checkpoint.dir", base)
+        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="tidewater-llm-"))
+        base = spark.sparkContext.getCheckpointDir()
     return f"{base.rstrip('/')}/tidewater-llm/{name}-{uuid.uuid4().hex}"
 
 
