@@ -23,7 +23,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -123,29 +123,31 @@ def _chol(k: int, j: int) -> str:
     return f"l{k}{j}"
 
 
-def _distance(x: list[Column]) -> Column:
-    """Squared Mahalanobis distance by forward substitution with the columns
-    m0..m4 and the Cholesky factor l00..l44."""
-    y: list[Column] = []
+def _with_distance(frame: DataFrame) -> DataFrame:
+    """Adds ``d2``, the squared Mahalanobis distance of x0..x4, by forward
+    substitution with the columns m0..m4 and the Cholesky factor l00..l44. Each
+    y is named once and used by the later ones in the same projection."""
+    y = []
     for k in range(D):
-        inner = reduce(lambda a, b: a - b, [F.col(_chol(k, j)) * y[j] for j in range(k)], x[k] - F.col(f"m{k}"))
-        y.append(inner / F.col(_chol(k, k)))
-    return reduce(lambda a, b: a + b, [c * c for c in y])
+        inner = "".join(f" - {_chol(k, j)} * y{j}" for j in range(k))
+        y.append(f"(x{k} - m{k}{inner}) / {_chol(k, k)} AS y{k}")
+    total = " + ".join(f"y{k} * y{k}" for k in range(D))
+    return frame.selectExpr("*", *y, f"{total} AS d2").drop(*[f"y{k}" for k in range(D)])
 
 
 def _factored(moments: DataFrame) -> DataFrame:
     """cell, n, s0..s4, p00..p44 (sums and cross products) -> location and
     Cholesky factor of the scatter, its diagonal raised by the squared floor."""
-    out = moments.withColumns({f"m{k}": F.col(f"s{k}") / F.col("n") for k in range(D)})
+    columns = [f"s{k} / n AS m{k}" for k in range(D)]
     for k in range(D):
         for j in range(k + 1):
-            cov = F.col(f"p{k}{j}") / F.col("n") - F.col(f"m{k}") * F.col(f"m{j}")
-            cov = F.greatest(cov, F.lit(0.0)) + FLOOR[k] ** 2 if j == k else cov
-            rest = reduce(lambda a, b: a - b, [F.col(_chol(k, i)) * F.col(_chol(j, i)) for i in range(j)], cov)
+            cov = f"p{k}{j} / n - m{k} * m{j}"
+            cov = f"greatest({cov}, 0.0D) + {FLOOR[k] ** 2}" if j == k else cov
+            rest = cov + "".join(f" - {_chol(k, i)} * {_chol(j, i)}" for i in range(j))
             # rounding can leave a pivot a little under the floor it cannot truly go below
-            value = F.sqrt(F.greatest(rest, F.lit(1.0))) if j == k else rest / F.col(_chol(j, j))
-            out = out.withColumn(_chol(k, j), value)
-    return out.select("cell", *[f"m{k}" for k in range(D)], *[_chol(k, j) for k in range(D) for j in range(k + 1)], "edge")
+            value = f"sqrt(greatest({rest}, 1.0D))" if j == k else f"({rest}) / {_chol(j, j)}"
+            columns.append(f"{value} AS {_chol(k, j)}")
+    return moments.selectExpr("cell", *columns, "edge")
 
 
 def _start(v: DataFrame, path: str) -> DataFrame:
@@ -168,15 +170,13 @@ def _start(v: DataFrame, path: str) -> DataFrame:
 def _concentrate(v: DataFrame, params: DataFrame, reweight: bool) -> DataFrame:
     """The next estimate: from the nearest ``H_SHARE`` of each cell, or in the
     last step from every document within the 0.975 chi-square quantile."""
-    x = [F.col(f"x{k}") for k in range(D)]
-    pairs = [(k, j) for k in range(D) for j in range(k + 1)]
-    d2 = _distance(x) * (CHI_H / F.col("edge")) if reweight else _distance(x)
+    sums = {f"s{k}": f"x{k}" for k in range(D)} | {f"p{k}{j}": f"x{k} * x{j}" for k in range(D) for j in range(k + 1)}
+    scale = CHI_H / F.col("edge") if reweight else F.lit(1.0)
     b = (
-        v.join(params, "cell").withColumn("bucket", F.floor(F.ln(1 + d2) * BUCKETS))
+        _with_distance(v.join(params, "cell")).withColumn("bucket", F.floor(F.ln(1 + F.col("d2") * scale) * BUCKETS))
         .groupBy("cell", "bucket").agg(
             F.count(F.lit(1)).alias("n"),
-            *[F.sum(x[k]).alias(f"s{k}") for k in range(D)],
-            *[F.sum(x[k] * x[j]).alias(f"p{k}{j}") for k, j in pairs],
+            *[F.expr(f"sum({v}) AS {c}") for c, v in sums.items()],
         )
     )
     whole = W.partitionBy("cell")
@@ -184,9 +184,8 @@ def _concentrate(v: DataFrame, params: DataFrame, reweight: bool) -> DataFrame:
     upper = F.exp((F.col("bucket") + 1) / BUCKETS) - 1
     b = b.withColumn("near", before < F.ceil(F.sum("n").over(whole) * H_SHARE))
     inside = (F.col("bucket") <= F.floor(F.ln(F.lit(1 + CHI_REWEIGHT)) * BUCKETS)) | F.col("near") if reweight else F.col("near")
-    exact = lambda c: F.sum(F.col(c).cast("decimal(38,0)")).cast("double").alias(c)
     moments = b.where(inside).groupBy("cell").agg(
-        *[exact(c) for c in ("n", *[f"s{k}" for k in range(D)], *[f"p{k}{j}" for k, j in pairs])],
+        *[F.expr(f"CAST(sum(CAST({c} AS DECIMAL(38, 0))) AS DOUBLE) AS {c}") for c in ("n", *sums)],
         F.max(upper).alias("edge"),
     )
     return _factored(moments)
@@ -206,7 +205,7 @@ def robust_quality(docs: DataFrame, min_group: int = MIN_GROUP, cutoff: float =
     for step in range(STEPS):
         params = written(_concentrate(used, params, reweight=False), f"{path}/step{step}")
     params = written(_concentrate(used, params, reweight=True), f"{path}/final")
-    return keyed.join(params, "cell", "left").select(
+    return _with_distance(keyed.join(params, "cell", "left")).select(
         "doc_id", "row_key", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",
-        F.round(_distance([F.col(f"x{k}") for k in range(D)]), 6).alias("distance"),
+        F.round("d2", 6).alias("distance"),
     ).withColumn("kept", ~F.col("base_failed") & F.coalesce(F.col("distance") <= cutoff, F.lit(True)))
