@@ -66,10 +66,10 @@ def row_key(doc_id: Column, text: Column) -> Column:
 
 def without(docs: DataFrame, rejected: DataFrame) -> DataFrame:
     """``docs`` less the rows whose (doc_id, row_key) is in ``rejected``; keeps
-    the columns of ``docs``."""
-    gone = rejected.select(
-        F.col("doc_id").alias("__gone_id"), F.col("row_key").alias("__gone_key")
-    ).distinct()
+    the columns of ``docs``. The rejected grow with the documents, so they are
+    joined by sort and merge at every size."""
+    gone = rejected.select(F.col("doc_id").alias("__gone_id"), F.col("row_key").alias("__gone_key"))
+    gone = gone.distinct().hint("merge")
     return docs.join(
         gone,
         docs["doc_id"].eqNullSafe(gone["__gone_id"])

@@ -99,8 +99,10 @@ def _kept_text(text: Column, dense: Column) -> Column:
 
 def apply_bitmaps(docs: DataFrame, bitmaps: DataFrame) -> DataFrame:
     """doc_id, text cut to the kept lines, n_lines, n_dropped, and ``row`` with all
-    columns of ``docs``. Texts that lose nothing are returned as they are."""
+    columns of ``docs``. Texts that lose nothing are returned as they are. The
+    bitmaps grow with the documents: they are joined by sort and merge."""
     b = written(bitmaps, scratch(docs.sparkSession, "bitmaps")).withColumnsRenamed({"doc_id": "id", "row_key": "lost"})
+    b = b.hint("merge")
     d = docs.select(
         "doc_id", "text", row_key(F.col("doc_id"), F.col("text")).alias("row_key"), F.struct(*docs.columns).alias("row")
     )
