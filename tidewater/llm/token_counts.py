@@ -22,6 +22,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tidewater.llm import bpe
+from tidewater.llm.common import scratch, written
 
 BLOCK = 4096
 
@@ -52,6 +53,7 @@ def suffix_sums(hist: DataFrame) -> DataFrame:
     tokens_fit (up to it), truncated_tokens (all documents cut to the limit) and
     ``quantile``, the share of documents that fit."""
     tokens = F.col("n_tokens") * F.col("n_docs")
+    hist = written(hist, scratch(hist.sparkSession, "lengths"))  # read twice below, encoded once
     h = hist.withColumn("block", F.floor(F.col("n_tokens") / BLOCK))
     blocks = h.groupBy("block").agg(F.sum("n_docs").alias("d"), F.sum(tokens).alias("t"))
     above = W.orderBy(F.col("block").desc()).rowsBetween(W.unboundedPreceding, -1)
