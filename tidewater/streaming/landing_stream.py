@@ -71,7 +71,7 @@ def ingest_stream(
     checkpoint_location: str,
     available_now: bool = True,
     processing_time: str = "1 minute",
-    max_files_per_trigger: int | None = None,
+    max_files_per_trigger: int | None = 1000,
     dedup: bool = False,
 ):
     """Start the stream; returns (query, progress). With ``available_now`` the
