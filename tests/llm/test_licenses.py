@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import pkgutil
 import random
 import re
 
-from tidewater.llm import queries
+from tidewater.llm import licenses, queries
 
 SF = "/root/testdata/sf0.001"
 PHRASES = {"cc by": "cc-by", "general public license": "gpl", "all rights reserved": "reserved"}
@@ -66,3 +67,58 @@ def test_query_on_the_tables(spark):
     assert any(r["n_base"] for r in got)
     notices = [r["doc_id"] for r in rows if "Apache License, Version 2.0" in r["text"]]
     assert all("apache-2.0" in r["labels"] for r in got if r["doc_id"] in notices)
+
+
+BASE = {"cc-by", "gpl", "reserved"}
+
+
+def named(texts):
+    """Labels of each text beside the base phrases', over an index of plain frequencies."""
+    vocabulary = {w for t in licenses.PHRASES + licenses.NOTICES for x in (t.text, *t.headings) for w in licenses.split(x)}
+    vocabulary |= {w for b in licenses.BODIES for w in licenses.body_words(b.file)}
+    index = licenses.Index(licenses.PHRASES + licenses.NOTICES, dict.fromkeys(vocabulary, 1.0), licenses.BODIES)
+    return [(index.scan(licenses.split(t))[1] - (BASE - {"cc-by"}), index.scan(licenses.split(t))[2]) for t in texts]
+
+
+def body(file):
+    return pkgutil.get_data("tidewater.llm", f"license_texts/{file}.txt").decode()
+
+
+def test_whole_licences_are_found_and_those_they_cite_are_not():
+    rng = random.Random(4)
+    words = ["alpha", "beta", "license", "the", "of", "software", "copy", "and"]
+    noise = lambda n: " ".join(rng.choice(words) for _ in range(n))
+    files = sorted({b.file for b in licenses.BODIES})
+    for file, (labels, score) in zip(files, named(f"{noise(300)}\n{body(f)}\n{noise(300)}" for f in files), strict=True):
+        want = {"cc-by-sa-4.0": {"cc-by-sa"}, "bsd-2-clause": {"bsd", "bsd-2-clause"}, "bsd-3-clause": {"bsd", "bsd-3-clause"}}
+        assert labels == want.get(file, {file}) and score > 0.9, file
+    # names put in, and a line lost
+    mit = body("mit").replace("<year> <copyright holders>", "2020 A. Person and others").replace("AUTHORS OR COPYRIGHT HOLDERS", "AUTHORS OF THIS PROGRAM")
+    bsd = body("bsd-3-clause").replace("University", "Example Company of Somewhere, Inc.")
+    agpl = body("gpl-3.0").replace("GNU GENERAL PUBLIC LICENSE", "GNU AFFERO GENERAL PUBLIC LICENSE", 1).replace("29 June", "19 November")
+    agpl = agpl.replace("13. Use with the GNU Affero", "13. Remote Network Interaction; Use with the GNU")
+    nc = body("cc-by-sa-4.0").replace("Attribution-ShareAlike", "Attribution-NonCommercial")
+    got = [labels for labels, _ in named([mit.split("\n", 2)[2], bsd, agpl, nc, " ".join(body("apache-2.0").split()[400:700])])]
+    assert got == [{"mit"}, {"bsd", "bsd-3-clause"}, {"agpl-3.0"}, {"cc-by-nc"}, set()]
+
+
+GNU = "under the terms of the GNU {} as published by the Free Software Foundation, either version {} of the License, or (at your option) any later version."
+SHORT = {
+    "MIT License": {"mit"}, "# The MIT License (MIT)": {"mit"}, "Permission is hereby granted, free of charge, to any person obtaining a copy of this software": {"mit"},
+    "ISC License": {"isc"}, "BSD 3-Clause License": {"bsd-3-clause"}, "GNU GENERAL PUBLIC LICENSE Version 2": {"gpl-2.0"}, "GNU Lesser General Public License v2.1": {"lgpl-2.1"},
+    "you can redistribute it " + GNU.format("General Public License", "3"): {"gpl-3.0"}, "you can redistribute it " + GNU.format("General Public License", "2"): {"gpl-2.0"},
+    "modify it " + GNU.format("Lesser General Public License", "2.1"): {"lgpl-2.1"}, "modify it " + GNU.format("Affero General Public License", "3"): {"agpl-3.0"},
+    "Mozilla Public License Version 2.0": {"mpl-2.0"}, "CC0 1.0 Universal": {"cc0-1.0"}, "under CC BY-NC-SA 4.0": {"cc-by", "cc-by-nc-sa"}, "CC BY-NC": {"cc-by", "cc-by-nc"},
+    "a Creative Commons Attribution-ShareAlike 4.0 International License": {"cc-by-sa"}, "Creative Commons Attribution 4.0 International": {"cc-by"},
+    "the license of MIT": set(), "version 3 of some public license": set(), "fahrt mit license": {"mit"}, "permission is granted": set(),
+}
+
+
+def test_headings_and_standard_headers():
+    for (text, want), (labels, score) in zip(SHORT.items(), named(f"x y {t}, and z" for t in SHORT), strict=True):
+        assert labels == want and (score > 0) == bool(want), text
+
+
+def test_whole_licences_in_the_query(spark, monkeypatch):
+    got = query(spark, [(1, body("mpl-2.0")), (2, "MIT License"), (3, "plain words"), (4, body("mit"))], monkeypatch)
+    assert {r["doc_id"]: r["labels"] for r in got} == {1: "gpl,mpl-2.0", 2: "mit", 3: "", 4: "mit"}
