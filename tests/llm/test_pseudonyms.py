@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime
 import random
 import re
 
@@ -97,3 +98,65 @@ def test_query_leaves_no_valid_value_and_keeps_links(spark):
                 image = new[m.start() : m.end()]
                 assert values.setdefault(m[0], image) == image and images.setdefault(image, m[0]) == m[0]
     assert values
+
+
+SPELLINGS = [
+    ["+442079460958", "+44 20 7946 0958", "+44 (0)20 7946 0958", "+44 (20) 79460958", "+44-2079-460-958", "+44.20.79.46.09.58", "+4420 79460958", "(+44) 20 7946 0958", "+44 020 7946 0958", "00442079460958", "0044 20 7946 0958", "020 7946 0958", "(020) 7946-0958", "02079460958"],
+    ["+12125550182", "+1 212 555 0182", "+1 (212) 555-0182", "+1-212-555-0182", "+1.212.555.0182", "(212) 555-0182", "(212)555-0182", "212-555-0182", "212.555.0182", "1-212-555-0182", "0012125550182", "001 212 555 0182"],
+    ["+33 1 23 45 67 89", "+33123456789", "+33 (0)1 23 45 67 89", "01 23 45 67 89", "01.23.45.67.89", "0123456789", "0033 123456789"],
+    ["+49 30 1234567", "+49301234567", "+49 30 123 45 67", "+49 (0) 30/1234567", "030 1234567", "030/1234567", "0049 30 1234567"],
+    ["+353 1 234 5678", "+35312345678", "+353 (0)1 2345678"], ["+999 12 34 56 7", "+9991234567"], ["+39 06 1234 5678", "+390612345678", "06 1234 5678"],
+]
+
+
+@pytest.mark.parametrize("spellings", SPELLINGS)
+def test_all_spellings_of_a_phone_number_link(spellings):
+    p = ps.Pseudonyms(b"key")
+    images, codes = set(), set()
+    width = len(re.sub("[^0-9]", "", spellings[0])) - len(ps.country(re.sub("[^0-9]", "", spellings[0])))
+    width -= spellings[0].startswith("+39")  # a zero that stays
+    for value in spellings:
+        for text in (value, f"call {value}, or ({value}).", f"{value}\n{value}"):
+            out, found = p.apply(text)
+            assert {k for k, _, _ in found} == {"phone"} and len(found) == text.count(value), text
+            assert re.sub("[0-9]", "0", out) == re.sub("[0-9]", "0", text) and p.apply(out, back=True)[0] == text
+        digits = re.sub("[^0-9]", "", p.apply(value)[0])
+        images.add(digits[-width:])
+        codes.add(digits[:-width] == re.sub("[^0-9]", "", value)[:-width])
+    assert len(images) == 1 and codes == {True}
+
+
+def test_numbers_after_a_phone_number_stay():
+    p = ps.Pseudonyms(b"key")
+    for text in ("+44 20 7946 0958 2024 was", "+1 212 555 0182 7 men", "+33 1 23 45 67 89 10 km", "+49 30 1234567 2024", "030 1234567 2024 km", "+49 30 1234567 10.0.0.1", "+49 30 1234567 12@x.org"):
+        out, found = p.apply(text)
+        assert text[: found[0][2]] in sum(SPELLINGS, []) and p.apply(out, back=True)[0] == text
+    for text in ("2125550182", "order 12 34 56 78", "01-02-2003 12:30", "1234 0123 4567 8901", "4845 0168 1144 0732", "0.123 456 789", "000123456789", "3.0123456789", "00999123456789"):
+        assert p.apply(text) == (text, []), text
+
+
+def test_dates_with_the_month_first():
+    p = ps.Pseudonyms(b"key")
+    spellings = ["12/31/1999", "31/12/1999", "1999-12-31", "31.12.1999"]
+    outs = [p.apply(x)[0] for x in spellings]
+    days = {datetime.datetime.strptime(o, f).date() for o, f in zip(outs, ["%m/%d/%Y", "%d/%m/%Y", "%Y-%m-%d", "%d.%m.%Y"], strict=True)}
+    assert len(days) == 1 and [p.apply(o, back=True)[0] for o in outs] == spellings
+    for k in range(400):
+        day = datetime.date(1999, 1, 1) + datetime.timedelta(k)
+        for order in ("%d/%m/%Y", "%Y-%m-%d", *["%m/%d/%Y"] * (day.day > 12)):
+            out, found = p.apply(day.strftime(order))
+            assert len(found) == 1 and p.apply(out, back=True)[0] == day.strftime(order)
+
+
+def test_random_numbers_go_back():
+    rng, p = random.Random(7), ps.Pseudonyms(b"key")
+    for _ in range(4000):
+        digits = "".join(rng.choice("0012345678") for _ in range(rng.randint(7, 19)))
+        text = "".join(rng.choice(["", "", "", " ", "-", ".", "/"]) + c for c in digits)
+        text = rng.choice(["", "+", "00", "0", "+44 ", "+1 ", "(0", "0049", "x "]) + text + rng.choice(["", " 12", ", 020 7946 0958", " a1@x.org"])
+        out, _ = p.apply(text)
+        assert p.apply(out, back=True)[0] == text, text
+    for k in range(300):  # cards whose pseudonym could read as a phone number
+        body = f"{rng.randrange(10**13):013d}" if k % 2 else "0045" + f"{rng.randrange(10**8):08d}"
+        text = body + str(ps.luhn(body))
+        assert p.apply(p.apply(text)[0], back=True)[0] == text

@@ -8,9 +8,20 @@ equal values get equal pseudonyms in all documents and however they are spaced,
 and who has the key can go back.
 
 Kinds: payment card numbers (13 to 19 digits that pass the Luhn check), phone
-numbers with a country code, national numbers of the form 123-45-6789, IPv4
-addresses, dates of the calendar from 1900 to 2099 and the local part of e-mail
-addresses. Numbers that fail their check stay as they are.
+numbers, national numbers of the form 123-45-6789, IPv4 addresses, dates of the
+calendar from 1900 to 2099 and the local part of e-mail addresses. Numbers that
+fail their check stay as they are.
+
+Phone numbers are international (+ or 00, then a country code and 7 to 14 digits in
+any grouping), of the form (212) 555-0182, or national with a leading 0 and 8 to 11
+more digits. The country code is read from the digits alone by the fixed table of
+its first digits; it and any zeros after it stay, and the other digits are permuted.
+So +44 20 7946 0958, +44 (0)20 7946 0958, 0044 2079460958 and 020 7946 0958 get the
+same digits. Where text goes on in digits, the country's usual length decides. Ten
+digits without any mark, and 00 before a country of unknown length, are no phone.
+
+Dates are 2024-02-29, 29.02.2024, 29/02/2024 or, where the day cannot be a month,
+02/29/2024. Days above 12 stay above 12, so the last two forms stay apart.
 
 Defined results: a null text stays null, an empty one empty, both without
 findings; repeated rows each get a row; an empty table gives an empty result.
@@ -78,19 +89,87 @@ def _respell(text: str, digits: str) -> str:
 
 def _card(text: str, turn: Callable[[int, int, bytes], int]) -> str | None:
     digits = re.sub("[^0-9]", "", text)
-    if not 13 <= len(digits) <= 19 or luhn(digits[:-1]) != int(digits[-1]):
+    if not 13 <= len(digits) <= 19 or luhn(digits[:-1]) != int(digits[-1]) or ABROAD.fullmatch(digits):
         return None
     width = len(digits) - 1
-    body = f"{turn(int(digits[:-1]), 10**width, b'card%d' % width):0{width}d}"
-    return _respell(text, body + str(luhn(body)))
+    while True:  # until the pseudonym does not read as a phone number either
+        body = f"{turn(int(digits[:-1]), 10**width, b'card%d' % width):0{width}d}"
+        digits = body + str(luhn(body))
+        if not ABROAD.fullmatch(digits):
+            return _respell(text, digits)
+
+
+#: Country codes of one and two digits; all others have three.
+ONE = frozenset("17")
+TWO = frozenset("20 27 30 31 32 33 34 36 39 40 41 43 44 45 46 47 48 49 51 52 53 54 55 56 57 58 60 61 62 63 64 65 66 81 82 84 86 90 91 92 93 94 95 98".split())
+#: Least and greatest usual length after the country code.
+USUAL = {
+    c: (int(low), int(high))
+    for low, high, codes in (
+        row.split(maxsplit=2)
+        for row in (
+            "7 7 354", "7 8 372 961", "7 9 46 353 359", "7 10 95", "7 11 49 358", "7 13 43", "8 8 45 47 53 65 216 370 371 386 852 853 965 973 974",
+            "8 9 32 36 51 66 213 381 385 855 886 962 966 971 972", "8 10 20 57 60 63 64 82 234 880 977", "8 11 39", "8 12 62",
+            "9 9 27 31 33 34 40 41 48 56 61 93 94 212 254 351 375 380 420 421 994 995 996 998", "9 10 44 81 84", "10 10 1 7 30 52 58 90 91 92 98", "10 11 54 55 86",
+        )
+    )
+    for c in codes.split()
+}
+#: 00, a country code and digits of a usual length, without any grouping.
+ABROAD = re.compile("00(?:" + "|".join(f"{c}[0-9]{{{low},{high}}}" for c, (low, high) in USUAL.items()) + ")")
+
+
+def country(digits: str) -> str:
+    """The country code that ``digits`` begin with; none begins with zero."""
+    return "" if digits[:1] == "0" else digits[: 1 if digits[:1] in ONE else 2 if digits[:2] in TWO else 3]
+
+
+def _ends(text: str) -> list[tuple[int, str]]:
+    """(end, digits up to there) of each group of digits that no bracket closes."""
+    return [(m.end(), re.sub("[^0-9]", "", text[: m.end()])) for m in re.finditer(r"[0-9]+(?![0-9)])", text)]
+
+
+def _fit_abroad(text: str) -> int:
+    """Where the phone number that ``text`` begins with ends, zero for nowhere.
+    Depends on the grouping, the country code and zeros after it only."""
+    body = text.removeprefix("+") if text[0] == "+" else text[2:]
+    skip, ends = len(text) - len(body), _ends(body)
+    code = country(ends[-1][1])
+    usual = USUAL.get(code)
+    counts = []
+    for end, digits in ends:
+        n = len(digits) - len(code)
+        alone = end > 1 and not body[end - 2].isdigit()
+        if alone and n > (usual[0] if usual else 7):
+            break  # a digit alone is not the end of a number that is long enough
+        counts.append((end, n, n - len(digits[len(code) :]) + len(digits[len(code) :].lstrip("0"))))
+    fits = [e for e, n, _ in counts if usual and usual[0] <= n <= usual[1]] or [e for e, _, n in counts if usual and usual[0] <= n <= usual[1]]
+    if not fits and text[0] == "+":
+        fits = [e for e, n, _ in counts if 7 <= n <= 14]
+    return skip + fits[-1] if fits else 0
+
+
+def _fit_home(text: str) -> int:
+    """The same for a national number with a leading zero."""
+    ends = [(end, len(digits) - 1) for end, digits in _ends(text)]
+    fits = [e for e, n in ends if 9 <= n <= 10] or [e for e, n in ends if 8 <= n <= 11]
+    return fits[-1] if fits else 0
 
 
 def _phone(text: str, turn: Callable[[int, int, bytes], int]) -> str | None:
-    country, rest = re.fullmatch(r"(\+1(?![0-9])|\+[0-9]{2,3}(?![0-9])|\+[0-9])(.*)", text).groups()
-    digits = re.sub("[^0-9]", "", rest)
-    if not 7 <= len(digits) <= 14:
+    digits = re.sub("[^0-9]", "", text)
+    if text[0] == "+":
+        kept = len(country(digits))
+    elif digits.startswith("00") and text.startswith("00"):
+        kept = 2 + len(country(digits[2:]))
+    else:
+        kept = len(digits) == 11 and digits[0] == "1"
+    number = digits[kept:].lstrip("0")
+    if not number:
         return None
-    return country + _respell(rest, f"{turn(int(digits), 10 ** len(digits), b'phone%d' % len(digits)):0{len(digits)}d}")
+    least = 10 ** (len(number) - 1)
+    image = least + turn(int(number) - least, 9 * least, b"phone%d" % len(number))
+    return _respell(text, digits[: len(digits) - len(number)] + str(image))
 
 
 def _national(text: str, turn: Callable[[int, int, bytes], int]) -> str | None:
@@ -115,15 +194,22 @@ DAYS = datetime.date(2099, 12, 31).toordinal() - FIRST + 1
 
 
 def _date(text: str, turn: Callable[[int, int, bytes], int]) -> str | None:
-    order = "%Y-%m-%d" if text[4] == "-" else "%d/%m/%Y" if text[2] == "/" else "%d.%m.%Y"
-    try:
-        x = datetime.datetime.strptime(text, order).toordinal() - FIRST
-    except ValueError:
+    for order in ("%Y-%m-%d",) if text[4] == "-" else ("%d/%m/%Y", "%m/%d/%Y") if text[2] == "/" else ("%d.%m.%Y",):
+        try:
+            old = datetime.datetime.strptime(text, order).date()
+            break
+        except ValueError:
+            pass
+    else:
         return None
+    x = old.toordinal() - FIRST
     if not 0 <= x < DAYS:
         return None
-    day = datetime.date.fromordinal(FIRST + turn(x, DAYS, b"date"))
-    return order.replace("%Y", f"{day.year:04d}").replace("%m", f"{day.month:02d}").replace("%d", f"{day.day:02d}")
+    while True:
+        x = turn(x, DAYS, b"date")
+        day = datetime.date.fromordinal(FIRST + x)
+        if (day.day > 12) == (old.day > 12):
+            return order.replace("%Y", f"{day.year:04d}").replace("%m", f"{day.month:02d}").replace("%d", f"{day.day:02d}")
 
 
 LETTERS = "0123456789abcdefghijklmnopqrstuvwxyz"
@@ -150,28 +236,39 @@ def _mail(text: str, turn: Callable[[int, int, bytes], int]) -> str | None:
 @dataclass(frozen=True)
 class Kind:
     name: str
-    pattern: str
+    pattern: str  # groups are named M and a digit
     change: Callable[[str, Callable[[int, int, bytes], int]], str | None]
+    fit: Callable[[str], int] | None = None  # how much of a match is the value
+
 
+MARK = "[ \u00a0./\u2010\u2011-]"
+#: Before more digits of a phone number: these are no e-mail or IPv4 address.
+APART = r"(?![A-Za-z0-9._%+-]{1,64}@|(?<![0-9.])[0-9]{1,3}(?:\.[0-9]{1,3}){3}(?!\.?[0-9]))"
+ANY_GROUPS = rf"(?:[0-9]|{MARK}{APART}[0-9]|{MARK}?\([0-9]{{1,5}}\)(?={MARK}?{APART}[0-9])){{6,20}}(?![0-9])"
+ALONE = r"(?<![0-9A-Za-z+])(?<![0-9][.,/-])"
 
 # Longer kinds come first where two could begin at one place.
 KINDS = (
     Kind("email", r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}", _mail),
-    Kind("phone", r"(?<![0-9A-Za-z+])\+(?:[0-9]{8,15}|1[ .-]?(?:\([0-9]{3}\)|[0-9]{3})[ .-]?[0-9]{3}[ .-]?[0-9]{4}|[0-9]{2,3}(?:[ .-]\(?[0-9]{2,4}\)?){3})(?![0-9])", _phone),
-    Kind("date", r"(?<![0-9])(?:[0-9]{4}-[0-9]{2}-[0-9]{2}|[0-9]{2}([/.])[0-9]{2}\1[0-9]{4})(?![0-9])", _date),
+    Kind("phone", rf"(?<![0-9A-Za-z+])\+[0-9](?:[0-9]{{0,2}}\))?{ANY_GROUPS}", _phone, _fit_abroad),
+    Kind("phone", rf"{ALONE}{ABROAD.pattern}(?![0-9])", _phone),
+    Kind("date", r"(?<![0-9])(?:[0-9]{4}-[0-9]{2}-[0-9]{2}|[0-9]{2}(?P<M1>[/.])[0-9]{2}(?P=M1)[0-9]{4})(?![0-9])", _date),
     Kind("national", r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])", _national),
     Kind("address", r"(?<![0-9.])[0-9]{1,3}(?:\.[0-9]{1,3}){3}(?!\.?[0-9])", _address),
-    Kind("card", r"(?<![0-9])(?:[0-9]{13,19}|[0-9]{4}([ -])[0-9]{4}\1[0-9]{4}\1[0-9]{4}|[0-9]{4}[ -][0-9]{6}[ -][0-9]{5})(?![0-9])", _card),
-)
+    Kind("card", r"(?<![0-9])(?:[0-9]{13,19}|[0-9]{4}(?P<M1>[ -])[0-9]{4}(?P=M1)[0-9]{4}(?P=M1)[0-9]{4}|[0-9]{4}[ -][0-9]{6}[ -][0-9]{5})(?![0-9])", _card),
+    Kind("phone", rf"{ALONE}(?<![0-9] )00[1-9]{ANY_GROUPS}", _phone, _fit_abroad),
+    Kind("phone", rf"{ALONE}(?:1[ .-]?)?(?:\([0-9]{{3}}\)[ .-]?[0-9]{{3}}[ .-]?|(?<![0-9] )[0-9]{{3}}(?P<M1>[ .-])[0-9]{{3}}(?P=M1))[0-9]{{4}}(?![0-9]|[.-][0-9])", _phone),
+    Kind("phone", rf"{ALONE}(?<![0-9] )(?![0-9]{{2}}(?P<M1>[ .-])[0-9]{{2}}(?P=M1)[0-9]{{4}}(?![0-9]))(?:\(0[1-9][0-9]{{0,4}}\){MARK}?[0-9]{{2,}}|0[1-9][0-9]{{0,4}}{MARK}{APART}[0-9]{{2,}}|0[1-9][0-9]{{7,10}})(?:{MARK}{APART}[0-9]{{2,}}){{0,5}}(?![0-9])", _phone, _fit_home),
+)
 
 
 class Pseudonyms:
     def __init__(self, key: bytes):
         self.network = Feistel(key)
-        # in the joint pattern, each kind's separator group needs a name of its own
-        parts = [re.sub(r"\((\[..\])\)", rf"(?P<{k.name}_mark>\1)", k.pattern).replace("\\1", f"(?P={k.name}_mark)") for k in KINDS]
-        self.pattern = re.compile("|".join(f"(?P<{k.name}>{p})" for k, p in zip(KINDS, parts, strict=True)), re.ASCII)
-        self.kinds = {k.name: k for k in KINDS}
+        # in the joint pattern, each kind and its groups need names of their own
+        self.kinds = {f"k{n}": k for n, k in enumerate(KINDS)}
+        parts = (f"(?P<{g}>{k.pattern.replace('(?P<M', f'(?P<{g}_M').replace('(?P=M', f'(?P={g}_M')})" for g, k in self.kinds.items())
+        self.pattern = re.compile("|".join(parts), re.ASCII)
 
     def apply(self, text: str, back: bool = False) -> tuple[str, list[tuple[str, int, int]]]:
         """The changed text, and (kind, start, end) of each value in ``text``."""
@@ -184,13 +281,14 @@ class Pseudonyms:
 
         out, done, at = [], 0, 0
         while m := self.pattern.search(text, at):
-            name = next(k for k in self.kinds if m[k] is not None)
-            new = self.kinds[name].change(m[0], turn)
+            kind = next(k for g, k in self.kinds.items() if m[g] is not None)
+            size = kind.fit(m[0]) if kind.fit else len(m[0])
+            new = kind.change(m[0][:size], turn) if size else None
             at = m.start() + 1  # a valid value may begin inside a match that fails its check
             if new is not None:
                 out += [text[done : m.start()], new]
-                done = at = m.end()
-                found.append((name, m.start(), m.end()))
+                done = at = m.start() + size
+                found.append((kind.name, m.start(), done))
         return "".join([*out, text[done:]]), found
 
 
