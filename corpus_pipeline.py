@@ -27,11 +27,27 @@ def line_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     return line_dedup.dedup_lines(docs)
 
 
+def _nameless_once(spark: SparkSession, docs: DataFrame) -> DataFrame:
+    """``docs`` with one row for each text among those without an id. Nothing but
+    their other columns tells such rows apart; the least of these stay."""
+    others = [c for c in docs.columns if c not in ("doc_id", "text")]
+    rows = docs.where("doc_id is null").groupBy("doc_id", "text").agg(F.min(F.struct(F.lit(0), *others)).alias("least"))
+    rows = rows.select("doc_id", "text", *[F.col("least")[c].alias(c) for c in others]).select(docs.columns)
+    return docs.where("doc_id is not null").unionByName(written(rows, scratch(spark, "nameless")))
+
+
 def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near-duplicates, the document with the smallest id stays."""
-    groups = simhash.near_duplicates(docs)
-    rejected = groups.where("component_id is not null and not (doc_id <=> component_id)").select("doc_id", "row_key")
-    return without(docs, written(rejected, scratch(spark, "copies")))
+    """Of each group of near-duplicates, the document with the smallest id stays;
+    among texts that share this id or have none, the one with the least row key.
+    Rows that repeat an id and its text are one document and go or stay together."""
+    docs = _nameless_once(spark, docs)
+    path = scratch(spark, "copies")
+    groups = written(simhash.near_duplicates(docs), f"{path}/groups")
+    least = groups.where("doc_id <=> component_id")
+    several = least.groupBy("group_fp").agg(F.min("row_key").alias("first"), F.max("row_key").alias("last")).where("first < last")
+    twins = least.join(several.hint("merge"), "group_fp").where("row_key > first")
+    rejected = groups.where("not (doc_id <=> component_id)").select("doc_id", "row_key").unionByName(twins.select("doc_id", "row_key"))
+    return without(docs, written(rejected, f"{path}/rejected"))
 
 
 def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -51,3 +51,21 @@ def test_null_rows_pass_through(spark):
     assert corpus_pipeline.quality_rules(spark, docs, SF).count() == 0
     kept = corpus_pipeline.simhash_near_dedup(spark, docs, SF)
     assert [r["doc_id"] for r in kept.orderBy(F.col("doc_id")).collect()] == [1, 1]
+
+
+def test_one_document_of_each_group_stays(spark):
+    long = " ".join(f"w{i}" for i in range(400))
+    bits = lambda text: (test_simhash.fp(long) ^ test_simhash.fp(text)).bit_count()
+    near = next(t for t in (f"{long} more{i} words{i}" for i in range(100)) if 0 < bits(t) <= 3)
+    far = "a wholly different text of some words"
+    schema = "doc_id long, text string, lang string, source string, n_chars long"
+    kept = lambda rows: sorted((r["doc_id"], r["text"], r["lang"]) for r in corpus_pipeline.simhash_near_dedup(spark, spark.createDataFrame(rows, schema).repartition(3), SF).collect())
+    row = lambda doc_id, text, lang="en": (doc_id, text, lang, "a", 1)
+    # without any id: exact copies, and near copies
+    assert kept([row(None, far)] * 5) == [(None, far, "en")]
+    assert kept([row(None, far, "fr"), row(None, far, "de")]) == [(None, far, "de")]
+    assert len(kept([row(None, long)] * 3 + [row(None, near)] * 3)) == 1
+    # texts that share the least id, and one that has a greater or no id
+    assert len(kept([row(1, long), row(1, near), row(2, long), row(None, near)])) == 1
+    assert kept([row(1, long), row(1, far)]) == [(1, far, "en"), (1, long, "en")]
+    assert kept([row(2, long), row(None, long), row(3, far)]) == [(2, long, "en"), (3, far, "en")]

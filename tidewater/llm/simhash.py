@@ -89,7 +89,8 @@ def near_duplicates(
     docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BITS, segments: int = SEGMENTS
 ) -> DataFrame:
     """doc_id, row_key, fp, component_id: the smallest doc_id that can be reached
-    over fingerprints at most ``max_bits`` apart."""
+    over fingerprints at most ``max_bits`` apart; group_fp: the least fingerprint
+    of the component, which one without any id has too."""
     spark = docs.sparkSession
     path = scratch(spark, "simhash")
     fps = written(fingerprints(docs, shingle), f"{path}/fingerprints")
@@ -97,8 +98,8 @@ def near_duplicates(
     labels = written(connected_components(links(distinct.select("fp"), max_bits, segments)), f"{path}/labels")
     linked = labels.join(distinct, labels["vertex"] == distinct["fp"]).select("vertex", "label", "least")
     ids = linked.groupBy("label").agg(F.min("least").alias("component"))
-    named = linked.join(ids, "label").select(F.col("vertex").alias("linked_fp"), "component")
+    named = linked.join(ids, "label").select(F.col("vertex").alias("linked_fp"), "label", "component")
     classes = distinct.join(named, distinct["fp"] == named["linked_fp"], "left").select(
-        F.col("fp").alias("class_fp"), F.coalesce("component", "least").alias("component_id")
+        F.col("fp").alias("class_fp"), F.coalesce("component", "least").alias("component_id"), F.coalesce("label", "fp").alias("group_fp")
     )
-    return fps.join(classes, fps["fp"] == classes["class_fp"]).select("doc_id", "row_key", "fp", "component_id")
+    return fps.join(classes, fps["fp"] == classes["class_fp"]).select("doc_id", "row_key", "fp", "component_id", "group_fp")
