@@ -1,0 +1,133 @@
+"""Blocks, paths and roots against a tree built level by level."""
+
+from __future__ import annotations
+
+import hashlib
+import zlib
+
+import numpy as np
+import pytest
+
+from tidewater.llm import merkle, queries
+
+SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, digest string, block int"
+
+
+def H(*parts):
+    return hashlib.sha256("".join(parts).encode()).hexdigest()
+
+
+def plain_tree(leaves):
+    """(root, [(siblings, sides)] of each leaf)."""
+    levels = [leaves]
+    while len(levels[-1]) > 1:
+        last = levels[-1]
+        levels.append([H(*last[i : i + 2]) for i in range(0, len(last), 2)])
+    proofs = []
+    for i in range(len(leaves)):
+        steps = []
+        for level in levels[:-1]:
+            other = i ^ 1
+            steps.append((level[other] if other < len(level) else None, i % 2))
+            i //= 2
+        proofs.append(steps)
+    return levels[-1][0], proofs
+
+
+def plain_leaf(doc_id, source, lang, n_chars, text):
+    values = [None if v is None else str(v) for v in (doc_id, source, lang, n_chars, text)]
+    return H("".join("-" if v is None else f"{len(v.encode())}:{v}" for v in values))
+
+
+def plain_answers(docs):
+    rows = {}
+    for d in docs:
+        doc_id, text, lang, source, n = d
+        leaf = plain_leaf(doc_id, source, lang, n, text)
+        hit = doc_id is not None and zlib.crc32(str(doc_id).encode()) % 7 == 0 and n is not None
+        claimed = plain_leaf(doc_id, source, lang, n + 1, text) if hit else leaf
+        rows.setdefault(lang, []).append((doc_id is not None, doc_id or 0, leaf, claimed, doc_id))
+    langs = sorted(rows, key=lambda x: (x is not None, (x or "").encode()))
+    trees = {}
+    for lang in langs:
+        rows[lang].sort(key=lambda r: r[:4])
+        trees[lang] = plain_tree([r[2] for r in rows[lang]])
+    root, upper = plain_tree([trees[lang][0] for lang in langs])
+    out = []
+    for lang, up in zip(langs, upper, strict=True):
+        for r, steps in zip(rows[lang], trees[lang][1], strict=True):
+            at, steps = r[3], steps + up
+            for other, right in steps:
+                at = H(at) if other is None else H(other, at) if right else H(at, other)
+            out.append((r[4], r[2], trees[lang][0], root, H(*[s for s, _ in steps if s]), at, at == root))
+    return sorted(out, key=str)
+
+
+COLUMNS = ("doc_id", "leaf", "subroot", "root", "proof_sha256", "folded_root", "verified")
+
+
+def rows(frame):
+    return sorted((tuple(r[c] for c in COLUMNS) for r in frame.collect()), key=str)
+
+
+def stored(spark, docs, path):
+    frame = spark.createDataFrame([(*d, "x", 3) for d in docs], SCHEMA)
+    frame.write.mode("overwrite").parquet(f"{path}/documents.parquet")
+    return str(path)
+
+
+@pytest.mark.parametrize("levels", range(1, 12))
+def test_addresses_are_a_layout_of_subtrees(levels):
+    every = [merkle.addresses(levels, d, np.arange(1 << d)).tolist() for d in range(levels)]
+    assert sorted(a for level in every for a in level) == list(range((1 << levels) - 1))
+    if levels > 1:  # the upper half comes first, each lower tree is one stretch
+        upper = levels // 2
+        assert sorted(a for level in every[:upper] for a in level) == list(range((1 << upper) - 1))
+        size = (1 << levels - upper) - 1
+        for tree in range(1 << upper):
+            inside = [a for d in range(upper, levels) for a in every[d][tree << d - upper : tree + 1 << d - upper]]
+            assert sorted(inside) == list(range(min(inside), min(inside) + size))
+
+
+@pytest.mark.parametrize("n", [1, 2, 3, 7, 8, 9, 31, 33, 1000, 1024])
+def test_one_block_is_the_plain_tree(n):
+    leaves = [H(str(i)) for i in range(n)]
+    raw = np.frombuffer(b"".join(map(bytes.fromhex, leaves)), dtype=np.uint8).reshape(-1, 32)
+    up = (n - 1).bit_length()
+    nodes = merkle.build(raw, up)
+    root, proofs = plain_tree(leaves)
+    assert nodes[0].tobytes().hex() == root
+    paths, others = merkle.siblings(nodes, n, up, np.arange(n))
+    for i in range(n):
+        assert others[i].hex() == "".join(s for s, _ in proofs[i] if s)
+        assert merkle.fold(bytes.fromhex(leaves[i]), paths[i], others[i]).hex() == root
+
+
+def corpus():
+    langs = ["en"] * 60 + ["de"] * 17 + [None] * 9 + ["é"] * 2 + ["zh"] + [""]
+    docs = [(i, f"text é {i}", langs[i % len(langs)], f"s{i % 3}", i) for i in range(360)]
+    docs += [(5, "again", "en", "s", 1), (5, "again", "en", "s", 1), (None, "x", "en", None, None), (None, "x", "en", None, 4)]
+    return docs + [(7001, None, None, None, None), (7002, "", "en", "", 0), (7003, "w " * 50_000, "de", "s", -1)]
+
+
+def test_query_matches_brute_force(spark, tmp_path):
+    docs = corpus()
+    got = rows(queries.op13_merkle_manifest(spark, stored(spark, docs, tmp_path)))
+    assert got == plain_answers(docs)
+    assert {r[-1] for r in got} == {True, False}
+
+
+@pytest.mark.parametrize("height", [1, 2, 3])
+def test_rounds_of_small_blocks_give_the_same_trees(spark, height):
+    """Blocks of 2, 4 or 8 leaves need up to eight rounds over these documents."""
+    docs = corpus()
+    frame = spark.createDataFrame([(*d, "x", 3) for d in docs], SCHEMA)
+    one = merkle.manifest(frame)
+    many = merkle.manifest(frame.repartition(5), height=height)
+    assert sorted(map(str, many.collect())) == sorted(map(str, one.collect()))
+
+
+@pytest.mark.parametrize("docs", [[], [(1, "one", "en", "s", 3)], [(None, None, None, None, None)]])
+def test_empty_and_single(spark, tmp_path, docs):
+    got = rows(queries.op13_merkle_manifest(spark, stored(spark, docs, tmp_path)))
+    assert got == (plain_answers(docs) if docs else [])

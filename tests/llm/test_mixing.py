@@ -1,0 +1,134 @@
+"""Targets by repeated resharing, and copies by plain systematic sampling."""
+
+from __future__ import annotations
+
+import hashlib
+import re
+from collections import Counter, defaultdict
+from fractions import Fraction
+
+import pytest
+from pyspark.sql import functions as F
+
+from tidewater.llm import mixing
+from tidewater.llm.common import scratch
+from tidewater.llm.positions import with_positions
+
+SCHEMA = "doc_id long, text string, source string, size string, copies int, position int"
+
+
+def frame(spark, rows):
+    """Documents with extra columns whose names the operator uses itself."""
+    return spark.createDataFrame([(*r, "x", 7, 9) for r in rows], SCHEMA)
+
+
+def plain_targets(totals, weights=(5, 2, 1), share=Fraction(3, 2), most=2):
+    names = sorted(totals, key=lambda s: (s is None, (s or "").encode()))
+    weight = {s: weights[k % len(weights)] for k, s in enumerate(names)}
+    left, target, free = share * sum(totals.values()), {}, set(names)
+    while free:
+        level = left / sum(weight[s] for s in free)
+        over = {s for s in free if level * weight[s] > most * totals[s]}
+        if not over:
+            target |= {s: level * weight[s] for s in free}
+            break
+        target |= {s: Fraction(most * totals[s]) for s in over}
+        left -= sum(target[s] for s in over)
+        free -= over
+    return target
+
+
+def plain_copies(docs, seed=0):
+    rows = [(i, s, len(re.findall(r"[^\x20\x09-\x0D]+", t or "")), t) for i, t, s in docs]
+    totals = defaultdict(int)
+    for _, s, n, _ in rows:
+        totals[s] += n
+    target, out = plain_targets(totals), []
+    for s in totals:
+        here = sorted((r for r in rows if r[1] == s), key=lambda r: (r[2], r[0] is not None, r[0] or 0))
+        rate = int(float(target[s]) / totals[s] * 10**9) if totals[s] else 0
+        u = int(hashlib.sha256(f"{seed}:{'-' if s is None else '=' + s}".encode()).hexdigest()[:12], 16) % 10**9
+        for k, (i, _, n, _) in enumerate(here):
+            out.append((i, s, n, totals[s], float(target[s]), (u + (k + 1) * rate) // 10**9 - (u + k * rate) // 10**9))
+    return Counter(out)
+
+
+def corpus(n=700):
+    words = lambda i: " \t".join(f"w{j}" for j in range(1 + i * i * 7 % 53))
+    rows = [(i, words(i), ("hot", "hot", None, "é", "Z", "a")[i % 6]) for i in range(n)]
+    return rows + [(9001, None, "none"), (9002, "", "none"), (9003, " \n\x0b ", "hot"), (9004, "w " * 30_000, "huge"), (None, "one two", "hot")]
+
+
+def got(mixed):
+    return Counter((r["doc_id"], r["source"], r["size"], r["source_size"], r["target"], r["copies"]) for r in mixed.collect())
+
+
+def test_matches_brute_force_and_reruns_agree(spark):
+    docs = corpus()
+    first = got(mixing.mix(frame(spark, docs)))
+    want = plain_copies(docs)
+    assert {k[:4] + k[5:] for k in first} == {k[:4] + k[5:] for k in want}
+    for a, b in zip(sorted(first, key=str), sorted(want, key=str), strict=True):
+        assert a[4] == pytest.approx(b[4])
+    assert got(mixing.mix(frame(spark, docs[::-1]).repartition(7))) == first
+    assert got(mixing.mix(frame(spark, docs), seed=1)) != first
+
+
+def test_targets_are_met_and_bounded(spark):
+    rows = mixing.mix(frame(spark, corpus())).collect()
+    taken, largest, target, total = defaultdict(int), defaultdict(int), {}, 0
+    for r in rows:
+        assert 0 <= r["copies"] <= 2
+        taken[r["source"]] += r["size"] * r["copies"]
+        largest[r["source"]] = max(largest[r["source"]], r["size"])
+        target[r["source"]] = r["target"]
+        total += r["size"]
+        assert r["target"] <= 2 * r["source_size"]
+    assert sum(target.values()) == pytest.approx(1.5 * total)
+    assert all(abs(taken[s] - target[s]) <= 2 * largest[s] for s in target)
+
+
+def test_every_document_is_taken_as_often_over_many_offsets(spark):
+    """Over the offsets a document's copies average its source's rate."""
+    docs = [(i, "w " * (1 + i % 9), ("a", "b", "c")[i % 3]) for i in range(60)]
+    path = scratch(spark, "mixtest")
+    sized = mixing.sizes(frame(spark, docs)).cache()
+    rate = {r["source"]: r["rate"] / 1e9 for r in mixing.targets(sized, path).collect()}
+    runs = 12
+    counts = Counter()
+    for seed in range(runs):
+        for r in mixing.mix(frame(spark, docs), seed=seed).collect():
+            counts[r["source"]] += r["copies"]
+    for s in rate:
+        assert counts[s] / runs / 20 == pytest.approx(rate[s], abs=0.06)
+
+
+def test_emit_takes_each_row_as_often_as_planned(spark):
+    docs = frame(spark, [(1, "a b", "s"), (1, "a b", "s"), (1, "a b", "s"), (1, "a c", "s"), (None, "x", None), (None, "x", None), (2, None, "t"), (3, "q " * 9, "t")])
+    mixed = mixing.mix(docs)
+    plan = Counter()
+    for r in mixed.collect():
+        plan[r["doc_id"], r["row_key"]] += r["copies"]
+    out = mixing.emit(docs.drop("copies"), mixed)
+    assert out.columns == ["doc_id", "text", "source", "size", "position", "copy"]
+    keyed = out.withColumn("k", mixing.row_key(F.col("doc_id"), F.col("text"))).collect()
+    assert Counter((r["doc_id"], r["k"]) for r in keyed) == +plan
+
+
+@pytest.mark.parametrize("rows", [[], [(1, None, None)], [(1, "", "a"), (2, "", "b")]])
+def test_without_words_nothing_is_taken(spark, rows):
+    out = mixing.mix(frame(spark, rows)).collect()
+    assert [(r["size"], r["target"], r["copies"]) for r in out] == [(0, 0.0, 0)] * len(rows)
+
+
+def test_positions_count_within_groups_of_any_size(spark):
+    rows = [("hot" if i % 3 else None if i % 2 else f"g{i % 4}", i * 7 % 50) for i in range(3000)]
+    placed = with_positions(spark.createDataFrame(rows, "g string, v int"), "g", [F.col("v")], scratch(spark, "positions")).collect()
+    by = defaultdict(list)
+    for r in placed:
+        by[r["g"]].append((r["position"], r["v"], r["group_rows"]))
+    assert Counter(g for g, _ in rows) == {g: len(v) for g, v in by.items()}
+    for v in by.values():
+        v.sort()
+        assert [p for p, _, _ in v] == list(range(len(v))) and {n for *_, n in v} == {len(v)}
+        assert [x for _, x, _ in v] == sorted(x for _, x, _ in v)

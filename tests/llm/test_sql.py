@@ -26,7 +26,7 @@ def test_query_matches_sql(spark, name):
     assert Counter(map(tuple, frame.select(*columns).collect())) == Counter(result.fetchall())
 
 
-@pytest.mark.parametrize("name", ["op1_quality_rules", "op4_line_dedup"])
+@pytest.mark.parametrize("name", ["op1_quality_rules", "op4_line_dedup", "op11_mixing"])
 def test_native_plans_have_no_python(spark, name):
     out = io.StringIO()
     with redirect_stdout(out):
