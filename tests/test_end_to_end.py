@@ -178,9 +178,11 @@ def test_bronze_months_of_different_types_are_read_together(spark, tmp_path):
     day = datetime(2031, 3, 1, 6)
     _bare_bronze(spark, paths.bronze, [("7", day, day.replace(hour=7), 1, 1.0, 2.0)], 3)
     spark.sql("SELECT 9 AS vendor_id, 2L AS passenger_count, 'modern' AS schema_family").write.parquet(f"{paths.bronze}/year=2031/month=4")
-    got = read_resolved(spark, paths.bronze, [(2031, 3), (2031, 4), (2031, 5)], BRONZE_SCHEMA)
-    rows = {(r["month"], r["vendor_id"], r["passenger_count"], r["schema_family"]) for r in got.collect()}
-    assert rows == {(3, 7, 1, None), (4, 9, 2, "modern")}
+    months = [(2031, 3), (2031, 4), (2031, 5)]
+    for absent, family in ((silver.ABSENT, "yellow_tripdata"), ({}, None)):
+        got = read_resolved(spark, paths.bronze, months, BRONZE_SCHEMA, absent)
+        rows = {(r["month"], r["vendor_id"], r["passenger_count"], r["schema_family"]) for r in got.collect()}
+        assert rows == {(3, 7, 1, family), (4, 9, 2, "modern")}
     assert read_resolved(spark, paths.bronze, [(2030, 1)], BRONZE_SCHEMA) is None
 
 

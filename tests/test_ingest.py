@@ -124,23 +124,26 @@ def test_all_invalid_month_is_not_reingested(spark, lake):
 
 
 def test_crash_between_quarantine_and_bronze_recovers(spark, lake, monkeypatch):
+    """A write that fails after another has finished leaves both tables as they
+    were, and the next run does the whole of it."""
     _drifting_landing(lake.landing)
-    real_write = bronze.write_partitioned
+    real_stage = bronze.stage_months
 
-    def failing(frame, root, **kw):
+    def failing(frame, root, *rest, **kw):
         if root == lake.bronze:
             raise RuntimeError("executor lost")
-        return real_write(frame, root, **kw)
+        return real_stage(frame, root, *rest, **kw)
 
-    monkeypatch.setattr(bronze, "write_partitioned", failing)
+    monkeypatch.setattr(bronze, "stage_months", failing)
     with pytest.raises(RuntimeError):
         bronze.ingest(spark, lake)
-    assert read_table(spark, lake.schema_violations).count() == 2
-    monkeypatch.setattr(bronze, "write_partitioned", real_write)
+    assert read_table(spark, lake.schema_violations) is None and read_table(spark, lake.bronze) is None
+    monkeypatch.setattr(bronze, "stage_months", real_stage)
     result = bronze.ingest(spark, lake)
-    assert result.files_skipped == 0 and result.records_processed == 32
-    assert read_table(spark, lake.schema_violations).count() == 2  # replaced, not appended
+    assert result.files_skipped == 0 and result.records_processed == 32 and result.schema_violations == 2
+    assert read_table(spark, lake.schema_violations).count() == 2
     assert read_table(spark, lake.bronze).count() == 32
+    assert not os.path.exists(f"{lake.bronze}/_staging") and not os.path.exists(f"{lake.schema_violations}/_staging")
 
 
 def test_duplicates_are_quarantined_when_enabled(spark, lake):

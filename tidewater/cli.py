@@ -43,6 +43,8 @@ def build_parser() -> argparse.ArgumentParser:
     parser.add_argument("--year", default=None)
     parser.add_argument("--month", default=None)
     parser.add_argument("--dedup", action="store_true", help="quarantine duplicate trips")
+    parser.add_argument("--retries", type=int, default=1, help="run: more attempts at a stage that fails")
+    parser.add_argument("--retry-delay", type=float, default=300.0, help="run: seconds before the next attempt")
     parser.add_argument("--force", action="store_true", help="ingest and transform done months again")
     parser.add_argument(
         "--only-changed",
@@ -80,13 +82,14 @@ def main(argv: list[str] | None = None) -> None:
             cfg = RunConfig(
                 paths=paths, batch_id=batch, year=year, month=month, dedup=args.dedup,
                 only_changed_gold=args.only_changed, force=args.force,
+                retries=args.retries, retry_delay_sec=args.retry_delay,
             )
             _emit({k: asdict(v) for k, v in run(spark, cfg).items()})
         elif args.stage == "report":
             fact, dim = reports.load_gold(spark, paths)
             year = reports.newest_year(spark, paths) if year is None else year
             outputs = {
-                "years": reports.available_years(fact),
+                "years": reports.report_years(spark, paths),
                 "kpis": reports.kpis(fact, year),
                 "trend": reports.trend(fact, dim, year, args.drill_down),
                 "borough": reports.borough_ranking(fact, dim, year),

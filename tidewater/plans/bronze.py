@@ -8,9 +8,10 @@ Plan per run, independent of the number of files or months:
    others and files of done months are skipped;
 3. read the pending files in one scan when their schemas merge, else one scan
    per footer schema; normalise each to the Bronze layout and ``unionByName``;
-4. write the quarantine first, then Bronze, then the run-log, each with dynamic
-   partition overwrite. A month is done once Bronze holds it; a crash before
-   leaves it pending, and the re-run replaces what was half written.
+4. claim the pending months, so that no other run works on them; write the
+   quarantine and Bronze beside their tables, counting rows in the writes; then
+   put the new months in place, quarantine first, and write the run-log. A failed
+   write leaves the tables as they were, and a month is done once Bronze holds it.
 
 Each landing file is scanned twice (quarantine and Bronze writes). The Bronze
 pass's ``IS NOT NULL`` checks on same-typed source columns reach the Parquet
@@ -35,17 +36,18 @@ from tidewater.operators.split import (
     schema_violations,
     valid_rows,
 )
+from tidewater.plans.claims import claimed
 from tidewater.plans.common import (
     LakePaths,
     batch_timestamp,
     logger,
     new_batch_id,
     stage_state,
-    table_counts,
 )
-from tidewater.schemas import BRONZE_SCHEMA, DUPLICATE_REASON, FAILURE_DUPLICATE, QUARANTINE_SCHEMA
+from tidewater.schemas import DUPLICATE_REASON, FAILURE_DUPLICATE
 from tidewater.session import ensure_checkpoint_dir
-from tidewater.sinks.writers import log_run, write_partitioned
+from tidewater.sinks.publish import publish, recover, stage_months
+from tidewater.sinks.writers import log_run
 from tidewater.sources.landing import (
     LandingFile,
     list_landing_files,
@@ -66,6 +68,7 @@ class IngestResult:
     schema_violations: int = 0
     duplicates: int = 0
     periods: list[tuple[int, int]] = field(default_factory=list)
+    busy: list[tuple[int, int]] = field(default_factory=list)
     job_duration_sec: float = 0.0
 
 
@@ -133,30 +136,47 @@ def ingest_files(
     force: bool = False,
 ) -> IngestResult:
     """Ingest the given landing files. Of several files for one month the first
-    by path counts; the others, and files of done months, are skipped."""
+    by path counts; the others, and files of done months, are skipped. Months that
+    another run is ingesting are left to it and reported in ``busy``."""
     start = time.time()
     active_batch = batch_id or new_batch_id()
-    todo = pending_files(spark, files, paths, force)
-    periods = sorted((f.year, f.month) for f in todo)
-    result = IngestResult(active_batch, len(files), len(files) - len(todo), periods=periods)
-    logger.info("ingest start batch=%s files=%d pending=%d", active_batch, len(files), len(todo))
-    if not todo:
-        result.job_duration_sec = time.time() - start
-        return result
-
-    normalized = normalized_landing(spark, todo, active_batch)
-    # a month done again may come out without rows of one kind, which dynamic
-    # overwrite would leave in place; until its new rows are written it is not done
-    for root in (paths.bronze, paths.schema_violations, paths.duplicate_records):
-        drop_periods(spark, root, period_dirs(spark, root) & set(periods))
+    result = IngestResult(active_batch, len(files), len(files))
+    wanted = sorted((f.year, f.month) for f in pending_files(spark, files, paths, force))
+    logger.info("ingest start batch=%s files=%d pending=%d", active_batch, len(files), len(wanted))
+    if wanted:
+        with claimed(spark, paths, STAGE, wanted, active_batch) as mine:
+            result.busy = sorted(set(wanted) - set(mine))
+            for root in (paths.bronze, paths.schema_violations, paths.duplicate_records):
+                recover(spark, root, mine)
+            # a run that held them before may have finished some
+            todo = [f for f in pending_files(spark, files, paths, force) if (f.year, f.month) in mine]
+            if todo:
+                _ingest_claimed(spark, todo, paths, result, dedup, layout)
+    result.job_duration_sec = time.time() - start
+    logger.info(
+        "ingest done batch=%s clean=%d violations=%d duplicates=%d skipped=%d",
+        active_batch,
+        result.records_processed,
+        result.schema_violations,
+        result.duplicates,
+        result.files_skipped,
+    )
+    return result
 
+
+def _ingest_claimed(
+    spark: SparkSession, todo: list[LandingFile], paths: LakePaths, result: IngestResult, dedup: bool, layout: str
+) -> None:
+    periods = sorted((f.year, f.month) for f in todo)
+    normalized = normalized_landing(spark, todo, result.batch_id)
     # rejects are few: one file a month, not one a scan task
-    write_partitioned(schema_violations(normalized), paths.schema_violations, layout="rebalance")
+    rejected = stage_months(schema_violations(normalized), paths.schema_violations, periods, layout="rebalance")
+    staged = [rejected]
 
     valid = valid_rows(normalized)
     if dedup:
         base = ensure_checkpoint_dir(spark, paths.checkpoint_fallback)
-        repeated_root = f"{base.rstrip('/')}/repeated-{active_batch}"
+        repeated_root = f"{base.rstrip('/')}/repeated-{result.batch_id}"
 
         def stored(repeated: DataFrame) -> DataFrame:
             repeated.write.mode("overwrite").parquet(repeated_root)
@@ -164,28 +184,19 @@ def ingest_files(
 
         marked = mark_duplicates(valid, materialize=stored)
         copies = quarantine_projection(duplicate_rows(marked), FAILURE_DUPLICATE, DUPLICATE_REASON)
-        write_partitioned(copies, paths.duplicate_records, layout="rebalance")
+        staged.append(stage_months(copies, paths.duplicate_records, periods, layout="rebalance"))
         valid = unique_rows(marked)
-
-    write_partitioned(bronze_projection(valid), paths.bronze, layout=layout)
-
-    tables = {"written": (paths.bronze, BRONZE_SCHEMA), "rejected": (paths.schema_violations, QUARANTINE_SCHEMA)}
-    if dedup:
-        tables["duplicates"] = (paths.duplicate_records, QUARANTINE_SCHEMA)
-    n = table_counts(spark, tables, periods)
-    result.records_processed = sum(n["written"].values())
-    result.schema_violations = sum(n["rejected"].values())
-    result.duplicates = sum(n.get("duplicates", {}).values())
-    counts = {p: (n["written"][p], n["rejected"][p] + n.get("duplicates", {}).get(p, 0)) for p in periods}
-    log_run(spark, paths.run_log, STAGE, counts, active_batch)
-
-    result.job_duration_sec = time.time() - start
-    logger.info(
-        "ingest done batch=%s clean=%d violations=%d duplicates=%d skipped=%d",
-        active_batch,
-        result.records_processed,
-        result.schema_violations,
-        result.duplicates,
-        result.files_skipped,
-    )
-    return result
+    else:  # copies that an earlier run with dedup found are now in Bronze again
+        drop_periods(spark, paths.duplicate_records, period_dirs(spark, paths.duplicate_records) & set(periods))
+
+    clean = stage_months(bronze_projection(valid), paths.bronze, periods, layout)
+    for write in (*staged, clean):
+        publish(spark, write)
+
+    result.periods = periods
+    result.files_skipped = result.landing_files - len(todo)
+    result.records_processed = sum(clean.rows.values())
+    result.schema_violations = sum(rejected.rows.values())
+    result.duplicates = sum(sum(s.rows.values()) for s in staged[1:])
+    counts = {p: (clean.rows[p], sum(s.rows[p] for s in staged)) for p in periods}
+    log_run(spark, paths.run_log, STAGE, counts, result.batch_id)

@@ -56,6 +56,11 @@ class LakePaths:
         same shared storage as the tables."""
         return self.checkpoints or f"{self.run_log.rstrip('/')}_checkpoints"
 
+    @property
+    def claims(self) -> str:
+        """Where runs mark the months that they are working on."""
+        return f"{self.run_log.rstrip('/')}_claims"
+
     @property
     def schema_violations(self) -> str:
         return f"{self.quarantine}/schema_violations"

@@ -13,12 +13,14 @@ neither adds nor drops fact rows).
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewater.functions import guarded_ratio, zero_if_null
 from tidewater.operators.zones import with_pickup_zone
-from tidewater.schemas import TREND_DIMENSIONS
+from tidewater.plans.common import LakePaths
+from tidewater.schemas import BRONZE_SCHEMA, DIM_ZONE_SCHEMA, FACT_SCHEMA, QUARANTINE_SCHEMA, SILVER_SCHEMA, TREND_DIMENSIONS
+from tidewater.sources.tables import period_dirs, read_table
 
 
 def report_frame(fact: DataFrame, dim: DataFrame) -> DataFrame:
@@ -41,15 +43,25 @@ def select_year(fact: DataFrame, year: int | None = None) -> DataFrame:
     return fact.join(newest, "year", "left_semi")
 
 
-def newest_year(spark, paths) -> int | None:
+def stored_years(spark: SparkSession, paths: LakePaths) -> list[int]:
+    """The years the stored fact holds, newest first, from its directories."""
+    return sorted({year for year, _ in period_dirs(spark, paths.fact)}, reverse=True)
+
+
+def newest_year(spark: SparkSession, paths: LakePaths) -> int | None:
     """The newest year the stored fact holds, from its directories."""
-    from tidewater.sources.tables import period_dirs
+    return next(iter(stored_years(spark, paths)), None)
+
 
-    return max((y for y, _ in period_dirs(spark, paths.fact)), default=None)
+def report_years(spark: SparkSession, paths: LakePaths) -> DataFrame:
+    """Distinct years of the stored fact, newest first: one row per year, from the
+    table's directories; no file is opened."""
+    return spark.createDataFrame([(year,) for year in stored_years(spark, paths)], "year int")
 
 
 def available_years(fact: DataFrame) -> DataFrame:
-    """Distinct years, newest first."""
+    """Distinct years of a frame, newest first; for a stored fact see
+    :func:`report_years`."""
     return fact.select("year").distinct().orderBy(F.desc("year"))
 
 
@@ -138,16 +150,13 @@ def hourly_profile(fact: DataFrame, year: int | None = None) -> DataFrame:
     )
 
 
-def load_gold(spark, paths) -> tuple[DataFrame, DataFrame]:
+def load_gold(spark: SparkSession, paths: LakePaths) -> tuple[DataFrame, DataFrame]:
     """(fact, dim) from a lakehouse's Gold tables; ``year``/``month`` of the
     fact come from its partition directories, so year filters prune files.
 
     Without a dimension table (no lookup was ever provided) an empty one is
     used: every pickup zone is then unknown, reported as a NULL borough.
     """
-    from tidewater.schemas import DIM_ZONE_SCHEMA, FACT_SCHEMA
-    from tidewater.sources.tables import read_table
-
     fact = read_table(spark, paths.fact, FACT_SCHEMA)
     if fact is None:
         raise FileNotFoundError(f"no Gold fact table at {paths.fact}; run the gold stage first")
@@ -157,14 +166,11 @@ def load_gold(spark, paths) -> tuple[DataFrame, DataFrame]:
     return fact, dim
 
 
-def register_views(spark, paths) -> list[str]:
+def register_views(spark: SparkSession, paths: LakePaths) -> list[str]:
     """Temp views for SQL users: ``trips_bronze``, ``trips_quarantine``,
     ``trips_silver``, ``fact_trip_summary``, ``dim_taxi_zone`` and
     ``trip_report`` (fact ⟕ zone). Views over tables that do not exist yet are
     skipped; the registered names are returned."""
-    from tidewater.schemas import BRONZE_SCHEMA, DIM_ZONE_SCHEMA, FACT_SCHEMA, QUARANTINE_SCHEMA, SILVER_SCHEMA
-    from tidewater.sources.tables import read_table
-
     tables = {
         "trips_bronze": (paths.bronze, BRONZE_SCHEMA),
         "trips_quarantine": (paths.schema_violations, QUARANTINE_SCHEMA),

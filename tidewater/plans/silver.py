@@ -4,10 +4,11 @@ Pending = months whose Bronze directory holds data (optionally one requested
 month) less Silver's done months: those Silver holds, and those logged to have
 had no valid rows, unless Bronze has since been written by another batch. Only
 the pending months' directories are read; columns are resolved by name against
-the files, so an absent ``schema_family`` gets its default and a differently
-typed column is cast. The cleansing rules reach the Parquet scan as pushed
-filters; the output is written with dynamic partition overwrite and, by default,
-without a shuffle (each scan task writes the month it read).
+each file, so the rows of a file without ``schema_family`` get its default,
+whatever the other files hold, and a differently typed column is cast. The cleansing rules reach the Parquet scan as pushed
+filters; the output is written beside the table and put in place at the end, by
+default without a shuffle (each scan task writes the month it read). Months that
+another run is transforming are left to it.
 """
 
 from __future__ import annotations
@@ -19,6 +20,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 
 from tidewater.operators.enrich import clean_and_enrich, silver_projection
 from tidewater.operators.periods import select_period
+from tidewater.plans.claims import claimed
 from tidewater.plans.common import (
     LakePaths,
     StageState,
@@ -28,11 +30,14 @@ from tidewater.plans.common import (
     stage_state,
     table_counts,
 )
-from tidewater.schemas import BRONZE_SCHEMA, PERIOD_SCHEMA, SILVER_SCHEMA
-from tidewater.sinks.writers import log_run, write_partitioned
-from tidewater.sources.tables import drop_periods, read_resolved
+from tidewater.schemas import BRONZE_SCHEMA, PERIOD_SCHEMA, SILVER_DEFAULT_FAMILY
+from tidewater.sinks.publish import publish, recover, stage_months
+from tidewater.sinks.writers import log_run
+from tidewater.sources.tables import read_resolved
 
 STAGE = "silver"
+#: What a column stands for in the rows of a file that does not have it.
+ABSENT = {"schema_family": SILVER_DEFAULT_FAMILY}
 
 
 @dataclass
@@ -42,6 +47,7 @@ class SilverResult:
     periods: list[tuple[int, int]] = field(default_factory=list)
     missing: list[tuple[int, int]] = field(default_factory=list)
     skipped: list[tuple[int, int]] = field(default_factory=list)
+    busy: list[tuple[int, int]] = field(default_factory=list)
     rows_written: int = 0
     job_duration_sec: float = 0.0
 
@@ -89,24 +95,32 @@ def transform(
     requested month that Bronze does not hold is reported in ``missing``."""
     start = time.time()
     active_batch = batch_id or new_batch_id("silver-")
-    pending, missing, skipped, state = plan_periods(spark, paths, year, month, force)
-    result = SilverResult(active_batch, periods=pending, missing=missing, skipped=skipped)
-    bronze = read_resolved(spark, paths.bronze, pending, BRONZE_SCHEMA) if pending else None
-    if bronze is None:
+    wanted, missing, skipped, _ = plan_periods(spark, paths, year, month, force)
+    result = SilverResult(active_batch, missing=missing, skipped=skipped)
+    if wanted:
+        with claimed(spark, paths, STAGE, wanted, active_batch) as mine:
+            result.busy = sorted(set(wanted) - set(mine))
+            recover(spark, paths.silver, mine)
+            # a run that held them before may have finished some
+            pending, _, _, state = plan_periods(spark, paths, year, month, force)
+            result.periods = sorted(set(pending) & set(mine))
+            _transform_claimed(spark, paths, result, state, layout)
+    if not result.partitions_processed:
         logger.warning("silver: no partitions to process")
-        result.job_duration_sec = time.time() - start
-        return result
-
-    silver = build_silver(bronze, active_batch, batch_timestamp())
-    # a month done again may now have no valid rows, which dynamic overwrite would not show
-    drop_periods(spark, paths.silver, state.stored & set(pending))
-    write_partitioned(silver, paths.silver, layout=layout)
-
-    tables = {"written": (paths.silver, SILVER_SCHEMA), "read": (paths.bronze, PERIOD_SCHEMA)}
-    n = table_counts(spark, tables, pending)
-    counts = {p: (n["written"][p], n["read"][p] - n["written"][p]) for p in pending}
-    log_run(spark, paths.run_log, STAGE, counts, active_batch, state.source_batches)
-    result.partitions_processed = len(pending)
-    result.rows_written = sum(n["written"].values())
     result.job_duration_sec = time.time() - start
     return result
+
+
+def _transform_claimed(spark: SparkSession, paths: LakePaths, result: SilverResult, state: StageState, layout: str) -> None:
+    pending = result.periods
+    bronze = read_resolved(spark, paths.bronze, pending, BRONZE_SCHEMA, ABSENT) if pending else None
+    if bronze is None:
+        return
+    silver = build_silver(bronze, result.batch_id, batch_timestamp())
+    staged = stage_months(silver, paths.silver, pending, layout)
+    publish(spark, staged)
+    read = table_counts(spark, {"read": (paths.bronze, PERIOD_SCHEMA)}, pending)["read"]
+    counts = {p: (staged.rows[p], read[p] - staged.rows[p]) for p in pending}
+    log_run(spark, paths.run_log, STAGE, counts, result.batch_id, state.source_batches)
+    result.partitions_processed = len(pending)
+    result.rows_written = sum(staged.rows.values())

@@ -8,9 +8,12 @@ instead of appending a second copy, which makes every stage idempotent.
 
 from __future__ import annotations
 
+import json
+from collections.abc import Callable
 from datetime import datetime, timezone
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 from tidewater.operators.periods import PERIOD
 from tidewater.schemas import RUN_LOG_SCHEMA
@@ -22,16 +25,38 @@ from tidewater.schemas import RUN_LOG_SCHEMA
 LAYOUTS = ("scan", "rebalance")
 
 
+def laid_out(frame: DataFrame, layout: str, partition_by: list[str] | tuple[str, ...] = tuple(PERIOD)) -> DataFrame:
+    if layout not in LAYOUTS:
+        raise ValueError(f"layout must be one of {LAYOUTS}")
+    return frame.hint("rebalance", *partition_by) if layout == "rebalance" else frame
+
+
+def counted(frame: DataFrame, n_periods: int) -> tuple[DataFrame, Callable[[], dict[tuple[int, int], int]]]:
+    """``frame``, observed, and a function that gives its rows per month once it has
+    been written: the counts are made in the write itself, without another job.
+
+    The observed aggregate is a frequent-items sketch, which is exact while it
+    tracks more items than occur; it tracks at least twice the months. Observe the
+    frame that is written, after its last exchange: then a task that runs again
+    after a lost executor is counted once.
+    """
+    observed = Observation()
+    tracked = max(1024, 1 << (2 * n_periods).bit_length())
+    months = F.expr(f"to_json(approx_top_k(year * 100 + month, {max(1, n_periods)}, {tracked}))")
+
+    def read() -> dict[tuple[int, int], int]:
+        return {divmod(int(r["item"]), 100): int(r["count"]) for r in json.loads(observed.get["months"] or "[]")}
+
+    return frame.observe(observed, months.alias("months")), read
+
+
 def write_partitioned(
     frame: DataFrame,
     root: str,
     partition_by: list[str] | tuple[str, ...] = tuple(PERIOD),
     layout: str = "scan",
 ) -> None:
-    if layout not in LAYOUTS:
-        raise ValueError(f"layout must be one of {LAYOUTS}")
-    if layout == "rebalance":
-        frame = frame.hint("rebalance", *partition_by)
+    frame = laid_out(frame, layout, partition_by)
     (
         frame.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")

@@ -5,8 +5,8 @@ Files of different months drift in schema (bigint vs double counts,
 The common case — one schema, or schemas that only add or drop columns — is
 read as one scan with ``mergeSchema`` (all footers are read in one parallel
 job). When the schemas conflict (``mergeSchema`` rejects int/double or
-timestamp/timestamp_ntz), files are grouped by their footer schema and each
-group is read in one scan; the caller normalises each scan to the Bronze
+timestamp/timestamp_ntz), files are grouped by their footer schema, in one more
+job over the footers, and each group is read in one scan; the caller normalises each scan to the Bronze
 layout and unions them. Either way: one job over all pending files instead of
 a loop per file.
 """
@@ -14,7 +14,6 @@ a loop per file.
 from __future__ import annotations
 
 import re
-from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
@@ -24,6 +23,7 @@ from pyspark.sql import types as T
 
 from tidewater.operators.dedup import file_row_id
 from tidewater.schemas import LANDING_GLOB, LANDING_PATTERN
+from tidewater.sources.footers import group_files
 from tidewater.sources.tables import is_merge_conflict
 
 _PATTERN = re.compile(LANDING_PATTERN)
@@ -89,24 +89,12 @@ def list_landing_files(spark: SparkSession, landing_dir: str) -> list[LandingFil
     return files
 
 
-def _footer_schema(spark: SparkSession, path: str) -> T.StructType:
-    return spark.read.parquet(path).schema
-
-
-def group_by_schema(
-    spark: SparkSession, files: list[LandingFile], threads: int = 16
-) -> list[tuple[T.StructType, list[LandingFile]]]:
-    """Group files by their Parquet schema (one small footer read per file,
-    done concurrently). Returns groups in first-seen order."""
-    if not files:
-        return []
-    with ThreadPoolExecutor(max_workers=min(threads, len(files))) as pool:
-        schemas = list(pool.map(lambda f: _footer_schema(spark, f.path), files))
-    groups: dict[str, tuple[T.StructType, list[LandingFile]]] = {}
-    for schema, file in zip(schemas, files):
-        key = schema.json()
-        groups.setdefault(key, (schema, []))[1].append(file)
-    return list(groups.values())
+def group_by_schema(spark: SparkSession, files: list[LandingFile]) -> list[tuple[T.StructType, list[LandingFile]]]:
+    """Files by their Parquet schema, found by one job over all footers; each
+    group's schema is read from its first file."""
+    by_path = {f.path: f for f in files}
+    groups = group_files(spark, list(by_path))
+    return [(spark.read.parquet(g.paths[0]).schema, [by_path[p] for p in g.paths]) for g in groups]
 
 
 def read_group(spark: SparkSession, schema: T.StructType, files: list[LandingFile]) -> DataFrame:

@@ -6,14 +6,18 @@ from __future__ import annotations
 from collections.abc import Iterable
 from dataclasses import dataclass
 from functools import reduce
+from time import sleep
 
+from py4j.protocol import Py4JJavaError
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidewater.functions import resolve_source_columns, safe_value
 from tidewater.operators.periods import period_filter
 from tidewater.schemas import RUN_LOG_SCHEMA, ZONE_LOOKUP_SCHEMA
+from tidewater.sources.footers import group_directories
 
 _MISSING_MARKERS = ("PATH_NOT_FOUND", "Path does not exist", "UNABLE_TO_INFER_SCHEMA")
 
@@ -74,26 +78,33 @@ def read_periods(
     return frame.filter(period_filter(periods))
 
 
-def _file_system(spark: SparkSession, root: str):
+def file_system(spark: SparkSession, root: str):
     """(Hadoop file system of ``root``, its Path class)."""
     path = spark._jvm.org.apache.hadoop.fs.Path
     conf = spark._jsparkSession.sessionState().newHadoopConf()
     return path(root).getFileSystem(conf), path
 
 
-def _holds_data(fs, directory) -> bool:
-    entries = fs.listStatusIterator(directory)
-    while entries.hasNext():
-        if not entries.next().getPath().getName().startswith(("_", ".")):
-            return True
-    return False
+def _holds_data(fs, directory, looks: int = 3) -> bool:
+    try:
+        entries = fs.listStatusIterator(directory)
+        while entries.hasNext():
+            if not entries.next().getPath().getName().startswith(("_", ".")):
+                return True
+        return False
+    except Py4JJavaError:  # a month that is just being replaced is back after a moment
+        if looks == 1:
+            raise
+    if not fs.exists(directory):
+        sleep(0.05)
+    return fs.exists(directory) and _holds_data(fs, directory, looks - 1)
 
 
 def period_dirs(spark: SparkSession, root: str) -> set[tuple[int, int]]:
     """Periods whose ``year=Y/month=M`` directory under ``root`` holds a data
     file. One glob and a look at each month's first entries: no file is opened,
     and the work grows with months, not with files."""
-    fs, path = _file_system(spark, root)
+    fs, path = file_system(spark, root)
     found = set()
     for status in fs.globStatus(path(f"{root.rstrip('/')}/year=*/month=*")) or []:
         directory = status.getPath()
@@ -105,7 +116,7 @@ def period_dirs(spark: SparkSession, root: str) -> set[tuple[int, int]]:
 
 def drop_periods(spark: SparkSession, root: str, periods: Iterable[tuple[int, int]]) -> None:
     """Delete the directories of ``periods`` under ``root``."""
-    fs, path = _file_system(spark, root)
+    fs, path = file_system(spark, root)
     for year, month in periods:
         fs.delete(path(f"{root.rstrip('/')}/year={year}/month={month}"), True)
 
@@ -118,42 +129,40 @@ def is_merge_conflict(exc: Exception) -> bool:
 
 
 def read_resolved(
-    spark: SparkSession, root: str, periods: list[tuple[int, int]], schema: T.StructType
+    spark: SparkSession,
+    root: str,
+    periods: list[tuple[int, int]],
+    schema: T.StructType,
+    absent: dict[str, object] | None = None,
 ) -> DataFrame | None:
     """Rows of ``periods`` in the columns of ``schema`` that the files have, by
     name, each cast to the schema's type where the stored type differs. Columns
     that no file has are left out. ``None`` when no wanted month has data.
 
-    The footers are merged by one Spark job; only if their types conflict are
-    the months read one schema at a time.
+    Every file counts with its own columns, also beside files of its month that
+    lack them or store them as other types: files are grouped by schema in one job
+    over their footers and each group is one scan. A column of ``absent`` takes the
+    value given there in the rows of files that lack it; other files' NULLs stay.
     """
     base = root.rstrip("/")
     dirs = [f"{base}/year={y}/month={m}" for y, m in sorted(set(periods) & period_dirs(spark, root))]
     if not dirs:
         return None
-    reader = lambda: spark.read.option("basePath", base)
-    try:
-        frames = [reader().option("mergeSchema", "true").parquet(*dirs)]
-        frames[0].schema  # noqa: B018 - runs the footer merge
-    except Exception as exc:  # noqa: BLE001 - a merge conflict arrives as a raw JVM error
-        if not is_merge_conflict(exc):
-            raise
-        groups: dict[str, list[str]] = {}
-        for d in dirs:
-            groups.setdefault(spark.read.parquet(d).schema.json(), []).append(d)
-        frames = [reader().parquet(*group) for group in groups.values()]
-    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), [_cast_to(f, schema) for f in frames])
+    groups = group_directories(spark, dirs)
+    scans = [spark.read.option("basePath", base).parquet(*group.paths) for group in groups]
+    frames = [_cast_to(scan, schema, absent or {}) for scan in scans]
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
 
 
-def _cast_to(frame: DataFrame, schema: T.StructType) -> DataFrame:
+def _cast_to(frame: DataFrame, schema: T.StructType, absent: dict[str, object]) -> DataFrame:
     available, types = resolve_source_columns(frame.columns), dict(frame.dtypes)
-    return frame.select(
-        *[
-            safe_value(available, f.name, f.dataType.simpleString(), types).alias(f.name)
-            for f in schema.fields
-            if f.name.lower() in available
-        ]
-    )
+    columns = []
+    for f in schema.fields:
+        if f.name.lower() in available:
+            columns.append(safe_value(available, f.name, f.dataType.simpleString(), types).alias(f.name))
+        elif f.name in absent:
+            columns.append(F.lit(absent[f.name]).cast(f.dataType).alias(f.name))
+    return frame.select(*columns)
 
 
 @dataclass(frozen=True)
