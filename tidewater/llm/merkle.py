@@ -224,6 +224,7 @@ def manifest(
         name.alias("grp"), F.col("doc_id").cast("long").alias("doc_id"), own.alias("digest"),
         (F.lit(None) if claimed is None else claimed).cast("binary").alias("claimed"),
     )
+    leaves = written(leaves, f"{path}/digests")  # the texts are read once
     order = [F.col(c).asc_nulls_first() for c in ("doc_id", "digest", "claimed")]
     placed = written(
         with_positions(leaves, "grp", order, f"{path}/order").withColumnRenamed("group_rows", "nodes_in_group"), f"{path}/leaves"
