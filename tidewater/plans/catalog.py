@@ -20,7 +20,7 @@ from tidewater.operators import dedup, periods, split
 from tidewater.operators.enrich import rule_failure_counts
 from tidewater.operators.normalize import REASON_COLUMN
 from tidewater.plans import fixture_flow as flow
-from tidewater.plans import reports
+from tidewater.plans import lake_flow, reports
 from tidewater.schemas import FAILURE_DUPLICATE, DUPLICATE_REASON
 from tidewater.sources.fixtures import table
 
@@ -193,6 +193,31 @@ def dedup_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _stored(name: str) -> Query:
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        frame = lake_flow.stored(spark, sf_dir, name)
+        return _check_trips(frame) if name in ("bronze", "quarantine", "silver") else _check(frame)
+
+    run.__name__ = f"files_{name}"
+    return run
+
+
+def _stored_report(name: str) -> Query:
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return flow.stable_doubles(lake_flow.report(spark, sf_dir, name, REPORT_YEAR))
+
+    run.__name__ = f"files_report_{name}"
+    return run
+
+
+def files_silver_mixed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _check_trips(lake_flow.silver_of_mixed_files(spark, sf_dir))
+
+
+def files_fact_month(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _check(lake_flow.fact_of_one_month(spark, sf_dir, REPORT_YEAR, 3))
+
+
 _QUERIES: dict[str, Query] = {
     "bronze_normalized": bronze_normalized,
     "violation_reason_counts": violation_reason_counts,
@@ -220,6 +245,23 @@ _QUERIES: dict[str, Query] = {
     "available_periods": available_periods,
     "dedup_clean": dedup_clean,
     "dedup_quarantine": dedup_quarantine,
+    "files_landing": lake_flow.landing_files,
+    "files_bronze": _stored("bronze"),
+    "files_quarantine": _stored("quarantine"),
+    "files_silver": _stored("silver"),
+    "files_silver_mixed": files_silver_mixed,
+    "files_fact": _stored("fact"),
+    "files_fact_month": files_fact_month,
+    "files_dim": _stored("dim"),
+    "files_periods": lake_flow.table_periods,
+    "files_run_log": lake_flow.run_log,
+    "files_run_history": lake_flow.run_history,
+    "files_audit": lake_flow.audit,
+    "files_report_years": _stored_report("years"),
+    "files_report_kpis": _stored_report("kpis"),
+    "files_report_trend": _stored_report("trend"),
+    "files_report_borough": _stored_report("borough"),
+    "files_report_hourly": _stored_report("hourly"),
 }
 
 QUERIES: dict[str, Query] = {name: _in_utc(query) for name, query in _QUERIES.items()}

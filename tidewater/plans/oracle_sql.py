@@ -284,3 +284,90 @@ ORACLE: dict[str, str] = {
       'duplicate_record' AS failure_mode, 'duplicate business key' AS failure_reason
     FROM ranked WHERE rn > 1""",
 }
+
+# The tables as the stages store them: rows carry their landing file's name and
+# the run that made them. Months before 1998 came with the first run.
+STORED = """
+CASE WHEN year < 1998 THEN 'run1' ELSE 'run2' END AS batch_id,
+  'yellow_tripdata_' || year || '-' || lpad(CAST(month AS VARCHAR), 2, '0') || '.parquet' AS source_file"""
+
+RUN_COUNTS = """
+counts AS (
+  SELECT year, month, year < 1998 AS early, COUNT(*) FILTER (WHERE schema_violation_reason = '') AS clean,
+    COUNT(*) FILTER (WHERE schema_violation_reason <> '') AS violations
+  FROM norm GROUP BY year, month),
+kept AS (SELECT year, month, COUNT(*) AS n FROM silver GROUP BY year, month),
+months AS (SELECT c.*, coalesce(k.n, 0) AS kept FROM counts c LEFT JOIN kept k USING (year, month)),
+totals AS (
+  SELECT early, COUNT(*) AS landed, COUNT(*) FILTER (WHERE clean > 0) AS in_bronze, COUNT(*) FILTER (WHERE kept > 0) AS in_silver,
+    SUM(clean) AS clean, SUM(violations) AS violations, SUM(kept) AS kept
+  FROM months GROUP BY early)"""
+
+
+def _number(expr: str, name: str) -> str:
+    return f"CAST({expr} AS DOUBLE) AS {name}"
+
+
+def _history(run: int, new: str, before: str) -> str:
+    """One run's three stages: ``new`` the totals that landed before it, ``before``
+    those that were done; either may be empty."""
+    done = lambda column: f"coalesce((SELECT SUM({column}) FROM totals WHERE {before}), 0)"
+    got = lambda column: f"coalesce((SELECT SUM({column}) FROM totals WHERE {new}), 0)"
+    return f"""
+SELECT {run} AS run, 'bronze' AS stage, {_number(got("landed"), "months")}, {_number(done("landed"), "skipped")},
+  {_number(got("clean"), "rows_written")}, {_number(got("violations"), "rows_rejected")}, CAST(NULL AS BOOLEAN) AS dimension_built
+UNION ALL SELECT {run}, 'silver', {_number(got("in_bronze"), "m")}, {_number(done("in_bronze"), "s")}, {_number(got("kept"), "r")},
+  CAST(NULL AS DOUBLE), CAST(NULL AS BOOLEAN)
+UNION ALL SELECT {run}, 'gold', CAST({got("in_silver")} + {done("in_silver")} AS DOUBLE), CAST(NULL AS DOUBLE), CAST(NULL AS DOUBLE),
+  CAST(NULL AS DOUBLE), {"FALSE" if run == 1 else "TRUE"}"""
+
+
+def _placed(order: str) -> str:
+    return f"row_number() OVER (ORDER BY {order}) - 1 AS place"
+
+
+_KPIS = ORACLE["report_kpis_newest"].removeprefix(BASE_CTES)
+FILES: dict[str, str] = {
+    "files_landing": BASE_CTES
+    + """SELECT DISTINCT 'yellow_tripdata_' || year || '-' || lpad(CAST(month AS VARCHAR), 2, '0') || '.parquet' AS file, year, month
+    FROM norm""",
+    "files_bronze": BASE_CTES + f"SELECT * EXCLUDE (batch_id, source_file) REPLACE ({_trip_view(TRIP_DOUBLES)}), {STORED} FROM bronze",
+    "files_quarantine": BASE_CTES
+    + f"""SELECT * EXCLUDE (batch_id, source_file, schema_violation_reason) REPLACE ({_trip_view(TRIP_DOUBLES)}), {STORED},
+      'schema_violation' AS failure_mode, schema_violation_reason AS failure_reason FROM norm WHERE schema_violation_reason <> ''""",
+    "files_silver": BASE_CTES + f"SELECT * REPLACE ({_trip_view(SILVER_DOUBLES)}, 'silver' AS batch_id) FROM silver",
+    "files_silver_mixed": BASE_CTES
+    + f"""SELECT * REPLACE ({_trip_view(SILVER_DOUBLES)},
+      CASE WHEN payment_type % 2 = 1 THEN 'yellow_tripdata' ELSE 'modern' END AS schema_family) FROM silver""",
+    "files_fact": BASE_CTES + f"SELECT * REPLACE ({_stable_all(FACT_DOUBLES)}, 'gold' AS batch_id) FROM fact",
+    "files_fact_month": BASE_CTES
+    + f"SELECT * REPLACE ({_stable_all(FACT_DOUBLES)}, 'gold' AS batch_id) FROM fact WHERE year = 1998 AND month = 3",
+    "files_dim": BASE_CTES + "SELECT * FROM dim",
+    "files_periods": BASE_CTES
+    + """SELECT DISTINCT 'bronze' AS name, year, month FROM bronze UNION ALL SELECT DISTINCT 'silver', year, month FROM silver
+    UNION ALL SELECT DISTINCT 'fact', year, month FROM fact""",
+    "files_run_log": BASE_CTES.rstrip() + "," + RUN_COUNTS
+    + f"""
+SELECT 'bronze' AS stage, year, month, {_number("clean", "rows_written")}, {_number("violations", "rows_rejected")},
+  CASE WHEN early THEN 'run1' ELSE 'run2' END AS batch, CAST(NULL AS VARCHAR) AS source_batch FROM months
+UNION ALL SELECT 'silver', year, month, {_number("kept", "w")}, {_number("clean - kept", "r")}, 'silver', CASE WHEN early THEN 'run1' ELSE 'run2' END
+FROM months WHERE clean > 0
+UNION ALL SELECT 'gold', year, month, CAST(NULL AS DOUBLE), CAST(NULL AS DOUBLE), 'gold', 'silver' FROM months WHERE kept > 0""",
+    "files_run_history": BASE_CTES.rstrip() + "," + RUN_COUNTS
+    + _history(1, "early", "FALSE") + " UNION ALL " + _history(2, "NOT early", "early") + " UNION ALL " + _history(3, "FALSE", "TRUE"),
+    "files_audit": BASE_CTES
+    + """SELECT 'bronze' AS name, CASE WHEN year < 1998 THEN 'run1' ELSE 'run2' END AS batch, COUNT(*) AS row_count, TRUE AS one_timestamp
+    FROM bronze GROUP BY 2
+    UNION ALL SELECT 'quarantine', CASE WHEN year < 1998 THEN 'run1' ELSE 'run2' END, COUNT(*), TRUE FROM norm
+    WHERE schema_violation_reason <> '' GROUP BY 2
+    UNION ALL SELECT 'silver', 'silver', COUNT(*), TRUE FROM silver GROUP BY year < 1998
+    UNION ALL SELECT 'fact', 'gold', COUNT(*), TRUE FROM fact""",
+    "files_report_years": BASE_CTES + f"SELECT year, {_placed('year DESC')} FROM (SELECT DISTINCT year FROM fact)",
+    "files_report_kpis": BASE_CTES + f"SELECT *, CAST(0 AS BIGINT) AS place FROM ({_KPIS})",
+    "files_report_trend": BASE_CTES
+    + f"SELECT *, {_placed('month, pickup_day_of_week')} FROM ({ORACLE['report_trend_dow'].removeprefix(BASE_CTES)})",
+    "files_report_borough": BASE_CTES
+    + f"SELECT *, {_placed('total_revenue DESC')} FROM ({ORACLE['report_borough'].removeprefix(BASE_CTES)})",
+    "files_report_hourly": BASE_CTES + f"SELECT *, {_placed('pickup_hour')} FROM ({ORACLE['report_hourly'].removeprefix(BASE_CTES)})",
+}
+ORACLE |= FILES

@@ -8,6 +8,7 @@ the same way.
 from __future__ import annotations
 
 import os
+import tempfile
 
 from pyspark.sql import SparkSession
 
@@ -51,3 +52,18 @@ def ensure_checkpoint_dir(spark: SparkSession, fallback: str) -> str:
     target = conf_dir or fallback
     spark.sparkContext.setCheckpointDir(target)
     return spark.sparkContext.getCheckpointDir() or target
+
+
+def scratch_root(spark: SparkSession) -> str:
+    """The shared folder for intermediate tables: ``spark.checkpoint.dir``. Where a
+    session names none, a local one gets a temporary folder, and one on a cluster
+    a folder beside its warehouse, which executors share."""
+    configured = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if configured:
+        return configured.rstrip("/")
+    master = spark.sparkContext.master
+    if master.startswith("local") and not master.startswith("local-cluster"):
+        fallback = tempfile.mkdtemp(prefix="tidewater-")
+    else:
+        fallback = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_tidewater_scratch"
+    return ensure_checkpoint_dir(spark, fallback).rstrip("/")
