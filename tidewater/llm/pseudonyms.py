@@ -48,18 +48,19 @@ class Feistel:
     def __init__(self, key: bytes):
         self.key = key
 
-    def _round(self, tweak: bytes, k: int, half: int) -> int:
-        h = hashlib.blake2b(half.to_bytes(16, "big"), digest_size=16, key=self.key, salt=bytes([k]), person=tweak[:16])
+    def _round(self, tweak: bytes, k: int, half: int, width: int) -> int:
+        # as wide as the half, which an address of many characters makes longer than 16 bytes
+        h = hashlib.blake2b(half.to_bytes(width, "big"), digest_size=width, key=self.key, salt=bytes([k]), person=tweak[:16])
         return int.from_bytes(h.digest(), "big")
 
     def _once(self, x: int, bits: int, tweak: bytes, back: bool) -> int:
-        mask = (1 << bits) - 1
+        mask, width = (1 << bits) - 1, max(16, (bits + 7) // 8)
         left, right = x >> bits, x & mask
         for k in reversed(range(ROUNDS)) if back else range(ROUNDS):
             if back:
-                left, right = right ^ (self._round(tweak, k, left) & mask), left
+                left, right = right ^ (self._round(tweak, k, left, width) & mask), left
             else:
-                left, right = right, left ^ (self._round(tweak, k, right) & mask)
+                left, right = right, left ^ (self._round(tweak, k, right, width) & mask)
         return left << bits | right
 
     def permute(self, x: int, n: int, tweak: bytes, back: bool = False) -> int:
@@ -212,25 +213,23 @@ def _date(text: str, turn: Callable[[int, int, bytes], int]) -> str | None:
             return order.replace("%Y", f"{day.year:04d}").replace("%m", f"{day.month:02d}").replace("%d", f"{day.day:02d}")
 
 
-LETTERS = "0123456789abcdefghijklmnopqrstuvwxyz"
-
-
 def _mail(text: str, turn: Callable[[int, int, bytes], int]) -> str | None:
+    """Letters become letters and digits digits, in their places; a letter's case
+    stays, so spellings in either case are linked and can go back."""
     local, _, domain = text.rpartition("@")
-    plain = [c for c in local.lower() if c in LETTERS]
-    if not plain:
+    places = [(k, 10 if c.isdigit() else 26) for k, c in enumerate(local) if c.isalnum()]
+    if not places:
         return None
-    x = 0
-    for c in plain:
-        x = 36 * x + LETTERS.index(c)
-    x = turn(x, 36 ** len(plain), b"mail%d" % len(plain))
-    out = []
-    for c in reversed(local):
-        if c.lower() in LETTERS:
-            x, k = divmod(x, 36)
-            c = LETTERS[k]
-        out.append(c)
-    return "".join(reversed(out)) + "@" + domain
+    x, n, digits = 0, 1, sum(base == 10 for _, base in places)
+    for k, base in places:
+        c = local[k].lower()
+        x, n = base * x + (int(c) if base == 10 else ord(c) - ord("a")), base * n
+    x, out = turn(x, n, b"mail%d.%d" % (len(places) - digits, digits)), list(local)
+    for k, base in reversed(places):
+        x, c = divmod(x, base)
+        new = str(c) if base == 10 else chr(ord("a") + c)
+        out[k] = new.upper() if local[k].isupper() else new
+    return "".join(out) + "@" + domain
 
 
 @dataclass(frozen=True)
