@@ -5,6 +5,7 @@ from __future__ import annotations
 import hashlib
 import random
 import re
+import time
 from dataclasses import replace
 
 import pytest
@@ -86,3 +87,50 @@ def test_empty_table(spark, monkeypatch, rows):
 def test_query_on_the_tables(spark):
     rows = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text").collect()
     assert rows_of(queries.op6_secret_scan(spark, SF)) == sorted(((r["doc_id"], *brute(r["text"])) for r in rows), key=str)
+
+
+RANDOM = "q7Zk2Vx9Lr4Tb8Nw3Yc6Hd1Jf5Gs0PmAuEiOyKt"
+FOUND = {
+    "jwt": "eyJabcdefgh.ijklmnopq.rstuvwxyz12", "temporary_access": "ASIAABCDEFGHIJKLMNOP", "github": "ghp_" + RANDOM[:36],
+    "gitlab": "glpat-" + RANDOM[:20], "slack": "xoxb-" + RANDOM[:24], "slack_hook": "hooks.slack.com/services/T0AB1CD2E/B0AB1CD2E/" + RANDOM[:24],
+    "stripe": "sk_live_" + RANDOM[:24], "google": "AIza" + RANDOM[:35], "sendgrid": "SG." + RANDOM[:22] + "." + (RANDOM + RANDOM)[:43],
+    "npm": "npm_" + RANDOM[:36], "pypi": "pypi-AgE" + RANDOM + RANDOM[:20], "storage_key": "AccountKey=" + (RANDOM * 3)[:86] + "==",
+    "url_password": "user:pa55word@h", "private_key": "-----BEGIN EC PRIVATE KEY-----",
+}
+
+
+@pytest.mark.parametrize("kind", [r.kind for r in secrets.FORMS])
+def test_every_form_is_found_and_its_neighbours_are_not(kind):
+    rule = next(r for r in secrets.RULES if r.kind == kind)
+    value = FOUND.get(kind, RANDOM + "7/b+")
+    text = f"é see {'ftp://' if kind == 'url_password' else ''}{value} there"
+    found = secrets.find(text, rule, re.compile(rule.pattern, re.ASCII))
+    assert [text[a:z] for _, a, z in found] == [value]
+    plain = ["plain words only", "xoxb-" + "a" * 30, "npm_" + "a" * 36, "ghp_short", "http://example.com:80/x@y", "a/long/path/of/words/and/more/words/in/it/2024",
+             "word" * 20, "eyJ.eyJ.eyJ", "SG.a.b", "x" + "ASIAABCDEFGHIJKLMNOP" + "Q"]
+    assert [t for t in plain if secrets.find(t, rule, re.compile(rule.pattern, re.ASCII))] == []
+
+
+HOSTILE = ["eyJ", "eyJaaaaaaaa.", "A", "a1", "-----BEGIN ", "-----BEGIN AAAA ", "://a:", "://aaaa:bbbb", "xoxb-", "SG.", "AKIA", "token=", "password ", "glpat-a", "k_live_", "AccountKey=A"]
+
+
+@pytest.mark.parametrize("unit", HOSTILE)
+def test_a_megabyte_is_searched_in_linear_time(unit):
+    text = unit * (1_000_000 // len(unit))
+    start = time.process_time()
+    for rule in secrets.RULES:
+        secrets.find(text, rule, re.compile(rule.pattern, re.ASCII))
+    assert time.process_time() - start < 5
+
+
+def test_compacting_keeps_every_pair_and_finding(spark, tmp_path):
+    old, new = f"{tmp_path}/ledger", f"{tmp_path}/compact"
+    docs = spread(spark, [*enumerate(texts()[:40])])
+    for some in (docs.where("doc_id < 10"), docs.where("doc_id < 25"), docs):
+        secrets.scan_new(some, old)
+    want = sorted(map(str, secrets.findings(docs, old).collect()))
+    secrets.compact(spark, old, new)
+    assert sorted(map(str, secrets.findings(docs, new).collect())) == want
+    ledger = spark.read.parquet(new)
+    assert ledger.count() == ledger.select("blob").distinct().count() and len(ledger.inputFiles()) < len(spark.read.parquet(old).inputFiles())
+    assert secrets.unseen(docs, secrets._ledger(spark, new), secrets.RULES).count() == 0

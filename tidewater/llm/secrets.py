@@ -18,7 +18,9 @@ empty table gives an empty result.
 
 from __future__ import annotations
 
+import math
 import re
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -30,13 +32,16 @@ from pyspark.sql import functions as F
 @dataclass(frozen=True)
 class Rule:
     """``pattern`` is matched leftmost without overlaps; matches whose ``group``
-    has fewer than ``least`` characters are dropped."""
+    has fewer than ``least`` characters, or fewer than ``bits`` of entropy for each
+    character, are dropped. A text without any of ``marks`` is not searched."""
 
     kind: str
     version: int
     pattern: str
     group: int = 0
     least: int = 0
+    bits: float = 0.0
+    marks: tuple[str, ...] = ()
 
     @property
     def name(self) -> str:
@@ -51,17 +56,47 @@ BASE_RULES = (
     Rule("access", 1, r"AKIA[A-Z0-9]{12,}"),
     Rule("hex", 1, r"(?<![0-9a-f])[0-9a-f]{32,}"),
 )
-RULES = (
-    *BASE_RULES,
-    Rule("private_key", 1, r"-----BEGIN (?:[A-Z]+ )*PRIVATE KEY-----"),
-    Rule("jwt", 1, r"eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}"),
-)
+# Published forms of keys and tokens. Each begins at a place that no
+# character of its own alphabet precedes and takes whole runs of it (possessive), so
+# that a search reads a text once, whatever it holds. What has no fixed prefix must
+# have the entropy of random characters, which words and file names do not have.
+FORMS = (
+    Rule("private_key", 1, r"-----BEGIN (?:[A-Z]+ )*PRIVATE KEY-----", marks=("PRIVATE KEY-----",)),
+    Rule("jwt", 2, r"(?<![A-Za-z0-9_-])eyJ[A-Za-z0-9_-]{8,}+\.[A-Za-z0-9_-]{8,}+\.[A-Za-z0-9_-]{8,}+", marks=("eyJ",)),
+    Rule("temporary_access", 1, r"(?<![A-Z0-9])ASIA[A-Z0-9]{16}(?![A-Z0-9])", marks=("ASIA",)),
+    Rule("github", 1, r"(?<![A-Za-z0-9_])(?:gh[pousr]_[A-Za-z0-9]{36}|github_pat_[A-Za-z0-9_]{82})(?![A-Za-z0-9_])", bits=3.0,
+         marks=("ghp_", "gho_", "ghu_", "ghs_", "ghr_", "github_pat_")),
+    Rule("gitlab", 1, r"(?<![A-Za-z0-9_-])glpat-[A-Za-z0-9_-]{20}(?![A-Za-z0-9_-])", bits=3.0, marks=("glpat-",)),
+    Rule("slack", 1, r"(?<![A-Za-z0-9])xox[abprs]-[A-Za-z0-9-]{20,}+", bits=3.0, marks=("xox",)),
+    Rule("slack_hook", 1, r"hooks\.slack\.com/services/T[A-Z0-9]{6,}+/B[A-Z0-9]{6,}+/[A-Za-z0-9]{20,}+", marks=("hooks.slack.com",)),
+    Rule("stripe", 1, r"(?<![A-Za-z0-9_])[rs]k_(?:live|test)_[A-Za-z0-9]{16,}+", bits=3.0, marks=("k_live_", "k_test_")),
+    Rule("google", 1, r"(?<![A-Za-z0-9_-])AIza[A-Za-z0-9_-]{35}(?![A-Za-z0-9_-])", bits=3.0, marks=("AIza",)),
+    Rule("sendgrid", 1, r"(?<![A-Za-z0-9_.-])SG\.[A-Za-z0-9_-]{22}\.[A-Za-z0-9_-]{43}(?![A-Za-z0-9_-])", marks=("SG.",)),
+    Rule("npm", 1, r"(?<![A-Za-z0-9_])npm_[A-Za-z0-9]{36}(?![A-Za-z0-9])", bits=3.0, marks=("npm_",)),
+    Rule("pypi", 1, r"(?<![A-Za-z0-9_-])pypi-AgE[A-Za-z0-9_-]{50,}+", marks=("pypi-AgE",)),
+    Rule("storage_key", 1, r"AccountKey=[A-Za-z0-9+/]{86}==", marks=("AccountKey=",)),
+    Rule("url_password", 1, r"(?<=://)[A-Za-z0-9._~%+-]{1,64}:([^\s:/@]{3,64})@[A-Za-z0-9.-]", 1, 3, marks=("://",)),
+    Rule("random_string", 1, r"(?<![A-Za-z0-9+/_=-])(?=[A-Za-z0-9+/_-]*[0-9])[A-Za-z0-9+/_-]{40,128}(?![A-Za-z0-9+/_-])={0,2}", bits=4.5),
+)
+RULES = (*BASE_RULES, *FORMS)
 LEDGER = "blob string, rules array<string>, findings array<struct<rule:string,start:long,end:long>>"
 
 
+def entropy(text: str) -> float:
+    """Bits for each character, from the characters' own frequencies."""
+    n = len(text)
+    return -sum(k / n * math.log2(k / n) for k in Counter(text).values())
+
+
 def find(text: str, rule: Rule, pattern: re.Pattern) -> list[tuple[str, int, int]]:
     """(rule, start, end) in code points, end exclusive."""
-    return [(rule.name, m.start(), m.end()) for m in pattern.finditer(text) if m.end(rule.group) - m.start(rule.group) >= rule.least]
+    if rule.marks and not any(mark in text for mark in rule.marks):
+        return []
+    return [
+        (rule.name, m.start(), m.end())
+        for m in pattern.finditer(text)
+        if m.end(rule.group) - m.start(rule.group) >= rule.least and (not rule.bits or entropy(m[rule.group]) >= rule.bits)
+    ]
 
 
 def _ledger(spark: SparkSession, path: str) -> DataFrame:
@@ -121,3 +156,14 @@ def findings(docs: DataFrame, ledger_path: str, rules: tuple[Rule, ...] = RULES)
 def scan_secrets(docs: DataFrame, ledger_path: str, rules: tuple[Rule, ...] = RULES) -> DataFrame:
     scan_new(docs, ledger_path, rules)
     return findings(docs, ledger_path, rules)
+
+
+def compact(spark: SparkSession, ledger_path: str, new_path: str) -> None:
+    """Write the ledger to ``new_path`` with one row per blob, in as many files as
+    its size asks for, in place of a few for every run. The old one stays as it is:
+    point later runs at the new one and remove the old when none reads it."""
+    met = spark.read.schema(LEDGER).parquet(ledger_path).groupBy("blob").agg(
+        F.array_sort(F.array_distinct(F.flatten(F.collect_list("rules")))).alias("rules"),
+        F.array_sort(F.array_distinct(F.flatten(F.collect_list("findings")))).alias("findings"),
+    )
+    met.hint("rebalance").write.parquet(new_path)
