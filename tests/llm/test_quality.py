@@ -34,7 +34,17 @@ TEXTS = [
 ]
 
 
-def test_base_counts_match_brute_force(spark):
+@pytest.mark.parametrize("ansi", ["true", "false"])
+def test_base_counts_match_brute_force(spark, ansi):
+    before = spark.conf.get("spark.sql.ansi.enabled")
+    spark.conf.set("spark.sql.ansi.enabled", ansi)
+    try:
+        check_base_counts(spark)
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", before)
+
+
+def check_base_counts(spark):
     got = quality.base_statistics(frame(spark, [(i, t, "en", "s") for i, t in enumerate(TEXTS[:-2] + TEXTS[-1:])]))
     got = {r["doc_id"]: r for r in quality.vectors(got).collect()}
     for i, t in enumerate(TEXTS[:-2] + TEXTS[-1:]):

@@ -72,7 +72,10 @@ def base_statistics(docs: DataFrame) -> DataFrame:
         "lines": F.filter(F.split("t", "\n"), lambda x: F.btrim(x, F.lit(WHITE)) != ""),
         "signs": F.regexp_replace("t", f"[^{SYMBOLS}\\p{{Lu}}]+", ""),
     })
-    covered = F.concat("starts", F.transform("starts", lambda x: x + 1), F.transform("starts", lambda x: x + 2))
+    # empty, not null, for texts without a repeat: the size of null depends on the session's ANSI setting
+    covered = F.coalesce(
+        F.concat("starts", F.transform("starts", lambda x: x + 1), F.transform("starts", lambda x: x + 2)), F.array().cast("array<int>")
+    )
     n_symbols = F.length(F.regexp_replace("signs", f"[^{SYMBOLS}]+", ""))
     return d.select(
         "doc_id", "lang", "source", "row_key", "n_words",
@@ -80,7 +83,7 @@ def base_statistics(docs: DataFrame) -> DataFrame:
         n_symbols.cast("long").alias("n_symbols"),
         F.size("lines").cast("long").alias("n_lines"),
         (F.size("lines") - F.size(F.array_distinct("lines"))).cast("long").alias("n_dup_lines"),
-        F.coalesce(F.size(F.array_distinct(covered)), F.lit(0)).cast("long").alias("n_repeat_words"),
+        F.size(F.array_distinct(covered)).cast("long").alias("n_repeat_words"),
         (F.length("signs") - n_symbols).cast("long").alias("n_upper"),
     )
 
