@@ -5,6 +5,7 @@ from __future__ import annotations
 import random
 import re
 
+import numpy as np
 import pytest
 
 from tidewater.llm import queries, tiling
@@ -82,16 +83,68 @@ def test_empty_tables(spark):
     assert pairs(spark, [(1, "a b c d e f")], []) == []
 
 
-def test_query_matches_brute_force_on_candidates(spark):
+def quick_tiles(doc, item, least):
+    """The same greedy tiling by tables of common run lengths, remade after each
+    tile from the words that are not marked."""
+    names = {w: k for k, w in enumerate({*doc, *item})}
+    d, i = (np.array([names[w] for w in x]) for x in (doc, item))
+    equal, out = d[:, None] == i[None, :], []
+    while True:
+        runs = np.zeros((len(d) + 1, len(i) + 1), dtype=int)
+        for p in range(len(d) - 1, -1, -1):
+            runs[p, :-1] = np.where(equal[p], runs[p + 1, 1:] + 1, 0)
+        n = runs.max()
+        if n < least:
+            return out
+        p, q = divmod(int(runs.argmax()), len(i) + 1)
+        out.append((p, q, int(n)))
+        equal[p : p + n, :] = equal[:, q : q + n] = False
+
+
+@pytest.mark.parametrize("seed", range(8))
+def test_quick_tiles_are_the_plain_ones(seed):
+    rng = random.Random(seed)
+    doc, item = ([rng.choice("abcd") for _ in range(rng.randint(6, 60))] for _ in range(2))
+    assert quick_tiles(doc, item, 2) == brute_tiles(doc, item, 2)
+
+
+def test_query_matches_brute_force(spark):
+    """Every document against every item that shares a seed with it."""
     docs = [tuple(r) for r in spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text").collect()]
-    items = [tuple(r) for r in spark.read.parquet(f"{SF}/benchmark.parquet").collect()]
-    grams = {i: {tuple(w[k : k + 5]) for k in range(len(w) - 4)} for i, t in items for w in [WORD.findall(t.lower())]}
+    items = [(i, WORD.findall(t.lower())) for i, t in spark.read.parquet(f"{SF}/benchmark.parquet").select("item_id", "text").collect()]
+    grams = {i: {tuple(w[k : k + 5]) for k in range(len(w) - 4)} for i, w in items}
     want = set()
     for d, t in docs:
         w = WORD.findall(t.lower())
         have = {tuple(w[k : k + 5]) for k in range(len(w) - 4)}
-        near = [(i, x) for i, x in items if grams[i] & have]
-        short = [x for x in near if len(grams[x[0]] & have) * 5 * 2 >= len(grams[x[0]]) + 4]
-        want |= {x[:2] for x in brute([(d, t)], short)} if len(w) < 1500 else {(d, i) for i, _ in short if grams[i] <= have}
-    got = {(r["doc_id"], r["item_id"]) for r in queries.op3_benchmark_decontamination(spark, SF).collect()}
+        for i, item in items:
+            if grams[i] & have:
+                found = quick_tiles(w, item, 5)
+                covered = sum(n for *_, n in found)
+                if 2 * covered >= len(item):
+                    want.add((d, i, len(item), len(found), covered, max(n for *_, n in found)))
+    names = ("doc_id", "item_id", "n_item_words", "n_tiles", "n_covered", "longest_tile")
+    got = {tuple(r[c] for c in names) for r in queries.op3_benchmark_decontamination(spark, SF).collect()}
     assert got == want and want
+
+
+def test_a_phrase_that_all_share_makes_no_pairs(spark):
+    """Every document and every item hold one phrase of seven words, three seeds of
+    items with a least of four; only real copies are candidates."""
+    phrase = "once upon a time there was a".split()
+    items = [(i, phrase + [f"item{i}w{k}" for k in range(33)]) for i in range(30)]
+    docs = [(d, [f"doc{d}w{k}" for k in range(40)] + phrase) for d in range(60)]
+    docs += [(100 + i, ["lead", *w[20:], "turned", *w[:20]]) for i, w in items[:5]]
+    got = pairs(spark, [(d, " ".join(w)) for d, w in docs], [(i, " ".join(w)) for i, w in items])
+    assert {x[:2] for x in got} == {(100 + i, i) for i in range(5)}
+    seeds = lambda rows: [(r, r, p, " ".join(w[p : p + 5]), len(w)) for r, w in rows for p in range(len(w) - 4)]
+    left = spark.createDataFrame(seeds(docs), "doc_id long, row_key long, pos int, words string, n int").selectExpr("*", "xxhash64(words) AS seed")
+    right = spark.createDataFrame(seeds(items), "item_id long, item_key long, at int, item_words string, n_item int").selectExpr("*", "xxhash64(item_words) AS seed")
+    found = {(r["doc_id"], r["item_id"]) for r in tiling.candidates(left, right, 5, 0.5).collect()}
+    assert found == {(100 + i, i) for i in range(5)}
+
+
+def test_items_that_share_an_id_are_told_apart(spark):
+    one, two = (" ".join(f"{c}{k}" for k in range(20)) for c in "xy")
+    got = pairs(spark, [(1, one), (2, two)], [(7, one), (7, two), (7, one), (None, two)])
+    assert sorted(got, key=str) == [(1, 7, 20, 1, 20), (2, 7, 20, 1, 20), (2, None, 20, 1, 20)]

@@ -3,7 +3,8 @@
 Seeds are runs of ``min_match`` words. A fixed-size bitmap of the benchmark's
 seed digests, built by Spark, is broadcast to the scan of the documents, so only
 positions whose seed may occur in the benchmark leave the scan; an exact join on
-the seed digest decides. The bitmap's size does not depend on the benchmark: a
+the seed digest decides. Of an item's seeds, those that occur most in the documents
+are left out of this join as far as no covered item can be missed. The bitmap's size does not depend on the benchmark: a
 larger one lets more positions through, but the result stays the same.
 
 Pairs of document and item whose shared seeds cover enough of the item go to the
@@ -17,7 +18,8 @@ covered like one that was copied straight.
 Words are runs of ASCII letters and digits and of non-ASCII characters, in lower
 case. Defined results: null and
 empty texts and items under ``min_match`` words match nothing; repeated document
-rows give one row per item; a null doc_id or item_id is a value like any other;
+rows give one row per item; a null doc_id or item_id is a value like any other, and
+items that share an id but not the text are items of their own;
 an empty table on either side gives an empty result.
 """
 
@@ -30,6 +32,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tidewater.llm.common import row_key, scratch, written
@@ -158,6 +161,29 @@ def tiles(matches: list[tuple[int, int]], length: int) -> list[tuple[int, int, i
     return out
 
 
+def candidates(left: DataFrame, right: DataFrame, min_match: int, coverage: float) -> DataFrame:
+    """doc_id, row_key, item_id, item_key: pairs that share one of the item's rarer
+    seeds.
+
+    Tiles that cover enough of an item of n words hold the seeds of at least
+    t = coverage * n / min_match of its places, as a tile of w words holds
+    w - min_match + 1 >= w / min_match of them. So of any places but t - 1, a
+    document that covers enough holds one, and the t - 1 places whose seeds most
+    document places have are not looked up: a phrase that all documents and items
+    share makes no pair by itself.
+    """
+    frequency = left.groupBy("seed").agg(F.count(F.lit(1)).alias("places"))
+    least = F.greatest(F.ceil(F.col("n_item") * coverage / min_match), F.lit(1))
+    of_item = W.partitionBy("item_id", "item_key")
+    ranked = right.join(frequency, "seed", "left").withColumns({
+        "rank": F.row_number().over(of_item.orderBy(F.coalesce("places", F.lit(0)), "at")), "all": F.count(F.lit(1)).over(of_item),
+    })
+    probes = ranked.where((F.col("rank") <= F.col("all") - least + 1) & F.col("places").isNotNull())
+    seeds = left.select("doc_id", "row_key", "seed", "words").distinct()
+    found = seeds.join(probes.select("item_id", "item_key", "seed", "item_words").distinct(), "seed")
+    return found.where(F.col("words") == F.col("item_words")).select("doc_id", "row_key", "item_id", "item_key").distinct()
+
+
 def contaminated(
     docs: DataFrame, items: DataFrame, min_match: int = MIN_MATCH, coverage: float = COVERAGE
 ) -> DataFrame:
@@ -165,17 +191,23 @@ def contaminated(
     coverage: pairs whose tiles cover at least ``coverage`` of the item."""
     spark = docs.sparkSession
     path = scratch(spark, "tiling")
-    bench = items.select(F.col("item_id").cast("long").alias("id"), F.lit(0).cast("long").alias("row_key"), "text")
+    bench = items.select(F.col("item_id").cast("long").alias("id"), row_key(F.col("item_id"), F.col("text")).alias("row_key"), "text")
     bench_seeds = written(_seed_rows(bench, min_match, None), f"{path}/items")
     rows = docs.select(F.col("doc_id").cast("long").alias("id"), row_key(F.col("doc_id"), F.col("text")).alias("row_key"), "text")
     found = written(_seed_rows(rows, min_match, _bitmap(bench_seeds)), f"{path}/documents")
     left = found.select(F.col("id").alias("doc_id"), "row_key", "pos", "seed", "words").distinct()
     right = bench_seeds.select(
-        F.col("id").alias("item_id"), F.col("pos").alias("at"), "seed", F.col("words").alias("item_words"), F.col("n").alias("n_item")
-    ).distinct()
-    both = left.join(right, "seed").where(F.col("words") == F.col("item_words"))
+        F.col("id").alias("item_id"), F.col("row_key").alias("item_key"), F.col("pos").alias("at"), "seed",
+        F.col("words").alias("item_words"), F.col("n").alias("n_item"),
+    ).distinct()
+    cands = written(candidates(left, right, min_match, coverage), f"{path}/candidates")
+    # all seeds of the pairs that are left
+    cands = cands.select(F.col("doc_id").alias("in_doc"), F.col("row_key").alias("in_row"), F.col("item_id").alias("of"), F.col("item_key").alias("of_key"))
+    wanted = cands.join(right.withColumnRenamed("seed", "item_seed"), F.col("of").eqNullSafe(F.col("item_id")) & (F.col("of_key") == F.col("item_key")))
+    same = F.col("doc_id").eqNullSafe(F.col("in_doc")) & (F.col("row_key") == F.col("in_row")) & (F.col("seed") == F.col("item_seed"))
+    both = left.join(wanted, same).where(F.col("words") == F.col("item_words"))
     # seeds that cover too little of the item cannot make tiles that cover enough
-    pairs = both.groupBy("doc_id", "row_key", "item_id", "n_item").agg(
+    pairs = both.groupBy("doc_id", "row_key", "item_id", "item_key", "n_item").agg(
         F.collect_set(F.struct("pos", "at")).alias("matches"), F.size(F.collect_set("at")).alias("n_at")
     ).where(F.col("n_at") * min_match >= F.col("n_item") * coverage)
 
