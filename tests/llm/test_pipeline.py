@@ -50,7 +50,7 @@ def test_null_rows_pass_through(spark):
     assert corpus_pipeline.benchmark_decontamination(spark, docs, SF).count() == 3
     assert corpus_pipeline.quality_rules(spark, docs, SF).count() == 0
     kept = corpus_pipeline.simhash_near_dedup(spark, docs, SF)
-    assert [r["doc_id"] for r in kept.orderBy(F.col("doc_id")).collect()] == [1, 1]
+    assert [r["doc_id"] for r in kept.orderBy(F.col("doc_id")).collect()] == [1]
 
 
 def test_one_document_of_each_group_stays(spark):
@@ -69,3 +69,14 @@ def test_one_document_of_each_group_stays(spark):
     assert len(kept([row(1, long), row(1, near), row(2, long), row(None, near)])) == 1
     assert kept([row(1, long), row(1, far)]) == [(1, far, "en"), (1, long, "en")]
     assert kept([row(2, long), row(None, long), row(3, far)]) == [(2, long, "en"), (3, far, "en")]
+    # rows that repeat an id and a text are one document
+    assert kept([row(4, far, "fr"), row(4, far, "de"), row(4, far, "en"), row(5, long)]) == [(4, far, "de"), (5, long, "en")]
+    assert kept([row(4, far)] * 40 + [row(3, far)] * 3) == [(3, far, "en")]
+
+
+def test_columns_without_an_order_and_with_dots(spark):
+    rows = [(1, "some text", {"a": 1}, 5), (1, "some text", {"b": 2}, 4), (2, "another text altogether", None, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, `m.x` map<string,int>, `a.b` int")
+    out = corpus_pipeline.simhash_near_dedup(spark, docs, SF)
+    assert out.columns == docs.columns
+    assert sorted(tuple(r) for r in out.select("doc_id", "`a.b`").collect()) == [(1, 4), (2, None)]

@@ -6,12 +6,13 @@ of its own, so extra columns of the input, whatever their names, never clash.
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidewater.session import scratch_root
+
 # Fixed values of the contracts: ASCII white space, and ASCII capitals.
 WHITE = " \t\n\x0b\x0c\r"
 WHITE_CLASS = "[\\x20\\x09-\\x0D]"
@@ -30,14 +31,9 @@ def scratch(spark: SparkSession, name: str) -> str:
     """A new folder for one run's intermediate tables.
 
     It lies in the shared folder that the session names in
-    ``spark.checkpoint.dir``. Only where that is unset, as in tests, a temporary
-    folder is chosen and set for the session's later runs.
+    ``spark.checkpoint.dir``; where that is unset, see :func:`scratch_root`.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if not base:
-        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="tidewater-llm-"))
-        base = spark.sparkContext.getCheckpointDir()
-    return f"{base.rstrip('/')}/tidewater-llm/{name}-{uuid.uuid4().hex}"
+    return f"{scratch_root(spark)}/tidewater-llm/{name}-{uuid.uuid4().hex}"
 
 
 def written(frame: DataFrame, path: str) -> DataFrame:
@@ -76,3 +72,9 @@ def without(docs: DataFrame, rejected: DataFrame) -> DataFrame:
         & (row_key(docs["doc_id"], docs["text"]) == gone["__gone_key"]),
         "left_anti",
     )
+
+
+def without_rows(rows: DataFrame, rejected: DataFrame) -> DataFrame:
+    """``rows`` (doc_id, row_key) less those in ``rejected``."""
+    gone = rejected.select(F.col("doc_id").alias("__gone_id"), F.col("row_key").alias("__gone_key"))
+    return rows.join(gone, rows["doc_id"].eqNullSafe(gone["__gone_id"]) & (rows["row_key"] == gone["__gone_key"]), "left_anti")
