@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import re
+from collections import defaultdict
 
+import numpy as np
 import pytest
 
 from tidewater.llm import quality
@@ -83,3 +85,82 @@ def test_empty_and_tiny_tables(spark, rows):
 def test_no_python_on_the_main_path(spark):
     plan = quality.base_statistics(frame(spark, []))._jdf.queryExecution().toString()
     assert not re.search("Python|Pandas|Arrow", plan)
+
+
+def squared(x, location, scatter):
+    y = np.linalg.solve(np.linalg.cholesky(scatter), (x - location).T)
+    return (y * y).sum(axis=0)
+
+
+def plain_mcd(x, share=0.75, steps=30):
+    """Exact concentration from both starts, least determinant, one reweighting."""
+    floor = np.diag(np.array(quality.FLOOR, dtype=float) ** 2)
+    cov = lambda rows: np.diag(np.maximum(np.diag(c := np.cov(rows.T, bias=True)), 0)) + c - np.diag(np.diag(c)) + floor
+    h, best = int(np.ceil(len(x) * share)), None
+    median = np.median(x, axis=0)
+    spread = np.maximum(1.4826 * np.median(np.abs(x - median), axis=0), quality.FLOOR)
+    for location, scatter in ((median, np.diag(spread**2)), (x.mean(axis=0), cov(x))):
+        for _ in range(steps):
+            near = np.argsort(squared(x, location, scatter), kind="stable")[:h]
+            location, scatter = x[near].mean(axis=0), cov(x[near])
+            edge = squared(x[near], *((x[near].mean(axis=0), cov(x[near])))).max()
+            det = np.linalg.slogdet(scatter)[1]
+            if best is None or det < best[0] - 1e-9:
+                best = (det, location, scatter, edge)
+    _, location, scatter, _ = best
+    d = squared(x, location, scatter)
+    d *= quality.CHI_H / np.sort(d)[h - 1]
+    inside = d <= quality.CHI_REWEIGHT
+    return squared(x, x[inside].mean(axis=0), cov(x[inside]))
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_verdicts_match_a_plain_mcd(spark, seed):
+    """Vectors of one cell: a cloud, a tight far group, and scattered outliers. The
+    operator's distances come from buckets of distance, so they differ a little."""
+    rng = np.random.default_rng(seed)
+    mixing = rng.normal(size=(5, 5)) * 60
+    good = rng.normal(size=(600, 5)) @ mixing
+    far = rng.normal(size=(90, 5)) * 10 + rng.normal(size=5) * 3000
+    wild = rng.normal(size=(40, 5)) * 4000
+    x = np.round(np.concatenate([good, far, wild])).astype(int)
+    rows = [("cell", k, *map(int, v)) for k, v in enumerate(x)]
+    v = spark.createDataFrame(rows, "cell string, id int, x0 long, x1 long, x2 long, x3 long, x4 long").repartition(4)
+    path = quality.scratch(spark, "mcd")
+    params = quality.written(quality.estimate(v, path), f"{path}/params")
+    got = {r["id"]: r["d2"] for r in quality._with_distance(v.join(params, "cell")).collect()}
+    want = plain_mcd(x.astype(float))
+    a, b = np.array([got[k] for k in range(len(x))]), want
+    assert ((a > quality.CUTOFF) == (b > quality.CUTOFF)).mean() > 0.995
+    assert (a[:600] <= quality.CUTOFF).all() and (a[600:690] > quality.CUTOFF).all()
+    assert np.median(np.abs(a[:600] / b[:600] - 1)) < 0.1
+
+
+def test_chi_square_quantiles():
+    assert round(quality.CHI_H, 3) == 6.626 and round(quality.CHI_REWEIGHT, 3) == 12.833 and 59 < quality.CUTOFF < 62
+    assert quality.chi_square_above(0) == 1
+
+
+def test_verdicts_on_the_tables(spark):
+    """``kept`` of the registered query against base rule and plain MCD per group."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    stats = quality.vectors(quality.base_statistics(docs)).collect()
+    got = {r["doc_id"]: (r["kept"], r["distance"]) for r in quality.robust_quality(docs).collect()}
+    cells = defaultdict(list)
+    for r in stats:
+        if r["base_failed"]:
+            assert not got[r["doc_id"]][0]
+        else:
+            cells[r["lang"], r["source"]].append(r)
+    pooled = defaultdict(list)
+    for (lang, _), rows in cells.items():
+        pooled[(lang, "own", id(rows)) if len(rows) >= quality.MIN_GROUP else (lang,)] += rows
+    differ, total = 0, 0
+    for rows in pooled.values():
+        if len(rows) < quality.MIN_GROUP:
+            continue
+        want = plain_mcd(np.array([[r[f"x{k}"] for k in range(5)] for r in rows], dtype=float))
+        for r, d in zip(rows, want, strict=True):
+            total += 1
+            differ += (d <= quality.CUTOFF) != got[r["doc_id"]][0]
+    assert total > 500 and differ <= total * 0.005

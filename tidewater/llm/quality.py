@@ -5,7 +5,10 @@ source, a minimum-covariance-determinant (MCD) estimate of location and scatter
 is found by concentration steps over all documents of the group, and documents
 far from it by Mahalanobis distance are rejected. DataFrame functions only.
 
-A concentration step is one aggregation: documents are bucketed by their
+Concentration starts twice, from medians and median absolute deviations and from
+the mean and covariance of all documents, and goes on until no group's determinant
+falls any more; of all steps of both, the estimate of least determinant is each
+group's. A concentration step is one aggregation: documents are bucketed by their
 distance under the current estimate, and each bucket carries count, sums and
 cross products, so a group of any size shrinks map-side to at most a few hundred
 rows; the buckets up to the quantile ``H_SHARE`` give the next estimate. The
@@ -21,6 +24,7 @@ repeated rows each get a row; an empty table gives an empty result.
 
 from __future__ import annotations
 
+import math
 from functools import reduce
 
 from pyspark.sql import DataFrame
@@ -33,11 +37,30 @@ SYMBOLS = "#*$%&|<>"
 D = 5
 H_SHARE = 0.75
 MIN_GROUP = 50
-STEPS = 4
-#: Chi-square quantiles for five degrees of freedom: 0.75 and 0.975.
-CHI_H, CHI_REWEIGHT = 6.626, 12.833
-#: Squared robust distance above which a document is rejected.
-CUTOFF = 60.0
+#: Bound on the concentration steps from one start.
+STEPS = 8
+
+
+def chi_square_above(x: float) -> float:
+    """The share of the chi-square distribution with five degrees of freedom
+    above ``x``."""
+    return math.erfc(math.sqrt(x / 2)) + math.sqrt(2 * x / math.pi) * math.exp(-x / 2) * (1 + x / 3)
+
+
+def chi_square_quantile(above: float) -> float:
+    """Where this share of the distribution lies above."""
+    low, high = 0.0, 1000.0
+    while high - low > 1e-9:
+        middle = (low + high) / 2
+        low, high = (middle, high) if chi_square_above(middle) > above else (low, middle)
+    return high
+
+
+CHI_H, CHI_REWEIGHT = chi_square_quantile(1 - H_SHARE), chi_square_quantile(0.025)
+#: Squared robust distance above which a document is rejected: of documents that
+#: follow their group's distribution, one in a hundred thousand million lies beyond,
+#: so that a large corpus loses none of them by its size.
+CUTOFF = chi_square_quantile(1e-11)
 #: Least standard deviation of each statistic, in thousandths. Most documents
 #: have no symbols and no repeated lines; the floor keeps the scatter regular.
 FLOOR = (40, 35, 100, 120, 35)
@@ -150,7 +173,7 @@ def _factored(moments: DataFrame) -> DataFrame:
             # rounding can leave a pivot a little under the floor it cannot truly go below
             value = f"sqrt(greatest({rest}, 1.0D))" if j == k else f"({rest}) / {_chol(j, j)}"
             columns.append(f"{value} AS {_chol(k, j)}")
-    return moments.selectExpr("cell", *columns, "edge")
+    return moments.selectExpr("cell", *columns, "edge", " + ".join(f"2 * ln({_chol(k, k)})" for k in range(D)) + " AS logdet")
 
 
 def _start(v: DataFrame, path: str) -> DataFrame:
@@ -170,30 +193,69 @@ def _start(v: DataFrame, path: str) -> DataFrame:
     return dev.select("cell", *[f"m{k}" for k in range(D)], *[c.alias(n) for n, c in factor.items()], F.lit(CHI_H).alias("edge"))
 
 
-def _concentrate(v: DataFrame, params: DataFrame, reweight: bool) -> DataFrame:
+SUMS = {f"s{k}": f"x{k}" for k in range(D)} | {f"p{k}{j}": f"x{k} * x{j}" for k in range(D) for j in range(k + 1)}
+
+
+def _classical(v: DataFrame) -> DataFrame:
+    """Mean and covariance of all documents of each cell."""
+    sums = v.groupBy("cell").agg(F.count(F.lit(1)).alias("n"), *[F.expr(f"sum({x}) AS {c}") for c, x in SUMS.items()])
+    doubles = [F.expr(f"CAST({c} AS DOUBLE) AS {c}") for c in ("n", *SUMS)]
+    return _factored(sums.select("cell", *doubles, F.lit(CHI_H).alias("edge"))).drop("logdet")
+
+
+def _concentrate(v: DataFrame, params: DataFrame, reweight: bool, path: str) -> DataFrame:
     """The next estimate: from the nearest ``H_SHARE`` of each cell, or in the
     last step from every document within the 0.975 chi-square quantile."""
-    sums = {f"s{k}": f"x{k}" for k in range(D)} | {f"p{k}{j}": f"x{k} * x{j}" for k in range(D) for j in range(k + 1)}
     scale = CHI_H / F.col("edge") if reweight else F.lit(1.0)
     b = (
-        _with_distance(v.join(params, "cell")).withColumn("bucket", F.floor(F.ln(1 + F.col("d2") * scale) * BUCKETS))
+        _with_distance(v.join(params.drop("logdet"), "cell")).withColumn("bucket", F.floor(F.ln(1 + F.col("d2") * scale) * BUCKETS))
         .groupBy("cell", "bucket").agg(
             F.count(F.lit(1)).alias("n"),
-            *[F.expr(f"sum({v}) AS {c}") for c, v in sums.items()],
+            *[F.expr(f"sum({x}) AS {c}") for c, x in SUMS.items()],
         )
     )
+    # written, so that rows are dealt out by cell and bucket, and only the few sums by cell
+    b = written(b, f"{path}-buckets")
     whole = W.partitionBy("cell")
     before = F.coalesce(F.sum("n").over(whole.orderBy("bucket").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
     upper = F.exp((F.col("bucket") + 1) / BUCKETS) - 1
     b = b.withColumn("near", before < F.ceil(F.sum("n").over(whole) * H_SHARE))
     inside = (F.col("bucket") <= F.floor(F.ln(F.lit(1 + CHI_REWEIGHT)) * BUCKETS)) | F.col("near") if reweight else F.col("near")
     moments = b.where(inside).groupBy("cell").agg(
-        *[F.expr(f"CAST(sum(CAST({c} AS DECIMAL(38, 0))) AS DOUBLE) AS {c}") for c in ("n", *sums)],
+        *[F.expr(f"CAST(sum(CAST({c} AS DECIMAL(38, 0))) AS DOUBLE) AS {c}") for c in ("n", *SUMS)],
         F.max(upper).alias("edge"),
     )
     return _factored(moments)
 
 
+def _least(estimates: list[DataFrame]) -> DataFrame:
+    """Each cell's estimate of least determinant."""
+    every = reduce(DataFrame.unionByName, estimates)
+    best = every.groupBy("cell").agg(F.min_by(F.struct(*every.columns), F.struct("logdet", *[f"m{k}" for k in range(D)])).alias("e"))
+    return best.select("e.*")
+
+
+def _converged(v: DataFrame, start: DataFrame, path: str) -> list[DataFrame]:
+    """The estimates of the concentration steps from ``start``, until no cell's
+    determinant falls by a millionth."""
+    found = [written(_concentrate(v, start, False, f"{path}0"), f"{path}0")]
+    for step in range(1, STEPS):
+        found.append(written(_concentrate(v, found[-1], False, f"{path}{step}"), f"{path}{step}"))
+        lower = found[-1].select("cell", F.col("logdet").alias("now")).join(_least(found[:-1]), "cell")
+        if lower.where(F.col("now") < F.col("logdet") - 1e-6).isEmpty():
+            break
+    return found
+
+
+def estimate(v: DataFrame, path: str) -> DataFrame:
+    """Location and Cholesky factor of the scatter of each cell of ``v`` (cell,
+    x0..x4): the least determinant over both starts, then one reweighting."""
+    starts = {"median": _start(v, path), "mean": _classical(v)}
+    steps = [e for name, start in starts.items() for e in _converged(v, written(start, f"{path}/{name}"), f"{path}/{name}-")]
+    least = written(_least(steps), f"{path}/least")
+    return _concentrate(v, least, True, f"{path}/reweighted").drop("logdet")
+
+
 def robust_quality(docs: DataFrame, min_group: int = MIN_GROUP, cutoff: float = CUTOFF) -> DataFrame:
     """One row per document: the base counts, ``base_failed``, the robust squared
     ``distance`` (null where no estimate applies) and ``kept``. ``docs`` has
@@ -204,10 +266,7 @@ def robust_quality(docs: DataFrame, min_group: int = MIN_GROUP, cutoff: float =
     cells = written(_cells(v, min_group), f"{path}/cells")
     keyed = v.join(cells, v["lang"].eqNullSafe(cells["cl"]) & v["source"].eqNullSafe(cells["cs"]), "left").drop("cl", "cs")
     used = keyed.where(~F.col("base_failed") & F.col("cell").isNotNull())
-    params = written(_start(used, path), f"{path}/start")
-    for step in range(STEPS):
-        params = written(_concentrate(used, params, reweight=False), f"{path}/step{step}")
-    params = written(_concentrate(used, params, reweight=True), f"{path}/final")
+    params = written(estimate(used, path), f"{path}/final")
     return _with_distance(keyed.join(params, "cell", "left")).select(
         "doc_id", "row_key", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",
         F.round("d2", 6).alias("distance"),
