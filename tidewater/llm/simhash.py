@@ -94,12 +94,21 @@ def near_duplicates(
     spark = docs.sparkSession
     path = scratch(spark, "simhash")
     fps = written(fingerprints(docs, shingle), f"{path}/fingerprints")
-    distinct = written(fps.groupBy("fp").agg(F.min("doc_id").alias("least")), f"{path}/distinct")
+    distinct = written(fps.groupBy("fp").agg(F.min("doc_id").alias("least"), F.count(F.lit(1)).alias("n")), f"{path}/distinct")
     labels = written(connected_components(links(distinct.select("fp"), max_bits, segments)), f"{path}/labels")
     linked = labels.join(distinct, labels["vertex"] == distinct["fp"]).select("vertex", "label", "least")
     ids = linked.groupBy("label").agg(F.min("least").alias("component"))
     named = linked.join(ids, "label").select(F.col("vertex").alias("linked_fp"), "label", "component")
     classes = distinct.join(named, distinct["fp"] == named["linked_fp"], "left").select(
-        F.col("fp").alias("class_fp"), F.coalesce("component", "least").alias("component_id"), F.coalesce("label", "fp").alias("group_fp")
+        F.col("fp").alias("class_fp"), F.coalesce("component", "least").alias("component_id"),
+        F.coalesce("label", "fp").alias("group_fp"), "n",
+    )
+    classes = written(classes, f"{path}/classes")
+    # a fingerprint of more than a thousandth of the rows: under a thousand of them, whatever the input
+    rows = distinct.agg(F.sum("n")).first()[0] or 0
+    many = F.col("n") * 1000 > rows
+    hot, other = F.broadcast(classes.where(many)), classes.where(~many)
+    joined = fps.join(hot, fps["fp"] == hot["class_fp"]).unionByName(
+        fps.join(hot, fps["fp"] == hot["class_fp"], "left_anti").join(other, F.col("fp") == F.col("class_fp"))
     )
-    return fps.join(classes, fps["fp"] == classes["class_fp"]).select("doc_id", "row_key", "fp", "component_id", "group_fp")
+    return joined.select("doc_id", "row_key", "fp", "component_id", "group_fp")
