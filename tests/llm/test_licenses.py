@@ -5,6 +5,9 @@ from __future__ import annotations
 import pkgutil
 import random
 import re
+import time
+
+import pytest
 
 from tidewater.llm import licenses, queries
 
@@ -122,3 +125,27 @@ def test_headings_and_standard_headers():
 def test_whole_licences_in_the_query(spark, monkeypatch):
     got = query(spark, [(1, body("mpl-2.0")), (2, "MIT License"), (3, "plain words"), (4, body("mit"))], monkeypatch)
     assert {r["doc_id"]: r["labels"] for r in got} == {1: "gpl,mpl-2.0", 2: "mit", 3: "", 4: "mit"}
+
+
+@pytest.mark.parametrize("word", ["any", "license", "software", "copyright", "the", "gpl", "general public", "permission is hereby"])
+def test_a_megabyte_of_licence_words_is_scanned_in_linear_time(word):
+    vocabulary = {w for t in licenses.PHRASES + licenses.NOTICES for s in (t.text, *t.headings) for w in licenses.split(s)}
+    vocabulary |= {w for b in licenses.BODIES for w in licenses.body_words(b.file)}
+    index = licenses.Index(licenses.PHRASES + licenses.NOTICES, dict.fromkeys(vocabulary, 5.0), licenses.BODIES)
+    took = []
+    for size in (250_000, 1_000_000):
+        words = licenses.split((word + " ") * (size // (len(word) + 1)))
+        start = time.process_time()
+        index.scan(words)
+        took.append(time.process_time() - start)
+    assert took[1] < 15 and took[1] < 8 * max(took[0], 0.2)
+
+
+def test_words_of_equal_frequency_are_told_apart_by_templates():
+    templates = tuple(licenses.Template(f"t{k}", f"any thing of kind{k} here", ()) for k in range(40))
+    words = {w for t in templates for w in licenses.split(t.text)}
+    index = licenses.Index(templates, dict.fromkeys(words, 3.0), ())
+    assert all(len(index.postings[b"kind%d" % k]) == 1 for k in range(40))
+    assert licenses.split("any")[0] in index.postings  # there are but few words to choose from
+    found = index.scan(licenses.split("so any thing of kind7 here, and any thing of kind9 there"))
+    assert {"t7", "t9"} <= found[1]

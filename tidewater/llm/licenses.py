@@ -2,7 +2,8 @@
 
 Templates of notices, and bare phrases, are indexed by the places of their rarest
 words; how rare a word is comes from its document frequency over the whole corpus
-(inverse document frequency, IDF). A file's words that the index lists are looked
+(inverse document frequency, IDF), and among words of one frequency, of which most
+are in no document, from the number of templates that have it. A file's words that the index lists are looked
 up, rarest first; every posting proposes an alignment of a template (place in the
 file less place in the template), and alignments that enough of the template's
 rare words agree on are candidates. A candidate counts if enough of the
@@ -36,6 +37,7 @@ from collections import Counter, defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -49,6 +51,7 @@ AGREE = 2
 SHARE = 0.6
 SLACK = 2
 PIECE = 32  # words of a licence that are placed together
+STRETCH = 1 << 16  # places of a text whose alignments are counted at a time
 
 
 def split(text: str | None) -> list[bytes]:
@@ -183,24 +186,27 @@ class Index:
         self.owner: list[int] = []  # template, or -1 for a piece
         self.need: list[int] = []
         self.postings: dict[bytes, list[tuple[int, int]]] = defaultdict(list)
-        for k, t in enumerate(templates):
-            self._add(split(t.text), t.base, k)
-        for k, t in enumerate(templates):
-            for heading in t.headings:
-                self._add(split(heading), True, k)
+        files = {file: list(body_words(file)) for file in dict.fromkeys(b.file for b in bodies)}
+        units = [(split(t.text), t.base, k) for k, t in enumerate(templates)]
+        units += [(split(heading), True, k) for k, t in enumerate(templates) for heading in t.headings]
+        self.pieces: dict[str, list[int]] = {}
+        for file, words in files.items():
+            parts = [words[i : i + PIECE] for i in range(0, len(words), PIECE)]
+            self.pieces[file] = list(range(len(units), len(units) + len(parts)))
+            units += [(part, False, -1) for part in parts]
+        # of words that the corpus has equally often, those that fewer units have tell more
+        self.held = Counter(w for words, _, _ in units for w in set(words))
+        for words, exact, owner in units:
+            self._add(words, exact, owner)
         self.length = [len(split(t.text)) for t in templates]
         self.phrases = [[split(p) for p in t.phrases] for t in templates]
         self.unless = [[split(p) for p in t.unless] for t in templates]
-        self.pieces: dict[str, list[int]] = {}
-        for file in dict.fromkeys(b.file for b in bodies):
-            words = list(body_words(file))
-            self.pieces[file] = [self._add(words[i : i + PIECE], False, -1) for i in range(0, len(words), PIECE)]
         self.body_phrases = [[split(p) for p in b.phrases] for b in bodies]
         self.body_unless = [[split(p) for p in b.unless] for b in bodies]
 
-    def _add(self, words: list[bytes], exact: bool, owner: int) -> int:
+    def _add(self, words: list[bytes], exact: bool, owner: int) -> None:
         unit = len(self.words)
-        rare = sorted(set(words), key=lambda w: (-self.idf[w], w))[: 1 if exact else RARE_WORDS]
+        rare = sorted(set(words), key=self._rarity)[: 1 if exact else RARE_WORDS]
         self.words.append(words)
         self.exact.append(exact)
         self.owner.append(owner)
@@ -208,24 +214,43 @@ class Index:
         for q, w in enumerate(words):
             if w in rare:
                 self.postings[w].append((unit, q))
-        return unit
 
-    def scan(self, words: list[bytes]) -> tuple[list[tuple[int, int]], set[str], float]:
-        """((template, place) of every phrase, labels of all that was found, best
-        share of a template's or licence's words)."""
+    def _rarity(self, word: bytes) -> tuple[float, int, bytes]:
+        return -self.idf[word], self.held[word], word
+
+    def _alignments(self, words: list[bytes]) -> Iterator[tuple[int, int]]:
+        """(unit, place) of the alignments that enough of the unit's rare words agree
+        on, for a stretch of ``STRETCH`` places after another: what is held at a time
+        is bounded, however often a text repeats a word of the index."""
         places: dict[bytes, list[int]] = defaultdict(list)
         for p, w in enumerate(words):
             if w in self.postings:
                 places[w].append(p)
-        agree: dict[tuple[int, int], set[bytes]] = defaultdict(set)
-        for w in sorted(places, key=lambda w: (-self.idf[w], w)):
-            for k, q in self.postings[w]:
-                for p in places[w]:
-                    agree[k, p - q].add(w)
+        if not places:
+            return
+        found = [(np.array(places[w]), self.postings[w]) for w in sorted(places, key=self._rarity)]
+        need = np.array(self.need)
+        longest = max(q for _, postings in found for _, q in postings)
+        for low in range(-longest, len(words), STRETCH):
+            votes = []
+            for at, postings in found:
+                mine = []
+                for unit, q in postings:
+                    a, z = np.searchsorted(at, (low + q, low + q + STRETCH))
+                    if a < z:
+                        mine.append((at[a:z] - (q + low)) + unit * STRETCH)
+                if mine:
+                    votes.append(np.unique(np.concatenate(mine)))
+            if votes:
+                codes, n = np.unique(np.concatenate(votes), return_counts=True)
+                codes = codes[n >= need[codes // STRETCH]]
+                yield from zip((codes // STRETCH).tolist(), (codes % STRETCH + low).tolist(), strict=True)
+
+    def scan(self, words: list[bytes]) -> tuple[list[tuple[int, int]], set[str], float]:
+        """((template, place) of every phrase, labels of all that was found, best
+        share of a template's or licence's words)."""
         found, named, parts = [], [], defaultdict(list)
-        for (unit, at), rare in sorted(agree.items()):
-            if len(rare) < self.need[unit]:
-                continue
+        for unit, at in sorted(self._alignments(words)):
             k, size = self.owner[unit], len(self.words[unit])
             same = self._same(unit, at, words)
             if not same:
