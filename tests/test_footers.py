@@ -5,6 +5,8 @@ from __future__ import annotations
 
 import json
 import os
+import subprocess
+import sys
 from datetime import datetime
 
 import pyarrow as pa
@@ -125,7 +127,7 @@ def test_column_order_and_rows_do_not_change_a_signature(tmp_path):
     pq.write_table(pa.table({"x": [1, 2], "y": ["a", "b"]}), one)
     pq.write_table(pa.table({"y": ["c"], "x": [None, 5][1:]}), two)
     pq.write_table(pa.table({"y": ["c"], "x": pa.array([5], pa.int32())}), three)
-    marks = [footers.signature(footers._footer(p)) for p in (one, two, f"file:{three}")]
+    marks = [footers.footer_reader()(p) for p in (one, two, f"file:{three}")]
     assert marks[0] == marks[1] != marks[2]
 
 
@@ -153,3 +155,14 @@ def test_signatures_are_text(spark, tmp_path):
     rows = footers.footer_signatures(spark.createDataFrame([(f.path,) for f in files] + [("nowhere://x/y",)], "path string")).collect()
     assert [len(r["signature"] or "") for r in sorted(rows, key=lambda r: r["path"])] == [64, 64, 0]
     assert json.dumps([r["path"] for r in rows])
+
+
+def test_tasks_need_nothing_of_this_package(tmp_path):
+    """Executors without the package can read footers: what is sent to them names
+    no module of it."""
+    from pyspark import cloudpickle
+
+    sent = cloudpickle.dumps(footers.footer_reader())
+    code = "import pickle, sys; pickle.loads(sys.stdin.buffer.read()); assert 'tidewater' not in sys.modules"
+    alone = subprocess.run([sys.executable, "-c", code], input=sent, cwd=tmp_path, env={"PATH": os.environ["PATH"]}, capture_output=True, timeout=60)
+    assert alone.returncode == 0, alone.stderr[-500:]

@@ -18,7 +18,7 @@ from __future__ import annotations
 
 import hashlib
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
@@ -40,30 +40,38 @@ class SchemaGroup:
     paths: list[str]
 
 
-def _footer(path: str) -> pq.FileMetaData:
-    scheme, colon, rest = path.partition(":")
-    if not colon or scheme == "file":
-        return pq.read_metadata(re.sub("^file:/+", "/", path))
-    store, inner = pyarrow.fs.FileSystem.from_uri(f"{_SCHEMES.get(scheme, scheme)}:{rest}")
-    with store.open_input_file(inner) as source:
-        return pq.read_metadata(source)
+def footer_reader() -> Callable[[str], str]:
+    """A function that opens a file's footer and returns a digest of its columns'
+    names and types, whatever their order. It refers to nothing of this package, so
+    that tasks can run it on executors that have only Spark and pyarrow."""
+    schemes = dict(_SCHEMES)
 
+    def footer(path: str) -> pq.FileMetaData:
+        scheme, colon, rest = path.partition(":")
+        if not colon or scheme == "file":
+            return pq.read_metadata(re.sub("^file:/+", "/", path))
+        store, inner = pyarrow.fs.FileSystem.from_uri(f"{schemes.get(scheme, scheme)}:{rest}")
+        with store.open_input_file(inner) as source:
+            return pq.read_metadata(source)
 
-def signature(footer: pq.FileMetaData) -> str:
-    """Digest of the columns' names and types, whatever their order."""
-    columns = (footer.schema.column(i) for i in range(footer.num_columns))
-    spelled = sorted(f"{c.path}\0{c.physical_type}\0{c.logical_type}\0{c.converted_type}\0{c.length}" for c in columns)
-    return hashlib.sha256("\n".join(spelled).encode()).hexdigest()
+    def signature(path: str) -> str:
+        found = footer(path)
+        columns = (found.schema.column(i) for i in range(found.num_columns))
+        spelled = sorted(f"{c.path}\0{c.physical_type}\0{c.logical_type}\0{c.converted_type}\0{c.length}" for c in columns)
+        return hashlib.sha256("\n".join(spelled).encode()).hexdigest()
+
+    return signature
 
 
 def footer_signatures(files: DataFrame) -> DataFrame:
     """path, signature of every file of ``files`` (path); null for a file that
     could not be opened here."""
+    signature = footer_reader()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def one(path: str) -> str | None:
             try:
-                return signature(_footer(path))
+                return signature(path)
             except (OSError, ValueError, ImportError):  # another store, or no Parquet file: Spark will tell
                 return None
 
