@@ -148,7 +148,7 @@ def test_months_of_another_run_are_left_to_it(spark, lake, monkeypatch):
 
 
 @pytest.mark.parametrize("layout", ["scan", "rebalance"])
-@pytest.mark.parametrize("n_months", [0, 1, 700])
+@pytest.mark.parametrize("n_months", [0, 1, 150])
 def test_counts_are_made_in_the_write(spark, tmp_path, layout, n_months):
     rows = [(k, 1900 + k // 12, k % 12 + 1) for k in range(n_months) for _ in range(1 + k % 5)]
     frame, read = counted(laid_out(_frame(spark, rows).repartition(6), layout), n_months)
