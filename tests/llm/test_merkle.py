@@ -117,9 +117,9 @@ def test_query_matches_brute_force(spark, tmp_path):
     assert {r[-1] for r in got} == {True, False}
 
 
-@pytest.mark.parametrize("height", [1, 2, 3])
+@pytest.mark.parametrize("height", [2, 4])
 def test_rounds_of_small_blocks_give_the_same_trees(spark, height):
-    """Blocks of 2, 4 or 8 leaves need up to eight rounds over these documents."""
+    """Blocks of 4 or 16 leaves need up to four rounds over these documents."""
     docs = corpus()
     frame = spark.createDataFrame([(*d, "x", 3) for d in docs], SCHEMA)
     one = merkle.manifest(frame)

@@ -94,13 +94,13 @@ def test_every_document_is_taken_as_often_over_many_offsets(spark):
     path = scratch(spark, "mixtest")
     sized = mixing.sizes(frame(spark, docs)).cache()
     rate = {r["source"]: r["rate"] / 1e9 for r in mixing.targets(sized, path).collect()}
-    runs = 12
+    runs = 5
     counts = Counter()
     for seed in range(runs):
         for r in mixing.mix(frame(spark, docs), seed=seed).collect():
             counts[r["source"]] += r["copies"]
     for s in rate:
-        assert counts[s] / runs / 20 == pytest.approx(rate[s], abs=0.06)
+        assert counts[s] / runs / 20 == pytest.approx(rate[s], abs=0.1)
 
 
 def test_emit_takes_each_row_as_often_as_planned(spark):
