@@ -76,11 +76,34 @@ def test_rows_match_brute_force(spark):
     check(spark, [*enumerate(texts()), (6, texts()[6]), (None, "no id " * 60), (2, "short")])
 
 
-def test_anchors_too_large_for_a_block(spark, monkeypatch):
-    docs = spark.createDataFrame(list(enumerate(texts())), "doc_id long, text string")
-    key = lambda rows: sorted((r["doc_id"], [tuple(s) for s in substrings.merged(r["spans"])]) for r in rows)
-    usual = key(substrings.repeated_ranges(docs).collect())
-    assert key(substrings.repeated_ranges(docs, hot_bytes=0).collect()) == usual
+@pytest.mark.parametrize("hot_bytes, levels", [(0, 2), (900, 6)])
+def test_anchors_too_large_for_a_block(spark, monkeypatch, hot_bytes, levels):
+    """Hot anchors are cut by further orders of k-mers, and counted after the last."""
+    monkeypatch.setattr(substrings, "LEVELS", levels)
+    counted = []
+    real = substrings._by_count
+    monkeypatch.setattr(substrings, "_by_count", lambda *a: counted.append(1) or real(*a))
+    rows = list(enumerate(texts()[:13] + texts()[15:]))
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = {r["doc_id"]: substrings.merged(r["spans"]) for r in substrings.repeated_ranges(docs, hot_bytes=hot_bytes).collect()}
+    want = brute([(t or "").encode() for _, t in rows], 200)
+    assert {d: sum(z - a for a, z in spans) for d, spans in got.items()} == {d: n for d, (_, n, _, _) in enumerate(want) if n}
+    assert {d: len(spans) for d, spans in got.items()} == {d: k for d, (_, n, k, _) in enumerate(want) if n}
+    assert counted or levels > 2
+
+
+@pytest.mark.parametrize("level", range(1, 5))
+def test_equal_windows_share_an_anchor_in_every_order(level):
+    rng, anchor_of = random.Random(level), {}
+    piece = bytes(rng.choice(b"ab c") for _ in range(320))
+    other = 0
+    for _ in range(10):
+        data = bytes(rng.choice(b"ab c") for _ in range(rng.randint(0, 400))) + piece
+        for start, size, anchor, _ in substrings.runs(data, level=level):
+            other += anchor not in {a for *_, a, _ in substrings.runs(data)}
+            for i in range(start, start + size):
+                assert anchor_of.setdefault(data[i : i + 200], anchor) == anchor
+    assert other
 
 
 @pytest.mark.parametrize("rows", [[], [(1, "alone " * 20)]])

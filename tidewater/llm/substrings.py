@@ -13,8 +13,10 @@ known by its anchor and a digest of all its bytes.
 3. Runs that occur twice as a whole are repeated in full. The different runs of
    one anchor meet in blocks of about ``BLOCK_BYTES``, where threshold-bounded
    interval expansion on a Burrows-Wheeler transform finds their repeated windows
-   (:mod:`tidewater.llm.bwt`). Anchors too large for a block have their windows
-   counted by Spark, by 128-bit digest.
+   (:mod:`tidewater.llm.bwt`). The runs of an anchor too large for a block are cut
+   again, by the least k-mer of another order of digests: equal windows still meet,
+   under both k-mers, and the parts go through the same steps. Windows that stay
+   together in ``LEVELS`` orders are counted by Spark, by 128-bit digest.
 4. The covered ranges go back to the documents, which are cut in place.
 
 Text that repeats nowhere is scanned but not shuffled until step 4; copies are
@@ -41,21 +43,24 @@ from tidewater.llm.common import row_key, scratch, written
 LENGTH, KMER = 200, 32
 BITS = 26  # the anchors' bitmap has 2 ** BITS bits, eight megabytes
 BLOCK_BYTES, HOT_BYTES = 1 << 20, 1 << 22
+LEVELS = 4  # orders of k-mers by which the runs of a hot anchor are cut
 SEGMENT = 1 << 22  # windows of one text handled at a time
 BASE = np.uint64(0x9E3779B97F4A7C15)
 PLACE = np.uint64((1 << 24) - 1)
 
 
-def _kmer_digests(data: np.ndarray, kmer: int) -> np.ndarray:
+def _kmer_digests(data: np.ndarray, kmer: int, level: int = 0) -> np.ndarray:
     """Digest of the ``kmer`` (a power of two) bytes from each place on, by
-    doubling."""
+    doubling; each ``level`` has an order of its own."""
     h = data.astype(np.uint64) + np.uint64(1)
     size, factor = 1, int(BASE)
     while size < kmer:
         h = h[:-size] * np.uint64(factor) + h[size:]
         size, factor = 2 * size, factor * factor % 2**64
-    h = (h ^ (h >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
-    return h ^ (h >> np.uint64(32))
+    for turn in range(level + 1):
+        h = (h ^ (h >> np.uint64(29)) ^ np.uint64(turn)) * np.uint64(0xBF58476D1CE4E5B9)
+        h ^= h >> np.uint64(32)
+    return h
 
 
 def _sliding_least(x: np.ndarray, width: int) -> np.ndarray:
@@ -66,12 +71,12 @@ def _sliding_least(x: np.ndarray, width: int) -> np.ndarray:
     return np.minimum(x[: len(x) - (width - size)], x[width - size :]) if size < width else x
 
 
-def runs(data: bytes, length: int = LENGTH, kmer: int = KMER) -> Iterator[tuple[int, int, int, int]]:
+def runs(data: bytes, length: int = LENGTH, kmer: int = KMER, level: int = 0) -> Iterator[tuple[int, int, int, int]]:
     """(start, windows, anchor, digest) of each run of ``data``, in order; anchor
     and digest as signed longs."""
     for begin in range(0, len(data) - length + 1, SEGMENT):
         part = data[begin : begin + SEGMENT + length - 1]
-        h = _kmer_digests(np.frombuffer(part, dtype=np.uint8), kmer)
+        h = _kmer_digests(np.frombuffer(part, dtype=np.uint8), kmer, level)
         order = (h & ~PLACE) | np.arange(len(h), dtype=np.uint64)
         least = _sliding_least(order, length - kmer + 1)
         cut = np.flatnonzero(least[1:] != least[:-1]) + 1
@@ -197,23 +202,62 @@ def _by_count(contexts: DataFrame, length: int) -> DataFrame:
     )
 
 
-def repeated_ranges(docs: DataFrame, length: int = LENGTH, hot_bytes: int = HOT_BYTES) -> DataFrame:
-    """doc_id, row_key, spans: sorted byte ranges (low, high) of each document that
-    are covered by strings of ``length`` bytes that also start elsewhere."""
-    path = scratch(docs.sparkSession, "substrings")
-    anchors = written(_repeated_anchors(docs, length), f"{path}/anchors")
-    found = written(_candidate_runs(docs, anchors, length), f"{path}/runs")
+def _cut_again(contexts: DataFrame, length: int, level: int) -> DataFrame:
+    """The parts of contexts by the least k-mer of order ``level``: of (of_anchor,
+    of_digest), from ``start`` on; their anchor stands for both k-mers."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, batch.num_rows, 4096):
+                rows = batch.slice(at, 4096).to_pydict()
+                out = [
+                    (a, d, start, size, second, digest, c[start : start + size + length - 1])
+                    for a, d, c in zip(rows["anchor"], rows["digest"], rows["context"], strict=True)
+                    for start, size, second, digest in runs(c, length, level=level)
+                ]
+                columns = list(zip(*out, strict=True)) or [()] * 7
+                kinds = (pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.binary())
+                names = ["of_anchor", "of_digest", "start", "size", "second", "digest", "context"]
+                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names)
+
+    parts = contexts.select("anchor", "digest", "context").mapInArrow(
+        run, "of_anchor long, of_digest long, start int, size int, second long, digest long, context binary"
+    )
+    return parts.withColumn("anchor", F.xxhash64("of_anchor", "second")).drop("second")
+
+
+def _ranges(found: DataFrame, length: int, hot_bytes: int, path: str, level: int = 1) -> DataFrame:
+    """anchor, digest, ranges: the repeated windows of the runs ``found`` (anchor,
+    digest, size, and at least one ``context`` where the anchor has other runs)."""
     full = found.groupBy("anchor", "digest").agg(F.count(F.lit(1)).alias("n"), F.first("size").alias("size")).where("n > 1")
     whole = F.array(F.struct(F.lit(0).alias("low"), (F.col("size") + length - 1).cast("int").alias("high")))
     contexts = found.where("context is not null").groupBy("anchor", "digest").agg(F.first("context").alias("context"))
-    contexts = written(contexts, f"{path}/contexts")
+    contexts = written(contexts, f"{path}/contexts{level}")
     sizes = contexts.groupBy(F.col("anchor").alias("hot")).agg(F.sum(F.octet_length("context")).alias("bytes"))
-    hot = written(sizes.where(F.col("bytes") > hot_bytes).select("hot"), f"{path}/hot")
+    hot = written(sizes.where(F.col("bytes") > hot_bytes).select("hot"), f"{path}/hot{level}")
     cold = contexts.join(hot, contexts["anchor"] == hot["hot"], "left_anti")
     large = contexts.join(hot, contexts["anchor"] == hot["hot"], "left_semi")
-    ranges = full.select("anchor", "digest", whole.alias("ranges"))
-    ranges = ranges.unionByName(_in_blocks(cold, length)).unionByName(_by_count(large, length))
-    ranges = written(ranges, f"{path}/ranges")
+    ranges = full.select("anchor", "digest", whole.alias("ranges")).unionByName(_in_blocks(cold, length))
+    if hot.isEmpty():
+        return ranges
+    if level == LEVELS:
+        return ranges.unionByName(_by_count(large, length))
+    parts = written(_cut_again(large, length, level), f"{path}/parts{level}")
+    inner = written(_ranges(parts, length, hot_bytes, path, level + 1), f"{path}/ranges{level}")
+    back = parts.drop("context", "size").join(inner, ["anchor", "digest"]).select(
+        F.col("of_anchor").alias("anchor"), F.col("of_digest").alias("digest"), "start", F.explode("ranges").alias("r")
+    )
+    moved = F.struct((F.col("start") + F.col("r.low")).cast("int").alias("low"), (F.col("start") + F.col("r.high")).cast("int").alias("high"))
+    return ranges.unionByName(back.groupBy("anchor", "digest").agg(F.collect_set(moved).alias("ranges")))
+
+
+def repeated_ranges(docs: DataFrame, length: int = LENGTH, hot_bytes: int = HOT_BYTES) -> DataFrame:
+    """doc_id, row_key, spans: sorted byte ranges (low, high) of each document that
+    are covered by strings of ``length`` bytes that also start elsewhere."""
+    path = scratch(docs.sparkSession, "substrings")
+    anchors = written(_repeated_anchors(docs, length), f"{path}/anchors")
+    found = written(_candidate_runs(docs, anchors, length), f"{path}/runs")
+    ranges = written(_ranges(found, length, hot_bytes, path), f"{path}/ranges")
     spans = found.drop("context").join(ranges, ["anchor", "digest"]).select(
         "doc_id", "row_key", "start", F.explode("ranges").alias("range")
     ).distinct()
