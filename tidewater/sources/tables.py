@@ -32,6 +32,9 @@ def read_table(spark: SparkSession, root: str, schema: T.StructType | None = Non
     missing or holds no data files yet. ``year``/``month`` are discovered
     from the ``year=Y/month=M`` directories. A known ``schema`` skips the
     inference pass over file footers."""
+    fs, path = file_system(spark, root)
+    if not fs.exists(path(root)):  # a read that fails would be reported to all listeners
+        return None
     try:
         reader = spark.read if schema is None else spark.read.schema(schema)
         frame = reader.parquet(root)
