@@ -58,7 +58,9 @@ def _kmer_digests(data: np.ndarray, kmer: int, level: int = 0) -> np.ndarray:
         h = h[:-size] * np.uint64(factor) + h[size:]
         size, factor = 2 * size, factor * factor % 2**64
     for turn in range(level + 1):
-        h = (h ^ (h >> np.uint64(29)) ^ np.uint64(turn)) * np.uint64(0xBF58476D1CE4E5B9)
+        if turn:
+            h ^= np.uint64(turn)
+        h = (h ^ (h >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
         h ^= h >> np.uint64(32)
     return h
 
