@@ -74,16 +74,42 @@ def test_piece_table_begins_anew(real, monkeypatch):
         assert ids.tolist() == lib.encode_ordinary(t) * 2
 
 
-def test_rows_round_trip(spark, real, monkeypatch):
-    monkeypatch.setattr(bpe, "BLOCK", 7)
-    rows = [*enumerate(TEXTS), (3, TEXTS[3]), (None, "no id")]
-    docs = spark.createDataFrame([(*r, [1], "d") for r in rows], "doc_id long, text string, ids array<int>, decoded string")
+@pytest.mark.parametrize("sizes", [{}, {"block_bytes": 40, "most": 5, "limit": 7}])
+def test_rows_round_trip(spark, real, sizes):
+    rows = [*enumerate(TEXTS), (3, TEXTS[3]), (None, "no id"), (99, None)]
+    docs = spark.createDataFrame([(*r, [1], "d", "p") for r in rows], "doc_id long, text string, ids array<int>, decoded string, piece string")
     lib = library(real.ranks)
-    got = bpe.decode(bpe.encode(docs, PATH, public_tokenizers.PATTERN), PATH).collect()
+    got = bpe.decode(bpe.encode(docs.repartition(3), PATH, public_tokenizers.PATTERN, **sizes), PATH).collect()
     want = [(d, lib.encode_ordinary(t or ""), (t or "").encode()) for d, t in rows]
     assert sorted(((r["doc_id"], r["ids"], bytes(r["decoded"])) for r in got), key=str) == sorted(want, key=str)
 
 
+def test_blocks_and_their_pieces(spark):
+    rows = [(i, f"the common start of text {i} " * 3) for i in range(60)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(2)
+    found = bpe.numbered(docs, public_tokenizers.PATTERN, block_bytes=300).collect()
+    texts, pieces = [r for r in found if r["piece"] is None], [r for r in found if r["piece"] is not None]
+    blocks = {}
+    for r in pieces:
+        assert blocks.setdefault(r["block"], {}).setdefault(r["no"], bytes(r["piece"])) == bytes(r["piece"])
+    assert len(blocks) > 4 and len(pieces) == sum(map(len, blocks.values())) == len({(r["block"], bytes(r["piece"])) for r in pieces})
+    whole = {r["doc_id"]: b"".join(blocks[r["block"]][x] for x in bpe._unpacked(r["numbers"], r["n"])).decode() for r in texts}
+    assert whole == dict(rows)
+
+
+def test_a_piece_of_all_blocks_is_replayed_in_one_task(spark):
+    with open(PATH, "rb") as f:
+        ranks = spark.sparkContext.broadcast(f.read())
+    rows = [(b, b % 7, p) for b in range(300) for p in (b" the", b"zq%d" % (b % 40))]
+    pieces = spark.createDataFrame(rows, "block long, no int, piece binary")
+    ids = bpe.replayed(pieces, ranks)
+    from pyspark.sql import functions as F
+
+    places = ids.select("ids", F.spark_partition_id().alias("task")).groupBy("ids").agg(F.count_distinct("task").alias("tasks"), F.count("*").alias("n"))
+    found = places.collect()
+    assert len(found) == 41 and all(r["tasks"] == 1 for r in found) and sum(r["n"] for r in found) == 600
+
+
 def test_empty_table(spark):
     assert bpe.digests(spark.createDataFrame([], "doc_id long, text string"), PATH, public_tokenizers.PATTERN).count() == 0
 

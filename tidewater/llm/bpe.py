@@ -1,12 +1,19 @@
-"""Byte-level BPE by merge replay over a slice of the corpus.
-
-A task replays the merges over the distinct pieces (words) of its part of the
-corpus, not text by text: an inverted index leads from a token pair's rank to the
-places in the pieces where that pair stands; the ranks are taken in order, all
-places of a rank are merged at once, and only the pairs with the two neighbours
-of a merged place are looked up and filed again. Texts are then put together from
-their pieces' ids. No row leaves its task, so nothing is shuffled, and a task's
-memory holds a few megabytes of text at a time and a bounded table of pieces.
+"""Byte-level BPE by merge replay over the distinct pieces of the whole corpus.
+
+1. ``numbered``: one scan cuts the texts into pieces (words) and numbers them within
+   blocks of some megabytes of text. It is written once: a row per document with
+   its piece numbers, and a row per block and distinct piece.
+2. ``replayed``: the blocks' pieces are dealt out by piece, so all copies of a piece
+   in the corpus meet, sorted, in one task, and the merges are replayed over the
+   distinct ones: an inverted index leads from a token pair's rank to the places in
+   the pieces where that pair stands; the ranks are taken in order, all places of a
+   rank are merged at once, and only the pairs with the two neighbours of a merged
+   place are looked up and filed again.
+3. ``encode``: a block's documents and the ids of its pieces are cogrouped, and texts
+   put together from their pieces' ids.
+
+A piece that stands everywhere is one row per block, a small part of each block's
+rows, so no key is hot. Tasks hold a block, or a few megabytes of pieces, at a time.
 
 The result is that of the usual word-by-word rule (lowest rank first, leftmost
 among equals, a piece that is itself a token at once). A merge can bring up a
@@ -29,12 +36,17 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import regex
-from pyspark.sql import DataFrame
+from pyspark import Broadcast, TaskContext
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidewater.llm.common import scratch, written
+
 NONE = 1 << 30  # the rank of a pair that does not merge
 MAX_PIECES = 250_000  # pieces remembered by a task before the table is begun anew
 CHUNK_CHARS, BLOCK = 8_000_000, 200_000
+BLOCK_BYTES = 2 * CHUNK_CHARS  # text of a block, or one longer text
+REPLAY_BYTES = 2_000_000  # pieces replayed at once, or one longer piece
 
 
 class Vocabulary:
@@ -213,18 +225,17 @@ class _Pieces(dict):
         return number
 
 
-class Encoder:
-    """Encodes texts, remembering the pieces it has seen."""
+class Numbering:
+    """Cuts texts into pieces and numbers the distinct ones."""
 
-    def __init__(self, v: Vocabulary, pattern: str):
-        self.v, self.pattern = v, regex.compile(pattern)
+    def __init__(self, pattern: str):
+        self.pattern = regex.compile(pattern)
         self.clear()
 
     def clear(self) -> None:
-        self.pieces, self.done = _Pieces(), 0
-        self.ids, self.starts, self.counts = (np.zeros(0, dtype=np.int64) for _ in range(3))
+        self.pieces = _Pieces()
 
-    def _numbers(self, text: str) -> np.ndarray:
+    def numbers(self, text: str) -> np.ndarray:
         number = self.pieces.__getitem__
         if len(text) < CHUNK_CHARS:
             return np.fromiter(map(number, self.pattern.findall(text)), dtype=np.int32)
@@ -233,12 +244,25 @@ class Encoder:
             parts.append(np.fromiter(map(number, block), dtype=np.int32, count=len(block)))
         return np.concatenate(parts)
 
+
+class Encoder(Numbering):
+    """Encodes the texts of one task, remembering the pieces it has seen."""
+
+    def __init__(self, v: Vocabulary, pattern: str):
+        self.v = v
+        super().__init__(pattern)
+
+    def clear(self) -> None:
+        super().clear()
+        self.done = 0
+        self.ids, self.starts, self.counts = (np.zeros(0, dtype=np.int64) for _ in range(3))
+
     def learn(self, texts: list[str]) -> list[np.ndarray]:
         """The piece numbers of each text, after replaying the merges over the
         pieces that are new."""
         if self.done > MAX_PIECES:
             self.clear()
-        rows = [self._numbers(t) for t in texts]
+        rows = [self.numbers(t) for t in texts]
         fresh = [p.encode() for p in islice(self.pieces, self.done, None)]
         if fresh:
             ids, counts = replay(fresh, self.v)
@@ -265,42 +289,145 @@ def _chunks(batch: pa.RecordBatch, sizes: np.ndarray, limit: int) -> Iterator[pa
             yield batch.slice(a, b - a)
 
 
-def text_chunks(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-    """Slices of the batch with about ``CHUNK_CHARS`` bytes of text each."""
+def text_chunks(batch: pa.RecordBatch, limit: int = CHUNK_CHARS) -> Iterator[pa.RecordBatch]:
+    """Slices of the batch with about ``limit`` bytes of text each."""
     sizes = pc.fill_null(pc.binary_length(batch.column("text")), 0)
-    return _chunks(batch, sizes.to_numpy(zero_copy_only=False).astype(np.int64), CHUNK_CHARS)
+    return _chunks(batch, sizes.to_numpy(zero_copy_only=False).astype(np.int64), limit)
 
 
 def _lists(counts: np.ndarray) -> pa.Array:
     return pa.array(np.concatenate([[0], np.cumsum(counts)]), pa.int32())
 
 
-def encode(docs: DataFrame, ranks_path: str, pattern: str) -> DataFrame:
-    """doc_id, ids: the token ids of every text. ``ranks_path`` names a rank file
-    that the driver reads; its size is that of the vocabulary."""
-    with open(ranks_path, "rb") as f:
-        shared = docs.sparkSession.sparkContext.broadcast(f.read())
+def _packed(numbers: np.ndarray) -> bytes:
+    """Numbers follow the order of first sight, so most are small: their bytes are
+    stored lowest first, all of one place together, and compressed."""
+    planes = numbers.astype("<i4").view(np.uint8).reshape(-1, 4).T
+    return pa.compress(planes.tobytes(), codec="zstd", asbytes=True)
+
+
+def _unpacked(data: bytes, n: int) -> np.ndarray:
+    planes = np.frombuffer(pa.decompress(data, 4 * n, codec="zstd"), dtype=np.uint8)
+    return np.ascontiguousarray(planes.reshape(4, n).T).view("<i4").ravel()
+
+
+NUMBERED = pa.schema(
+    [("block", pa.int64()), ("doc_id", pa.int64()), ("n", pa.int32()), ("numbers", pa.binary()), ("no", pa.int32()), ("piece", pa.binary())]
+)
+
+
+def _rows(size: int, **columns: pa.Array) -> pa.RecordBatch:
+    """A batch of ``NUMBERED``; columns that are not given are null."""
+    arrays = [columns.get(f.name, None) for f in NUMBERED]
+    arrays = [pa.nulls(size, f.type) if a is None else a for a, f in zip(arrays, NUMBERED, strict=True)]
+    return pa.RecordBatch.from_arrays(arrays, schema=NUMBERED)
+
+
+def numbered(docs: DataFrame, pattern: str, block_bytes: int = BLOCK_BYTES, most: int = MAX_PIECES) -> DataFrame:
+    """Rows of two kinds: block, doc_id, n, numbers (a document's n pieces by their
+    numbers in the block, packed), and block, no, piece (the block's distinct pieces).
+    A block ends when it holds ``block_bytes`` of text or more than ``most`` pieces."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(vocabulary(shared.value), pattern)
+        numbering, block, seen = Numbering(pattern), TaskContext.get().partitionId() << 32, 0
+
+        def pieces() -> Iterator[pa.RecordBatch]:
+            found = iter(numbering.pieces)
+            for first in range(0, len(numbering.pieces), BLOCK):
+                part = pa.array([p.encode() for p in islice(found, BLOCK)], pa.binary())
+                no = pa.array(np.arange(first, first + len(part)), pa.int32())
+                yield _rows(len(part), block=pa.array([block] * len(part), pa.int64()), no=no, piece=part)
+            numbering.clear()
+
         for batch in batches:
-            for part in text_chunks(batch):
-                rows = encoder.learn([t or "" for t in part.column("text").to_pylist()])
-                at = 0
-                for b in _chunks(part, np.array([len(r) for r in rows], dtype=np.int64), BLOCK):
-                    ids, counts = encoder.join(rows[at : at + b.num_rows])
-                    at += b.num_rows
-                    lists = pa.ListArray.from_arrays(_lists(counts), pa.array(ids, pa.int32()))
-                    yield pa.RecordBatch.from_arrays([b.column("doc_id"), lists], ["doc_id", "ids"])
+            for part in text_chunks(batch, min(CHUNK_CHARS, block_bytes)):
+                texts = [t or "" for t in part.column("text").to_pylist()]
+                rows = [numbering.numbers(t) for t in texts]
+                yield _rows(
+                    len(rows), block=pa.array([block] * len(rows), pa.int64()), doc_id=part.column("doc_id"),
+                    n=pa.array([len(r) for r in rows], pa.int32()), numbers=pa.array([_packed(r) for r in rows], pa.binary()),
+                )
+                seen += sum(map(len, texts))
+                if seen >= block_bytes or len(numbering.pieces) > most:
+                    yield from pieces()
+                    block, seen = block + 1, 0
+        yield from pieces()
 
     rows = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    return rows.mapInArrow(run, "doc_id long, ids array<int>")
+    return rows.mapInArrow(run, "block long, doc_id long, n int, numbers binary, no int, piece binary")
+
+
+def _gathered(batches: Iterator[pa.RecordBatch], limit: int) -> Iterator[pa.Table]:
+    """Batches put together until their pieces have ``limit`` bytes."""
+    held, size = [], 0
+    for batch in batches:
+        sizes = pc.binary_length(batch.column("piece")).to_numpy(zero_copy_only=False).astype(np.int64)
+        for part in _chunks(batch, sizes, limit):
+            held.append(part)
+            size += pc.sum(pc.binary_length(part.column("piece"))).as_py()
+            if size >= limit:
+                yield pa.Table.from_batches(held)
+                held, size = [], 0
+    if held:
+        yield pa.Table.from_batches(held)
+
+
+def replayed(pieces: DataFrame, ranks: Broadcast, limit: int = REPLAY_BYTES) -> DataFrame:
+    """block, no, ids: the merges replayed over the corpus's distinct pieces. All
+    rows of a piece lie together in one task, so it is replayed there for all blocks."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        v = vocabulary(ranks.value)
+        for group in _gathered((b for b in batches if b.num_rows), limit):
+            words = group["piece"].combine_chunks().dictionary_encode()
+            ids, counts = replay(words.dictionary.to_pylist(), v)
+            starts, which = np.cumsum(counts) - counts, words.indices.to_numpy(zero_copy_only=False)
+            sizes = counts[which]
+            lists = pa.ListArray.from_arrays(_lists(sizes), pa.array(ids[_spread(starts[which], sizes)], pa.int32()))
+            columns = [group["block"].combine_chunks(), group["no"].combine_chunks(), lists]
+            yield pa.RecordBatch.from_arrays(columns, ["block", "no", "ids"])
+
+    rows = pieces.select("block", "no", "piece").repartition("piece").sortWithinPartitions("piece")
+    return rows.mapInArrow(run, "block long, no int, ids array<int>")
+
+
+def _assembled(texts: pa.Table, pieces: pa.Table) -> pa.Table:
+    """doc_id, ids of a block's documents, from the ids of its pieces."""
+    order = np.argsort(pieces["no"].to_numpy())  # numbers are 0, 1, ...
+    lists = pieces["ids"].combine_chunks()
+    lengths = lists.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)
+    ids, starts, counts = lists.flatten().to_numpy(zero_copy_only=False), (np.cumsum(lengths) - lengths)[order], lengths[order]
+    out, totals = [np.zeros(0, np.int32)], []
+    for n, data in zip(texts["n"].to_pylist(), texts["numbers"].to_pylist(), strict=True):
+        numbers = _unpacked(data, n)
+        sizes = counts[numbers]
+        out.append(ids[_spread(starts[numbers], sizes)])
+        totals.append(int(sizes.sum()))
+    lists = pa.ListArray.from_arrays(_lists(np.array(totals, dtype=np.int64)), pa.array(np.concatenate(out), pa.int32()))
+    return pa.Table.from_arrays([texts["doc_id"].combine_chunks(), lists], ["doc_id", "ids"])
+
+
+def _shared(spark: SparkSession, ranks_path: str) -> Broadcast:
+    with open(ranks_path, "rb") as f:
+        return spark.sparkContext.broadcast(f.read())
+
+
+def encode(
+    docs: DataFrame, ranks_path: str, pattern: str,
+    block_bytes: int = BLOCK_BYTES, most: int = MAX_PIECES, limit: int = REPLAY_BYTES,
+) -> DataFrame:
+    """doc_id, ids: the token ids of every text. ``ranks_path`` names a rank file
+    that the driver reads; its size is that of the vocabulary."""
+    spark = docs.sparkSession
+    rows = written(numbered(docs, pattern, block_bytes, most), scratch(spark, "pieces"))
+    ids = replayed(rows.where("piece is not null"), _shared(spark, ranks_path), limit)
+    texts = rows.where("piece is null").select("block", "doc_id", "n", "numbers")
+    return texts.groupBy("block").cogroup(ids.groupBy("block")).applyInArrow(_assembled, "doc_id long, ids array<int>")
 
 
 def decode(encoded: DataFrame, ranks_path: str) -> DataFrame:
     """doc_id, ids, decoded: the bytes that the ids stand for."""
-    with open(ranks_path, "rb") as f:
-        shared = encoded.sparkSession.sparkContext.broadcast(f.read())
+    shared = _shared(encoded.sparkSession, ranks_path)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         v = vocabulary(shared.value)
