@@ -74,7 +74,7 @@ def test_piece_table_begins_anew(real, monkeypatch):
         assert ids.tolist() == lib.encode_ordinary(t) * 2
 
 
-@pytest.mark.parametrize("sizes", [{}, {"block_bytes": 40, "most": 5, "limit": 7}])
+@pytest.mark.parametrize("sizes", [{}, {"block_bytes": 40, "most": 5}])
 def test_rows_round_trip(spark, real, sizes):
     rows = [*enumerate(TEXTS), (3, TEXTS[3]), (None, "no id"), (99, None)]
     docs = spark.createDataFrame([(*r, [1], "d", "p") for r in rows], "doc_id long, text string, ids array<int>, decoded string, piece string")
@@ -87,27 +87,46 @@ def test_rows_round_trip(spark, real, sizes):
 def test_blocks_and_their_pieces(spark):
     rows = [(i, f"the common start of text {i} " * 3) for i in range(60)]
     docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(2)
-    found = bpe.numbered(docs, public_tokenizers.PATTERN, block_bytes=300).collect()
-    texts, pieces = [r for r in found if r["piece"] is None], [r for r in found if r["piece"] is not None]
-    blocks = {}
-    for r in pieces:
-        assert blocks.setdefault(r["block"], {}).setdefault(r["no"], bytes(r["piece"])) == bytes(r["piece"])
-    assert len(blocks) > 4 and len(pieces) == sum(map(len, blocks.values())) == len({(r["block"], bytes(r["piece"])) for r in pieces})
+    found = [r.asDict() for r in bpe.numbered(docs, public_tokenizers.PATTERN, 4, block_bytes=300).collect()]
+    blocks, parts = {}, {}
+    for r in (r for r in found if r["part"] is not None):
+        numbers = bpe._unpacked(r["numbers"], r["n"]).cumsum().tolist()
+        for no, piece in zip(numbers, bpe._words(r), strict=True):
+            assert blocks.setdefault(r["block"], {}).setdefault(no, piece) == piece
+            assert parts.setdefault(piece, r["part"]) == r["part"]
+    assert len(blocks) > 4 and set(parts.values()) == {0, 1, 2, 3}
+    assert all(sorted(b) == list(range(len(set(b.values())))) for b in blocks.values())
+    texts = [r for r in found if r["part"] is None]
     whole = {r["doc_id"]: b"".join(blocks[r["block"]][x] for x in bpe._unpacked(r["numbers"], r["n"])).decode() for r in texts}
     assert whole == dict(rows)
 
 
-def test_a_piece_of_all_blocks_is_replayed_in_one_task(spark):
+@pytest.mark.parametrize("bounds", [{}, {"limit": 20, "most": 3}])
+def test_pieces_of_many_blocks(spark, real, bounds):
+    text = "the same words in all blocks and zq%d of one "
+    docs = spark.createDataFrame([(i, text % i * 2) for i in range(40)], "doc_id long, text string").repartition(3)
     with open(PATH, "rb") as f:
         ranks = spark.sparkContext.broadcast(f.read())
-    rows = [(b, b % 7, p) for b in range(300) for p in (b" the", b"zq%d" % (b % 40))]
-    pieces = spark.createDataFrame(rows, "block long, no int, piece binary")
-    ids = bpe.replayed(pieces, ranks)
-    from pyspark.sql import functions as F
-
-    places = ids.select("ids", F.spark_partition_id().alias("task")).groupBy("ids").agg(F.count_distinct("task").alias("tasks"), F.count("*").alias("n"))
-    found = places.collect()
-    assert len(found) == 41 and all(r["tasks"] == 1 for r in found) and sum(r["n"] for r in found) == 600
+    rows = bpe.numbered(docs, public_tokenizers.PATTERN, 5, block_bytes=100).cache()
+    pieces = {(r["block"], x): w for r in rows.where("part is not null").collect()
+              for x, w in zip(bpe._unpacked(r["numbers"], r["n"]).cumsum().tolist(), bpe._words(r.asDict()), strict=True)}
+    lib, seen = library(real.ranks), set()
+    for r in bpe.replayed(rows.where("part is not null"), ranks, **bounds).collect():
+        counts, ids = bpe._unpacked(r["counts"], r["n"]).tolist(), bpe._unpacked(r["ids"], r["n_ids"]).tolist()
+        for x, n in zip(bpe._unpacked(r["numbers"], r["n"]).cumsum().tolist(), counts, strict=True):
+            assert ids[:n] == lib.encode_ordinary(pieces[r["block"], x].decode())
+            ids = ids[n:]
+            seen.add((r["block"], x))
+    rows.unpersist()
+    assert seen == set(pieces)
+
+
+def test_documents_stay_in_their_buckets(spark):
+    before = {t.name for t in spark.catalog.listTables()}
+    encoded = bpe.encode(spark.createDataFrame([(1, "a text")], "doc_id long, text string"), PATH, public_tokenizers.PATTERN)
+    plan = encoded._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 2 and "Bucketed: true" in plan
+    assert {t.name for t in spark.catalog.listTables()} == before
 
 
 def test_empty_table(spark):

@@ -1,19 +1,20 @@
 """Byte-level BPE by merge replay over the distinct pieces of the whole corpus.
 
 1. ``numbered``: one scan cuts the texts into pieces (words) and numbers them within
-   blocks of some megabytes of text. It is written once: a row per document with
-   its piece numbers, and a row per block and distinct piece.
-2. ``replayed``: the blocks' pieces are dealt out by piece, so all copies of a piece
-   in the corpus meet, sorted, in one task, and the merges are replayed over the
-   distinct ones: an inverted index leads from a token pair's rank to the places in
-   the pieces where that pair stands; the ranks are taken in order, all places of a
-   rank are merged at once, and only the pairs with the two neighbours of a merged
-   place are looked up and filed again.
+   blocks of some megabytes of text. It is written once, bucketed by block: a row per
+   document with its piece numbers, and the block's distinct pieces, dealt by digest
+   into parts, a row per block and part. Numbers and pieces are packed.
+2. ``replayed``: all rows of a part meet in one task, and with them all copies of its
+   pieces. The merges are replayed over the distinct ones: an inverted index leads
+   from a token pair's rank to the places in the pieces where that pair stands; the
+   ranks are taken in order, all places of a rank are merged at once, and only the
+   pairs with the two neighbours of a merged place are looked up and filed again.
 3. ``encode``: a block's documents and the ids of its pieces are cogrouped, and texts
-   put together from their pieces' ids.
+   put together from their pieces' ids. Only the pieces are shuffled: the documents
+   lie in their buckets.
 
-A piece that stands everywhere is one row per block, a small part of each block's
-rows, so no key is hot. Tasks hold a block, or a few megabytes of pieces, at a time.
+A piece that stands everywhere counts once a block, a small part of each block's
+pieces, so no part is hot. Tasks hold a block, or a bounded table of pieces, at a time.
 
 The result is that of the usual word-by-word rule (lowest rank first, leftmost
 among equals, a piece that is itself a token at once). A merge can bring up a
@@ -28,7 +29,9 @@ from __future__ import annotations
 
 import base64
 import heapq
-from collections.abc import Iterator
+import uuid
+import zlib
+from collections.abc import Callable, Iterator
 from functools import cached_property, lru_cache
 from itertools import islice
 
@@ -40,13 +43,14 @@ from pyspark import Broadcast, TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewater.llm.common import scratch, written
+from tidewater.llm.common import scratch
 
 NONE = 1 << 30  # the rank of a pair that does not merge
 MAX_PIECES = 250_000  # pieces remembered by a task before the table is begun anew
 CHUNK_CHARS, BLOCK = 8_000_000, 200_000
-BLOCK_BYTES = 2 * CHUNK_CHARS  # text of a block, or one longer text
-REPLAY_BYTES = 2_000_000  # pieces replayed at once, or one longer piece
+BLOCK_BYTES, BLOCK_PIECES = 4 * CHUNK_CHARS, 500_000  # a block ends at the first of them
+PART_PIECES = 1_000_000  # pieces remembered in a part; beyond, the table is begun anew
+REPLAY_BYTES = 2_000_000  # pieces read before the new ones are replayed
 
 
 class Vocabulary:
@@ -225,51 +229,35 @@ class _Pieces(dict):
         return number
 
 
-class Numbering:
-    """Cuts texts into pieces and numbers the distinct ones."""
+def cut(text: str, pattern: regex.Pattern, number: Callable[[str], int]) -> np.ndarray:
+    """The numbers of the text's pieces."""
+    if len(text) < CHUNK_CHARS:
+        return np.fromiter(map(number, pattern.findall(text)), dtype=np.int32)
+    found, parts = (m[0] for m in pattern.finditer(text)), []
+    while block := list(islice(found, BLOCK)):
+        parts.append(np.fromiter(map(number, block), dtype=np.int32, count=len(block)))
+    return np.concatenate(parts)
 
-    def __init__(self, pattern: str):
-        self.pattern = regex.compile(pattern)
-        self.clear()
-
-    def clear(self) -> None:
-        self.pieces = _Pieces()
-
-    def numbers(self, text: str) -> np.ndarray:
-        number = self.pieces.__getitem__
-        if len(text) < CHUNK_CHARS:
-            return np.fromiter(map(number, self.pattern.findall(text)), dtype=np.int32)
-        found, parts = (m[0] for m in self.pattern.finditer(text)), []
-        while block := list(islice(found, BLOCK)):
-            parts.append(np.fromiter(map(number, block), dtype=np.int32, count=len(block)))
-        return np.concatenate(parts)
 
+class Known:
+    """Pieces seen so far and their ids."""
 
-class Encoder(Numbering):
-    """Encodes the texts of one task, remembering the pieces it has seen."""
-
-    def __init__(self, v: Vocabulary, pattern: str):
+    def __init__(self, v: Vocabulary):
         self.v = v
-        super().__init__(pattern)
+        self.clear()
 
     def clear(self) -> None:
-        super().clear()
-        self.done = 0
+        self.pieces, self.done = _Pieces(), 0
         self.ids, self.starts, self.counts = (np.zeros(0, dtype=np.int64) for _ in range(3))
 
-    def learn(self, texts: list[str]) -> list[np.ndarray]:
-        """The piece numbers of each text, after replaying the merges over the
-        pieces that are new."""
-        if self.done > MAX_PIECES:
-            self.clear()
-        rows = [self.numbers(t) for t in texts]
-        fresh = [p.encode() for p in islice(self.pieces, self.done, None)]
+    def replay_new(self) -> None:
+        """Replay the merges over the pieces that are new."""
+        fresh = [p if isinstance(p, bytes) else p.encode() for p in islice(self.pieces, self.done, None)]
         if fresh:
             ids, counts = replay(fresh, self.v)
             self.starts = np.concatenate([self.starts, len(self.ids) + np.cumsum(counts) - counts])
             self.ids, self.counts = np.concatenate([self.ids, ids]), np.concatenate([self.counts, counts])
             self.done = len(self.pieces)
-        return rows
 
     def join(self, rows: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts, number of ids of each text)."""
@@ -280,6 +268,23 @@ class Encoder(Numbering):
         return self.ids[_spread(self.starts[numbers], sizes)], np.diff(totals)
 
 
+class Encoder(Known):
+    """Encodes the texts of one task, remembering the pieces it has seen."""
+
+    def __init__(self, v: Vocabulary, pattern: str):
+        super().__init__(v)
+        self.pattern = regex.compile(pattern)
+
+    def learn(self, texts: list[str]) -> list[np.ndarray]:
+        """The piece numbers of each text, after replaying the merges over the
+        pieces that are new."""
+        if self.done > MAX_PIECES:
+            self.clear()
+        rows = [cut(t, self.pattern, self.pieces.__getitem__) for t in texts]
+        self.replay_new()
+        return rows
+
+
 def _chunks(batch: pa.RecordBatch, sizes: np.ndarray, limit: int) -> Iterator[pa.RecordBatch]:
     """Slices of the batch of about ``limit`` in size, at least a row each."""
     group = np.cumsum(sizes) // limit
@@ -311,117 +316,147 @@ def _unpacked(data: bytes, n: int) -> np.ndarray:
     return np.ascontiguousarray(planes.reshape(4, n).T).view("<i4").ravel()
 
 
-NUMBERED = pa.schema(
-    [("block", pa.int64()), ("doc_id", pa.int64()), ("n", pa.int32()), ("numbers", pa.binary()), ("no", pa.int32()), ("piece", pa.binary())]
-)
+NUMBERED = "block long, doc_id long, n int, numbers binary, part int, sizes binary, words binary"
+ARROW = {"long": pa.int64(), "int": pa.int32(), "binary": pa.binary()}
 
 
-def _rows(size: int, **columns: pa.Array) -> pa.RecordBatch:
-    """A batch of ``NUMBERED``; columns that are not given are null."""
-    arrays = [columns.get(f.name, None) for f in NUMBERED]
-    arrays = [pa.nulls(size, f.type) if a is None else a for a, f in zip(arrays, NUMBERED, strict=True)]
-    return pa.RecordBatch.from_arrays(arrays, schema=NUMBERED)
+def _rows(size: int, block: int, **columns: pa.Array) -> pa.RecordBatch:
+    """Rows of ``NUMBERED``; columns that are not given are null."""
+    columns["block"] = pa.array([block] * size, pa.int64())
+    names, types = zip(*(c.split() for c in NUMBERED.split(", ")), strict=True)
+    arrays = [columns[c] if c in columns else pa.nulls(size, ARROW[t]) for c, t in zip(names, types, strict=True)]
+    return pa.RecordBatch.from_arrays(arrays, list(names))
 
 
-def numbered(docs: DataFrame, pattern: str, block_bytes: int = BLOCK_BYTES, most: int = MAX_PIECES) -> DataFrame:
+def numbered(docs: DataFrame, pattern: str, parts: int, block_bytes: int = BLOCK_BYTES, most: int = BLOCK_PIECES) -> DataFrame:
     """Rows of two kinds: block, doc_id, n, numbers (a document's n pieces by their
-    numbers in the block, packed), and block, no, piece (the block's distinct pieces).
-    A block ends when it holds ``block_bytes`` of text or more than ``most`` pieces."""
+    numbers in the block), and block, part, n, numbers, sizes, words (n distinct pieces
+    of the block with one digest modulo ``parts``: steps between their ascending
+    numbers, bytes of each, and the bytes). A block ends when it holds
+    ``block_bytes`` of text or more than ``most`` pieces."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        numbering, block, seen = Numbering(pattern), TaskContext.get().partitionId() << 32, 0
-
-        def pieces() -> Iterator[pa.RecordBatch]:
-            found = iter(numbering.pieces)
-            for first in range(0, len(numbering.pieces), BLOCK):
-                part = pa.array([p.encode() for p in islice(found, BLOCK)], pa.binary())
-                no = pa.array(np.arange(first, first + len(part)), pa.int32())
-                yield _rows(len(part), block=pa.array([block] * len(part), pa.int64()), no=no, piece=part)
-            numbering.clear()
+        cutter, block = regex.compile(pattern), TaskContext.get().partitionId() << 32
+        known, seen = _Pieces(), 0
+
+        def pieces() -> pa.RecordBatch:
+            found = np.array([p.encode() for p in known], dtype=object)
+            part = np.array([zlib.crc32(p) % parts for p in found], dtype=np.int64)
+            order = np.argsort(part, kind="stable")
+            groups = np.split(order, np.flatnonzero(np.diff(part[order])) + 1) if len(order) else []
+            sizes = [np.array([len(p) for p in found[g]], dtype=np.int32) for g in groups]
+            return _rows(
+                len(groups), block, part=pa.array([int(part[g[0]]) for g in groups], pa.int32()),
+                n=pa.array([len(g) for g in groups], pa.int32()), sizes=pa.array(map(_packed, sizes), pa.binary()),
+                numbers=pa.array([_packed(np.diff(g, prepend=0)) for g in groups], pa.binary()),
+                words=pa.array([pa.compress(b"".join(found[g]), codec="zstd", asbytes=True) for g in groups], pa.binary()),
+            )
 
         for batch in batches:
-            for part in text_chunks(batch, min(CHUNK_CHARS, block_bytes)):
-                texts = [t or "" for t in part.column("text").to_pylist()]
-                rows = [numbering.numbers(t) for t in texts]
-                yield _rows(
-                    len(rows), block=pa.array([block] * len(rows), pa.int64()), doc_id=part.column("doc_id"),
-                    n=pa.array([len(r) for r in rows], pa.int32()), numbers=pa.array([_packed(r) for r in rows], pa.binary()),
-                )
+            for chunk in text_chunks(batch, min(CHUNK_CHARS, block_bytes)):
+                texts = [t or "" for t in chunk.column("text").to_pylist()]
+                rows = [cut(t, cutter, known.__getitem__) for t in texts]
+                numbers = pa.array(map(_packed, rows), pa.binary())
+                yield _rows(len(rows), block, doc_id=chunk.column("doc_id"), n=pa.array(map(len, rows), pa.int32()), numbers=numbers)
                 seen += sum(map(len, texts))
-                if seen >= block_bytes or len(numbering.pieces) > most:
-                    yield from pieces()
-                    block, seen = block + 1, 0
-        yield from pieces()
-
-    rows = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    return rows.mapInArrow(run, "block long, doc_id long, n int, numbers binary, no int, piece binary")
-
-
-def _gathered(batches: Iterator[pa.RecordBatch], limit: int) -> Iterator[pa.Table]:
-    """Batches put together until their pieces have ``limit`` bytes."""
-    held, size = [], 0
-    for batch in batches:
-        sizes = pc.binary_length(batch.column("piece")).to_numpy(zero_copy_only=False).astype(np.int64)
-        for part in _chunks(batch, sizes, limit):
-            held.append(part)
-            size += pc.sum(pc.binary_length(part.column("piece"))).as_py()
-            if size >= limit:
-                yield pa.Table.from_batches(held)
-                held, size = [], 0
-    if held:
-        yield pa.Table.from_batches(held)
-
-
-def replayed(pieces: DataFrame, ranks: Broadcast, limit: int = REPLAY_BYTES) -> DataFrame:
-    """block, no, ids: the merges replayed over the corpus's distinct pieces. All
-    rows of a piece lie together in one task, so it is replayed there for all blocks."""
+                if seen >= block_bytes or len(known) > most:
+                    yield pieces()
+                    known, block, seen = _Pieces(), block + 1, 0
+        yield pieces()
+
+    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(run, NUMBERED)
+
+
+def _words(row: dict) -> list[bytes]:
+    """The pieces of a row."""
+    edges = np.cumsum(np.append(0, _unpacked(row["sizes"], row["n"])), dtype=np.int64).tolist()
+    data = pa.decompress(row["words"], edges[-1], codec="zstd", asbytes=True)
+    return [data[a:b] for a, b in zip(edges, edges[1:], strict=False)]
+
+
+REPLAYED = "block long, n int, numbers binary, counts binary, n_ids long, ids binary"
+
+
+def replayed(pieces: DataFrame, ranks: Broadcast, limit: int = REPLAY_BYTES, most: int = PART_PIECES) -> DataFrame:
+    """block, n, numbers, counts, n_ids, ids: the pieces' numbers, how many ids each has,
+    and these. All rows of a part lie together in one task, so a piece is replayed there
+    for all blocks; only where a part has more than ``most`` pieces can one come again."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        v = vocabulary(ranks.value)
-        for group in _gathered((b for b in batches if b.num_rows), limit):
-            words = group["piece"].combine_chunks().dictionary_encode()
-            ids, counts = replay(words.dictionary.to_pylist(), v)
-            starts, which = np.cumsum(counts) - counts, words.indices.to_numpy(zero_copy_only=False)
-            sizes = counts[which]
-            lists = pa.ListArray.from_arrays(_lists(sizes), pa.array(ids[_spread(starts[which], sizes)], pa.int32()))
-            columns = [group["block"].combine_chunks(), group["no"].combine_chunks(), lists]
-            yield pa.RecordBatch.from_arrays(columns, ["block", "no", "ids"])
+        known, held, size = Known(vocabulary(ranks.value)), [], 0
+
+        def done() -> pa.RecordBatch:
+            known.replay_new()
+            out = []
+            for row, which in held:
+                ids, counts = known.join([which])[0], known.counts[which]
+                packed = {"counts": _packed(counts), "n_ids": len(ids), "ids": _packed(ids)}
+                out.append({"block": row["block"], "n": row["n"], "numbers": row["numbers"]} | packed)
+            if known.done > most:
+                known.clear()
+            fields = [c.split() for c in REPLAYED.split(", ")]
+            return pa.RecordBatch.from_pylist(out, pa.schema([(c, ARROW[t]) for c, t in fields]))
+
+        for batch in batches:
+            for at in range(batch.num_rows):
+                row = batch.slice(at, 1).to_pylist()[0]
+                words = _words(row)
+                held.append((row, np.fromiter(map(known.pieces.__getitem__, words), dtype=np.int64)))
+                size += sum(map(len, words))
+                if size >= limit:
+                    yield done()
+                    held, size = [], 0
+        if held:
+            yield done()
 
-    rows = pieces.select("block", "no", "piece").repartition("piece").sortWithinPartitions("piece")
-    return rows.mapInArrow(run, "block long, no int, ids array<int>")
+    rows = pieces.select("block", "part", "n", "numbers", "sizes", "words").repartition("part").sortWithinPartitions("part")
+    return rows.mapInArrow(run, REPLAYED)
 
 
 def _assembled(texts: pa.Table, pieces: pa.Table) -> pa.Table:
     """doc_id, ids of a block's documents, from the ids of its pieces."""
-    order = np.argsort(pieces["no"].to_numpy())  # numbers are 0, 1, ...
-    lists = pieces["ids"].combine_chunks()
-    lengths = lists.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)
-    ids, starts, counts = lists.flatten().to_numpy(zero_copy_only=False), (np.cumsum(lengths) - lengths)[order], lengths[order]
-    out, totals = [np.zeros(0, np.int32)], []
+    rows = pieces.to_pylist()
+    none = [np.zeros(0, dtype=np.int64)]
+    numbers = np.concatenate(none + [np.cumsum(_unpacked(r["numbers"], r["n"])) for r in rows])
+    lengths = np.concatenate(none + [_unpacked(r["counts"], r["n"]).astype(np.int64) for r in rows])
+    ids = np.concatenate([np.zeros(0, np.int32)] + [_unpacked(r["ids"], r["n_ids"]) for r in rows])
+    starts, counts = np.empty_like(lengths), np.empty_like(lengths)
+    starts[numbers], counts[numbers] = np.cumsum(lengths) - lengths, lengths
+    out, totals = [ids[:0]], []
     for n, data in zip(texts["n"].to_pylist(), texts["numbers"].to_pylist(), strict=True):
-        numbers = _unpacked(data, n)
-        sizes = counts[numbers]
-        out.append(ids[_spread(starts[numbers], sizes)])
+        places = _unpacked(data, n)
+        sizes = counts[places]
+        out.append(ids[_spread(starts[places], sizes)])
         totals.append(int(sizes.sum()))
     lists = pa.ListArray.from_arrays(_lists(np.array(totals, dtype=np.int64)), pa.array(np.concatenate(out), pa.int32()))
     return pa.Table.from_arrays([texts["doc_id"].combine_chunks(), lists], ["doc_id", "ids"])
 
 
+def _bucketed(frame: DataFrame, path: str, column: str, buckets: int) -> DataFrame:
+    """Cut the lineage as ``written`` does, with rows in files by ``column``, so that
+    a later grouping by it reads them in place. The table's name is needed only to
+    read the files back as buckets, and goes; the files stay under ``path``."""
+    name = f"numbered_{uuid.uuid4().hex}"
+    frame.write.format("parquet").option("path", path).bucketBy(buckets, column).saveAsTable(name)
+    read = frame.sparkSession.table(name)
+    frame.sparkSession.sql(f"DROP TABLE {name}")
+    return read
+
+
 def _shared(spark: SparkSession, ranks_path: str) -> Broadcast:
     with open(ranks_path, "rb") as f:
         return spark.sparkContext.broadcast(f.read())
 
 
-def encode(
-    docs: DataFrame, ranks_path: str, pattern: str,
-    block_bytes: int = BLOCK_BYTES, most: int = MAX_PIECES, limit: int = REPLAY_BYTES,
-) -> DataFrame:
+def encode(docs: DataFrame, ranks_path: str, pattern: str, **sizes: int) -> DataFrame:
     """doc_id, ids: the token ids of every text. ``ranks_path`` names a rank file
-    that the driver reads; its size is that of the vocabulary."""
+    that the driver reads; its size is that of the vocabulary. ``sizes``: other bounds
+    for ``numbered``. Parts and buckets are as many as the session's shuffle partitions."""
     spark = docs.sparkSession
-    rows = written(numbered(docs, pattern, block_bytes, most), scratch(spark, "pieces"))
-    ids = replayed(rows.where("piece is not null"), _shared(spark, ranks_path), limit)
-    texts = rows.where("piece is null").select("block", "doc_id", "n", "numbers")
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    rows = _bucketed(numbered(docs, pattern, parts, **sizes), scratch(spark, "pieces"), "block", parts)
+    ids = replayed(rows.where("part is not null"), _shared(spark, ranks_path))
+    texts = rows.where("part is null").select("block", "doc_id", "n", "numbers")
     return texts.groupBy("block").cogroup(ids.groupBy("block")).applyInArrow(_assembled, "doc_id long, ids array<int>")
 
 
