@@ -164,3 +164,11 @@ def test_verdicts_on_the_tables(spark):
             total += 1
             differ += (d <= quality.CUTOFF) != got[r["doc_id"]][0]
     assert total > 500 and differ <= total * 0.005
+
+
+def test_no_folder_is_written_twice(spark, monkeypatch):
+    paths, written = [], quality.written
+    monkeypatch.setattr(quality, "written", lambda frame, path: paths.append(path) or written(frame, path))
+    docs = spark.createDataFrame([], "doc_id long, text string, lang string, source string")
+    assert quality.robust_quality(docs).collect() == []
+    assert len(paths) > 5 and len(paths) == len(set(paths))

@@ -181,7 +181,7 @@ def _start(v: DataFrame, path: str) -> DataFrame:
     statistics take a few thousand whole values, so the exact percentile's
     value counts stay small however many documents there are."""
     # written, so that Spark knows its size and need not deal the documents out by cell
-    med = written(v.groupBy("cell").agg(*[F.percentile(f"x{k}", 0.5).alias(f"m{k}") for k in range(D)]), f"{path}/median")
+    med = written(v.groupBy("cell").agg(*[F.percentile(f"x{k}", 0.5).alias(f"m{k}") for k in range(D)]), f"{path}/medians")
     dev = v.join(med, "cell").groupBy("cell").agg(
         *[F.first(f"m{k}").alias(f"m{k}") for k in range(D)],
         *[F.percentile(F.abs(F.col(f"x{k}") - F.col(f"m{k}")), 0.5).alias(f"d{k}") for k in range(D)],
