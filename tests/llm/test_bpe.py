@@ -6,7 +6,9 @@ import base64
 import hashlib
 import random
 
+import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import tiktoken
 
@@ -129,6 +131,33 @@ def test_documents_stay_in_their_buckets(spark):
     assert {t.name for t in spark.catalog.listTables()} == before
 
 
+@pytest.mark.parametrize("sizes", [{}, {"block_bytes": 40, "most": 5}])
+def test_round_trip_is_decode_of_encode(spark, real, monkeypatch, sizes):
+    monkeypatch.setattr(bpe, "BLOCK", 3)
+    rows = [*enumerate(TEXTS), (3, TEXTS[3]), (None, "no id"), (99, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    lib = library(real.ranks)
+    got = bpe.round_trip(docs, PATH, public_tokenizers.PATTERN, **sizes).collect()
+    want = [(d, lib.encode_ordinary(t or ""), (t or "").encode()) for d, t in rows]
+    assert sorted(((r["doc_id"], r["ids"], bytes(r["decoded"])) for r in got), key=str) == sorted(want, key=str)
+
+
+def test_block_comes_in_batches(real, monkeypatch):
+    monkeypatch.setattr(bpe, "BLOCK", 2)
+    texts = {"doc_id": [1, None, 3, 4], "n": [3, 0, 1, 2], "numbers": [bpe._packed(np.array(x)) for x in ([0, 1, 0], [], [1], [1, 1])]}
+    pieces = [{"n": 2, "numbers": bpe._packed(np.array([0, 1])), "counts": bpe._packed(np.array([2, 1])), "n_ids": 3, "ids": bpe._packed(np.array([70, 71, 72]))}]
+    kinds = pa.schema([("doc_id", pa.int64()), ("n", pa.int32()), ("numbers", pa.binary())])
+    found = [b.to_pydict() for b in bpe._assembled(pa.table(texts, schema=kinds), pa.Table.from_pylist(pieces))]
+    assert found == [{"doc_id": [1], "ids": [[70, 71, 72, 70, 71]]}, {"doc_id": [None, 3, 4], "ids": [[], [72], [72, 72]]}]
+
+
+def test_one_python_step_beside_the_block(spark, tmp_path):
+    spark.createDataFrame([(1, "a text")], "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    plan = queries.op9_byte_bpe(spark, str(tmp_path))._jdf.queryExecution().executedPlan().toString()
+    above = plan[: plan.index("FlatMapCoGroupsInArrow")]
+    assert "MapInArrow" not in above and plan.count("Exchange hashpartitioning") == 2
+
+
 def test_empty_table(spark):
     assert bpe.digests(spark.createDataFrame([], "doc_id long, text string"), PATH, public_tokenizers.PATTERN).count() == 0
 

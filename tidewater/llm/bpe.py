@@ -11,7 +11,7 @@
    pairs with the two neighbours of a merged place are looked up and filed again.
 3. ``encode``: a block's documents and the ids of its pieces are cogrouped, and texts
    put together from their pieces' ids. Only the pieces are shuffled: the documents
-   lie in their buckets.
+   lie in their buckets. ``round_trip`` decodes the ids in the same step.
 
 A piece that stands everywhere counts once a block, a small part of each block's
 pieces, so no part is hot. Tasks hold a block, or a bounded table of pieces, at a time.
@@ -40,7 +40,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 import regex
 from pyspark import Broadcast, TaskContext
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, PandasCogroupedOps, SparkSession
 from pyspark.sql import functions as F
 
 from tidewater.llm.common import scratch
@@ -413,8 +413,14 @@ def replayed(pieces: DataFrame, ranks: Broadcast, limit: int = REPLAY_BYTES, mos
     return rows.mapInArrow(run, REPLAYED)
 
 
-def _assembled(texts: pa.Table, pieces: pa.Table) -> pa.Table:
-    """doc_id, ids of a block's documents, from the ids of its pieces."""
+IDS = "doc_id long, ids array<int>"
+DECODED = f"{IDS}, decoded binary"
+DECODED_FIELDS = pa.schema([("doc_id", pa.int64()), ("ids", pa.list_(pa.int32())), ("decoded", pa.binary())])
+
+
+def _assembled(texts: pa.Table, pieces: pa.Table) -> Iterator[pa.RecordBatch]:
+    """doc_id, ids of a block's documents, from the ids of its pieces; in batches of
+    about 2 ``BLOCK`` ids, at least a document each."""
     rows = pieces.to_pylist()
     none = [np.zeros(0, dtype=np.int64)]
     numbers = np.concatenate(none + [np.cumsum(_unpacked(r["numbers"], r["n"])) for r in rows])
@@ -422,14 +428,37 @@ def _assembled(texts: pa.Table, pieces: pa.Table) -> pa.Table:
     ids = np.concatenate([np.zeros(0, np.int32)] + [_unpacked(r["ids"], r["n_ids"]) for r in rows])
     starts, counts = np.empty_like(lengths), np.empty_like(lengths)
     starts[numbers], counts[numbers] = np.cumsum(lengths) - lengths, lengths
-    out, totals = [ids[:0]], []
-    for n, data in zip(texts["n"].to_pylist(), texts["numbers"].to_pylist(), strict=True):
-        places = _unpacked(data, n)
-        sizes = counts[places]
-        out.append(ids[_spread(starts[places], sizes)])
-        totals.append(int(sizes.sum()))
-    lists = pa.ListArray.from_arrays(_lists(np.array(totals, dtype=np.int64)), pa.array(np.concatenate(out), pa.int32()))
-    return pa.Table.from_arrays([texts["doc_id"].combine_chunks(), lists], ["doc_id", "ids"])
+    docs, held, size = [], [ids[:0]], 0
+
+    def done() -> pa.RecordBatch:
+        totals = np.array([len(x) for x in held[1:]], dtype=np.int64)
+        lists = pa.ListArray.from_arrays(_lists(totals), pa.array(np.concatenate(held), pa.int32()))
+        return pa.RecordBatch.from_arrays([pa.array(docs, pa.int64()), lists], ["doc_id", "ids"])
+
+    for batch in texts.to_batches():
+        for doc, n, data in zip(batch.column("doc_id"), batch.column("n"), batch.column("numbers"), strict=True):
+            places = _unpacked(data.as_py(), n.as_py())
+            docs.append(doc.as_py())
+            held.append(ids[_spread(starts[places], counts[places])])
+            size += len(held[-1])
+            if size >= 2 * BLOCK:
+                yield done()
+                docs, held, size = [], [ids[:0]], 0
+    yield done()
+
+
+def _decoded(batch: pa.RecordBatch, v: Vocabulary) -> Iterator[pa.RecordBatch]:
+    """doc_id, ids, decoded of a batch of doc_id, ids."""
+    sizes = batch.column("ids").value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
+    for b in _chunks(batch, sizes.astype(np.int64), 2 * BLOCK):
+        lists = b.column("ids")
+        counts = lists.value_lengths().fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)
+        ids = lists.flatten().to_numpy(zero_copy_only=False)
+        lengths = v.sizes[ids]
+        data = v.content[_spread(v.starts[ids], lengths)]
+        edges = np.concatenate([[0], np.cumsum(lengths)])[np.concatenate([[0], np.cumsum(counts)])]
+        out = pa.Array.from_buffers(pa.binary(), b.num_rows, [None, pa.py_buffer(edges.astype(np.int32)), pa.py_buffer(data)])
+        yield pa.RecordBatch.from_arrays([b.column("doc_id"), lists, out], ["doc_id", "ids", "decoded"])
 
 
 def _bucketed(frame: DataFrame, path: str, column: str, buckets: int) -> DataFrame:
@@ -448,16 +477,26 @@ def _shared(spark: SparkSession, ranks_path: str) -> Broadcast:
         return spark.sparkContext.broadcast(f.read())
 
 
-def encode(docs: DataFrame, ranks_path: str, pattern: str, **sizes: int) -> DataFrame:
-    """doc_id, ids: the token ids of every text. ``ranks_path`` names a rank file
-    that the driver reads; its size is that of the vocabulary. ``sizes``: other bounds
-    for ``numbered``. Parts and buckets are as many as the session's shuffle partitions."""
+def _blocks(docs: DataFrame, shared: Broadcast, pattern: str, **sizes: int) -> PandasCogroupedOps:
+    """Each block's documents beside the ids of its pieces. Parts and buckets are as
+    many as the session's shuffle partitions."""
     spark = docs.sparkSession
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     rows = _bucketed(numbered(docs, pattern, parts, **sizes), scratch(spark, "pieces"), "block", parts)
-    ids = replayed(rows.where("part is not null"), _shared(spark, ranks_path))
+    ids = replayed(rows.where("part is not null"), shared)
     texts = rows.where("part is null").select("block", "doc_id", "n", "numbers")
-    return texts.groupBy("block").cogroup(ids.groupBy("block")).applyInArrow(_assembled, "doc_id long, ids array<int>")
+    return texts.groupBy("block").cogroup(ids.groupBy("block"))
+
+
+def encode(docs: DataFrame, ranks_path: str, pattern: str, **sizes: int) -> DataFrame:
+    """doc_id, ids: the token ids of every text. ``ranks_path`` names a rank file
+    that the driver reads; its size is that of the vocabulary. ``sizes``: other bounds
+    for ``numbered``."""
+
+    def run(texts: pa.Table, pieces: pa.Table) -> pa.Table:
+        return pa.Table.from_batches(_assembled(texts, pieces))
+
+    return _blocks(docs, _shared(docs.sparkSession, ranks_path), pattern, **sizes).applyInArrow(run, IDS)
 
 
 def decode(encoded: DataFrame, ranks_path: str) -> DataFrame:
@@ -465,27 +504,28 @@ def decode(encoded: DataFrame, ranks_path: str) -> DataFrame:
     shared = _shared(encoded.sparkSession, ranks_path)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        v = vocabulary(shared.value)
         for batch in batches:
-            sizes = batch.column("ids").value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
-            for b in _chunks(batch, sizes.astype(np.int64), 2 * BLOCK):
-                lists = b.column("ids")
-                counts = lists.value_lengths().fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)
-                ids = lists.flatten().to_numpy(zero_copy_only=False)
-                lengths = v.sizes[ids]
-                data = v.content[_spread(v.starts[ids], lengths)]
-                edges = np.concatenate([[0], np.cumsum(lengths)])[np.concatenate([[0], np.cumsum(counts)])]
-                out = pa.Array.from_buffers(
-                    pa.binary(), b.num_rows, [None, pa.py_buffer(edges.astype(np.int32)), pa.py_buffer(data)]
-                )
-                yield pa.RecordBatch.from_arrays([b.column("doc_id"), lists, out], ["doc_id", "ids", "decoded"])
-
-    return encoded.select("doc_id", "ids").mapInArrow(run, "doc_id long, ids array<int>, decoded binary")
+            yield from _decoded(batch, vocabulary(shared.value))
+
+    return encoded.select("doc_id", "ids").mapInArrow(run, DECODED)
+
+
+def round_trip(docs: DataFrame, ranks_path: str, pattern: str, **sizes: int) -> DataFrame:
+    """``decode`` of ``encode``, in one step: the ids are decoded by the Python worker
+    that has put them together, so a task keeps one worker and not two, and they pass
+    through Spark's memory once."""
+    shared = _shared(docs.sparkSession, ranks_path)
+
+    def run(texts: pa.Table, pieces: pa.Table) -> pa.Table:
+        v = vocabulary(shared.value)
+        return pa.Table.from_batches((d for batch in _assembled(texts, pieces) for d in _decoded(batch, v)), DECODED_FIELDS)
+
+    return _blocks(docs, shared, pattern, **sizes).applyInArrow(run, DECODED)
 
 
 def digests(docs: DataFrame, ranks_path: str, pattern: str) -> DataFrame:
     """doc_id, n_tokens, ids_sha256 and decoded_sha256 of every text."""
-    return decode(encode(docs, ranks_path, pattern), ranks_path).select(
+    return round_trip(docs, ranks_path, pattern).select(
         "doc_id",
         F.size("ids").cast("long").alias("n_tokens"),
         F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
